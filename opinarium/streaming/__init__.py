@@ -1,0 +1,5 @@
+"""Nothing to build: the work is a batch per day, re-run by overwriting that day.
+
+There is no watermark, window or state to reproduce. The column functions in
+`opinarium.functions` hold no state and also accept streaming frames.
+"""
