@@ -32,17 +32,15 @@ def look_up(df: DataFrame, vocabulary: DataFrame, tokens: list[str], key: str) -
 
     Rows stay also when every list is empty. Pass lists already cut to length.
     """
-    spread = F.array(
-        *[
-            F.transform(
-                F.col(c),
-                lambda t, i, n=n: F.struct(
-                    F.lit(n).alias("side"), i.alias("pos"), t.alias("token")
-                ),
-            )
-            for n, c in enumerate(tokens)
-        ]
-    )
+
+
+    def placed(side: int, column: str) -> Column:
+        return F.transform(
+            F.col(column),
+            lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), t.alias("token")),
+        )
+
+    spread = F.array(*[placed(n, c) for n, c in enumerate(tokens)])
     rows = df.select(key, F.explode_outer(F.flatten(spread)).alias("t")).select(key, "t.*")
     ids = broadcast_if_small(vocabulary.select("token", "id"))
     known = rows.join(ids, "token", "left").select(

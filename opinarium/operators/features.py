@@ -46,9 +46,8 @@ def with_probabilities(
 ) -> DataFrame:
     """Append another model's class probabilities to a feature vector, matched by row id."""
     joined = df.join(probabilities.select(key, "probability"), key)
-    return VectorAssembler(inputCols=[features, "probability"], outputCol=output).transform(
-        joined.drop(output)
-    )
+    assembler = VectorAssembler(inputCols=[features, "probability"], outputCol=output)
+    return assembler.transform(joined).drop("probability")
 
 
 def error_weight(prediction: Column, label: Column, wrong: float = 10.0) -> Column:

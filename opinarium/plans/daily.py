@@ -77,7 +77,7 @@ def sentence_rows(articles: DataFrame, variant: Variant = FULL) -> DataFrame:
     )
     if variant.dedup_articles:
         found = keep_first(found.where(F.size("text") > 0), ["text"], ["news_uuid"])
-    rows = flatten(found, ["text"], position="position").fillna("", subset=["text"])
+    rows = flatten(found, ["text"], position="position")
     if variant.min_text is not None:
         rows = rows.where(F.length("text") > variant.min_text)
     if variant.dedup_sentences:
@@ -104,7 +104,9 @@ def opinion_rows(
     """
     if variant.rules is not None:
         sentences = match_rules(sentences, rules, keep_all=variant.rules == "keep")
-    scored = sentences.withColumn("_scores", scores(clean(F.col("text"))))
+    # a row without a text, from an article without sentences, is a failed prediction
+    vectors = F.when(F.col("text").isNotNull(), scores(clean(F.col("text"))))
+    scored = sentences.withColumn("_scores", vectors)
     labelled = scored.withColumn(
         "property", decode_label(F.col("_scores.property"), property_names)
     ).withColumn("emotion", decode_label(F.col("_scores.emotion"), emotion_names))

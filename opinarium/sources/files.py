@@ -87,7 +87,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_keyword_sheet(spark: SparkSession, path: str) -> DataFrame:
     """The keyword sheet as CSV; missing cells become empty text."""
     return spark.read.csv(
-        path, schema=KEYWORD_SHEET, header=True, quote='"', escape='"'
+        path, schema=KEYWORD_SHEET, header=True, quote='"', escape='"', multiLine=True
     ).fillna("")
 
 
