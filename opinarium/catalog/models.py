@@ -14,6 +14,7 @@ from opinarium.functions.text import clean_basic, clean_strict, words
 from opinarium.operators import encode as enc
 from opinarium.operators import evaluate, explain, features, scoring, training
 from opinarium.plans import daily, modelling
+from opinarium.runtime import materialize
 
 # --- vocabulary and encoding
 
@@ -207,7 +208,9 @@ def fea_presence(t: Tables) -> DataFrame:
 
 def _hashed(t: Tables, size: int = 1 << 10) -> DataFrame:
     rows = modelling.with_tokens(v.training_rows(t))
-    return HashingTF(inputCol="tokens", outputCol="features", numFeatures=size).transform(rows)
+    hashed = HashingTF(inputCol="tokens", outputCol="features", numFeatures=size).transform(rows)
+    # training passes over the features many times: cut texts into words once
+    return materialize(hashed.drop("text", "tokens"), "features")
 
 
 @query()
@@ -509,12 +512,15 @@ def ml_distilled(t: Tables) -> DataFrame:
     """A student trained on a teacher's scores; how often both agree."""
     rows = _hashed(t)
     teacher = training.LogisticRegression(maxIter=10, regParam=0.01).fit(rows)
-    scored = teacher.transform(rows).select(
-        "doc_id",
-        "label",
-        "features",
-        F.col("prediction").alias("teacher_pred"),
-        training.vector_to_array("rawPrediction").alias("teacher"),
+    scored = materialize(
+        teacher.transform(rows).select(
+            "doc_id",
+            "label",
+            "features",
+            F.col("prediction").alias("teacher_pred"),
+            training.vector_to_array("rawPrediction").alias("teacher"),
+        ),
+        "taught",
     )
     student = training.distil(
         scored, "label", "teacher", 2, alpha=0.7, temperature=2.0, maxIter=10, regParam=0.1
@@ -556,7 +562,7 @@ def coefficients(t: Tables) -> DataFrame:
 
 def _weights(t: Tables) -> DataFrame:
     weights = explain.linear_word_weights(
-        t.documents, coefficients(t), "doc_id", words(F.col("text"))
+        t.documents, materialize(coefficients(t), "coefficients"), "doc_id", words(F.col("text"))
     )
     return weights.withColumn("weight", F.round("weight", 6))
 

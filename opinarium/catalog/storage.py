@@ -119,7 +119,7 @@ def src_keyword_sheet(t: Tables) -> DataFrame:
 def src_delimited_file(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "delimited")
     out.export_delimited(t.customer.select("c_custkey", "c_name"), path)
-    return src.read_delimited(t.spark, f"{path}/*.csv")
+    return src.read_delimited(t.spark, f"{path}/part-*")
 
 
 @query(

@@ -41,17 +41,24 @@ def look_up(df: DataFrame, vocabulary: DataFrame, tokens: list[str], key: str) -
         )
 
     spread = F.array(*[placed(n, c) for n, c in enumerate(tokens)])
-    rows = df.select(key, F.explode_outer(F.flatten(spread)).alias("t")).select(key, "t.*")
-    ids = broadcast_if_small(vocabulary.select("token", "id"))
-    known = rows.join(ids, "token", "left").select(
+    rows = df.select(key, F.explode_outer(F.flatten(spread)).alias("_t")).select(
+        key, "_t", F.col("_t.token").alias("_token")
+    )
+    ids = broadcast_if_small(
+        vocabulary.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
+    )
+    known = rows.join(ids, "_token", "left").select(
         key,
-        "side",
-        F.struct("pos", F.coalesce(F.col("id").cast("int"), F.lit(UNKNOWN)).alias("id")).alias("t"),
+        F.col("_t.side").alias("_side"),
+        F.struct(
+            F.col("_t.pos").alias("pos"),
+            F.coalesce(F.col("_id").cast("int"), F.lit(UNKNOWN)).alias("id"),
+        ).alias("_t"),
     )
     # collect_list skips NULL, so each side gathers its own tokens only
     gathered = known.groupBy(key).agg(
         *[
-            F.array_sort(F.collect_list(F.when(F.col("side") == n, F.col("t")))).alias(c)
+            F.array_sort(F.collect_list(F.when(F.col("_side") == n, F.col("_t")))).alias(c)
             for n, c in enumerate(tokens)
         ]
     )
@@ -72,10 +79,10 @@ def encode(
     Start mark, at most `max_len - 2` ids, end mark, padding; the mask is 1 up to the
     end mark. Tokens come as an array column, so pre-split words work as well.
     """
-    cut = df.select(key, F.slice(tokens, 1, max_len - 2).alias("ids"))
-    found = look_up(cut, vocabulary, ["ids"], key)
-    size = F.size("ids") + 2
-    ids = F.concat(F.array(F.lit(START)), F.col("ids"), F.array(F.lit(END)))
+    cut = df.select(key, F.slice(tokens, 1, max_len - 2).alias("_ids"))
+    found = look_up(cut, vocabulary, ["_ids"], key)
+    size = F.size("_ids") + 2
+    ids = F.concat(F.array(F.lit(START)), F.col("_ids"), F.array(F.lit(END)))
     mask = F.array_repeat(F.lit(1), size)
     return found.select(
         key,
@@ -132,30 +139,30 @@ def encode_pair(
     """
     (text_a, tokens_a), (text_b, tokens_b) = first, second
     sides = df.select(
-        key, text_a.alias("ta"), tokens_a.alias("a"), text_b.alias("tb"), tokens_b.alias("b")
+        key, text_a.alias("_ta"), tokens_a.alias("_a"), text_b.alias("_tb"), tokens_b.alias("_b")
     )
-    keep_a, keep_b = pair_lengths(F.size("a"), F.size("b"), max_len - 3)
-    sides = sides.withColumns({"na": keep_a, "nb": keep_b}).select(
+    keep_a, keep_b = pair_lengths(F.size("_a"), F.size("_b"), max_len - 3)
+    sides = sides.withColumns({"_na": keep_a, "_nb": keep_b}).select(
         key,
-        "ta",
-        "tb",
-        F.slice("a", F.lit(1), F.col("na")).alias("a"),
-        F.slice("b", F.lit(1), F.col("nb")).alias("b"),
+        "_ta",
+        "_tb",
+        F.slice("_a", F.lit(1), F.col("_na")).alias("_a"),
+        F.slice("_b", F.lit(1), F.col("_nb")).alias("_b"),
     )
     spans = sides.select(
         key,
-        token_spans(F.col("ta"), F.col("a")).alias("sa"),
-        token_spans(F.col("tb"), F.col("b")).alias("sb"),
+        token_spans(F.col("_ta"), F.col("_a")).alias("_sa"),
+        token_spans(F.col("_tb"), F.col("_b")).alias("_sb"),
     )
-    found = look_up(sides, vocabulary, ["a", "b"], key).join(spans, key)
-    size_a, size_b = F.size("a") + 2, F.size("b") + 1
+    found = look_up(sides, vocabulary, ["_a", "_b"], key).join(spans, key)
+    size_a, size_b = F.size("_a") + 2, F.size("_b") + 1
     size = size_a + size_b
     start, end = F.array(F.lit(START)), F.array(F.lit(END))
     nowhere = F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end")))
-    offsets = F.concat(nowhere, F.col("sa"), nowhere, F.col("sb"), nowhere)
+    offsets = F.concat(nowhere, F.col("_sa"), nowhere, F.col("_sb"), nowhere)
     return found.select(
         key,
-        _padded(F.concat(start, F.col("a"), end, F.col("b"), end), size, max_len, PAD).alias(
+        _padded(F.concat(start, F.col("_a"), end, F.col("_b"), end), size, max_len, PAD).alias(
             "input_ids"
         ),
         _padded(

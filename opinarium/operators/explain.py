@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opinarium.functions import fixed_values as fixed
 from opinarium.operators.dedup import best_words, top_rows
 from opinarium.operators.frames import flatten
+from opinarium.runtime import broadcast_if_small
 
 # Width of the weighting kernel, and ridge penalty of the local model.
 KERNEL_WIDTH = 25.0
@@ -22,14 +23,18 @@ def linear_word_weights(df: DataFrame, coefficients: DataFrame, key: str, tokens
 
     For a scorer that adds up one coefficient per word this is occurrences times
     coefficient, so no variant of a text has to be scored. `coefficients` is (word,
-    coefficient). Occurrences are counted before the join.
+    coefficient), best a written table. Rows are placed by key before their words are spread
+    out, so counting, and with a small coefficient table also ranking per row, needs
+    no further shuffle.
     """
     counted = (
-        df.select(key, F.explode(tokens).alias("word"))
+        df.select(key, tokens.alias("word"))
+        .repartition(key)
+        .select(key, F.explode("word").alias("word"))
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"))
     )
-    return counted.join(coefficients, "word").select(
+    return counted.join(broadcast_if_small(coefficients), "word").select(
         key, "word", (F.col("n") * F.col("coefficient")).alias("weight")
     )
 

@@ -10,11 +10,30 @@ from pyspark.sql import functions as F
 # Copies a single joined row fans out to at most; more copies come as more rows.
 FAN_OUT = 10_000
 
+# Parts a hot key is spread over in a join with one row per key.
+SALTS = 8
+
 
 def _copies(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
+def join_unique(
+    df: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join rows to a frame that has few rows per key, however often `df` holds a key.
+
+    `df` is spread over a salt drawn from the row's hash, `unique` is repeated per
+    salt. The salt is part of the join key, so both sides are shuffled right below the
+    join. That lets adaptive execution split what is still hot, such as a group of
+    equal rows; it cannot do so above an aggregate that is already partitioned by key.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    repeated = unique.withColumn("_salt", F.explode(salts))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def select_articles(
     articles: DataFrame,
     relevant: DataFrame,
@@ -29,14 +48,13 @@ def select_articles(
 
     The filter tables carry no columns out, so each is first counted per key, which
     combines on the map side and leaves one row per key however
-    often it occurs. Both counts and their join share one partitioning, and
-    articles are joined once. That join ends its stage, so adaptive execution
-    can split a hot article key.
+    often it occurs. Both counts and their join share one partitioning. The
+    articles are shuffled once.
     """
     keys = list(keys)
     if semi:
         both = relevant.select(*keys).distinct().join(classified.select(*keys).distinct(), keys)
-        return articles.join(both, keys, "left_semi")
+        return join_unique(articles, both, keys, "left_semi")
     both = (
         _copies(relevant, keys, "_a")
         .join(_copies(classified, keys, "_b"), keys)
@@ -47,7 +65,7 @@ def select_articles(
     both = both.select(*keys, "_n", F.explode(slices).alias("_slice")).select(
         *keys, F.least(F.lit(FAN_OUT), F.col("_n") - F.col("_slice") * FAN_OUT).alias("_n")
     )
-    joined = articles.join(both, keys)
+    joined = join_unique(articles, both, keys)
     # list out the copies; with one copy this is a plain row
     return joined.select(
         *articles.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")

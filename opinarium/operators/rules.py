@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from opinarium.functions import fixed_values as fixed
+from opinarium.operators.joins import join_unique
 
 # Terms, over all rules, up to which rules become plain conditions in the query.
 MAX_CONDITION_TERMS = 32
@@ -101,7 +102,8 @@ def hits_by_automaton(df: DataFrame, rules: DataFrame, text: str = "text") -> Da
         for batch in batches:
             yield batch.map(matching)
 
-    return df.withColumn("hits", find(F.col(text)))
+    # non-deterministic, so that a filter on the hits does not search the texts again
+    return df.withColumn("hits", find.asNondeterministic()(F.col(text)))
 
 
 def hits_by_join(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
@@ -150,7 +152,7 @@ def hits_by_join(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFra
         .agg(F.array_sort(F.collect_set(F.struct("rule_order", "name"))).alias("_rules"))
         .select(text, F.transform("_rules", lambda r: r["name"]).alias("hits"))
     )
-    return df.join(matched, text, "left").withColumn("hits", F.coalesce("hits", none))
+    return join_unique(df, matched, [text], "left").withColumn("hits", F.coalesce("hits", none))
 
 
 def find_hits(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:

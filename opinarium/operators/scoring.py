@@ -21,14 +21,21 @@ Factory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 VECTOR = T.ArrayType(T.DoubleType())
 
 
+def _scorer(factory, returns, batch_size, input_shape):
+    shapes = None if input_shape is None else [list(input_shape)]
+    score = predict_batch_udf(
+        factory, return_type=returns, batch_size=batch_size, input_tensor_shapes=shapes
+    )
+    # A filter on a deterministic score is pushed below it together with a second run of
+    # the model; a non-deterministic one is computed once and filtered afterwards.
+    return score.asNondeterministic()
+
+
 def batch_scorer(
     factory: Factory, batch_size: int = 1024, input_shape: Sequence[int] | None = None
 ) -> Callable[[Column], Column]:
     """Column function giving one probability vector per row."""
-    shapes = None if input_shape is None else [list(input_shape)]
-    return predict_batch_udf(
-        factory, return_type=VECTOR, batch_size=batch_size, input_tensor_shapes=shapes
-    )
+    return _scorer(factory, VECTOR, batch_size, input_shape)
 
 
 def two_head_scorer(
@@ -38,13 +45,8 @@ def two_head_scorer(
     input_shape: Sequence[int] | None = None,
 ) -> Callable[[Column], Column]:
     """Column function giving a struct with one vector per head, from one pass."""
-    shapes = None if input_shape is None else [list(input_shape)]
-    return predict_batch_udf(
-        factory,
-        return_type=T.StructType([T.StructField(h, VECTOR) for h in heads]),
-        batch_size=batch_size,
-        input_tensor_shapes=shapes,
-    )
+    vectors = T.StructType([T.StructField(h, VECTOR) for h in heads])
+    return _scorer(factory, vectors, batch_size, input_shape)
 
 
 def linear_factory(weights: Sequence[Sequence[float]]) -> Factory:

@@ -76,8 +76,12 @@ def sentence_rows(articles: DataFrame, variant: Variant = FULL) -> DataFrame:
         "news_uuid", split(F.col("news_content"), variant.min_sentence).alias("text")
     )
     if variant.dedup_articles:
-        found = keep_first(found.where(F.size("text") > 0), ["text"], ["news_uuid"])
+        # articles without sentences fall out behind the explode: a filter on the list here
+        # would be pushed down and split every article twice
+        found = keep_first(found, ["text"], ["news_uuid"])
     rows = flatten(found, ["text"], position="position")
+    if variant.dedup_articles:
+        rows = rows.where(F.col("position").isNotNull())
     if variant.min_text is not None:
         rows = rows.where(F.length("text") > variant.min_text)
     if variant.dedup_sentences:

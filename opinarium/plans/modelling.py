@@ -14,6 +14,7 @@ from opinarium.functions.text import clean_train
 from opinarium.operators import evaluate, explain, training
 from opinarium.operators.features import word_bag
 from opinarium.operators.frames import first_rows
+from opinarium.runtime import materialize
 from opinarium.sources.warehouse import read_day
 
 
@@ -30,14 +31,18 @@ def rejected(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def train(df: DataFrame, text: str = "text", **settings) -> PipelineModel:
-    return training.text_classifier(**settings).fit(with_tokens(df, text))
+    """A text classifier. Words are cut once, as training passes over them many times."""
+    rows = materialize(with_tokens(df, text).select("label", "tokens"), "tokens")
+    return training.text_classifier(**settings).fit(rows)
 
 
 def evaluate_model(
     model: PipelineModel, df: DataFrame, key: str, text: str = "text"
 ) -> dict[str, DataFrame]:
     """Predictions, accuracy, loss, class report and confusion matrix on held-out rows."""
-    rows = training.predictions(model, with_tokens(df, text), key)
+    scored = training.predictions(model, with_tokens(df, text).select(key, "label", "tokens"), key)
+    # five reports read the predictions: score once
+    rows = materialize(scored, "predictions")
     return {
         "predictions": rows,
         "accuracy": evaluate.accuracy(rows),

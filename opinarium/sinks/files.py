@@ -16,10 +16,9 @@ def export_tsv(df: DataFrame, path: str) -> None:
 
 
 def export_delimited(df: DataFrame, path: str, sep: str = "\u0001") -> None:
-    """Plain delimited files without header or quoting."""
-    df.write.mode("overwrite").csv(
-        path, sep=sep, header=False, quote="", nullValue="\\N", emptyValue=""
-    )
+    r"""Plain delimited lines without header or quoting; NULL is written as `\N`."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]
+    df.select(F.concat_ws(sep, *cells)).write.mode("overwrite").text(path)
 
 
 def best_and_last(metrics: DataFrame) -> DataFrame:

@@ -94,10 +94,18 @@ def read_keyword_sheet(spark: SparkSession, path: str) -> DataFrame:
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType = ID_NAME, sep: str = "\u0001"
 ) -> DataFrame:
-    """Plain delimited files without header or quoting; `path` may be a glob."""
-    return spark.read.csv(
-        path, schema=schema, sep=sep, header=False, quote="", nullValue="\\N", emptyValue=""
-    )
+    r"""Plain delimited lines without header or quoting; `path` may be a glob.
+
+    `\N` is NULL and an empty field is empty text, which the CSV reader cannot
+    tell apart.
+    """
+    cells = F.split(F.col("value"), f"\\Q{sep}\\E", -1)
+
+    def cell(i: int, field: T.StructField):
+        raw = F.get(cells, F.lit(i))
+        return F.when(raw != "\\N", raw).cast(field.dataType).alias(field.name)
+
+    return spark.read.text(path).select(*[cell(i, f) for i, f in enumerate(schema.fields)])
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,118 @@
+import re
+import string
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from opinarium.functions import fixed_values as fixed
+from opinarium.functions import text as tx
+
+SETTINGS = settings(
+    max_examples=15,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+PIECES = st.sampled_from(
+    ["a", "word", " ", "  ", "\t", "\n", "　", "?", "!", "？", "！", "。", "…", "中", "文字",
+     "http://x.y", "https://a/b?c", "@me", "@", "&amp;", "&", ".", ",", "é", "7", "\x1c", "\xa0"]
+)
+TEXTS = st.lists(st.lists(PIECES, max_size=30).map("".join), min_size=1, max_size=40)
+
+
+def cut(text, min_len):
+    """Sentences by looking at each run of end marks in turn."""
+    for url in re.findall(fixed.URL_PATTERN, text):
+        text = text.replace(url, "")
+    out = []
+    ends = re.escape(fixed.SENTENCE_ENDS)
+    for body, marks in re.findall(f"([^{ends}]*)([{ends}]*)", text):
+        if body or marks:
+            out.append((body + marks).replace(" ", ""))
+    if min_len is None:
+        return out
+    return [s.strip() for s in out if len(s) > min_len]
+
+
+def test_remove_urls_cuts_the_first_out_of_the_second(column):
+    assert column(tx.remove_urls, ["see http://a http://ab end", "none", None]) == [
+        "see  b end",
+        "none",
+        None,
+    ]
+
+
+def test_long_url_does_not_overflow(column):
+    url = "http://a.b/" + "x%20y" * 20000
+    assert column(tx.remove_urls, [f"go {url} on"]) == ["go  on"]
+
+
+def test_split_edge_cases(column):
+    texts = ["", "   ", "…!！！tail", "0123456789!", "012345678!", "long enough　 one!", None]
+    assert column(lambda c: tx.split_sentences(c, None), texts) == [
+        [],
+        [""],
+        ["…!！！", "tail"],
+        ["0123456789!"],
+        ["012345678!"],
+        ["longenough　one!"],
+        None,
+    ]
+    assert column(tx.split_sentences, texts)[:6] == [
+        [], [], [], ["0123456789!"], [], ["longenough　one!"],
+    ]
+
+
+def test_length_counts_before_trimming(column):
+    # eleven characters with the line ends, nine without
+    assert column(tx.split_sentences, ["\n\n123456789", "\n123456789"]) == [["123456789"], []]
+
+
+@SETTINGS
+@given(TEXTS)
+def test_split_like_a_loop(column, texts):
+    assert column(tx.split_sentences, texts) == [cut(t, 10) for t in texts]
+    assert column(lambda c: tx.split_sentences(c, None), texts) == [cut(t, None) for t in texts]
+
+
+def test_whole_text(column):
+    texts = ["a b! c? 中文 é 12345", "short", ""]
+    assert column(tx.whole_text_sentence, texts) == [[], [], []]
+    assert column(tx.whole_text_sentence, ["a b! c? 中文 é 123456"]) == [["abc中文123456"]]
+    assert column(lambda c: tx.whole_text_sentence(c, None), texts) == [["abc中文12345"], ["short"], []]
+
+
+def basic(text):
+    text = re.sub(r"@\S*\s", " ", text)
+    return re.sub(r"\s+", " ", text.replace("&amp;", "&")).strip()
+
+
+@SETTINGS
+@given(TEXTS)
+def test_cleaning_like_python(column, texts):
+    wanted = [basic(t) for t in texts]
+    assert column(tx.clean_basic, texts) == wanted
+    strict = f"[^一-龥0-9A-Za-z{re.escape(fixed.SENTENCE_ENDS)}]"
+    assert column(tx.clean_strict, texts) == [re.sub(strict, "", t) for t in wanted]
+    assert column(tx.clean_alnum, texts) == [re.sub("[^一-龥0-9A-Za-z]", "", t) for t in texts]
+
+
+def test_cleaning_edge_cases(column):
+    assert column(tx.clean_basic, ["end @name", "a　b", "&amp;amp;", "@x y @z\tw", None]) == [
+        "end @name", "a b", "&amp;", "y w", None,
+    ]
+    assert column(tx.clean_strict, ["café 5。", "a🙂b"]) == ["caf5。", "ab"]
+    assert column(tx.clean_train, ["see http://a.b/c now"]) == ["see  now"]
+
+
+def test_words(column):
+    texts = ["Hello, world! it's 中文a b-c", "", None, "  ,.  "]
+    assert column(tx.words, texts) == [
+        ["Hello", "world", "it", "s", "中", "文", "a", "b", "c"], [], None, [],
+    ]
+    assert column(lambda c: tx.words(c, drop_punctuation=False), ["a, 中!"]) == [["a", ",", "中", "!"]]
+    assert set(string.punctuation) == set(fixed.ASCII_PUNCTUATION)
+
+
+def test_fixed_names():
+    assert len(fixed.PROPERTY_NAMES) == 109 == len(set(fixed.PROPERTY_NAMES))
+    assert len(fixed.EMOTION_NAMES) == 3
