@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.catalog import views as v
+from opinarium.catalog.portable import linear_model
 from opinarium.catalog.registry import Tables, query
 from opinarium.functions import fixed_values as fixed
 from opinarium.functions.labels import argmax, parse_multi_hot, threshold
 from opinarium.functions.text import clean_basic, clean_strict, words
 from opinarium.operators import encode as enc
-from opinarium.operators import evaluate, explain, features, scoring, training
+from opinarium.operators import evaluate, explain, features, frames, scoring, training
 from opinarium.plans import daily, modelling
 from opinarium.runtime import materialize
 
@@ -263,6 +268,20 @@ def sco_one_model(t: Tables) -> DataFrame:
     return rows.select("vec_id", v.vector_text(F.col("s")).alias("scores"), argmax(F.col("s")).alias("pred"))
 
 
+@query(f"with {SCORED_SQL} select vec_id, {v.argmax_sql('property')} as pred from scored")
+def sco_portable_file(t: Tables) -> DataFrame:
+    """The same linear scorer, read from a model file on the workers."""
+    by_input = [list(column) for column in zip(*PROPERTY_WEIGHTS)]
+    # the driver's copy; Spark ships it to the workers
+    path = os.path.join(tempfile.mkdtemp(prefix="opinarium-model-"), f"linear-{uuid.uuid4().hex}.onnx")
+    with open(path, "wb") as file:
+        file.write(linear_model(by_input))
+    score = scoring.batch_scorer(scoring.portable_file(t.spark, path), input_shape=[64])
+    return t.embeddings.select("vec_id", score("embedding").alias("s")).select(
+        "vec_id", argmax(F.col("s")).alias("pred")
+    )
+
+
 TWO_HEADS_SQL = f"""with {SCORED_SQL}
     select vec_id, {v.argmax_sql('property')} as property, {v.argmax_sql('emotion')} as emotion,
            {v.vector_text_sql('emotion')} as emotion_scores
@@ -553,9 +572,8 @@ weights as (
 
 def coefficients(t: Tables) -> DataFrame:
     """One coefficient per word: log odds of its documents being of good quality."""
-    rated = v.training_rows(t).select(
-        "quality", F.explode(F.array_distinct(words(F.col("text")))).alias("word")
-    )
+    distinct = F.array_distinct(words(F.col("text")))
+    rated = frames.items(v.training_rows(t), ["quality"], distinct, "word")
     odds = (F.count_if(F.col("quality") == 1) + 1.0) / (F.count_if(F.col("quality") == 0) + 1.0)
     return rated.groupBy("word").agg(F.ln(odds).alias("coefficient"))
 
@@ -587,8 +605,10 @@ EXP_ROWS_SQL = f"""with {COEFFICIENTS_SQL},
 
 
 def _listed(t: Tables) -> DataFrame:
+    """The top words of each document as a list, as an explainer would return them."""
     pairs = F.collect_list(F.struct("word", "weight"))
-    return _weights(t).groupBy("doc_id").agg(explain.top_words_in_list(pairs).alias("words"))
+    top = explain.top_words(_weights(t), "doc_id")
+    return top.groupBy("doc_id").agg(explain.top_words_in_list(pairs).alias("words"))
 
 
 @query(f"{EXP_ROWS_SQL} select doc_id, word, weight from top where length(word) >= 2")

@@ -1,0 +1,55 @@
+"""The linear demo scorer as a portable model file (ONNX), so that a file can be scored.
+
+A model file is a protocol-buffer message; a single matrix product needs few of its fields.
+"""
+
+from __future__ import annotations
+
+import struct
+from collections.abc import Sequence
+
+
+def _varint(n: int) -> bytes:
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def _field(number: int, value: int | bytes) -> bytes:
+    if isinstance(value, int):
+        return _varint(number << 3) + _varint(value)
+    return _varint(number << 3 | 2) + _varint(len(value)) + value
+
+
+def linear_model(weights: Sequence[Sequence[float]]) -> bytes:
+    """A model computing scores = inputs x weights; one weight row per input."""
+    inputs, classes = len(weights), len(weights[0])
+
+    def tensor_info(name: bytes, columns: int) -> bytes:
+        shape = _field(1, _field(2, b"rows")) + _field(1, _field(1, columns))
+        tensor = _field(1, 1) + _field(2, shape)  # element type 1: float
+        return _field(1, name) + _field(2, _field(1, tensor))
+
+    product = (
+        _field(1, b"input") + _field(1, b"weights") + _field(2, b"scores") + _field(4, b"MatMul")
+    )
+    flat = [float(x) for row in weights for x in row]
+    constant = (
+        _field(1, inputs)
+        + _field(1, classes)
+        + _field(2, 1)
+        + _field(8, b"weights")
+        + _field(9, struct.pack(f"<{len(flat)}f", *flat))
+    )
+    graph = (
+        _field(1, product)
+        + _field(2, b"linear")
+        + _field(5, constant)
+        + _field(11, tensor_info(b"input", inputs))
+        + _field(12, tensor_info(b"scores", classes))
+    )
+    opset = _field(2, 13)
+    return _field(1, 8) + _field(7, graph) + _field(8, opset)

@@ -188,7 +188,7 @@ sentence_rows as (
 
 def _sentence_rows(t: Tables) -> DataFrame:
     marked = F.replace("text", F.lit("."), F.lit("!"))
-    return t.documents.select("doc_id", F.explode(split_sentences(marked)).alias("text"))
+    return frames.items(t.documents, ["doc_id"], split_sentences(marked), "text")
 
 
 @query(
@@ -327,7 +327,7 @@ weights as (
 
 def _word_weights(t: Tables) -> DataFrame:
     """Occurrences of each word in each text stand for its weight there."""
-    rows = t.documents.select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+    rows = frames.items(t.documents, ["doc_id"], words(F.col("text")), "word")
     return rows.groupBy("word", "doc_id").agg(F.count("*").cast("double").alias("weight"))
 
 

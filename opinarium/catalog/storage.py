@@ -10,6 +10,7 @@ from opinarium.catalog import views as v
 from opinarium.catalog.registry import Tables, query
 from opinarium.functions import fixed_values as fixed
 from opinarium.functions.text import clean_basic, words
+from opinarium.operators.frames import items
 from opinarium.runtime import materialize, new_folder
 from opinarium.sinks import files as out
 from opinarium.sinks import tables
@@ -128,7 +129,7 @@ def src_delimited_file(t: Tables) -> DataFrame:
 )
 def src_vocabulary_file(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "vocabulary")
-    tokens = t.documents.select(F.explode(words(F.col("text"))).alias("token")).distinct()
+    tokens = items(t.documents, [], words(F.col("text")), "token").distinct()
     tokens.repartitionByRange("token").sortWithinPartitions("token").write.text(path)
     return src.read_vocabulary(t.spark, path)
 

@@ -75,17 +75,14 @@ def _split_sql(min_len: int | None) -> str:
 
 @query(_split_sql(10))
 def sent_split(t: Tables) -> DataFrame:
-    return _marked(t).select(
-        "doc_id", F.posexplode(tx.split_sentences(F.col("text"))).alias("position", "sentence")
-    )
+    sentences = tx.split_sentences(F.col("text"))
+    return frames.items(_marked(t), ["doc_id"], sentences, "sentence", "position")
 
 
 @query(_split_sql(None))
 def sent_split_no_minimum(t: Tables) -> DataFrame:
-    return _marked(t).select(
-        "doc_id",
-        F.posexplode(tx.split_sentences(F.col("text"), None)).alias("position", "sentence"),
-    )
+    sentences = tx.split_sentences(F.col("text"), None)
+    return frames.items(_marked(t), ["doc_id"], sentences, "sentence", "position")
 
 
 @query(
@@ -93,8 +90,8 @@ def sent_split_no_minimum(t: Tables) -> DataFrame:
     select doc_id, unnest(s) as sentence from s"""
 )
 def sent_whole_text(t: Tables) -> DataFrame:
-    return t.documents.select(
-        "doc_id", F.explode(tx.whole_text_sentence(F.col("text"))).alias("sentence")
+    return frames.items(
+        t.documents, ["doc_id"], tx.whole_text_sentence(F.col("text")), "sentence"
     )
 
 
@@ -102,22 +99,19 @@ def sent_whole_text(t: Tables) -> DataFrame:
 
 
 @query(
-    """with turns as (
-      select conv_id, string_agg(role, ',' order by turn) as roles,
-             string_agg(cast(turn as varchar), ',' order by turn) as turns
-      from conversations group by conv_id)
-    select conv_id, r.role, u.turn from turns,
-      unnest(string_split(roles, ',')) r(role), unnest(string_split(turns, ',')) u(turn)"""
+    """with lists as (select doc_id, string_split(text, chr(10)) as lines from documents),
+    lines as (select doc_id, unnest(lines) as line from lists)
+    select l.doc_id, md5(l.line) as line_md5, unnest([d.lang, d.source]) as tag
+    from lines l join documents d on l.doc_id = d.doc_id"""
 )
 def arr_flatten(t: Tables) -> DataFrame:
     """Two list columns: every combination per row."""
-    in_order = F.array_sort(F.collect_list(F.struct("turn", "role")))
-    lists = t.conversations.groupBy("conv_id").agg(in_order.alias("x")).select(
-        "conv_id",
-        F.col("x.role").alias("role"),
-        F.col("x.turn").cast("array<string>").alias("turn"),
+    lists = t.documents.select(
+        "doc_id", F.split("text", "\n", -1).alias("line"), F.array("lang", "source").alias("tag")
+    )
+    return frames.flatten(lists, ["line", "tag"]).select(
+        "doc_id", F.md5("line").alias("line_md5"), "tag"
     )
-    return frames.flatten(lists, ["role", "turn"])
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinarium.operators.frames import items
 from opinarium.operators.indexing import with_row_index
 from opinarium.runtime import broadcast_if_small
 
@@ -15,9 +16,7 @@ RESERVED = 4
 
 def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
     """Occurrences of each token; combines before the shuffle."""
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(
-        F.count("*").alias("occurrences")
-    )
+    return items(df, [], tokens, "token").groupBy("token").agg(F.count("*").alias("occurrences"))
 
 
 def build_vocabulary(df: DataFrame, tokens: Column) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.functions.labels import argmax
+from opinarium.operators.frames import items
 from opinarium.operators.indexing import with_row_index
 
 # Classes a full matrix may have.
@@ -190,7 +191,7 @@ def first_maximum(df: DataFrame, truth: str, scores: str) -> DataFrame:
 
 def _cells(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     pairs = F.arrays_zip(F.col(truth).alias("y"), F.col(predicted).alias("p"))
-    return df.select(F.posexplode(pairs).alias("position", "c")).select(
+    return items(df, [], pairs, "c", "position").select(
         "position",
         F.col("c.y").cast("long").alias("y"),
         F.col("c.p").cast("long").alias("p"),

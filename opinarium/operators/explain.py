@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opinarium.functions import fixed_values as fixed
 from opinarium.operators.dedup import best_words, top_rows
-from opinarium.operators.frames import flatten
+from opinarium.operators.frames import flatten, items
 from opinarium.runtime import broadcast_if_small
 
 # Width of the weighting kernel, and ridge penalty of the local model.
@@ -27,10 +27,9 @@ def linear_word_weights(df: DataFrame, coefficients: DataFrame, key: str, tokens
     out, so counting, and with a small coefficient table also ranking per row, needs
     no further shuffle.
     """
+    placed = df.select(key, tokens.alias("_words")).repartition(key)
     counted = (
-        df.select(key, tokens.alias("word"))
-        .repartition(key)
-        .select(key, F.explode("word").alias("word"))
+        items(placed, [key], F.col("_words"), "word")
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"))
     )

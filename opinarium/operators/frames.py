@@ -24,6 +24,22 @@ def flatten(df: DataFrame, columns: Sequence[str], position: str | None = None)
     return df
 
 
+def items(
+    df: DataFrame, keep: Sequence[str], values: Column, name: str, position: str | None = None
+) -> DataFrame:
+    """The columns `keep` and one row per list item; rows without items fall out.
+
+    An outer explode with the filter behind it. For an inner explode the optimizer adds
+    a filter on the list itself, which computes a derived list a second
+    time, and pushes it down to the scan.
+    """
+    if position is None:
+        rows = df.select(*keep, F.explode_outer(values).alias(name))
+    else:
+        rows = df.select(*keep, F.posexplode_outer(values).alias(position, name))
+    return rows.where(F.col(position or name).isNotNull())
+
+
 def any_flag(columns: Sequence[str], value: int = 1) -> Column:
     """Whether at least one of the columns equals the value."""
     return reduce(lambda a, b: a | b, [F.col(c) == value for c in columns])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from opinarium.functions import fixed_values as fixed
+from opinarium.operators.frames import items
 from opinarium.operators.joins import join_unique
 
 # Terms, over all rules, up to which rules become plain conditions in the query.
@@ -132,18 +133,16 @@ def hits_by_join(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFra
     def pieces(length: int) -> Column:
         if length == 0:
             return F.array(F.lit(""))
-        last = F.length(text) - length + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(
-            F.array().cast("array<int>")
+        # a look-ahead matches at every place and captures the next characters: one
+        # linear pass, where cutting by position walks the text from its start each time
+        return F.regexp_extract_all(
+            F.col(text), F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1)
         )
-        return F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(length)))
 
     found = F.array_distinct(F.concat(*[pieces(n) for n in sorted(lengths)]))
+    texts = df.select(text).where(F.col(text).isNotNull()).distinct()
     matched = (
-        df.select(text)
-        .where(F.col(text).isNotNull())
-        .distinct()
-        .select(text, F.explode(found).alias("term"))
+        items(texts, [text], found, "term")
         .join(terms, "term")
         .groupBy(text, "rule_order", "name", "clause", "n_terms")
         .agg(F.count("*").alias("n"))

@@ -23,6 +23,7 @@ from opinarium.operators.features import (
     fit_word_counts,
     with_probabilities,
 )
+from opinarium.operators.frames import items
 from opinarium.runtime import materialize
 
 
@@ -234,9 +235,7 @@ def soft_rows(
     cross-entropy.
     """
     cooled = softmax(F.transform(F.col(teacher), lambda x: x / temperature))
-    each = df.withColumn("_soft", cooled).select(
-        *df.columns, F.posexplode("_soft").alias("_class", "_p")
-    )
+    each = items(df, df.columns, cooled, "_p", "_class")
     hard = (F.col("_class") == F.col(label)).cast("double")
     return (
         each.withColumn("soft_weight", alpha * F.col("_p") + (1.0 - alpha) * hard)

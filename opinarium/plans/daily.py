@@ -99,13 +99,18 @@ def opinion_rows(
     rules: DataFrame | None = None,
     variant: Variant = FULL,
     clean: Callable[[Column], Column] = clean_strict,
+    scoring_tasks: int | None = None,
 ) -> DataFrame:
     """Scored, labelled rows in the layout of the opinion table.
 
     `scores` maps the cleaned text to a struct with a property and an emotion
-    vector. Rows with a failed prediction go. With a sample cap the scored stage is
+    vector. Rows with a failed prediction go. `scoring_tasks` deals the sentences out evenly
+    over that many tasks first: worth a shuffle when the model is slow, as tasks
+    sized for text hold very many sentences. With a sample cap the scored stage is
     written, as it is read twice and must not be scored twice.
     """
+    if scoring_tasks is not None:
+        sentences = sentences.repartition(scoring_tasks)
     if variant.rules is not None:
         sentences = match_rules(sentences, rules, keep_all=variant.rules == "keep")
     # a row without a text, from an article without sentences, is a failed prediction
@@ -138,6 +143,7 @@ def daily_opinions(
     property_names: Sequence[str],
     rules: DataFrame | None = None,
     variant: Variant = FULL,
+    scoring_tasks: int | None = None,
 ) -> DataFrame:
     """From the day's warehouse tables to opinion rows."""
     articles = articles_of_day(news, correlation, classified, day, labels, variant.semi)
@@ -148,4 +154,5 @@ def daily_opinions(
         property_names,
         rules=rules,
         variant=variant,
+        scoring_tasks=scoring_tasks,
     )

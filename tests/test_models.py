@@ -1,51 +1,15 @@
 import collections
-import struct
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from opinarium.catalog.portable import linear_model
 from opinarium.functions.text import words
 from opinarium.operators import evaluate, explain, features, scoring, training
 from opinarium.plans import daily, modelling
 
 
-# --- a tiny portable model, written field by field as the format's wire layout asks
-
-
-def _field(number, payload):
-    if isinstance(payload, int):
-        return _number(number << 3) + _number(payload)
-    return _number(number << 3 | 2) + _number(len(payload)) + payload
-
-
-def _number(n):
-    out = b""
-    while n > 127:
-        out += bytes([n & 127 | 128])
-        n >>= 7
-    return out + bytes([n])
-
-
-def linear_model(weights):
-    """One matrix product: (rows, inputs) x (inputs, classes)."""
-    inputs, classes = weights.shape
-
-    def value(name, columns):
-        dims = _field(1, _field(2, b"n")) + _field(1, _field(1, columns))
-        tensor = _field(1, 1) + _field(2, dims)
-        return _field(1, name) + _field(2, _field(1, tensor))
-
-    node = _field(1, b"x") + _field(1, b"w") + _field(2, b"y") + _field(4, b"MatMul")
-    data = struct.pack(f"<{inputs * classes}f", *weights.astype("float32").ravel())
-    weight = _field(1, inputs) + _field(1, classes) + _field(2, 1) + _field(8, b"w") + _field(9, data)
-    graph = (
-        _field(1, node) + _field(2, b"g") + _field(5, weight)
-        + _field(11, value(b"x", inputs)) + _field(12, value(b"y", classes))
-    )
-    return _field(1, 8) + _field(7, graph) + _field(8, _field(2, 13))
-
-
 @pytest.fixture()
 def vectors(spark):
     draw = np.random.default_rng(1)
@@ -70,7 +34,7 @@ def test_portable_file_scores_the_same(spark, vectors, tmp_path):
     df, x = vectors
     w = np.arange(18).reshape(6, 3) / 10
     path = tmp_path / "linear.onnx"
-    path.write_bytes(linear_model(w))
+    path.write_bytes(linear_model(w.tolist()))
     score = scoring.batch_scorer(scoring.portable_file(spark, str(path)), input_shape=[6])
     assert np.allclose(by_id(df.withColumn("s", score("v")), "s"), x @ w, atol=1e-5)
 
