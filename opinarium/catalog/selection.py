@@ -217,6 +217,17 @@ def join_predictions(t: Tables) -> DataFrame:
 # --- aggregates
 
 
+def _distinct_articles(articles: DataFrame) -> DataFrame:
+    """(news_uuid, s, sentences): one article per list of sentences, none without any.
+
+    The length rides along as a value: a filter on the list itself would be pushed below the
+    aggregate and split every article twice.
+    """
+    lists = articles.select("news_uuid", split_sentences(F.col("news_content")).alias("s"))
+    sized = lists.withColumn("sentences", F.size("s").cast("long"))
+    return dedup.keep_first(sized, ["s"], ["news_uuid"]).where(F.col("sentences") > 0)
+
+
 STAGES_SQL = f"""
 stage_lists as (
   select news_uuid, {v.sentences_sql('news_content')} as s from selected),
@@ -237,8 +248,7 @@ def agg_stage_counts(t: Tables) -> DataFrame:
     articles = daily.articles_of_day(
         v.news_info(t), v.algo_correlation(t), v.algo_classified(t), v.DAY, v.LABELS
     )
-    lists = articles.select("news_uuid", split_sentences(F.col("news_content")).alias("text"))
-    kept = dedup.keep_first(lists.where(F.size("text") > 0), ["text"], ["news_uuid"])
+    kept = _distinct_articles(articles)
     return frames.stage_counts(
         {"query": articles, "articles": kept, "sentences": daily.sentence_rows(articles)}
     )
@@ -253,12 +263,8 @@ def agg_dedup_articles(t: Tables) -> DataFrame:
     articles = daily.articles_of_day(
         v.news_info(t), v.algo_correlation(t), v.algo_classified(t), v.DAY, v.LABELS
     )
-    lists = articles.select("news_uuid", split_sentences(F.col("news_content")).alias("s"))
-    kept = dedup.keep_first(lists.where(F.size("s") > 0), ["s"], ["news_uuid"])
-    return kept.select(
-        "news_uuid",
-        F.size("s").cast("long").alias("sentences"),
-        F.md5(F.array_join("s", "|")).alias("list_md5"),
+    return _distinct_articles(articles).select(
+        "news_uuid", "sentences", F.md5(F.array_join("s", "|")).alias("list_md5")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # Copies a single joined row fans out to at most; more copies come as more rows.
 FAN_OUT = 10_000
 
-# Parts a hot key is spread over in a join with one row per key.
+# Parts a hot key is spread over in a join with one row per key; a power of two.
 SALTS = 8
 
 
@@ -28,8 +28,10 @@ def join_unique(
     join. That lets adaptive execution split what is still hot, such as a group of
     equal rows; it cannot do so above an aggregate that is already partitioned by key.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    # the lowest bits, which are never NULL: for a nullable key the optimizer would add a
+    # filter that hashes every row once more
+    salted = df.withColumn("_salt", F.xxhash64(*df.columns).bitwiseAND(F.lit(SALTS - 1)))
+    salts = F.array(*[F.lit(i).cast("long") for i in range(SALTS)])
     repeated = unique.withColumn("_salt", F.explode(salts))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
