@@ -218,7 +218,7 @@ def _hashed(t: Tables, size: int = 1 << 10) -> DataFrame:
     return materialize(hashed.drop("text", "tokens"), "features")
 
 
-@query()
+@query(f"with {v.TRAINING_SQL} select doc_id, cast(1024 + 2 as integer) as width from training_rows")
 def fea_append_probabilities(t: Tables) -> DataFrame:
     """Feature vectors with a second model's probabilities behind them."""
     rows = _hashed(t)

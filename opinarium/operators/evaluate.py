@@ -15,8 +15,8 @@ from opinarium.functions.labels import argmax
 from opinarium.operators.frames import items
 from opinarium.operators.indexing import with_row_index
 
-# Classes a full matrix may have.
-MAX_CLASSES = 10_000
+# Classes a full matrix may have; more raise an error.
+MAX_CLASSES = 1_000
 
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
@@ -132,7 +132,9 @@ def class_report(
 
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
     """(label, pred, n) with zero cells, over all classes of truth or prediction."""
-    cells = pair_counts(df, label, pred).agg(
+    # one pair more than allowed is enough to tell that there are too many
+    bounded = pair_counts(df, label, pred).limit(MAX_CLASSES * MAX_CLASSES + 1)
+    cells = bounded.agg(
         F.array_sort(
             F.array_union(F.collect_set("label"), F.collect_set("pred"))
         ).alias("classes"),

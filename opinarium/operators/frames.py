@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -60,6 +60,21 @@ def failure_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def observed(
+    df: DataFrame, name: str, predictions: Sequence[str] = ()
+) -> tuple[DataFrame, Observation]:
+    """The frame, and its row count and failed predictions once a job has run over it.
+
+    The counts of a run's stages without a second pass.
+    """
+    seen = Observation(name)
+    failed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in predictions], F.lit(False))
+    counted = df.observe(
+        seen, F.count(F.lit(1)).alias("row_count"), F.count_if(failed).alias("failed")
+    )
+    return counted, seen
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """(stage, rows) for named stages. Meant for written or cheap stages."""
     counts = [

@@ -18,6 +18,8 @@ from opinarium.operators.joins import join_unique
 MAX_CONDITION_TERMS = 32
 # Terms up to which a search automaton is built in every task.
 MAX_AUTOMATON_TERMS = 500_000
+# Characters of all terms up to which the rules are brought to the driver at all.
+MAX_DICTIONARY_CHARS = 16 << 20
 
 
 def compile_rules(sheet: DataFrame) -> DataFrame:
@@ -159,10 +161,13 @@ def find_hits(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
 
     The way follows the checked size of the dictionary; results are the same.
     """
-    terms = rules.agg(F.sum(F.size(F.flatten("clauses")))).first()[0] or 0
-    if terms <= MAX_CONDITION_TERMS:
+    every = F.flatten("clauses")
+    sized = rules.agg(F.sum(F.size(every)), F.sum(F.length(F.array_join(every, ""))))
+    terms, chars = (n or 0 for n in sized.first())
+    bounded = chars <= MAX_DICTIONARY_CHARS
+    if bounded and terms <= MAX_CONDITION_TERMS:
         return hits_by_condition(df, rules, text)
-    if terms <= MAX_AUTOMATON_TERMS and importlib.util.find_spec("ahocorasick"):
+    if bounded and terms <= MAX_AUTOMATON_TERMS and importlib.util.find_spec("ahocorasick"):
         return hits_by_automaton(df, rules, text)
     return hits_by_join(df, rules, text)
 

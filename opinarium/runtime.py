@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of at most this many short fields may be broadcast.
+# A frame of at most this many rows and characters may be broadcast.
 SMALL_ROWS = 200_000
+SMALL_CHARS = 64 << 20
 
 # Size of a full input split, and the size from which dealing out a table pays.
 SPLIT_BYTES = 128 << 20
@@ -71,14 +72,20 @@ def _table_bytes(spark: SparkSession, path: str) -> int:
     return _SIZES[path]
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether the frame has at most `max_rows` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_chars: int = SMALL_CHARS) -> bool:
+    """Whether the frame keeps both bounds: rows, and characters over its text columns.
+
+    Looks at one row more than allowed, and no further.
+    """
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    chars = [F.coalesce(F.sum(F.length(c).cast("long")), F.lit(0)) for c in texts]
+    counts = df.limit(max_rows + 1).agg(F.count("*"), *chars).first()
+    return counts[0] <= max_rows and sum(counts[1:]) <= max_chars
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """The frame with a broadcast hint when its row count allows it, else as it is.
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """The frame with a broadcast hint when its checked size allows it, else as it is.
 
     Without the hint the join shuffles, and adaptive execution splits hot keys.
     """
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    return F.broadcast(df) if is_small(df) else df
