@@ -309,12 +309,13 @@ def sco_two_heads(t: Tables) -> DataFrame:
 def sco_two_models(t: Tables) -> DataFrame:
     first = scoring.batch_scorer(scoring.linear_factory(PROPERTY_WEIGHTS), input_shape=[64])
     second = scoring.batch_scorer(scoring.linear_factory(EMOTION_WEIGHTS), input_shape=[64])
-    rows = t.embeddings.withColumn("p", first("embedding")).withColumn("e", second("embedding"))
+    score = scoring.two_model_scorer(first, second, ["property", "emotion"])
+    rows = t.embeddings.select("vec_id", score(F.col("embedding")).alias("s"))
     return rows.select(
         "vec_id",
-        argmax(F.col("p")).alias("property"),
-        argmax(F.col("e")).alias("emotion"),
-        v.vector_text(F.col("e")).alias("emotion_scores"),
+        argmax(F.col("s.property")).alias("property"),
+        argmax(F.col("s.emotion")).alias("emotion"),
+        v.vector_text(F.col("s.emotion")).alias("emotion_scores"),
     )
 
 

@@ -81,8 +81,7 @@ def flt_any_flag(t: Tables) -> DataFrame:
 )
 def flt_sentence_length(t: Tables) -> DataFrame:
     marked = F.replace("text", F.lit("."), F.lit("!"))
-    lists = t.documents.select("doc_id", split_sentences(marked).alias("text"))
-    rows = frames.flatten(lists.where(F.size("text") > 0), ["text"])
+    rows = frames.items(t.documents, ["doc_id"], split_sentences(marked), "text")
     return rows.where(F.length("text") > 5)
 
 

@@ -16,6 +16,12 @@ KEPT_STRICT = KEPT_ALNUM + SENTENCE_ENDS
 # information separators), and as a mention (from "@" to the next white space).
 WHITE_SPACE = r"\s\x1c-\x1f"
 
+# Fixed value: the same white space, character by character, for trimming.
+WHITE_SPACE_CHARACTERS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Tokens dropped from word bags besides blanks.
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 WIDE_PUNCTUATION = (

@@ -9,7 +9,6 @@ from opinarium.functions import fixed_values as fixed
 
 _MENTION = f"(?U)@[^{fixed.WHITE_SPACE}]*[{fixed.WHITE_SPACE}]"
 _SPACES = f"(?U)[{fixed.WHITE_SPACE}]+"
-_OUTER_SPACES = rf"(?U)\A[{fixed.WHITE_SPACE}]+|[{fixed.WHITE_SPACE}]+\z"
 _SENTENCE_GAP = f"(?<=[{fixed.SENTENCE_ENDS}])(?=[^{fixed.SENTENCE_ENDS}])"
 
 
@@ -53,7 +52,7 @@ def clean_alnum(text: Column) -> Column:
 
 def strip_spaces(text: Column) -> Column:
     """Trim Unicode white space on both sides."""
-    return F.regexp_replace(text, _OUTER_SPACES, "")
+    return F.btrim(text, F.lit(fixed.WHITE_SPACE_CHARACTERS))
 
 
 def _long_enough(sentences: Column, min_len: int | None) -> Column:

@@ -49,6 +49,18 @@ def two_head_scorer(
     return _scorer(factory, vectors, batch_size, input_shape)
 
 
+def two_model_scorer(
+    first: Callable[[Column], Column], second: Callable[[Column], Column], heads: Sequence[str]
+) -> Callable[[Column], Column]:
+    """Column function giving a struct of the vectors of two models run in sequence."""
+    one, two = heads
+
+    def score(column: Column) -> Column:
+        return F.struct(first(column).alias(one), second(column).alias(two))
+
+    return score
+
+
 def linear_factory(weights: Sequence[Sequence[float]]) -> Factory:
     """Linear scores of an input vector: one weight row per class."""
     matrix = [list(map(float, row)) for row in weights]

@@ -50,6 +50,17 @@ def test_two_heads_in_one_pass(spark):
     assert plan.count("ArrowEvalPython") == 1
 
 
+def test_daily_job_with_two_models(spark):
+    first = scoring.batch_scorer(scoring.cue_factory(["here", "Third", "never"]))
+    second = scoring.batch_scorer(scoring.cue_factory(["x", "e", "i"]))
+    score = scoring.two_model_scorer(first, second, ["property", "emotion"])
+    variant = daily.Variant(rules=None)
+    args = (*day_tables(spark), "d1", ["own"])
+    two = daily.daily_opinions(*args, score, ["place", "third"], variant=variant, scoring_tasks=3)
+    one = daily.daily_opinions(*args, scorer(), ["place", "third"], variant=variant)
+    assert sorted(two.collect()) == sorted(one.collect()) and one.count() == 3
+
+
 # --- the daily job
 
 

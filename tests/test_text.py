@@ -113,6 +113,35 @@ def test_words(column):
     assert set(string.punctuation) == set(fixed.ASCII_PUNCTUATION)
 
 
+def test_column_functions_on_a_stream(spark, tmp_path):
+    """Cleaning, splitting and a filter as a streaming query: nothing in them needs a batch."""
+    from pyspark.sql import functions as F
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("@me first one is long! short! second one is long?\n")
+    lines = spark.readStream.schema("value string").text(str(tmp_path / "in"))
+    sentences = F.explode_outer(tx.split_sentences(tx.clean_basic(F.col("value"))))
+    query = (
+        lines.select(sentences.alias("s"))
+        .writeStream.format("memory")
+        .queryName("stream_sentences")
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(60)
+    got = [r["s"] for r in spark.table("stream_sentences").collect()]
+    assert got == ["firstoneislong!", "secondoneislong?"]
+
+
+def test_trimmed_characters_are_pythons_white_space(column):
+    blank = "".join(chr(i) for i in range(0x3100) if chr(i).isspace())
+    assert set(blank) == set(fixed.WHITE_SPACE_CHARACTERS)
+    assert column(tx.strip_spaces, [blank + "a b" + blank, blank, "", None]) == ["a b", "", "", None]
+    # and the pattern knows the same ones
+    assert column(tx.clean_basic, ["a" + c + "b" for c in blank]) == ["a b"] * len(blank)
+
+
 def test_fixed_names():
     assert len(fixed.PROPERTY_NAMES) == 109 == len(set(fixed.PROPERTY_NAMES))
     assert len(fixed.EMOTION_NAMES) == 3
