@@ -226,8 +226,7 @@ def fea_append_probabilities(t: Tables) -> DataFrame:
     wide = features.with_probabilities(
         rows, model.transform(rows).select("doc_id", "probability"), "doc_id", "features", "both"
     )
-    size = F.unwrap_udt(F.col("both"))["size"]
-    return wide.select("doc_id", size.alias("width"))
+    return wide.select("doc_id", F.size(training.vector_to_array("both")).alias("width"))
 
 
 @query(
@@ -359,7 +358,7 @@ def _daily(t: Tables, variant: daily.Variant, rules: DataFrame | None = None) ->
     )
 
 
-def _daily_sql(sentences: str, rules: bool) -> str:
+def _daily_sql(sentences: str, rules: bool, required: str = "property is not null and emotion is not null") -> str:
     """Scored rows over a chain of CTEs that ends in `sentence_rows` (row_id, news_uuid, text)."""
     hits = v.hits_sql("sentence_rows", "row_id") if rules else "hits as (select null as row_id, '' as hits)"
     fixed_rules = f"{v.FIXED_RULES_SQL}," if rules else ""
@@ -373,7 +372,8 @@ def _daily_sql(sentences: str, rules: bool) -> str:
       select text, news_uuid, row_id, hits, {_names_sql(PROPERTY_LABELS)}[p + 1] as property,
              {_names_sql(fixed.EMOTION_NAMES)}[e + 1] as emotion, '{v.DAY}' as datatime
       from scored),
-    opinions as (select * from labelled where property is not null and emotion is not null)"""
+    opinions as (
+      select * replace (coalesce(property, '') as property) from labelled where {required})"""
 
 
 def _article_sentences_sql(min_len: int | None) -> str:
@@ -413,7 +413,7 @@ CAP = "(select 30000 // count(*) from (select distinct property, emotion from op
 
 
 @query(
-    _daily_sql(_distinct_rows_sql(10), rules=False)
+    _daily_sql(_distinct_rows_sql(10), rules=False, required="emotion is not null")
     + f""" select property, emotion, least(count(*), max({CAP})) as row_count
     from opinions group by property, emotion"""
 )
@@ -424,7 +424,7 @@ def daily_two_heads(t: Tables) -> DataFrame:
 
 
 @query(
-    _daily_sql(_distinct_rows_sql(None), rules=True)
+    _daily_sql(_distinct_rows_sql(None), rules=True, required="emotion is not null")
     + """ select text, news_uuid, property, emotion, unnest(string_split(hits, ', ')) as hits, datatime
     from opinions where hits <> ''"""
 )

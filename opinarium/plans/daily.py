@@ -38,12 +38,16 @@ class Variant:
     min_text: int | None = 5
     # "keep": rows without a rule hit stay; "drop": they go and a row is made per hit; None
     rules: str | None = "keep"
+    # predictions a row must have; without another one it stays, with an empty label
+    required: tuple[str, ...] = ("property", "emotion")
     # sample cap over all strata; None keeps all rows
     total: int | None = None
 
 
 FULL = Variant()
-TWO_HEADS = Variant(rules=None, dedup_sentences=True, total=fixed.SAMPLE_TOTAL)
+TWO_HEADS = Variant(
+    rules=None, dedup_sentences=True, required=("emotion",), total=fixed.SAMPLE_TOTAL
+)
 HITS_ONLY = replace(TWO_HEADS, rules="drop", min_sentence=None)
 WHOLE_TEXTS = Variant(
     whole_texts=True,
@@ -104,7 +108,8 @@ def opinion_rows(
     """Scored, labelled rows in the layout of the opinion table.
 
     `scores` maps the cleaned text to a struct with a property and an emotion
-    vector. Rows with a failed prediction go. `scoring_tasks` deals the sentences out evenly
+    vector. Rows with a failed prediction go, or stay with an empty label
+    where the variant does not require it. `scoring_tasks` deals the sentences out evenly
     over that many tasks first: worth a shuffle when the model is slow, as tasks
     sized for text hold very many sentences. With a sample cap the scored stage is
     written, as it is read twice and must not be scored twice.
@@ -119,7 +124,8 @@ def opinion_rows(
     labelled = scored.withColumn(
         "property", decode_label(F.col("_scores.property"), property_names)
     ).withColumn("emotion", decode_label(F.col("_scores.emotion"), emotion_names))
-    rows = drop_failures(labelled.drop("_scores"), ["property", "emotion"])
+    rows = drop_failures(labelled.drop("_scores"), variant.required)
+    rows = rows.fillna("", subset=["property", "emotion"])
     if variant.total is not None:
         rows = capped_sample(
             materialize(rows, "scored"),

@@ -109,6 +109,12 @@ def test_daily_job(spark):
     assert "hits" not in whole.columns
 
 
+def test_two_head_variants_keep_rows_without_a_property(spark):
+    tables = day_tables(spark)
+    kept = daily.daily_opinions(*tables, "d1", ["own"], scorer(), ["place"], variant=daily.TWO_HEADS)
+    assert sorted(r["property"] for r in kept.collect()) == ["", "place", "place"]
+
+
 def test_sampled_variant_scores_once(spark):
     rows = daily.daily_opinions(*day_tables(spark), "d1", ["own"], scorer(), ["place", "third"], variant=daily.TWO_HEADS)
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
