@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -268,14 +264,11 @@ def sco_one_model(t: Tables) -> DataFrame:
 
 
 @query(f"with {SCORED_SQL} select vec_id, {v.argmax_sql('property')} as pred from scored")
-def sco_portable_file(t: Tables) -> DataFrame:
-    """The same linear scorer, read from a model file on the workers."""
+def sco_portable_model(t: Tables) -> DataFrame:
+    """The same linear scorer as a portable model, opened on the workers."""
     by_input = [list(column) for column in zip(*PROPERTY_WEIGHTS)]
-    # the driver's copy; Spark ships it to the workers
-    path = os.path.join(tempfile.mkdtemp(prefix="opinarium-model-"), f"linear-{uuid.uuid4().hex}.onnx")
-    with open(path, "wb") as file:
-        file.write(linear_model(by_input))
-    score = scoring.batch_scorer(scoring.portable_file(t.spark, path), input_shape=[64])
+    model = scoring.portable_model(linear_model(by_input))
+    score = scoring.batch_scorer(model, input_shape=[64])
     return t.embeddings.select("vec_id", score("embedding").alias("s")).select(
         "vec_id", argmax(F.col("s")).alias("pred")
     )

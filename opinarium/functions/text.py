@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from opinarium.functions import fixed_values as fixed
+from opinarium.functions.labels import let
 
 _MENTION = f"(?U)@[^{fixed.WHITE_SPACE}]*[{fixed.WHITE_SPACE}]"
 _SPACES = f"(?U)[{fixed.WHITE_SPACE}]+"
@@ -55,13 +56,15 @@ def strip_spaces(text: Column) -> Column:
     return F.btrim(text, F.lit(fixed.WHITE_SPACE_CHARACTERS))
 
 
-def _long_enough(sentences: Column, min_len: int | None) -> Column:
-    if min_len is None:
-        return sentences
+def _long_enough(sentences: Column, min_len: int) -> Column:
     kept = F.filter(sentences, lambda s: F.length(s) > min_len)
     return F.transform(kept, strip_spaces)
 
 
+def _no_list() -> Column:
+    return F.array().cast("array<string>")
+
+
 def split_sentences(text: Column, min_len: int | None = 10) -> Column:
     """Array of sentences.
 
@@ -69,20 +72,23 @@ def split_sentences(text: Column, min_len: int | None = 10) -> Column:
     sentences longer than `min_len` before trimming are kept; with None all
     stay, untrimmed. Empty text has no sentence.
     """
+
+    def cut(clean: Column) -> Column:
+        parts = F.split(clean, _SENTENCE_GAP, -1)
+        return F.transform(parts, lambda s: F.replace(s, F.lit(" "), F.lit("")))
+
     clean = remove_urls(text)
-    parts = F.when(F.length(clean) == 0, F.array().cast("array<string>")).otherwise(
-        F.split(clean, _SENTENCE_GAP, -1)
-    )
-    return _long_enough(
-        F.transform(parts, lambda s: F.replace(s, F.lit(" "), F.lit(""))), min_len
-    )
+    if min_len is not None:
+        return _long_enough(cut(clean), min_len)
+    return let(clean, lambda c: F.when(F.length(c) == 0, _no_list()).otherwise(cut(c)))
 
 
 def whole_text_sentence(text: Column, min_len: int | None = 10) -> Column:
     """The alphanumeric variant: end marks go first, so a text is one sentence."""
     clean = clean_alnum(text)
-    one = F.when(F.length(clean) == 0, F.array().cast("array<string>")).otherwise(F.array(clean))
-    return _long_enough(one, min_len)
+    if min_len is not None:
+        return _long_enough(F.array(clean), min_len)
+    return let(clean, lambda c: F.when(F.length(c) == 0, _no_list()).otherwise(F.array(c)))
 
 
 def words(text: Column, drop_punctuation: bool = True) -> Column:

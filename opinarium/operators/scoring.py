@@ -112,24 +112,22 @@ def two_heads(first: Factory, second: Factory, names: Sequence[str]) -> Factory:
     return load
 
 
-def portable_file(spark: SparkSession, path: str) -> Factory:
-    """Scorer from an ONNX file with one input and one output.
+def portable_model(model: bytes) -> Factory:
+    """Scorer from an ONNX model with one input and one output.
 
-    Spark ships the file to every worker, which opens it once.
+    The bytes travel with the task code, which Spark broadcasts when it is large;
+    each worker opens the model once.
     """
-    spark.sparkContext.addFile(path)
-    name = path.rstrip("/").rsplit("/", 1)[-1]
 
     def load():
         import numpy as np
         import onnxruntime
-        from pyspark import SparkFiles
 
         options = onnxruntime.SessionOptions()
         # one thread: Spark already runs a task per core
         options.intra_op_num_threads = 1
         session = onnxruntime.InferenceSession(
-            SparkFiles.get(name), options, providers=["CPUExecutionProvider"]
+            model, options, providers=["CPUExecutionProvider"]
         )
         entry = session.get_inputs()[0].name
 
@@ -142,6 +140,14 @@ def portable_file(spark: SparkSession, path: str) -> Factory:
     return load
 
 
+def portable_file(spark: SparkSession, path: str) -> Factory:
+    """Scorer from an ONNX file on any file system Spark reads."""
+    files = spark.read.format("binaryFile").load(path).select("content").take(2)
+    if len(files) != 1:
+        raise ValueError(f"{path} is not one file")
+    return portable_model(bytes(files[0]["content"]))
+
+
 def score_with_pipeline(df: DataFrame, model: PipelineModel, output: str) -> DataFrame:
     """Score with a fitted Spark ML pipeline: stays in the JVM."""
     drop = [c for c in model.transform(df.limit(0)).columns if c not in df.columns]

@@ -126,6 +126,7 @@ def test_text_stages_hold_no_python(spark):
     news, correlation, classified = day_tables(spark)
     articles = daily.articles_of_day(news, correlation, classified, "d1", ["own"])
     plan = daily.sentence_rows(articles)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1, "articles are split more than once"
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
