@@ -150,10 +150,3 @@ def test_is_small(spark):
     assert not runtime.is_small(spark.range(11), 10)
     texts = spark.createDataFrame([("abc",), (None,)], "t string")
     assert runtime.is_small(texts, 10, 3) and not runtime.is_small(texts, 10, 2)
-
-
-def test_observed_counts_come_with_the_run(spark):
-    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, p string")
-    out, seen = frames.observed(df, "scored", ["p"])
-    assert out.where("id = 1").count() == 1
-    assert seen.get == {"row_count": 2, "failed": 1}
