@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +17,9 @@ SPREAD_FROM_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, named by `spark.checkpoint.dir`.
-
-    Where the setting is missing, a local session gets a folder of its own; a
-    cluster session must name one.
-    """
+    """The folder all executors see: `spark.checkpoint.dir`, else one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="opinarium-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
