@@ -1,0 +1,11 @@
+"""Operations of a training-data pipeline. Nothing else in the library imports this package.
+
+Functions that run in Python workers are sent by value, so the executors need not have
+this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
