@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinarium.llm import language, quality, toxicity
+from opinarium.llm import (
+    decontamination,
+    fingerprints,
+    language,
+    near_duplicates,
+    packing,
+    quality,
+    sharding,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,17 +35,58 @@ def _registered(build: Query) -> Query:
     return build
 
 
+@_registered
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, folder, "documents"))
+
+
+@_registered
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_documents(_table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
 @_registered
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+@_registered
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, folder, "documents"))
+
+
 @_registered
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     found = language.identify(_table(spark, folder, "documents"))
     return found.withColumn("n_spans", F.size("spans")).drop("spans")
 
 
+@_registered
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.judge_urls(_table(spark, folder, "pages"))
+    return judged.withColumn("words", F.array_join("words", " "))
+
+
+@_registered
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = (_table(spark, folder, t) for t in ("documents", "benchmark"))
+    return decontamination.find_leaks(documents, benchmark)
+
+
+@_registered
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 @_registered
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_registered
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_neighbours(_table(spark, folder, "documents"))
