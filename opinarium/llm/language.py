@@ -203,8 +203,8 @@ def fit(docs: DataFrame, folds: int, held_out: int, sample_rows: int) -> Model:
     number = {lang: i for i, lang in enumerate(languages)}
     counts = np.zeros((BUCKETS, len(languages)))
     scripts = np.zeros((len(SCRIPT_NAMES), len(languages)))
-    where = table["lang"].map(number).to_numpy()
-    bucket, n = table["bucket"].to_numpy(), table["n"].to_numpy()
+    where = table["lang"].map(number).to_numpy(np.int64)
+    bucket, n = (table[c].to_numpy(np.int64) for c in ("bucket", "n"))
     grams = bucket >= 0
     counts[bucket[grams], where[grams]] = n[grams]
     scripts[-1 - bucket[~grams], where[~grams]] = n[~grams]

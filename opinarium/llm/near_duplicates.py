@@ -313,7 +313,7 @@ class _Search:
             self._verify(pairs)
 
     def classes(self) -> DataFrame:
-        """(key, class_id, first_id, chosen): the class of each text and whether its text stays."""
+        """(key, class_key, class_id, first_id): each text's class, the key and id of its first text."""
         for turn in range(1 + LEADER_ROUNDS):
             if not self.by_leaders(turn):
                 break
@@ -322,7 +322,9 @@ class _Search:
         texts = self.texts.select("key", "first_id")
         if self.parts is None:
             return materialize(
-                texts.select("key", F.col("first_id").alias("class_id"), "first_id", F.lit(True).alias("chosen")),
+                texts.select(
+                    "key", F.col("key").alias("class_key"), F.col("first_id").alias("class_id"), "first_id"
+                ),
                 "classes",
             )
         placed = materialize(
@@ -333,9 +335,9 @@ class _Search:
         return materialize(
             placed.join(materialize(heads, "heads"), "part").select(
                 "key",
+                F.col("head.key").alias("class_key"),
                 F.col("head.first_id").alias("class_id"),
                 "first_id",
-                (F.col("key") == F.col("head.key")).alias("chosen"),
             ),
             "classes",
         )
@@ -345,16 +347,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, class_size), a row per document; links are texts of `threshold` or more."""
     classes = _Search(docs.select("doc_id", "text"), threshold).classes()
     rows = _with_keys(docs).select("doc_id", "key")
-    placed = rows.join(classes.select("key", "class_id"), "key", "left").select(
-        "doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.col("key").isNull().alias("alone"),
-    )
+    placed = rows.join(classes.select("key", "class_key", "class_id"), "key", "left")
     placed = materialize(placed, "classified")
-    sizes = placed.where("not alone").groupBy("class_id").agg(F.count("*").alias("size"))
-    sizes = materialize(sizes, "sizes")
-    return placed.join(
-        sizes, placed["class_id"].eqNullSafe(sizes["class_id"]) & ~placed["alone"], "left"
-    ).select("doc_id", placed["class_id"], F.coalesce("size", F.lit(1)).alias("class_size"))
+    sizes = placed.where("key is not null").groupBy("class_key").agg(F.count("*").alias("size"))
+    sized = placed.join(materialize(sizes, "sizes"), "class_key", "left")
+    return sized.select(
+        "doc_id",
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("size", F.lit(1)).alias("class_size"),
+    )
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -366,7 +367,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = packed(docs, "doc_id").withColumn("key", text_key("row.text"))
     counted = rows.where("key is not null").groupBy("doc_id", "key").agg(F.count("*").alias("n"))
     known = materialize(counted, "counted")
-    stays = classes.where("chosen").select("key", "first_id")
+    stays = classes.where("key = class_key").select("key", "first_id")
     here = (known["key"] == stays["key"]) & known["doc_id"].eqNullSafe(stays["first_id"])
     gone = materialize(known.join(stays, here, "left_anti").select("doc_id", "key"), "gone")
     gone = broadcast_if_small(gone)
