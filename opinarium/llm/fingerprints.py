@@ -5,7 +5,7 @@ bits choose one of 256 bins and the smallest hash of a bin represents it: the ha
 first of each bin is kept, so no row is exploded. An empty bin copies another bin
 by probes that depend on its number only (optimal densification): a sequence of hashed tries, and
 when those meet empty bins only, the filled bin whose hash with the number is smallest. The low
-four bits of each bin are kept, as 256 hexadecimal digits. Unrelated digits agree by chance in one of
+four bits of each bin, hashed with its number, are kept as 256 hexadecimal digits. Unrelated digits agree by chance in one of
 sixteen, so two fingerprints that agree in a share p of their digits have the likeness
 (p - 1/16) / (1 - 1/16), or 0 if that is negative.
 
@@ -89,8 +89,13 @@ def _densified(bins: str, minima: str) -> Column:
 
 
 def _digits(values: str) -> Column:
+    """The low bits of each value, hashed with its place: else copies of one value would agree, or
+    differ, with another text's copies all at once."""
     low = F.transform(
-        values, lambda v: F.substring(F.lit("0123456789abcdef"), v.bitwiseAND(15).cast("int") + 1, 1)
+        values,
+        lambda v, i: F.substring(
+            F.lit("0123456789abcdef"), F.xxhash64(v, i).bitwiseAND(15).cast("int") + 1, 1
+        ),
     )
     return F.array_join(low, "")
 

@@ -133,7 +133,6 @@ def segment_hosts(hosts: DataFrame, counts: DataFrame, seeds: Sequence[str] = SE
     vocabulary = counts.unionByName(known).groupBy("word").agg(F.sum("n").alias("n"))
     vocabulary = materialize(vocabulary.where((F.length("word") > 1) | (F.col("n") > 1)), "vocabulary")
     total = max(vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 1)
-    # a word costs a flat amount on top, so that a host is not shredded into frequent fragments
     weight = F.log(F.col("n") / total)
     found = parts.join(vocabulary, "word").select("label", F.struct("word", weight.alias("w")).alias("unit"))
     found = found.groupBy("label").agg(F.collect_list("unit").alias("units"))
@@ -179,9 +178,9 @@ def bayes_weights(rows: DataFrame) -> tuple[float, np.ndarray]:
     counts = np.zeros((2, BUCKETS))
     for row in counted.collect():  # at most one row per bucket
         counts[:, row["bucket"]] = row["bad"], row["good"]
-    shares = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
-    weights = np.log(shares[0]) - np.log(shares[1])
-    weights[counts.sum(axis=0) == 0] = 0.0
+    seen = counts.sum(axis=0) > 0
+    shares = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * max(seen.sum(), 1))
+    weights = np.where(seen, np.log(shares[0]) - np.log(shares[1]), 0.0)
     return math.log((bad + 1) / (good + 1)), weights
 
 

@@ -107,7 +107,8 @@ def test_short_texts_are_densified(spark):
     df = fingerprints.with_fingerprint(spark.createDataFrame(rows, "t string"), "t", "f")
     same = {r["t"]: r["f"] for r in df.collect()}
     assert same["a"] == same["A "] and same["a"] != same["b"]
-    assert len(set(same["a"])) == 1  # one shingle fills all bins
+    chance = sum(x == y for x, y in zip(same["a"], same["b"], strict=True))
+    assert chance < 40  # one shingle fills all bins, digits agree by chance only
     pair = sum(x == y for x, y in zip(same["a b c d e f"], same["a b c d e g"], strict=True))
     assert 0.15 < pair / fingerprints.BINS < 0.55  # one of three shingles is shared
 
