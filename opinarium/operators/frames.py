@@ -60,14 +60,14 @@ def failure_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """One row `row_count`."""
+    return df.agg(F.count("*").alias("row_count"))
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """(stage, rows) for named stages. Meant for written or cheap stages."""
-    counts = [
-        df.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("stage"), "row_count"
-        )
-        for name, df in stages.items()
-    ]
+    counts = [counted(df).select(F.lit(name).alias("stage"), "row_count") for name, df in stages.items()]
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -7,33 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinarium.runtime import materialize
+
 # Copies a single joined row fans out to at most; more copies come as more rows.
 FAN_OUT = 10_000
 
-# Parts a hot key is spread over in a join with one row per key; a power of two.
-SALTS = 8
-
-
 def _copies(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def join_unique(
-    df: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join rows to a frame that has few rows per key, however often `df` holds a key.
+def _pairs(relevant: DataFrame, classified: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _n): pairs of filter rows per key."""
+    return (
+        _copies(relevant, keys, "_a")
+        .join(_copies(classified, keys, "_b"), list(keys))
+        .select(*keys, (F.col("_a") * F.col("_b")).alias("_n"))
+    )
 
-    `df` is spread over a salt drawn from the row's hash, `unique` is repeated per
-    salt. The salt is part of the join key, so both sides are shuffled right below the
-    join. That lets adaptive execution split what is still hot, such as a group of
-    equal rows; it cannot do so above an aggregate that is already partitioned by key.
-    """
-    # the lowest bits, which are never NULL: for a nullable key the optimizer would add a
-    # filter that hashes every row once more
-    salted = df.withColumn("_salt", F.xxhash64(*df.columns).bitwiseAND(F.lit(SALTS - 1)))
-    salts = F.array(*[F.lit(i).cast("long") for i in range(SALTS)])
-    repeated = unique.withColumn("_salt", F.explode(salts))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+def selected_copies(
+    articles: DataFrame,
+    relevant: DataFrame,
+    classified: DataFrame,
+    keys: Sequence[str] = ("news_uuid",),
+) -> DataFrame:
+    """(keys, n): how many rows the plain join makes of each article, without making them."""
+    both = materialize(_pairs(relevant, classified, keys), "selected")
+    return articles.select(*keys).join(both, list(keys)).select(*keys, F.col("_n").alias("n"))
 
 
 def select_articles(
@@ -50,24 +50,21 @@ def select_articles(
 
     The filter tables carry no columns out, so each is first counted per key, which
     combines on the map side and leaves one row per key however
-    often it occurs. Both counts and their join share one partitioning. The
-    articles are shuffled once.
+    often it occurs. Both counts and their join share one partitioning. That small table is
+    written: then both sides are shuffled right below the join with the articles, which lets
+    adaptive execution split a hot key. The articles are shuffled once.
     """
     keys = list(keys)
     if semi:
         both = relevant.select(*keys).distinct().join(classified.select(*keys).distinct(), keys)
-        return join_unique(articles, both, keys, "left_semi")
-    both = (
-        _copies(relevant, keys, "_a")
-        .join(_copies(classified, keys, "_b"), keys)
-        .select(*keys, (F.col("_a") * F.col("_b")).alias("_n"))
-    )
+        return articles.join(materialize(both, "selected"), keys, "left_semi")
+    both = _pairs(relevant, classified, keys)
     # a key with very many copies becomes several rows of at most FAN_OUT copies
     slices = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / FAN_OUT))
     both = both.select(*keys, "_n", F.explode(slices).alias("_slice")).select(
         *keys, F.least(F.lit(FAN_OUT), F.col("_n") - F.col("_slice") * FAN_OUT).alias("_n")
     )
-    joined = join_unique(articles, both, keys)
+    joined = articles.join(materialize(both, "selected"), keys)
     # list out the copies; with one copy this is a plain row
     return joined.select(
         *articles.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")

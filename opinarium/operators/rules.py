@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import importlib.util
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from opinarium.functions import fixed_values as fixed
 from opinarium.operators.frames import items
-from opinarium.operators.joins import join_unique
+from opinarium.runtime import materialize
 
-# Terms, over all rules, up to which rules become plain conditions in the query.
-MAX_CONDITION_TERMS = 32
-# Terms up to which a search automaton is built in every task.
-MAX_AUTOMATON_TERMS = 500_000
-# Characters of all terms up to which the rules are brought to the driver at all.
-MAX_DICTIONARY_CHARS = 16 << 20
+# Characters a term is looked up by.
+GRAM = 4
+
+# The ways to match: a join on grams, for a dictionary of any size, or conditions in the query.
+GRAMS, CONDITIONS = "grams", "conditions"
 
 
 def compile_rules(sheet: DataFrame) -> DataFrame:
@@ -52,7 +48,11 @@ def _listed(rules: DataFrame) -> list[Row]:
 
 
 def hits_by_condition(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
-    """Add the list `hits` for a few rules: conditions compiled into the query."""
+    """Add the list `hits` by conditions compiled into the query.
+
+    For the handful of rules that a caller writes down: the rules come to the driver, and the
+    query grows with them. No join and no shuffle.
+    """
     column = F.col(text)
 
     def clause(terms: list[str]) -> Column:
@@ -67,59 +67,9 @@ def hits_by_condition(df: DataFrame, rules: DataFrame, text: str = "text") -> Da
     return df.withColumn("hits", F.array_compact(F.array(*names)))
 
 
-def hits_by_automaton(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
-    """Add the list `hits` for a dictionary of checked size, in one pass over each text.
-
-    No join and no shuffle; the cost per text hardly depends on the number of
-    rules.
-    """
-    listed = _listed(rules)
-    names = [r["name"] for r in listed]
-    # an empty term occurs in every text
-    clauses = [(i, frozenset(c) - {""}) for i, r in enumerate(listed) for c in r["clauses"]]
-
-    @F.pandas_udf("array<string>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        # each clause is looked at only when one chosen term of it is found
-        waiting = {}
-        always = {i for i, terms in clauses if not terms}
-        for i, terms in clauses:
-            for term in terms:
-                automaton.add_word(term, term)
-            if terms:
-                waiting.setdefault(max(terms, key=len), []).append((i, terms))
-        automaton.make_automaton()
-
-        def matching(value):
-            if value is None:
-                return []
-            found = {term for _, term in automaton.iter(value)} if waiting else set()
-            rules_hit = set(always)
-            for term in found:
-                rules_hit.update(i for i, terms in waiting.get(term, ()) if terms <= found)
-            return [names[i] for i in sorted(rules_hit)]
-
-        for batch in batches:
-            yield batch.map(matching)
-
-    # non-deterministic, so that a filter on the hits does not search the texts again
-    return df.withColumn("hits", find.asNondeterministic()(F.col(text)))
-
-
-def hits_by_join(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
-    """Add the list `hits` for a dictionary of any size.
-
-    Hits depend on the text alone, so distinct texts are matched and joined back.
-    A text is cut into all its distinct substrings that are as long as some term, and
-    those meet the terms in an equi-join: work grows with the texts and the number
-    of distinct term lengths, not with the number of rules. Adaptive execution splits
-    a hot term.
-    """
-    none = F.array().cast("array<string>")
-    terms = rules.select(
+def _terms(rules: DataFrame) -> DataFrame:
+    """One row per distinct term of a clause, with its gram."""
+    return rules.select(
         "rule_order", "name", F.posexplode("clauses").alias("clause", "terms")
     ).select(
         "rule_order",
@@ -127,59 +77,89 @@ def hits_by_join(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFra
         "clause",
         F.size(F.array_distinct("terms")).alias("n_terms"),
         F.explode(F.array_distinct("terms")).alias("term"),
-    )
-    lengths = [r[0] for r in terms.select(F.length("term")).distinct().collect()]
-    if not lengths:
-        return df.withColumn("hits", none)
+    ).withColumn("gram", F.substring("term", 1, GRAM))
+
+
+def _grams(text: Column, length: int) -> Column:
+    """All substrings of a length, in one linear pass: a look-ahead matches at every place."""
+    if length == 0:
+        return F.array(F.lit(""))
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
 
-    def pieces(length: int) -> Column:
-        if length == 0:
-            return F.array(F.lit(""))
-        # a look-ahead matches at every place and captures the next characters: one
-        # linear pass, where cutting by position walks the text from its start each time
-        return F.regexp_extract_all(
-            F.col(text), F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1)
-        )
 
-    found = F.array_distinct(F.concat(*[pieces(n) for n in sorted(lengths)]))
-    texts = df.select(text).where(F.col(text).isNotNull()).distinct()
+def hits_by_grams(
+    df: DataFrame, rules: DataFrame, text: str = "text", key: str | None = None
+) -> DataFrame:
+    """Add the list `hits` for a dictionary and texts of any size.
+
+    A term is looked up by its first characters, `GRAM` at most. Texts give their distinct
+    substrings of those lengths next to an id, and the two meet in an equi-join; the
+    terms met are then checked in the text, which is joined back once. Rows that are
+    shuffled or spread out hold ids, grams and terms, never a text. The id is `key`, a column
+    that identifies the text, or a 128-bit hash of it. An empty term occurs in every text; a
+    NULL text has no hits. The texts are written, as they are read twice.
+    """
+    none = F.array().cast("array<string>")
+    terms = materialize(_terms(rules), "terms")
+    lengths = [r[0] for r in terms.select(F.length("gram")).distinct().collect()]  # 0 to GRAM
+    if not lengths:
+        return df.withColumn("hits", none)
+    number = F.col(key) if key else F.unhex(F.md5(F.col(text).cast("binary")))
+    named = df.select(number.alias("_id"), F.col(text).alias("_text"))
+    texts = materialize(named.where("_text is not null").dropDuplicates(["_id"]), "texts")
+    grams = F.array_distinct(F.concat(*[_grams(F.col("_text"), n) for n in sorted(lengths)]))
+    met = (
+        items(texts, ["_id"], grams, "gram")
+        .join(terms.select("gram", "term").distinct(), "gram")
+        .groupBy("_id")
+        .agg(F.collect_set("term").alias("_met"))
+    )
+    held = F.filter("_met", lambda term: F.contains(F.col("_text"), term))
     matched = (
-        items(texts, [text], found, "term")
+        items(texts.join(met, "_id").select("_id", held.alias("_met")), ["_id"], F.col("_met"), "term")
         .join(terms, "term")
-        .groupBy(text, "rule_order", "name", "clause", "n_terms")
+        .groupBy("_id", "rule_order", "name", "clause", "n_terms")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") == F.col("n_terms"))
-        .groupBy(text)
+        .groupBy("_id")
         .agg(F.array_sort(F.collect_set(F.struct("rule_order", "name"))).alias("_rules"))
-        .select(text, F.transform("_rules", lambda r: r["name"]).alias("hits"))
+        .select("_id", F.transform("_rules", lambda r: r["name"]).alias("hits"))
     )
-    return join_unique(df, matched, [text], "left").withColumn("hits", F.coalesce("hits", none))
+    joined = df.withColumn("_id", number).join(matched, "_id", "left")
+    return joined.select(*df.columns, F.coalesce("hits", none).alias("hits"))
 
 
-def find_hits(df: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
+def find_hits(
+    df: DataFrame,
+    rules: DataFrame,
+    text: str = "text",
+    way: str = GRAMS,
+    key: str | None = None,
+) -> DataFrame:
     """Add `hits`: names of all matching rules, in rule order; case matters.
 
-    The way follows the checked size of the dictionary; results are the same.
+    The caller names the way; both give the same rows.
     """
-    every = F.flatten("clauses")
-    sized = rules.agg(F.sum(F.size(every)), F.sum(F.length(F.array_join(every, ""))))
-    terms, chars = (n or 0 for n in sized.first())
-    bounded = chars <= MAX_DICTIONARY_CHARS
-    if bounded and terms <= MAX_CONDITION_TERMS:
+    if way == CONDITIONS:
         return hits_by_condition(df, rules, text)
-    if bounded and terms <= MAX_AUTOMATON_TERMS and importlib.util.find_spec("ahocorasick"):
-        return hits_by_automaton(df, rules, text)
-    return hits_by_join(df, rules, text)
+    if way == GRAMS:
+        return hits_by_grams(df, rules, text, key)
+    raise ValueError(f"unknown way {way!r}")
 
 
 def match_rules(
-    df: DataFrame, rules: DataFrame, text: str = "text", keep_all: bool = True
+    df: DataFrame,
+    rules: DataFrame,
+    text: str = "text",
+    keep_all: bool = True,
+    way: str = GRAMS,
+    key: str | None = None,
 ) -> DataFrame:
     """Add `hits` as text, names separated by a comma; rows without a hit get "".
 
     `keep_all=False` drops rows without a hit and leaves `hits` a list.
     """
-    tagged = find_hits(df, rules, text)
+    tagged = find_hits(df, rules, text, way, key)
     if keep_all:
         return tagged.withColumn("hits", F.array_join("hits", ", "))
     return tagged.where(F.size("hits") > 0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 from opinarium.functions import fixed_values as fixed
 from opinarium.functions.text import clean_strict, split_sentences, whole_text_sentence
 from opinarium.operators.dedup import keep_first
-from opinarium.operators.frames import any_flag, drop_failures, flatten
-from opinarium.operators.joins import select_articles
-from opinarium.operators.rules import match_rules
+from opinarium.operators.frames import any_flag, counted, drop_failures, failure_counts, flatten
+from opinarium.operators.joins import select_articles, selected_copies
+from opinarium.operators.rules import GRAMS, match_rules
 from opinarium.operators.sampling import capped_sample
 from opinarium.operators.scoring import decode_label
 from opinarium.runtime import materialize
@@ -58,6 +59,14 @@ WHOLE_TEXTS = Variant(
 )
 
 
+def _day_filters(
+    correlation: DataFrame, classified: DataFrame, day: str, labels: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The day's relevant and classified rows."""
+    relevant = read_day(correlation, day).where(F.col("label").isin(list(labels)))
+    return relevant, read_day(classified, day).where(any_flag(CLASS_FLAGS))
+
+
 def articles_of_day(
     news: DataFrame,
     correlation: DataFrame,
@@ -67,25 +76,27 @@ def articles_of_day(
     semi: bool = False,
 ) -> DataFrame:
     """(news_uuid, news_content) of the day's relevant, classified articles."""
-    relevant = read_day(correlation, day).where(F.col("label").isin(list(labels)))
-    flagged = read_day(classified, day).where(any_flag(CLASS_FLAGS))
+    relevant, flagged = _day_filters(correlation, classified, day, labels)
     articles = read_day(news, day).select("news_uuid", "news_content")
     return select_articles(articles, relevant, flagged, semi=semi)
 
 
-def sentence_rows(articles: DataFrame, variant: Variant = FULL) -> DataFrame:
-    """(text, news_uuid, position): one row per sentence of the articles kept."""
+def article_lists(articles: DataFrame, variant: Variant = FULL) -> DataFrame:
+    """(news_uuid, text, sentences): the list of sentences of each article kept, and its size."""
     split = whole_text_sentence if variant.whole_texts else split_sentences
     found = articles.select(
         "news_uuid", split(F.col("news_content"), variant.min_sentence).alias("text")
-    )
-    if variant.dedup_articles:
-        # articles without sentences fall out behind the explode: a filter on the list here
-        # would be pushed down and split every article twice
-        found = keep_first(found, ["text"], ["news_uuid"])
-    rows = flatten(found, ["text"], position="position")
-    if variant.dedup_articles:
-        rows = rows.where(F.col("position").isNotNull())
+    ).withColumn("sentences", F.size("text"))
+    if not variant.dedup_articles:
+        return found
+    # the size rides along as a value: a filter on the list itself would be pushed below the
+    # aggregate and split every article twice
+    return keep_first(found, ["text"], ["news_uuid"]).where(F.col("sentences") > 0)
+
+
+def spread_lists(lists: DataFrame, variant: Variant = FULL) -> DataFrame:
+    """(text, news_uuid, position): one row per sentence."""
+    rows = flatten(lists.select("news_uuid", "text"), ["text"], position="position")
     if variant.min_text is not None:
         rows = rows.where(F.length("text") > variant.min_text)
     if variant.dedup_sentences:
@@ -94,37 +105,59 @@ def sentence_rows(articles: DataFrame, variant: Variant = FULL) -> DataFrame:
     return rows
 
 
-def opinion_rows(
+def sentence_rows(articles: DataFrame, variant: Variant = FULL) -> DataFrame:
+    """(text, news_uuid, position): one row per sentence of the articles kept."""
+    return spread_lists(article_lists(articles, variant), variant)
+
+
+def tagged_rows(
+    sentences: DataFrame, rules: DataFrame | None, variant: Variant = FULL, rule_way: str = GRAMS
+) -> DataFrame:
+    """Sentences with their rule hits, where the variant has rules."""
+    if variant.rules is None:
+        return sentences
+    return match_rules(sentences, rules, keep_all=variant.rules == "keep", way=rule_way)
+
+
+def labelled_rows(
     sentences: DataFrame,
-    day: str,
     scores: Callable[[Column], Column],
     property_names: Sequence[str],
     emotion_names: Sequence[str] = fixed.EMOTION_NAMES,
-    rules: DataFrame | None = None,
-    variant: Variant = FULL,
     clean: Callable[[Column], Column] = clean_strict,
     scoring_tasks: int | None = None,
 ) -> DataFrame:
-    """Scored, labelled rows in the layout of the opinion table.
+    """Rows with the names of their classes; NULL marks a failed prediction.
 
     `scores` maps the cleaned text to a struct with a property and an emotion
-    vector. Rows with a failed prediction go, or stay with an empty label
-    where the variant does not require it. `scoring_tasks` deals the sentences out evenly
-    over that many tasks first: worth a shuffle when the model is slow, as tasks
-    sized for text hold very many sentences. With a sample cap the scored stage is
-    written, as it is read twice and must not be scored twice.
+    vector. `scoring_tasks` deals the sentences out evenly over that many tasks first: worth a
+    shuffle when the model is slow, as tasks sized for text hold very many sentences.
     """
     if scoring_tasks is not None:
         sentences = sentences.repartition(scoring_tasks)
-    if variant.rules is not None:
-        sentences = match_rules(sentences, rules, keep_all=variant.rules == "keep")
     # a row without a text, from an article without sentences, is a failed prediction
     vectors = F.when(F.col("text").isNotNull(), scores(clean(F.col("text"))))
     scored = sentences.withColumn("_scores", vectors)
-    labelled = scored.withColumn(
-        "property", decode_label(F.col("_scores.property"), property_names)
-    ).withColumn("emotion", decode_label(F.col("_scores.emotion"), emotion_names))
-    rows = drop_failures(labelled.drop("_scores"), variant.required)
+    return (
+        scored.withColumn("property", decode_label(F.col("_scores.property"), property_names))
+        .withColumn("emotion", decode_label(F.col("_scores.emotion"), emotion_names))
+        .drop("_scores")
+    )
+
+
+def final_rows(
+    labelled: DataFrame,
+    day: str,
+    variant: Variant = FULL,
+    draw_order: Sequence[str | Column] | None = None,
+) -> DataFrame:
+    """Rows in the layout of the opinion table.
+
+    Rows with a failed prediction go, or stay with an empty label where the variant does not
+    require it. With a sample cap the labelled stage is written, as it is read twice and must
+    not be scored twice; `draw_order` replaces the seeded draw.
+    """
+    rows = drop_failures(labelled, variant.required)
     rows = rows.fillna("", subset=["property", "emotion"])
     if variant.total is not None:
         rows = capped_sample(
@@ -132,6 +165,7 @@ def opinion_rows(
             ["property", "emotion"],
             ["news_uuid", "position"],
             variant.total,
+            order=draw_order,
         )
     rows = rows.withColumn("datatime", F.lit(day))
     if variant.rules == "drop":
@@ -150,15 +184,60 @@ def daily_opinions(
     rules: DataFrame | None = None,
     variant: Variant = FULL,
     scoring_tasks: int | None = None,
+    rule_way: str = GRAMS,
+    draw_order: Sequence[str | Column] | None = None,
 ) -> DataFrame:
-    """From the day's warehouse tables to opinion rows."""
-    articles = articles_of_day(news, correlation, classified, day, labels, variant.semi)
-    return opinion_rows(
-        sentence_rows(articles, variant),
-        day,
-        scores,
-        property_names,
-        rules=rules,
-        variant=variant,
-        scoring_tasks=scoring_tasks,
-    )
+    """From the day's warehouse tables to opinion rows.
+
+    Where articles are de-duplicated anyway they are selected by a semi join, so the
+    copies that the filter tables would make are never made.
+    """
+    semi = variant.semi or variant.dedup_articles
+    articles = articles_of_day(news, correlation, classified, day, labels, semi)
+    tagged = tagged_rows(sentence_rows(articles, variant), rules, variant, rule_way)
+    labelled = labelled_rows(tagged, scores, property_names, scoring_tasks=scoring_tasks)
+    return final_rows(labelled, day, variant, draw_order)
+
+
+def daily_with_counts(
+    news: DataFrame,
+    correlation: DataFrame,
+    classified: DataFrame,
+    day: str,
+    labels: Sequence[str],
+    scores: Callable[[Column], Column],
+    property_names: Sequence[str],
+    rules: DataFrame | None = None,
+    variant: Variant = FULL,
+    scoring_tasks: int | None = None,
+    rule_way: str = GRAMS,
+    draw_order: Sequence[str | Column] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The opinion rows and a summary (stage, row_count) of the run.
+
+    Stages: rows of the query, with the copies that the filter tables make; articles kept;
+    sentences; rows behind the rules; failed predictions; final rows. Each stage is
+    written once and counted from what was written.
+    """
+    relevant, flagged = _day_filters(correlation, classified, day, labels)
+    keys = read_day(news, day).select("news_uuid")
+    semi = variant.semi or variant.dedup_articles
+    articles = articles_of_day(news, correlation, classified, day, labels, semi)
+    lists = materialize(article_lists(articles, variant), "articles")
+    sentences = materialize(spread_lists(lists, variant), "sentences")
+    tagged = materialize(tagged_rows(sentences, rules, variant, rule_way), "tagged")
+    labelled = labelled_rows(tagged, scores, property_names, scoring_tasks=scoring_tasks)
+    labelled = materialize(labelled, "labelled")
+    final = materialize(final_rows(labelled, day, variant, draw_order), "opinions")
+    failed = failure_counts(labelled, list(variant.required)).select(F.col("failed_rows").alias("row_count"))
+    query = selected_copies(keys, relevant, flagged)
+    counts = {
+        "query": query.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")),
+        "articles": counted(lists),
+        "sentences": counted(sentences),
+        "rules": counted(tagged),
+        "failed": failed,
+        "final": counted(final),
+    }
+    lines = [df.select(F.lit(stage).alias("stage"), "row_count") for stage, df in counts.items()]
+    return final, reduce(DataFrame.unionByName, lines)

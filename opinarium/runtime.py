@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 200_000
 SMALL_CHARS = 64 << 20
 
-# Size of a full input split, and the size from which dealing out a table pays.
-SPLIT_BYTES = 128 << 20
-SPREAD_FROM_BYTES = 1 << 20
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: `spark.checkpoint.dir`, else one below the warehouse."""
@@ -37,30 +33,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table, dealt out over the cores when it is small.
-
-    A table below one split per core may be a single row group, and then a single
-    task. Dealing it out moves a few split sizes at most; a larger table is
-    read as it lies, without a shuffle.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    limit = cores * SPLIT_BYTES
-    size = _table_bytes(spark, path)
-    return df.repartition(cores) if SPREAD_FROM_BYTES < size < limit else df
-
-
-_SIZES: dict[str, int] = {}
-
-
-def _table_bytes(spark: SparkSession, path: str) -> int:
-    if path not in _SIZES:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        _SIZES[path] = files.agg(F.sum("length")).first()[0] or 0
-    return _SIZES[path]
-
-
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_chars: int = SMALL_CHARS) -> bool:
     """Whether the frame keeps both bounds: rows, and characters over its text columns.
 

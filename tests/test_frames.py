@@ -29,6 +29,7 @@ def test_failures(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "b", "c")], "id int, p string, e string")
     assert tuple(frames.failure_counts(df, ["p", "e"]).first()) == (2, 1, 1)
     assert [r["id"] for r in frames.drop_failures(df, ["p", "e"]).collect()] == [2]
+    assert frames.counted(df).first()["row_count"] == 2
     counts = frames.stage_counts({"all": df, "ok": df.where("e is not null")})
     assert pairs(counts) == [("all", 2), ("ok", 1)]
 
@@ -62,9 +63,9 @@ def test_hot_article_key_is_split(spark):
     every = hot.select("news_uuid")
     confs = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
     }
     old = {k: spark.conf.get(k) for k in confs}
     try:
@@ -72,8 +73,9 @@ def test_hot_article_key_is_split(spark):
             spark.conf.set(k, x)
         for semi in (False, True):
             got = joins.select_articles(hot, every.distinct(), every.distinct(), semi=semi)
-            sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
-            assert sum(sizes) == 300_000 and max(sizes) < 80_000, sizes
+            sizes = got.rdd.mapPartitions(lambda rows: [sum(r["news_uuid"] == "hot" for r in rows)]).collect()
+            assert got.count() == 300_000
+            assert sum(sizes) == 100_000 and max(sizes) < 60_000, sizes
     finally:
         for k, x in old.items():
             spark.conf.set(k, x)
@@ -99,7 +101,10 @@ def test_best_words(spark):
 
 
 @pytest.mark.parametrize("limit", ["1000", "3"])
-def test_capped_sample(spark, limit):
+@pytest.mark.parametrize("parts", [(1024, 32), (4, 2)])
+def test_capped_sample(spark, monkeypatch, limit, parts):
+    monkeypatch.setattr(sampling, "PARTS", parts[0])
+    monkeypatch.setattr(sampling, "GROUPS", parts[1])
     draw = random.Random(1)
     rows = [(i, draw.choice("aab"), draw.choice("xyyyyy")) for i in range(600)]
     df = spark.createDataFrame(rows, "id int, p string, e string")
@@ -119,6 +124,12 @@ def test_capped_sample(spark, limit):
     assert set(got) <= set(rows)
 
 
+def test_more_strata_than_rows_to_share(spark):
+    df = spark.range(20).select("id", F.col("id").alias("p"))
+    with pytest.raises(ValueError, match="strata"):
+        sampling.capped_sample(df, ["p"], ["id"], total=10)
+
+
 def test_sample_of_nothing(spark):
     df = spark.createDataFrame([], "id int, p string")
     assert sampling.capped_sample(df, ["p"], ["id"]).count() == 0
@@ -144,6 +155,11 @@ def test_shared_dir_comes_from_the_session(spark, monkeypatch):
     assert runtime.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert runtime.new_folder(spark, "x") != runtime.new_folder(spark, "x")
 
+    class Unset:
+        conf = {"spark.sql.warehouse.dir": "file:/w/"}
+
+    assert runtime.shared_dir(Unset) == "file:/w/stages"
+
 
 def test_is_small(spark):
     assert runtime.is_small(spark.range(10), 10)

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from opinarium.functions import fixed_values as fixed
 from opinarium.operators import rules as rl
@@ -42,7 +41,7 @@ def test_compile(spark):
     ]
 
 
-WAYS = [rl.hits_by_condition, rl.hits_by_automaton, rl.hits_by_join]
+WAYS = [rl.hits_by_condition, rl.hits_by_grams]
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -76,24 +75,39 @@ def test_keep_and_drop(spark):
     assert [(r["id"], r["hits"]) for r in dropped] == [(1, ["comfort", "power"])]
 
 
-def test_the_way_follows_the_dictionary(spark, monkeypatch):
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_caller_names_the_way(spark):
     df = spark.createDataFrame([(1, "with the")], "id int, text string")
     compiled = rl.compile_rules(sheet_frame(spark, SHEET))
-    plans = []
-    for limits in ((100, 100), (0, 100), (0, 0)):
-        monkeypatch.setattr(rl, "MAX_CONDITION_TERMS", limits[0])
-        monkeypatch.setattr(rl, "MAX_AUTOMATON_TERMS", limits[1])
-        out = rl.find_hits(df, compiled)
-        assert out.first()["hits"] == ["comfort", "dup"]
-        plans.append(out._jdf.queryExecution().executedPlan().toString())
-    assert "ArrowEvalPython" not in plans[0] and "Join" not in plans[0]
-    assert "ArrowEvalPython" in plans[1] and "Exchange" not in plans[1]
-    assert "ArrowEvalPython" not in plans[2] and "Join" in plans[2]
-    assert all("Cartesian" not in p and "NestedLoop" not in p for p in plans)
-
-
-def test_a_filter_on_hits_searches_once(spark):
-    df = spark.createDataFrame([(1, "with the")], "id int, text string")
+    found = [rl.find_hits(df, compiled, way=way) for way in (rl.CONDITIONS, rl.GRAMS)]
+    assert all(out.first()["hits"] == ["comfort", "dup"] for out in found)
+    conditions, grams = map(plan_of, found)
+    assert "Join" not in conditions and "Join" in grams
+    assert all("Cartesian" not in p and "NestedLoop" not in p and "Python" not in p for p in (conditions, grams))
+    with pytest.raises(ValueError):
+        rl.find_hits(df, compiled, way="other")
+
+
+def test_no_spread_out_row_holds_a_text(spark):
+    """Texts meet their candidates once, by id; what is exploded is ids, grams and terms."""
+    df = spark.createDataFrame([(1, "with the"), (2, "que")], "id int, text string")
+    compiled = rl.compile_rules(sheet_frame(spark, SHEET))
+    plan = rl.hits_by_grams(df, compiled, key="id")._jdf.queryExecution().optimizedPlan().toString()
+    spread = [line for line in plan.splitlines() if "Generate" in line]
+    assert len(spread) >= 2
+    below = [line.split("Generate")[1] for line in spread]
+    assert all("_text" not in line.split("],")[-1] for line in below)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert sum("gram" in line for line in joins) == 1
+
+
+def test_the_key_names_the_text(spark):
+    texts = [(i, t) for i, t in enumerate(["the with", "with the", None, "", "que"] * 20)]
+    df = spark.createDataFrame(texts, "id int, text string")
     compiled = rl.compile_rules(sheet_frame(spark, SHEET))
-    out = rl.hits_by_automaton(df, compiled).where(F.size("hits") > 0)
-    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    one = {r["id"]: r["hits"] for r in rl.hits_by_grams(df, compiled).collect()}
+    two = {r["id"]: r["hits"] for r in rl.hits_by_grams(df, compiled, key="id").collect()}
+    assert one == two and one[0] == ["comfort", "dup"] and one[2] == []
