@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.catalog import views as v
-from opinarium.catalog.portable import linear_model
 from opinarium.catalog.registry import Tables, query
 from opinarium.functions import fixed_values as fixed
-from opinarium.functions.labels import argmax, parse_multi_hot, threshold
-from opinarium.functions.text import clean_basic, clean_strict, words
+from opinarium.functions.labels import argmax, parse_multi_hot
+from opinarium.functions.losses import cross_entropy
+from opinarium.functions.text import clean_basic, words
 from opinarium.operators import encode as enc
 from opinarium.operators import evaluate, explain, features, frames, scoring, training
-from opinarium.plans import daily, modelling
-from opinarium.runtime import materialize
+from opinarium.operators.rules import CONDITIONS, compile_rules
+from opinarium.plans import daily
+from opinarium.runtime import materialize, new_folder
 
 # --- vocabulary and encoding
 
@@ -178,14 +181,11 @@ def enc_word_list(t: Tables) -> DataFrame:
 
 
 def _counted(t: Tables, binary: bool) -> DataFrame:
-    """Vectors fitted on the rated documents and applied to all, as rows."""
+    """Words learned from the rated documents, counted in all."""
     bags = t.documents.select("doc_id", features.word_bag(F.col("text")).alias("tokens"))
     rated = bags.join(t.labels.select("doc_id"), "doc_id", "left_semi")
-    model = features.fit_word_counts(rated, "tokens", "features", binary)
-    listed = t.spark.createDataFrame(
-        list(enumerate(model.vocabulary)), "position int, word string"
-    )
-    cells = features.vector_entries(model.transform(bags), "doc_id", "features", listed)
+    known = features.vocabulary(rated, "tokens")
+    cells = features.word_counts(bags, "doc_id", "tokens", known, binary)
     return cells.select("doc_id", "word", F.col("value").alias("n"))
 
 
@@ -207,22 +207,93 @@ def fea_presence(t: Tables) -> DataFrame:
     return _counted(t, binary=True)
 
 
+def _bags(t: Tables) -> DataFrame:
+    """The rated documents and their words."""
+    return v.training_rows(t).withColumn("tokens", features.word_bag(F.col("text"))).drop("text")
+
+
 def _hashed(t: Tables, size: int = 1 << 10) -> DataFrame:
-    rows = modelling.with_tokens(v.training_rows(t))
-    hashed = HashingTF(inputCol="tokens", outputCol="features", numFeatures=size).transform(rows)
+    hashed = features.hashed_counts("tokens", "features", size).transform(_bags(t))
     # training passes over the features many times: cut texts into words once
-    return materialize(hashed.drop("text", "tokens"), "features")
+    return materialize(hashed.drop("tokens"), "features")
+
 
+# Multinomial naive Bayes in closed form, one smoothing count per word; `raw` is the log joint
+# probability of a document and a class. Two more features stand behind the words where
+# `shares` says so, both 0.5 in every row.
 
-@query(f"with {v.TRAINING_SQL} select doc_id, cast(1024 + 2 as integer) as width from training_rows")
+
+def _bayes_sql(learned: str = "true", shares: bool = False) -> str:
+    more, extra = ("c.docs", "2") if shares else ("0", "0")
+    share = (
+        "+ ln(0.5 * c.docs + 1) - ln(t.total + c.docs + w.width + 2)" if shares else ""
+    )
+    return f"""{v.TRAINING_SQL},
+bags as (
+  select doc_id, label, {learned} as learned, unnest({v.words_sql('lower(text)')}) as word
+  from training_rows),
+classes as (
+  select label, count(*) as docs from training_rows where {learned} group by label),
+totals as (select label, count(*) as total from bags where learned group by label),
+width as (select count(distinct word) as width from bags where learned),
+known as (select distinct word from bags where learned),
+per_class as (select label, word, count(*) as n from bags where learned group by label, word),
+counts as (
+  select b.doc_id, b.word, count(*) as n from bags b join known k on b.word = k.word
+  group by b.doc_id, b.word),
+cells as (
+  select n.doc_id, c.label as class,
+         sum(n.n * (ln(coalesce(p.n, 0) + 1) - ln(t.total + {more} + w.width + {extra}))) as s
+  from counts n cross join classes c cross join width w
+  join totals t on t.label = c.label
+  left join per_class p on p.label = c.label and p.word = n.word
+  group by n.doc_id, c.label),
+raw as (
+  select r.doc_id, r.label, r.quality, c.label as class,
+         ln(c.docs + 1) - ln((select sum(docs) from classes) + (select count(*) from classes))
+         + coalesce(s.s, 0) {share} as raw
+  from training_rows r cross join classes c cross join width w
+  join totals t on t.label = c.label
+  left join cells s on s.doc_id = r.doc_id and s.class = c.label),
+judged as (
+  select doc_id, any_value(label) as label,
+         max(raw) filter (where class = 1) - max(raw) filter (where class = 0) as margin
+  from raw group by doc_id)"""
+
+
+ALL_WORDS = 1 << 22  # more than any of the given tables holds
+
+
+def _bayes(t: Tables) -> DataFrame:
+    """The rated documents under a naive Bayes model of themselves."""
+    rows = materialize(_bags(t), "bags")
+    model = training.text_classifier(ALL_WORDS, kind=training.BAYES).fit(rows)
+    scored = model.transform(rows).withColumn("raw", training.vector_to_array("rawPrediction"))
+    return materialize(scored.select("doc_id", "label", "features", "probability", "prediction", "raw"), "bayes")
+
+
+@query(
+    f"""with {_bayes_sql()},
+    sized as (select doc_id, count(*) as words from bags group by doc_id)
+    select r.doc_id, coalesce(z.words, 0)::double as words,
+           round(1 / (1 + exp(-j.margin)), 6) as second, round(1 / (1 + exp(j.margin)), 6) as first
+    from training_rows r left join sized z on z.doc_id = r.doc_id join judged j on j.doc_id = r.doc_id"""
+)
 def fea_append_probabilities(t: Tables) -> DataFrame:
-    """Feature vectors with a second model's probabilities behind them."""
-    rows = _hashed(t)
-    model = training.LogisticRegression(maxIter=5).fit(rows)
+    """Count vectors with a second model's probabilities behind them: both parts, by row."""
+    rows = _bayes(t)
     wide = features.with_probabilities(
-        rows, model.transform(rows).select("doc_id", "probability"), "doc_id", "features", "both"
+        rows.select("doc_id", "features"), rows, "doc_id", "features", "both"
+    )
+    both = wide.select("doc_id", training.vector_to_array("both").alias("both"))
+    size = F.size("both")
+    counts = F.slice("both", F.lit(1), size - 2)
+    return both.select(
+        "doc_id",
+        F.aggregate(counts, F.lit(0.0), lambda a, b: a + b).alias("words"),
+        F.round(F.element_at("both", size - 1), 6).alias("first"),
+        F.round(F.element_at("both", size), 6).alias("second"),
     )
-    return wide.select("doc_id", F.size(training.vector_to_array("both")).alias("width"))
 
 
 @query(
@@ -265,13 +336,11 @@ def sco_one_model(t: Tables) -> DataFrame:
 
 @query(f"with {SCORED_SQL} select vec_id, {v.argmax_sql('property')} as pred from scored")
 def sco_portable_model(t: Tables) -> DataFrame:
-    """The same linear scorer as a portable model, opened on the workers."""
-    by_input = [list(column) for column in zip(*PROPERTY_WEIGHTS)]
-    model = scoring.portable_model(linear_model(by_input))
-    score = scoring.batch_scorer(model, input_shape=[64])
-    return t.embeddings.select("vec_id", score("embedding").alias("s")).select(
-        "vec_id", argmax(F.col("s")).alias("pred")
-    )
+    """The same linear scorer, saved as a table and loaded again; scores in the JVM."""
+    path = new_folder(t.spark, "linear-model")
+    scoring.save_linear(t.spark, PROPERTY_WEIGHTS, path)
+    score = scoring.load_linear(t.spark, path)
+    return t.embeddings.select("vec_id", argmax(score(F.col("embedding"))).alias("pred"))
 
 
 TWO_HEADS_SQL = f"""with {SCORED_SQL}
@@ -311,19 +380,31 @@ def sco_two_models(t: Tables) -> DataFrame:
     )
 
 
-# --- the daily job, with a scorer that counts cue strings
+# --- the daily job, with a scorer that any text can be checked against by hand
 
-PROPERTY_CUES = ["the", "en", "st", "er", "ou", "qu", "in", "th"]
+# All names of the label map and the catch-all class; the class behind them has no name and fails.
+PROPERTY_LABELS = [*fixed.PROPERTY_NAMES, fixed.CATCH_ALL_PROPERTY]
+PROPERTY_CLASSES = len(PROPERTY_LABELS) + 1
 EMOTION_CUES = ["an", "e", "io"]
-PROPERTY_LABELS = fixed.PROPERTY_NAMES[: len(PROPERTY_CUES) - 1]
 
 
-def cue_scorer():
-    """Property and emotion vectors; the last property class has no name and fails."""
-    model = scoring.two_heads(
-        scoring.cue_factory(PROPERTY_CUES), scoring.cue_factory(EMOTION_CUES), ["property", "emotion"]
+def cue_scorer(text: Column) -> Column:
+    """Property: the class whose number is the length of the text, modulo the classes.
+
+    Emotion: how often each cue occurs.
+    """
+    place = F.length(text) % PROPERTY_CLASSES
+    property_scores = F.transform(
+        F.sequence(F.lit(0), F.lit(PROPERTY_CLASSES - 1)),
+        lambda k: F.when(k == place, 1.0).otherwise(0.0),
+    )
+    emotion_scores = F.array(
+        *[
+            (F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))) / float(len(c))
+            for c in EMOTION_CUES
+        ]
     )
-    return scoring.two_head_scorer(model, ["property", "emotion"])
+    return F.struct(property_scores.alias("property"), emotion_scores.alias("emotion"))
 
 
 def _cue_sql(text: str, cues: list[str]) -> str:
@@ -337,17 +418,26 @@ def _names_sql(names: list[str]) -> str:
     return "[" + ", ".join(f"'{n}'" for n in names) + "]"
 
 
-def _daily(t: Tables, variant: daily.Variant, rules: DataFrame | None = None) -> DataFrame:
-    return daily.daily_opinions(
+def _day(t: Tables) -> tuple:
+    return (
         v.news_info(t),
         v.algo_correlation(t),
         v.algo_classified(t),
         v.DAY,
         v.LABELS,
-        cue_scorer(),
+        cue_scorer,
         PROPERTY_LABELS,
-        rules,
-        variant,
+    )
+
+
+def _rules(t: Tables) -> DataFrame:
+    return compile_rules(v.fixed_sheet(t))
+
+
+def _daily(t: Tables, variant: daily.Variant, rules: DataFrame | None = None) -> DataFrame:
+    order = [F.col("news_uuid"), F.col("position")]
+    return daily.daily_opinions(
+        *_day(t), rules, variant, rule_way=CONDITIONS, draw_order=order
     )
 
 
@@ -358,11 +448,11 @@ def _daily_sql(sentences: str, rules: bool, required: str = "property is not nul
     return f"""with {v.ARTICLES_SQL}, {fixed_rules} {sentences}, {hits},
     clean as (select *, {v.strict_sql('text')} as c from sentence_rows),
     scored as (
-      select c.*, coalesce(h.hits, '') as hits, {_cue_sql('c.c', PROPERTY_CUES)} as p,
+      select c.*, coalesce(h.hits, '') as hits, cast(length(c.c) % {PROPERTY_CLASSES} as integer) as p,
              {_cue_sql('c.c', EMOTION_CUES)} as e
       from clean c left join hits h on c.row_id = h.row_id),
     labelled as (
-      select text, news_uuid, row_id, hits, {_names_sql(PROPERTY_LABELS)}[p + 1] as property,
+      select text, news_uuid, row_id, position, hits, {_names_sql(PROPERTY_LABELS)}[p + 1] as property,
              {_names_sql(fixed.EMOTION_NAMES)}[e + 1] as emotion, '{v.DAY}' as datatime
       from scored),
     opinions as (
@@ -387,9 +477,25 @@ def _article_sentences_sql(min_len: int | None) -> str:
 )
 def daily_full(t: Tables) -> DataFrame:
     """Articles of the day to scored, tagged sentences."""
-    from opinarium.operators.rules import compile_rules
+    return _daily(t, daily.FULL, _rules(t))
 
-    return _daily(t, daily.FULL, compile_rules(v.fixed_sheet(t)))
+
+@query(
+    _daily_sql(
+        _article_sentences_sql(10)
+        + ", sentence_rows as (select *, news_uuid || ':' || position as row_id from long_rows)",
+        rules=True,
+    )
+    + """ select 'query' as stage, count(*) as row_count from selected
+    union all select 'articles', count(*) from kept
+    union all select 'sentences', count(*) from long_rows
+    union all select 'rules', count(*) from sentence_rows
+    union all select 'failed', count(*) from labelled where property is null or emotion is null
+    union all select 'final', count(*) from opinions"""
+)
+def agg_stage_counts(t: Tables) -> DataFrame:
+    """The run summary of the daily job."""
+    return daily.daily_with_counts(*_day(t), _rules(t), rule_way=CONDITIONS)[1]
 
 
 def _distinct_rows_sql(min_len: int | None) -> str:
@@ -402,147 +508,216 @@ def _distinct_rows_sql(min_len: int | None) -> str:
     )
 
 
-CAP = "(select 30000 // count(*) from (select distinct property, emotion from opinions))"
+def _capped_sql(total: int) -> str:
+    """CTE `drawn`: the rows of each stratum that come first, up to the cap."""
+    return f""",
+    strata as (select distinct property, emotion from opinions),
+    drawn as (
+      select * from (
+        select *, row_number() over (partition by property, emotion order by news_uuid, position) as n
+        from opinions)
+      where n <= (select {total} // count(*) from strata))"""
+
+
+# Small enough that the cap binds at every size of the tables.
+DRAWN = 1_000
 
 
 @query(
     _daily_sql(_distinct_rows_sql(10), rules=False, required="emotion is not null")
-    + f""" select property, emotion, least(count(*), max({CAP})) as row_count
-    from opinions group by property, emotion"""
+    + _capped_sql(DRAWN)
+    + " select text, news_uuid, property, emotion, datatime from drawn"
 )
 def daily_two_heads(t: Tables) -> DataFrame:
-    """Distinct sentences with a capped sample; compared by rows per stratum."""
-    rows = _daily(t, daily.TWO_HEADS)
-    return rows.groupBy("property", "emotion").agg(F.count("*").alias("row_count"))
+    """Distinct sentences with a capped sample, the first rows of each stratum."""
+    return _daily(t, replace(daily.TWO_HEADS, total=DRAWN))
 
 
 @query(
-    _daily_sql(_distinct_rows_sql(None), rules=True, required="emotion is not null")
+    _daily_sql(_distinct_rows_sql(None), rules=True, required="emotion is not null").replace(
+        "opinions as (", "every as ("
+    )
+    + ", opinions as (select * from every where hits <> '')"
+    + _capped_sql(DRAWN)
     + """ select text, news_uuid, property, emotion, unnest(string_split(hits, ', ')) as hits, datatime
-    from opinions where hits <> ''"""
+    from drawn"""
 )
 def daily_hits_only(t: Tables) -> DataFrame:
-    """Distinct sentences of any length, one row per rule hit."""
-    from dataclasses import replace
-
-    from opinarium.operators.rules import compile_rules
-
-    # the whole result, so that rows and not only counts can be compared
-    variant = replace(daily.HITS_ONLY, total=None)
-    return _daily(t, variant, compile_rules(v.fixed_sheet(t)))
+    """Distinct sentences of any length with a rule hit, a capped sample, one row per hit."""
+    return _daily(t, replace(daily.HITS_ONLY, total=DRAWN), _rules(t))
 
 
 @query(
     _daily_sql(
         f"""lists as (select news_uuid, {v.whole_text_sql('news_content')} as s,
                       row_number() over () as copy from selected),
-    sentence_rows as (select news_uuid, unnest(s) as text, copy as row_id from lists)""",
+    sentence_rows as (
+      select news_uuid, unnest(s) as text, 0 as position, copy as row_id from lists)""",
         rules=False,
     )
-    + " select text, news_uuid, property, emotion, datatime from opinions"
+    + _capped_sql(DRAWN)
+    + " select text, news_uuid, property, emotion, datatime from drawn"
 )
 def daily_whole_texts(t: Tables) -> DataFrame:
-    """Each article one text, copies kept."""
-    from dataclasses import replace
-
-    return _daily(t, replace(daily.WHOLE_TEXTS, total=None))
+    """Each article one text, copies kept, a capped sample."""
+    return _daily(t, replace(daily.WHOLE_TEXTS, total=DRAWN))
 
 
 # --- training
 
 
-def _rated_tokens(t: Tables) -> DataFrame:
-    return modelling.with_tokens(v.training_rows(t))
+# Settings under which logistic regression ends at its optimum: there the mean probability of a
+# class, the intercept being free, is the share of its rows.
+CONVERGED = {"maxIter": 1000, "tol": 1e-9, "regParam": 0.1}
+
+
+def _mean_probability(scored: DataFrame, probability: str = "probability") -> Column:
+    return F.round(F.avg(F.get(training.vector_to_array(probability), F.lit(1))), 4)
 
 
-@query()
+@query(
+    f"""with {v.TRAINING_SQL}
+    select count(*) as row_count, round(avg(quality), 4) as mean_probability from training_rows"""
+)
 def ml_classifier(t: Tables) -> DataFrame:
-    """A classifier of the quality flag, and its report on the same rows."""
-    model = modelling.train(v.training_rows(t), maxIter=10, regParam=0.1)
-    return modelling.evaluate_model(model, v.training_rows(t), "doc_id")["report"]
+    """A linear classifier of the quality flag, at its optimum."""
+    rows = materialize(_bags(t), "bags")
+    scored = training.text_classifier(1 << 12, **CONVERGED).fit(rows).transform(rows)
+    return scored.agg(
+        F.count("*").alias("row_count"), _mean_probability(scored).alias("mean_probability")
+    )
 
 
-@query()
-def ml_history(t: Tables) -> DataFrame:
-    """Training loss per iteration."""
-    model = modelling.train(v.training_rows(t), maxIter=10, regParam=0.1)
-    return training.objective_history(
-        t.spark, model.stages[-1].summary.objectiveHistory, "quality"
+@query(
+    f"""with {_bayes_sql()}
+    select doc_id, round(margin, 3) as margin, cast(margin > 0 as integer) as pred from judged"""
+)
+def ml_bayes(t: Tables) -> DataFrame:
+    """A naive Bayes classifier of the quality flag: log odds and prediction of each document."""
+    margin = F.col("raw")[1] - F.col("raw")[0]
+    return _bayes(t).select(
+        "doc_id", F.round(margin, 3).alias("margin"), F.col("prediction").cast("int").alias("pred")
     )
 
 
-@query()
+@query(
+    f"""with {_bayes_sql()}
+    select 'quality' as run, 1 as epoch, 'train_loss' as metric,
+           round(avg(greatest(m, 0) + ln(1 + exp(-abs(m)))), 4) as value
+    from (select case when label = 1 then -margin else margin end as m from judged)"""
+)
+def ml_history(t: Tables) -> DataFrame:
+    """The loss of a fitted model, from its written scores, as a row of its history."""
+    loss = cross_entropy(F.col("raw"), F.col("label"))
+    last = evaluate.mean_loss(_bayes(t), loss, "train_loss")
+    rounded = last.withColumn("train_loss", F.round("train_loss", 4))
+    return evaluate.history_rows(rounded, F.lit("quality"), F.lit(1), ["train_loss"])
+
+
+@query(
+    f"""with {v.TRAINING_SQL}
+    select 0 as position, round(avg(quality), 4) as mean_score from training_rows
+    union all select 1, round(avg(toxic), 4) from training_rows"""
+)
 def ml_multi_label(t: Tables) -> DataFrame:
-    """One model per position of a two-place label; report per position."""
+    """One model per position of a two-place label, at their optima."""
     text = F.concat(F.lit("["), F.col("quality"), F.lit(","), F.col("toxic"), F.lit("]"))
     rows = _hashed(t).withColumn("y", parse_multi_hot(text))
-    models = training.fit_multi_label(rows, "y", 2, maxIter=10, regParam=0.1)
-    scored = training.score_multi_label(rows, models).withColumn(
-        "p", threshold(F.col("scores"))
-    )
-    return evaluate.multi_label_report(scored, "y", "p")
+    models = training.fit_multi_label(rows, "y", 2, **CONVERGED)
+    scored = training.score_multi_label(rows, models)
+    cells = scored.select(F.posexplode("scores").alias("position", "score"))
+    return cells.groupBy("position").agg(F.round(F.avg("score"), 4).alias("mean_score"))
 
 
-@query()
+@query(
+    f"""with {v.TRAINING_SQL}
+    select round(avg(quality), 4) as quality_mean, round(avg(toxic), 4) as toxic_mean
+    from training_rows"""
+)
 def ml_two_targets(t: Tables) -> DataFrame:
-    """Two classifiers on one feature column; accuracy of each."""
+    """Two classifiers on one feature column, at their optima."""
     rows = _hashed(t)
-    models = training.fit_two_targets(rows, ["quality", "toxic"], maxIter=10, regParam=0.1)
+    models = training.fit_two_targets(rows, ["quality", "toxic"], **CONVERGED)
     scored = training.score_two_targets(rows, models)
-    hit = {c: F.avg((F.col(c) == F.col(f"{c}_pred")).cast("int")) for c in ("quality", "toxic")}
-    return scored.agg(*[F.round(h, 4).alias(f"{c}_accuracy") for c, h in hit.items()])
+    return scored.agg(
+        *[F.round(F.avg(F.col(f"{c}_scores")[1]), 4).alias(f"{c}_mean") for c in ("quality", "toxic")]
+    )
 
 
-@query()
+@query(
+    f"""with {v.TRAINING_SQL},
+    rows_ as (
+      select doc_id, label, contains(text, '!!') as marked,
+             case when toxic = 1 then 10 else 1 end as weight
+      from training_rows),
+    leaves as (
+      select marked, cast(sum(weight * (2 * label - 1)) > 0 as integer) as pred
+      from rows_ group by marked),
+    judged as (
+      select r.doc_id, cast(r.label as integer) as label, l.pred
+      from rows_ r join leaves l on r.marked = l.marked)
+    select doc_id, label, pred from judged"""
+)
 def ml_boosted_student(t: Tables) -> DataFrame:
-    """Boosted trees on weighted rows; confusion matrix on the same rows."""
-    rows = _hashed(t, 1 << 6).withColumn("weight", F.when(F.col("toxic") == 1, 10.0).otherwise(1.0))
-    model = training.boosted_student(2, weight="weight", maxIter=5, maxDepth=3, seed=24).fit(rows)
-    scored = model.transform(rows).withColumn("pred", F.col("prediction").cast("int"))
-    return evaluate.confusion_matrix(scored)
+    """One boosted tree of one split on one presence feature: the weighted majority of its leaf."""
+    marked = F.contains("text", F.lit("!!")).cast("double")
+    rows = v.training_rows(t).select(
+        "doc_id",
+        F.col("label").cast("int").alias("label"),
+        array_to_vector(F.array(marked)).alias("features"),
+        F.when(F.col("toxic") == 1, 10.0).otherwise(1.0).alias("weight"),
+    )
+    rows = materialize(rows, "student")
+    model = training.boosted_student(2, weight="weight", maxIter=1, maxDepth=1, seed=24).fit(rows)
+    return model.transform(rows).select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
 
 
-@query()
+@query(
+    f"""with {_bayes_sql('doc_id % 4 <> 0', shares=True)}
+    select doc_id, doc_id % 4 = 0 as held_out, cast(margin > 0 as integer) as teacher_pred,
+           case when cast(margin > 0 as integer) = label then 1.0::double else 10.0::double end as weight
+    from judged"""
+)
 def ml_co_training(t: Tables) -> DataFrame:
-    """Two models that teach each other for two rounds; accuracies per round."""
-    rows = _rated_tokens(t).select("doc_id", "label", "tokens")
-    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
-    return training.co_train(
+    """Two models that teach each other: the first round's verdicts and weights, by row."""
+    rows = materialize(_bags(t).select("doc_id", "label", "tokens"), "bags")
+    held = F.col("doc_id") % 4 == 0
+    counter = features.fit_word_counts(rows.where(~held), "tokens", "counts", ALL_WORDS)
+    _, rounds = training.co_train(
         rows.where(~held),
         rows.where(held),
         "doc_id",
         2,
-        rounds=2,
-        vocabulary=256,
-        tree_settings={"maxIter": 5, "maxDepth": 3, "seed": 24},
-        maxIter=5,
-        regParam=0.1,
+        counter,
+        rounds=1,
+        kind=training.BAYES,
+        tree_settings={"maxIter": 1, "maxDepth": 1, "seed": 24},
+    )
+    return rounds[0].select(
+        "doc_id", "held_out", F.col("teacher_pred").cast("int").alias("teacher_pred"), "weight"
     )
 
 
-@query()
+@query(
+    f"""with {v.TRAINING_SQL}
+    select count(*) as row_count, round(avg(quality), 4) as mean_probability from training_rows"""
+)
 def ml_distilled(t: Tables) -> DataFrame:
-    """A student trained on a teacher's scores; how often both agree."""
+    """A student of a teacher's scores and the truth.
+
+    Both at their optima: the student's mean probability is that of its weighted rows, and so, at
+    temperature one, the share of the class.
+    """
     rows = _hashed(t)
-    teacher = training.LogisticRegression(maxIter=10, regParam=0.01).fit(rows)
-    scored = materialize(
-        teacher.transform(rows).select(
-            "doc_id",
-            "label",
-            "features",
-            F.col("prediction").alias("teacher_pred"),
-            training.vector_to_array("rawPrediction").alias("teacher"),
-        ),
-        "taught",
-    )
-    student = training.distil(
-        scored, "label", "teacher", 2, alpha=0.7, temperature=2.0, maxIter=10, regParam=0.1
-    )
+    teacher = training.classifier(**CONVERGED).fit(rows)
+    # logarithms of probabilities: a binary model's raw scores are two margins of opposite sign
+    logs = F.transform(training.vector_to_array("probability"), lambda p: F.ln(p))
+    scored = teacher.transform(rows).select("doc_id", "label", "features", logs.alias("teacher"))
+    scored = materialize(scored, "taught")
+    student = training.distil(scored, "label", "teacher", 2, alpha=0.7, temperature=1.0, **CONVERGED)
     judged = student.transform(scored)
     return judged.agg(
-        F.count("*").alias("row_count"),
-        F.round(F.avg((F.col("prediction") == F.col("teacher_pred")).cast("int")), 4).alias("agreement"),
-        F.round(F.avg((F.col("prediction") == F.col("label")).cast("int")), 4).alias("accuracy"),
+        F.count("*").alias("row_count"), _mean_probability(judged).alias("mean_probability")
     )
 
 
@@ -621,17 +796,41 @@ def exp_best_words(t: Tables) -> DataFrame:
     return explain.best_word_rows(_listed(t))
 
 
-@query()
+# Word lists per class of a scorer that is linear in the presence of words: a word counts its
+# length, under class 1 negative.
+@query(
+    f"""with w as (
+      select item_id, unnest(list_distinct({v.words_sql('text')})) as word from benchmark),
+    weights as (
+      select item_id, word, case when item_id % 2 = 1 then -length(word) else length(word) end as weight
+      from w),
+    ranked as (
+      select *, row_number() over (partition by item_id order by abs(weight) desc, word) as n
+      from weights)
+    select item_id, cast(sum(weight) as double) as weight, count(*) as words
+    from ranked where n <= 6 group by item_id"""
+)
 def exp_local_weights(t: Tables) -> DataFrame:
-    """Words that drive a black-box scorer, from a local fit on perturbed texts."""
-    score = scoring.batch_scorer(scoring.cue_factory(EMOTION_CUES))
+    """Words that drive a black-box scorer for the row's own class, from a local fit.
+
+    The scorer adds up a known weight per word present, so with hardly any penalty the
+    fit must find those weights; words of one weight are told apart by their sum only.
+    """
+
+    def score(text: Column) -> Column:
+        lengths = F.transform(F.array_distinct(F.split(text, " ")), lambda w: F.length(w).cast("double"))
+        total = F.aggregate(lengths, F.lit(0.0), lambda a, b: a + b)
+        return F.array(total, -total)
+
     weights = explain.local_weights(
-        t.benchmark,
+        t.benchmark.withColumn("class", (F.col("item_id") % 2).cast("int")),
         "item_id",
         words(F.col("text")),
-        lambda text: score(clean_strict(text))[0],
-        samples=100,
+        score,
+        samples=300,
+        target="class",
+        ridge=1e-9,
     )
-    return weights.select("item_id", F.explode("words").alias("w")).select(
-        "item_id", "w.word", F.round("w.weight", 6).alias("weight")
+    return weights.select("item_id", F.explode("words").alias("w")).groupBy("item_id").agg(
+        F.round(F.sum("w.weight"), 2).alias("weight"), F.count("*").alias("words")
     )

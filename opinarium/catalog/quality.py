@@ -19,17 +19,19 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 @query(
-    f"""with {v.PREDICTIONS_SQL}
+    f"""with {v.FAILING_SQL}
     select round(avg(case when pred = label then 1.0 else 0.0 end), 6) as accuracy
     from predictions"""
 )
 def eval_accuracy(t: Tables) -> DataFrame:
-    return _rounded(evaluate.accuracy(v.predictions(t)))
+    return _rounded(evaluate.accuracy(v.failing_predictions(t)))
 
 
 def _report_sql(label: str, pred: str) -> str:
     return f"""
-classes as (select {label} as class from predictions union select {pred} from predictions),
+classes as (
+  select {label} as class from predictions
+  union select {pred} from predictions where {pred} is not null),
 counts as (
   select c.class,
          (select count(*) from predictions where {label} = c.class and {pred} = c.class) as tp,
@@ -66,41 +68,45 @@ SHOW_REPORT_SQL = """select class, round(cast(p as double), 4) as precision,
   cast(s as bigint) as support from report"""
 
 
-@query(f"with {v.PREDICTIONS_SQL}, {_report_sql('label', 'pred')} {SHOW_REPORT_SQL}")
+@query(f"with {v.FAILING_SQL}, {_report_sql('label', 'pred')} {SHOW_REPORT_SQL}")
 def eval_class_report(t: Tables) -> DataFrame:
-    return evaluate.class_report(v.predictions(t))
+    return evaluate.class_report(v.failing_predictions(t))
 
 
 @query(
-    f"""with {v.PREDICTIONS_SQL}, {_report_sql('label', 'pred')},
+    f"""with {v.FAILING_SQL}, {_report_sql('label', 'pred')},
     named as (select case class when '0' then 'zero' when '9' then 'nine' else class end as class,
                      p, r, f, s from report)
     {SHOW_REPORT_SQL.replace('from report', 'from named')}"""
 )
 def eval_class_names(t: Tables) -> DataFrame:
     """The report with names given by class id."""
-    return evaluate.class_report(v.predictions(t), names={0: "zero", 9: "nine"})
+    return evaluate.class_report(v.failing_predictions(t), names={0: "zero", 9: "nine"})
 
 
 @query(
-    f"""with {v.PREDICTIONS_SQL},
-    classes as (select label as class from predictions union select pred from predictions)
+    f"""with {v.FAILING_SQL},
+    classes as (
+      select label as class from predictions
+      union select pred from predictions where pred is not null)
     select a.class as label, b.class as pred, count(p.id) as n
     from classes a cross join classes b
     left join predictions p on p.label = a.class and p.pred = b.class
-    group by a.class, b.class"""
+    group by a.class, b.class
+    union all select label, null, count(*) from predictions where pred is null group by label"""
 )
 def eval_confusion(t: Tables) -> DataFrame:
-    return evaluate.confusion_matrix(v.predictions(t))
+    """With zero cells, and failed predictions in cells of their own."""
+    return evaluate.confusion_matrix(v.failing_predictions(t))
 
 
 @query(
-    f"""with {v.PREDICTIONS_SQL}
+    f"""with {v.FAILING_SQL}
     select label, {', '.join(f'count(*) filter (where emotion = {e}) as "{e}"' for e in range(3))}
     from predictions group by label"""
 )
 def eval_confusion_wide(t: Tables) -> DataFrame:
-    return evaluate.confusion_wide(v.predictions(t), [0, 1, 2], pred="emotion")
+    return evaluate.confusion_wide(v.failing_predictions(t), [0, 1, 2], pred="emotion")
 
 
 PROBS_SQL = f"""

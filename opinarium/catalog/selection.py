@@ -11,6 +11,7 @@ from opinarium.functions.text import clean_basic, split_sentences, words
 from opinarium.operators import dedup, evaluate, frames, joins, rules, sampling
 from opinarium.operators.scoring import decode_label, label_table
 from opinarium.plans import daily
+from opinarium.plans.modelling import rejected
 from opinarium.sources.warehouse import day_before
 
 
@@ -127,7 +128,8 @@ def flt_failures(t: Tables) -> DataFrame:
 def flt_rule_hits(t: Tables) -> DataFrame:
     """Only rows with at least one rule hit."""
     texts = t.documents.select("doc_id", F.replace("text", F.lit("."), F.lit("!")).alias("text"))
-    tagged = rules.match_rules(texts, rules.compile_rules(v.fixed_sheet(t)), keep_all=False)
+    listed = rules.compile_rules(v.fixed_sheet(t))
+    tagged = rules.match_rules(texts, listed, keep_all=False, way=rules.CONDITIONS)
     return tagged.select("doc_id", F.array_join("hits", ", ").alias("hits"))
 
 
@@ -178,28 +180,16 @@ def join_exploded(t: Tables) -> DataFrame:
     return frames.flatten(rows, ["text"]).select("doc_id", F.md5("text").alias("text_md5"))
 
 
-SENTENCE_ROWS_SQL = f"""
-sentence_rows as (
-  select doc_id, text, doc_id || ':' || row_number() over (partition by doc_id) as row_id
-  from (select doc_id, unnest({v.sentences_sql("replace(text, '.', '!')")}) as text
-        from documents))"""
-
-
-def _sentence_rows(t: Tables) -> DataFrame:
-    marked = F.replace("text", F.lit("."), F.lit("!"))
-    return frames.items(t.documents, ["doc_id"], split_sentences(marked), "text")
-
-
 @query(
-    f"""with {v.FIXED_RULES_SQL}, {SENTENCE_ROWS_SQL}, {v.hits_sql('sentence_rows', 'row_id')}
-    select s.doc_id, s.text, coalesce(h.hits, '') as hits
-    from sentence_rows s left join hits h on s.row_id = h.row_id"""
+    f"""with {v.SHEET_SQL}, {v.hits_sql('documents', 'doc_id')}
+    select d.doc_id, coalesce(h.hits, '') as hits
+    from documents d left join hits h on d.doc_id = h.doc_id"""
 )
 def join_rule_terms(t: Tables) -> DataFrame:
-    """Sentences and rule terms joined on substrings, the way for a dictionary of any size."""
-    listed = rules.compile_rules(v.fixed_sheet(t))
-    tagged = rules.hits_by_join(_sentence_rows(t), listed)
-    return tagged.withColumn("hits", F.array_join("hits", ", "))
+    """Whole documents and the terms of the sheet, joined on grams; ids name the texts."""
+    listed = rules.compile_rules(v.keyword_sheet(t))
+    tagged = rules.match_rules(t.documents.select("doc_id", "text"), listed, key="doc_id")
+    return tagged.select("doc_id", "hits")
 
 
 @query(
@@ -216,41 +206,11 @@ def join_predictions(t: Tables) -> DataFrame:
 # --- aggregates
 
 
-def _distinct_articles(articles: DataFrame) -> DataFrame:
-    """(news_uuid, s, sentences): one article per list of sentences, none without any.
-
-    The length rides along as a value: a filter on the list itself would be pushed below the
-    aggregate and split every article twice.
-    """
-    lists = articles.select("news_uuid", split_sentences(F.col("news_content")).alias("s"))
-    sized = lists.withColumn("sentences", F.size("s").cast("long"))
-    return dedup.keep_first(sized, ["s"], ["news_uuid"]).where(F.col("sentences") > 0)
-
-
 STAGES_SQL = f"""
 stage_lists as (
   select news_uuid, {v.sentences_sql('news_content')} as s from selected),
 stage_dedup as (
-  select s, min(news_uuid) as news_uuid from stage_lists where len(s) > 0 group by s),
-stage_rows as (
-  select news_uuid, unnest(s) as text from stage_dedup),
-stage_sentences as (select * from stage_rows where length(text) > 5)"""
-
-
-@query(
-    f"""with {v.ARTICLES_SQL}, {STAGES_SQL}
-    select 'query' as stage, count(*) as row_count from selected
-    union all select 'articles', count(*) from stage_dedup
-    union all select 'sentences', count(*) from stage_sentences"""
-)
-def agg_stage_counts(t: Tables) -> DataFrame:
-    articles = daily.articles_of_day(
-        v.news_info(t), v.algo_correlation(t), v.algo_classified(t), v.DAY, v.LABELS
-    )
-    kept = _distinct_articles(articles)
-    return frames.stage_counts(
-        {"query": articles, "articles": kept, "sentences": daily.sentence_rows(articles)}
-    )
+  select s, min(news_uuid) as news_uuid from stage_lists where len(s) > 0 group by s)"""
 
 
 @query(
@@ -260,10 +220,12 @@ def agg_stage_counts(t: Tables) -> DataFrame:
 )
 def agg_dedup_articles(t: Tables) -> DataFrame:
     articles = daily.articles_of_day(
-        v.news_info(t), v.algo_correlation(t), v.algo_classified(t), v.DAY, v.LABELS
+        v.news_info(t), v.algo_correlation(t), v.algo_classified(t), v.DAY, v.LABELS, semi=True
     )
-    return _distinct_articles(articles).select(
-        "news_uuid", "sentences", F.md5(F.array_join("s", "|")).alias("list_md5")
+    return daily.article_lists(articles).select(
+        "news_uuid",
+        F.col("sentences").cast("long").alias("sentences"),
+        F.md5(F.array_join("text", "|")).alias("list_md5"),
     )
 
 
@@ -444,3 +406,14 @@ def str_clean_null(t: Tables) -> DataFrame:
     rated = v.training_rows(t).select("doc_id", "text")
     rows = t.documents.select("doc_id").join(rated, "doc_id", "left")
     return rows.select("doc_id", F.md5(clean_basic(F.col("text"))).alias("text_md5"))
+
+
+@query(
+    """select d.doc_id from documents d left join labels l on d.doc_id = l.doc_id
+       where l.doc_id is null"""
+)
+def flt_missing_text(t: Tables) -> DataFrame:
+    """Rows that training rejects: those whose text is missing."""
+    rated = v.training_rows(t).select("doc_id", "text")
+    rows = t.documents.select("doc_id").join(rated, "doc_id", "left")
+    return rejected(rows).select("doc_id")

@@ -217,8 +217,10 @@ def sink_table_layouts(t: Tables) -> DataFrame:
         path = new_folder(t.spark, layout)
         table = f"{layout}_" + path.rsplit("-", 1)[-1]
         tables.create_day_table(t.spark, table, location=path, layout=layout)
-        tables.overwrite_day(_opinions(t), table, v.DAY)
-        rows = t.spark.table(table).select("property", "text")
+        rows = _opinions(t)
+        tables.overwrite_day(out.one_line(rows) if layout == "text" else rows, table, v.DAY)
+        text = src.unescaped(F.col("text")) if layout == "text" else F.col("text")
+        rows = t.spark.table(table).select("property", text.alias("text"))
         parts.append(rows.withColumn("layout", F.lit(layout)))
     both = parts[0].unionByName(parts[1])
     return both.groupBy("layout", "property").agg(
@@ -253,7 +255,9 @@ def sink_delimited_export(t: Tables) -> DataFrame:
 EPOCHS_SQL = f"""
 vectors as (select label, cast(embedding as double[]) as v from embeddings),
 epochs as (
-  select cast(e as integer) as epoch, label, v[10 * e - 9 : 10 * e] as s
+  select cast(e as integer) as epoch, label,
+         list_transform(range(0, 10), lambda k: list_sum(list_transform(range(0, len(v)), lambda j:
+           case when j % 60 = 10 * (e - 1) + k then v[j + 1] else 0.0 end))) as s
   from vectors, range(1, 7) r(e)),
 metrics as (
   select epoch, round(avg(case when {v.argmax_sql('s')} = label then 1.0 else 0.0 end), 6)
@@ -263,10 +267,20 @@ metrics as (
 
 
 def epoch_metrics(t: Tables) -> DataFrame:
-    """Each tenth of a vector's components stands for the scores of one epoch."""
+    """Ten components of a vector, from every sixty, stand for the scores of one epoch."""
     from opinarium.functions.labels import argmax
 
-    scores = F.slice(F.col("embedding").cast("array<double>"), 10 * F.col("epoch") - 9, F.lit(10))
+    vector = F.col("embedding").cast("array<double>")
+    scores = F.transform(
+        F.sequence(F.lit(0), F.lit(9)),
+        lambda k: F.aggregate(
+            F.transform(
+                vector, lambda x, j: F.when(j % 60 == 10 * (F.col("epoch") - 1) + k, x).otherwise(0.0)
+            ),
+            F.lit(0.0),
+            lambda total, x: total + x,
+        ),
+    )
     rows = t.embeddings.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(6))))
     return (
         rows.withColumn("s", scores)

@@ -168,7 +168,7 @@ def rule_compile(t: Tables) -> DataFrame:
 def rule_match_few(t: Tables) -> DataFrame:
     """A short rule list: conditions in the query. Rows without a hit stay."""
     listed = rules.compile_rules(v.fixed_sheet(t))
-    return rules.match_rules(_marked(t), listed).select("doc_id", "hits")
+    return rules.match_rules(_marked(t), listed, way=rules.CONDITIONS).select("doc_id", "hits")
 
 
 @query(
@@ -202,6 +202,20 @@ def lbl_decode(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    f"""with {v.PREDICTIONS_SQL}
+    select id, ['负面', '中性', '正面'][emotion + 1] as emotion from predictions"""
+)
+def lbl_decode_table(t: Tables) -> DataFrame:
+    """The same with the label map as a table."""
+    from opinarium.functions.fixed_values import EMOTION_NAMES
+    from opinarium.operators.scoring import decode_by_table, label_table
+
+    rows = v.predictions(t).select("id", "emotion_scores")
+    named = decode_by_table(rows, label_table(t.spark, EMOTION_NAMES), "emotion_scores", "emotion")
+    return named.select("id", "emotion")
+
+
 @query(
     """select doc_id, cast(quality as double) as first, cast(toxic as double) as second,
               cast(2 as integer) as width

@@ -130,20 +130,29 @@ def words_sql(text: str) -> str:
     return f"list_filter(string_split({spaced}, ' '), lambda w: w <> '')"
 
 
-# --- predictions: the first ten components of a vector as class scores
-
-
-def _part(first: int, size: int) -> Column:
-    return F.slice("embedding", first, size).cast("array<double>")
+# --- predictions: all components of a vector, folded into class scores
+
+
+def _folded(size: int, place) -> Column:
+    """One sum per class: the components whose place belongs to it."""
+    vector = F.col("embedding").cast("array<double>")
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(size - 1)),
+        lambda k: F.aggregate(
+            F.transform(vector, lambda x, j: F.when(place(j) == k, x).otherwise(0.0)),
+            F.lit(0.0),
+            lambda total, x: total + x,
+        ),
+    )
 
 
 def predictions(t: Tables) -> DataFrame:
     rows = t.embeddings.select(
         F.col("vec_id").alias("id"),
         "label",
-        _part(1, 10).alias("scores"),
-        _part(21, 10).alias("teacher"),
-        _part(11, 3).alias("emotion_scores"),
+        _folded(10, lambda j: j % 10).alias("scores"),
+        _folded(10, lambda j: F.floor(j / 7)).alias("teacher"),
+        _folded(3, lambda j: j % 3).alias("emotion_scores"),
         F.transform(
             F.sequence(F.lit(0), F.lit(9)),
             lambda i: F.when(
@@ -158,15 +167,31 @@ def predictions(t: Tables) -> DataFrame:
     )
 
 
+def failing_predictions(t: Tables) -> DataFrame:
+    """The same, with a failed prediction in every ninth row."""
+    ok = F.col("id") % 9 != 4
+    return predictions(t).withColumns(
+        {c: F.when(ok, F.col(c)) for c in ("scores", "pred", "emotion")}
+    )
+
+
 def argmax_sql(vector: str) -> str:
     return f"cast(list_position({vector}, list_max({vector})) - 1 as integer)"
 
 
+def _folded_sql(size: int, place: str) -> str:
+    return (
+        f"list_transform(range(0, {size}), lambda k: list_sum(list_transform(range(0, len(v)), "
+        f"lambda j: case when {place} = k then v[j + 1] else 0.0 end)))"
+    )
+
+
 PREDICTIONS_SQL = f"""
 vectors as (
   select vec_id as id, label, cast(embedding as double[]) as v from embeddings),
 parts as (
-  select id, label, v[1:10] as scores, v[21:30] as teacher, v[11:13] as emotion_scores,
+  select id, label, {_folded_sql(10, 'j % 10')} as scores, {_folded_sql(10, 'j // 7')} as teacher,
+         {_folded_sql(3, 'j % 3')} as emotion_scores,
          list_transform(range(0, 10), lambda i:
            case when i = label or ((id & 1) = 0 and i = (label + 1) % 10) then 1 else 0 end)
            as truth
@@ -175,6 +200,12 @@ predictions as (
   select *, {argmax_sql('scores')} as pred, {argmax_sql('emotion_scores')} as emotion
   from parts)"""
 
+FAILING_SQL = f"""{PREDICTIONS_SQL.replace('predictions as', 'whole as')},
+predictions as (
+  select id, label, case when id % 9 <> 4 then pred end as pred,
+         case when id % 9 <> 4 then emotion end as emotion
+  from whole)"""
+
 
 def softmax_sql(vector: str) -> str:
     return (
@@ -218,36 +249,33 @@ training_rows as (
   from documents d join labels l on d.doc_id = l.doc_id)"""
 
 
-# --- a keyword sheet out of the benchmark texts: one row per item
+# --- a keyword sheet out of the benchmark texts: one row per item, its words dealt over the cells
 
 
 def keyword_sheet(t: Tables) -> DataFrame:
-    word = F.split("text", " ")
+    """Every tenth word of a text, from the first, the second, ... on, makes a cell."""
+    word = F.split("text", r"\s+")
+    size = len(fixed.SHEET_KEYWORD_COLUMNS)
 
-    def at(i: int) -> Column:
-        return F.coalesce(F.get(word, F.lit(i)), F.lit(""))
+    def cell(place: int) -> Column:
+        return F.array_join(F.filter(word, lambda w, i: i % size == place), "+")
 
-    cells = {
-        "Keyword1": F.concat(at(0), F.lit("+"), at(2)),
-        "Keyword2": at(1),
-        "Keyword3": F.concat(at(3), F.lit("+"), at(4), F.lit("+"), at(3)),
-    }
-    empty = {c: F.lit("") for c in fixed.SHEET_KEYWORD_COLUMNS if c not in cells}
+    cells = [cell(place).alias(name) for place, name in enumerate(fixed.SHEET_KEYWORD_COLUMNS)]
     return t.benchmark.select(
         F.col("item_id").cast("int").alias("row_order"),
-        F.lower(at(0)).alias(fixed.SHEET_NAME_COLUMN),
-        *[{**cells, **empty}[c].alias(c) for c in fixed.SHEET_KEYWORD_COLUMNS],
+        F.lower(F.get(word, F.lit(0))).alias(fixed.SHEET_NAME_COLUMN),
+        *cells,
     )
 
 
-SHEET_SQL = """
+SHEET_SQL = r"""
 benchmark_words as (
-  select cast(item_id as integer) as row_order, string_split(text, ' ') as w from benchmark),
+  select cast(item_id as integer) as row_order, string_split_regex(text, '\s+') as w from benchmark),
 sheet as (
   select row_order, lower(coalesce(w[1], '')) as name,
-         list_filter([coalesce(w[1], '') || '+' || coalesce(w[3], ''), coalesce(w[2], ''),
-                      coalesce(w[4], '') || '+' || coalesce(w[5], '') || '+' || coalesce(w[4], '')],
-                     lambda k: k <> '') as cells
+         list_filter(list_transform(range(0, 10), lambda c: coalesce(list_aggregate(
+           list_transform(list_filter(range(0, len(w)), lambda i: i % 10 = c), lambda i: w[i + 1]),
+           'string_agg', '+'), '')), lambda k: k <> '') as cells
   from benchmark_words),
 rules as (
   select name, min(row_order) as rule_order, max_by(cells, row_order) as cells

@@ -22,11 +22,12 @@ WHITE_SPACE_CHARACTERS = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Tokens dropped from word bags besides blanks.
+# Tokens dropped from word bags besides blanks. The second list has the marks
+# outside ASCII in their original order, each once.
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 WIDE_PUNCTUATION = (
-    "！，。？、～＠＃￥％……＆＊（）——＋－｡＂＄＇／：；＜＝＞［＼］＾＿｀｛｜｝｟｠｢｣､〃"
-    "《》「」『』【】〔〕〖〗〘〙〚〛〜〝〞〟〰〾〿–‘’‛“”„‟‧﹏"
+    "—！，。？、￥…（）｡＂＃＄％＆＇＊＋－／：；＜＝＞＠［＼］＾＿｀｛｜｝～｟｠｢｣､〃》"
+    "「」『』【】〔〕〖〗〘〙〚〛〜〝〞〟〰〾〿–‘‛“”„‟‧﹏"
 )
 
 # Sentiment names by class id.

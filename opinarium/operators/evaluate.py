@@ -2,6 +2,10 @@
 
 Everything starts from counts per (label, pred), which combine before the shuffle;
 what follows works on one row per pair of classes.
+
+A failed prediction is NULL. It counts as wrong, in accuracy and in the recall of its true class;
+it is no class of its own, adds nothing to what a class was predicted for, and stands in the
+matrix in a cell with NULL for the prediction. Rows without a truth are left out everywhere.
 """
 
 from __future__ import annotations
@@ -15,12 +19,15 @@ from opinarium.functions.labels import argmax
 from opinarium.operators.frames import items
 from opinarium.operators.indexing import with_row_index
 
-# Classes a full matrix may have; more raise an error.
-MAX_CLASSES = 1_000
+
+def _right(label: str, pred: str) -> Column:
+    """Whether a row is right: NULL without a truth, false without a prediction."""
+    told = F.when(F.col(pred).isNull(), F.lit(False)).otherwise(F.col(label) == F.col(pred))
+    return F.when(F.col(label).isNotNull(), told)
 
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
-    return df.agg(F.avg((F.col(label) == F.col(pred)).cast("int")).alias("accuracy"))
+    return df.agg(F.avg(_right(label, pred).cast("int")).alias("accuracy"))
 
 
 def class_count(df: DataFrame, label: str = "label") -> DataFrame:
@@ -37,8 +44,11 @@ def label_width(df: DataFrame, label: str) -> DataFrame:
 
 
 def pair_counts(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
-    return df.groupBy(F.col(label).alias("label"), F.col(pred).alias("pred")).agg(
-        F.count("*").alias("n")
+    """(label, pred, n): the filled cells of the confusion matrix, its sparse form."""
+    return (
+        df.where(F.col(label).isNotNull())
+        .groupBy(F.col(label).alias("label"), F.col(pred).alias("pred"))
+        .agg(F.count("*").alias("n"))
     )
 
 
@@ -48,7 +58,7 @@ def _class_counts(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     sides = F.array(
         F.struct(
             F.col("label").alias("class"),
-            F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(zero).alias("tp"),
+            F.when(_right("label", "pred"), F.col("n")).otherwise(zero).alias("tp"),
             F.col("n").alias("support"),
             zero.alias("predicted"),
         ),
@@ -62,6 +72,7 @@ def _class_counts(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return (
         pairs.select(*by, F.explode(sides).alias("s"))
         .select(*by, "s.*")
+        .where("class is not null")
         .groupBy(*by, "class")
         .agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
     )
@@ -117,7 +128,7 @@ def class_report(
 ) -> DataFrame:
     """(class, precision, recall, f1, support): a row per class, then the averages.
 
-    Classes are those of truth or prediction. For single labels the micro average
+    Classes are those of truth or prediction. For single labels the micro recall
     is the accuracy. `names` renames classes by id.
     """
     rows = _scored(_class_counts(pair_counts(df, label, pred)))
@@ -131,33 +142,27 @@ def class_report(
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
-    """(label, pred, n) with zero cells, over all classes of truth or prediction."""
-    # one pair more than allowed is enough to tell that there are too many
-    bounded = pair_counts(df, label, pred).limit(MAX_CLASSES * MAX_CLASSES + 1)
-    cells = bounded.agg(
-        F.array_sort(
-            F.array_union(F.collect_set("label"), F.collect_set("pred"))
-        ).alias("classes"),
-        F.map_from_entries(
-            F.collect_list(F.struct(F.struct("label", "pred"), F.col("n")))
-        ).alias("cells"),
-    )
-    checked = F.when(F.size("classes") <= MAX_CLASSES, F.col("classes")).otherwise(
-        F.raise_error(F.lit("too many classes for a matrix"))
-    )
-    rows = cells.select("cells", checked.alias("classes")).select(
-        "cells", "classes", F.explode("classes").alias("label")
+    """(label, pred, n) with zero cells, over all classes of truth or prediction.
+
+    The list of classes comes from the filled cells; zero cells are spread out from it and
+    summed with the filled ones. `pair_counts` is the sparse form, without zero cells.
+    """
+    pairs = pair_counts(df, label, pred)
+    classes = (
+        pairs.select(F.explode(F.array("label", "pred")).alias("class"))
+        .where("class is not null")
+        .agg(F.array_sort(F.collect_set("class")).alias("classes"))
     )
-    grid = rows.select("cells", "label", F.explode("classes").alias("pred"))
-    n = F.try_element_at("cells", F.struct("label", "pred"))
-    return grid.select("label", "pred", F.coalesce(n, F.lit(0)).alias("n"))
+    rows = classes.select("classes", F.explode("classes").alias("label"))
+    zero = rows.select("label", F.explode("classes").alias("pred"), F.lit(0).cast("long").alias("n"))
+    return pairs.unionByName(zero).groupBy("label", "pred").agg(F.sum("n").alias("n"))
 
 
 def confusion_wide(
     df: DataFrame, classes: Sequence, label: str = "label", pred: str = "pred"
 ) -> DataFrame:
-    """Confusion matrix with one column per given class."""
-    wide = df.groupBy(F.col(label).alias("label")).pivot(pred, list(classes)).count()
+    """Confusion matrix with one column per given class; failed predictions have none."""
+    wide = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).pivot(pred, list(classes)).count()
     return wide.fillna(0)
 
 
@@ -191,8 +196,16 @@ def first_maximum(df: DataFrame, truth: str, scores: str) -> DataFrame:
     return df.withColumns({"label": argmax(F.col(truth)), "pred": argmax(F.col(scores))})
 
 
+def _told(truth: str, predicted: str) -> Column:
+    """The predicted cells, all 0 for a failed prediction."""
+    return F.coalesce(
+        F.col(predicted).cast("array<bigint>"),
+        F.transform(F.col(truth), lambda y: F.lit(0).cast("long")),
+    )
+
+
 def _cells(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    pairs = F.arrays_zip(F.col(truth).alias("y"), F.col(predicted).alias("p"))
+    pairs = F.arrays_zip(F.col(truth).alias("y"), _told(truth, predicted).alias("p"))
     return items(df, [], pairs, "c", "position").select(
         "position",
         F.col("c.y").cast("long").alias("y"),
@@ -201,12 +214,16 @@ def _cells(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 
 
 def cell_accuracy(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    """Share of equal cells over all cells, and the mean over rows of their share."""
+    """Share of equal cells over all cells, and the mean over rows of their share.
+
+    No cell of a failed prediction is equal.
+    """
     equal = F.aggregate(
         F.zip_with(truth, predicted, lambda a, b: (a.cast("int") == b.cast("int")).cast("int")),
         F.lit(0),
         lambda a, b: a + b,
     )
+    equal = F.when(F.col(truth).isNotNull(), F.coalesce(equal, F.lit(0)))
     return df.agg(
         (F.sum(equal) / F.sum(F.size(truth))).alias("cell_accuracy"),
         F.avg(equal / F.size(truth)).alias("row_accuracy"),
@@ -234,7 +251,7 @@ def multi_label_report(
         return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
 
     y = F.col(truth).cast("array<bigint>")
-    p = F.col(predicted).cast("array<bigint>")
+    p = _told(truth, predicted)
     samples = (
         _scored(
             df.select(

@@ -64,14 +64,17 @@ def _share(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / float(1 << 30)
 
 
-def perturb(df: DataFrame, key: str, tokens: Column, samples: int, seed: int) -> DataFrame:
+def perturb(
+    df: DataFrame, key: str, tokens: Column, samples: int, seed: int, target: str | None = None
+) -> DataFrame:
     """Variants of each text with words left out at random.
 
-    (key, sample, kept, distinct, variant): sample 0 is the whole text; `kept`
+    (key, target, sample, kept, distinct, variant): sample 0 is the whole text; `kept`
     are the places, in the list of distinct words, of the words left in. A word is kept or
     dropped with all its occurrences. The number of variants per row is fixed.
     """
-    base = df.select(key, tokens.alias("_tokens")).withColumn(
+    own = [key] if target is None else [key, target]
+    base = df.select(*own, tokens.alias("_tokens")).withColumn(
         "distinct", F.array_distinct("_tokens")
     )
     each = base.select(
@@ -87,7 +90,7 @@ def perturb(df: DataFrame, key: str, tokens: Column, samples: int, seed: int) ->
         F.col("distinct"), lambda w, i: F.when(stays(w), i.cast("int"))
     )
     return each.select(
-        key,
+        *own,
         "sample",
         F.array_compact(marked).alias("kept"),
         F.size("distinct").alias("n_words"),
@@ -104,19 +107,28 @@ def local_weights(
     samples: int = 200,
     seed: int = fixed.SAMPLE_SEED,
     n: int = fixed.TOP_WORDS,
+    target: str | None = None,
+    ridge: float = RIDGE,
 ) -> DataFrame:
     """(key, words): the n heaviest words of a local linear model around each row.
 
     All variants are scored in batches; then each row gets a weighted
     ridge fit of its scores on its word masks. A group holds `samples` + 1 rows, however
-    large the table. `score` maps the variant text to the score to explain.
+    large the table. `score` maps the variant text to the score to explain; with `target`, a
+    column holding a class id, it gives one score per class, and each row has the score of
+    its own class explained. `ridge` is the penalty of the local model.
     """
-    variants = perturb(df, key, tokens, samples, seed)
+    variants = perturb(df, key, tokens, samples, seed, target)
+    explained = score(F.col("variant"))
+    if target is not None:
+        # scored once per variant, whatever the class
+        variants = variants.withColumn("_scores", explained)
+        explained = F.get("_scores", F.col(target).cast("int"))
     scored = variants.select(
-        key, "sample", "kept", "n_words", "distinct", score(F.col("variant")).alias("score")
+        key, "sample", "kept", "n_words", "distinct", explained.alias("score")
     )
     key_type = df.schema[key].dataType.simpleString()
-    width, ridge = KERNEL_WIDTH, RIDGE
+    width = KERNEL_WIDTH
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         import numpy as np

@@ -2,50 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.functions.text import words
-
-# Words a count vector may hold; bounds the dictionary on the driver.
-MAX_WORDS = 1 << 18
-
+from opinarium.operators.frames import items
 
 def word_bag(text: Column) -> Column:
     """Lower-case words without punctuation."""
     return words(F.lower(text))
 
 
+def vocabulary(train: DataFrame, tokens: str) -> DataFrame:
+    """(word): the words of the training rows, however many."""
+    return items(train, [], F.col(tokens), "word").distinct()
+
+
+def word_counts(
+    df: DataFrame, key: str, tokens: str, known: DataFrame, binary: bool = False
+) -> DataFrame:
+    """(key, word, value): counts, or presence, of the known words in each row.
+
+    The sparse form of a count vector, for a vocabulary of any size: counts meet the table of known
+    words in a join. Repeated keys are counted together.
+    """
+    counted = items(df, [key], F.col(tokens), "word").groupBy(key, "word").agg(F.count("*").alias("n"))
+    value = F.lit(1.0) if binary else F.col("n").cast("double")
+    return counted.join(known.select("word"), "word").select(key, "word", value.alias("value"))
+
+
 def fit_word_counts(
-    train: DataFrame, tokens: str, output: str, binary: bool = False, size: int = MAX_WORDS
+    train: DataFrame, tokens: str, output: str, size: int, binary: bool = False
 ) -> CountVectorizerModel:
-    """Sparse word-count (or presence) vectors, fitted on the training rows only."""
+    """Count (or presence) vectors for a classifier, fitted on the training rows only.
+
+    A vector needs a width: `size` words at most, the most frequent ones, as the caller decides.
+    """
     return CountVectorizer(
         inputCol=tokens, outputCol=output, binary=binary, vocabSize=size
     ).fit(train)
 
 
-def vector_entries(df: DataFrame, key: str, vector: str, vocabulary: DataFrame) -> DataFrame:
-    """(key, word, value) for the filled cells of a sparse vector.
-
-    `vocabulary` is (position, word); cells stay sparse throughout.
-    """
-    raw = F.unwrap_udt(F.col(vector))
-    cells = F.arrays_zip(raw["indices"].alias("position"), raw["values"].alias("value"))
-    return (
-        df.select(key, F.explode(cells).alias("c"))
-        .select(key, F.col("c.position").alias("position"), F.col("c.value").alias("value"))
-        .join(vocabulary, "position")
-        .select(key, "word", "value")
-    )
+def hashed_counts(tokens: str, output: str, size: int) -> HashingTF:
+    """Count vectors of a given width that leave no word out: words share places by hash."""
+    return HashingTF(inputCol=tokens, outputCol=output, numFeatures=size)
 
 
 def with_probabilities(
     df: DataFrame, probabilities: DataFrame, key: str, features: str, output: str
 ) -> DataFrame:
-    """Append another model's class probabilities to a feature vector, matched by row id."""
-    joined = df.join(probabilities.select(key, "probability"), key)
+    """Append another model's class probabilities to a feature vector, matched by row id.
+
+    The id must be unique among the probabilities: a second row for one id raises.
+    """
+    once = probabilities.groupBy(key).agg(
+        F.count("*").alias("_n"), F.first("probability").alias("probability")
+    )
+    checked = once.select(
+        key,
+        F.when(F.col("_n") == 1, F.col("probability"))
+        .otherwise(F.raise_error(F.lit("two probability rows have one id")))
+        .alias("probability"),
+    )
+    joined = df.join(checked, key)
     assembler = VectorAssembler(inputCols=[features, "probability"], outputCol=output)
     return assembler.transform(joined).drop("probability")
 

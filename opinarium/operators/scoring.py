@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinarium.functions.labels import argmax
+from opinarium.runtime import broadcast_if_small
 
 Factory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 VECTOR = T.ArrayType(T.DoubleType())
@@ -112,40 +113,23 @@ def two_heads(first: Factory, second: Factory, names: Sequence[str]) -> Factory:
     return load
 
 
-def portable_model(model: bytes) -> Factory:
-    """Scorer from an ONNX model with one input and one output.
+def save_linear(spark: SparkSession, weights: Sequence[Sequence[float]], path: str) -> None:
+    """Write a linear model as a table (class, weights), one row per class."""
+    rows = [(k, [float(w) for w in row]) for k, row in enumerate(weights)]
+    spark.createDataFrame(rows, "class int, weights array<double>").write.parquet(path)
 
-    The bytes travel with the task code, which Spark broadcasts when it is large;
-    each worker opens the model once.
-    """
 
-    def load():
-        import numpy as np
-        import onnxruntime
-
-        options = onnxruntime.SessionOptions()
-        # one thread: Spark already runs a task per core
-        options.intra_op_num_threads = 1
-        session = onnxruntime.InferenceSession(
-            model, options, providers=["CPUExecutionProvider"]
-        )
-        entry = session.get_inputs()[0].name
-
-        def predict(batch):
-            (out,) = session.run(None, {entry: np.asarray(batch, dtype="float32")})
-            return out.astype("float64")
-
-        return predict
-
-    return load
+def load_linear(spark: SparkSession, path: str) -> Callable[[Column], Column]:
+    """Column function of a saved linear model: a vector to one score per class, in the JVM."""
+    rows = spark.read.parquet(path).orderBy("class").collect()  # a row per class
+    matrix = [F.array(*[F.lit(w) for w in r["weights"]]) for r in rows]
 
+    def score(column: Column) -> Column:
+        vector = column.cast("array<double>")
+        products = [F.zip_with(vector, row, lambda x, w: x * w) for row in matrix]
+        return F.array(*[F.aggregate(p, F.lit(0.0), lambda a, b: a + b) for p in products])
 
-def portable_file(spark: SparkSession, path: str) -> Factory:
-    """Scorer from an ONNX file on any file system Spark reads."""
-    files = spark.read.format("binaryFile").load(path).select("content").take(2)
-    if len(files) != 1:
-        raise ValueError(f"{path} is not one file")
-    return portable_model(bytes(files[0]["content"]))
+    return score
 
 
 def score_with_pipeline(df: DataFrame, model: PipelineModel, output: str) -> DataFrame:
@@ -170,6 +154,15 @@ def decode_label(vector: Column, names: Sequence[str]) -> Column:
     return F.get(listed, argmax(vector))
 
 
+def decode_by_table(
+    df: DataFrame, names: DataFrame, vector: str, output: str
+) -> DataFrame:
+    """The same with the label map as a table (label_id, label_name), one row per id."""
+    listed = names.select(F.col("label_id").alias("_id"), F.col("label_name").alias(output))
+    decided = df.withColumn("_id", argmax(F.col(vector)))
+    return decided.join(broadcast_if_small(listed), "_id", "left").drop("_id")
+
+
 def label_ids(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
     """Add `label_id` for a label name; NULL for an unknown one."""
     return df.join(

@@ -5,34 +5,43 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    NaiveBayes,
     OneVsRest,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.feature import CountVectorizer, SQLTransformer
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium.functions.labels import argmax, softmax
-from opinarium.operators.features import (
-    MAX_WORDS,
-    error_weight,
-    fit_word_counts,
-    with_probabilities,
-)
+from opinarium.operators.features import error_weight, with_probabilities
 from opinarium.operators.frames import items
 from opinarium.runtime import materialize
 
 
-def text_classifier(tokens: str = "tokens", size: int = MAX_WORDS, **settings) -> Pipeline:
-    """Word counts and logistic regression, binary or multi-class."""
+# Estimators of a text classifier by name.
+LINEAR, BAYES = "linear", "bayes"
+
+
+def classifier(kind: str = LINEAR, **settings):
+    """Logistic regression, or multinomial naive Bayes, binary or multi-class."""
+    if kind == LINEAR:
+        return LogisticRegression(**settings)
+    if kind == BAYES:
+        return NaiveBayes(modelType="multinomial", **settings)
+    raise ValueError(f"unknown classifier {kind!r}")
+
+
+def text_classifier(size: int, tokens: str = "tokens", kind: str = LINEAR, **settings) -> Pipeline:
+    """Word counts, of the `size` most frequent words at most, and a classifier."""
     return Pipeline(
         stages=[
             CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=size),
-            LogisticRegression(**settings),
+            classifier(kind, **settings),
         ]
     )
 
@@ -117,78 +126,93 @@ def boosted_student(
     held_out: str | None = None,
     **settings,
 ):
-    """Boosted trees with row weights; early stopping on held-out rows for two classes."""
+    """Boosted trees with row weights.
+
+    Early stopping on held-out rows is there for two classes; asking for it with more raises.
+    """
     trees = GBTClassifier(featuresCol=features, **settings)
     if weight:
         trees = trees.setWeightCol(weight)
     if classes <= 2:
         return trees.setValidationIndicatorCol(held_out) if held_out else trees
+    if held_out:
+        raise ValueError("no early stopping with more than two classes")
     several = OneVsRest(classifier=trees, featuresCol=features)
     return several.setWeightCol(weight) if weight else several
 
 
+def teach(
+    rows: DataFrame, shares: DataFrame, key: str, kind: str = LINEAR, **settings
+) -> DataFrame:
+    """(key, label, held_out, counts, teacher_pred, weight): one teacher's verdict on all rows.
+
+    The teacher learns from the rows not held out, on their counts and the student's last
+    probabilities; its errors weigh ten times for the next student.
+    """
+    joined = with_probabilities(rows, shares, key, "counts", "features")
+    teacher = classifier(kind, **settings).fit(joined.where(~F.col("held_out")))
+    judged = teacher.transform(joined).select(
+        key,
+        "label",
+        "held_out",
+        "counts",
+        F.col("prediction").alias("teacher_pred"),
+        error_weight(F.col("prediction"), F.col("label")).alias("weight"),
+    )
+    return materialize(judged, "co-train")
+
+
 def co_train(
     train: DataFrame,
     valid: DataFrame,
     key: str,
     classes: int,
+    counter: Transformer,
     rounds: int = 3,
-    tokens: str = "tokens",
-    vocabulary: int = 1 << 12,
+    kind: str = LINEAR,
     tree_settings: Mapping | None = None,
     **settings,
-) -> DataFrame:
-    """Two models that teach each other; accuracies per round as (run, epoch, metric, value).
-
-    Each round fits a linear teacher on word counts plus the student's
-    last probabilities, weighs its errors ten times, fits boosted trees on the
-    weighted rows and hands their probabilities back. The rows' outcomes are written
-    after each round, so lineage does not grow.
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Two models that teach each other.
+
+    Gives the accuracies per round as (run, epoch, metric, value), and for each round its
+    written rows (key, label, held_out, teacher_pred, weight, student_pred). Each round fits a teacher
+    on word counts plus the student's last probabilities, weighs its errors
+    ten times, fits boosted trees on the weighted rows and hands their probabilities
+    back. `counter` makes the column `counts` out of the rows: `hashed_counts`, which takes in all
+    words, or a fitted vocabulary. The rows' outcomes are written
+    after each round, so lineage does not grow. Keys must be unique.
     """
-    spark = train.sparkSession
-    counts = fit_word_counts(train, tokens, "counts", size=vocabulary)
     flag = F.lit(False)
-    both = counts.transform(
-        train.withColumn("held_out", flag).unionByName(valid.withColumn("held_out", ~flag))
-    ).select(key, "label", "held_out", "counts")
-    rows = materialize(both, "co-train")
-    shares = _uniform(rows, key, classes)
-    out = []
+    both = train.withColumn("held_out", flag).unionByName(valid.withColumn("held_out", ~flag))
+    counted = counter.transform(both)
+    rows = materialize(counted.select(key, "label", "held_out", "counts"), "co-train")
+    shares = uniform(rows, key, classes)
+    out, written = [], []
     for epoch in range(1, rounds + 1):
-        joined = with_probabilities(rows, shares, key, "counts", "features")
-        teacher = LogisticRegression(**settings).fit(joined.where(~F.col("held_out")))
-        judged = teacher.transform(joined).select(
-            key,
-            "label",
-            "held_out",
-            "counts",
-            F.col("prediction").alias("teacher_pred"),
-            error_weight(F.col("prediction"), F.col("label")).alias("weight"),
-        )
-        judged = materialize(judged, "co-train")
-        trees = boosted_student(
-            classes, "counts", "weight", "held_out", **dict(tree_settings or {})
-        )
-        seen = judged if classes <= 2 else judged.where(~F.col("held_out"))
-        student = trees.fit(seen)
+        judged = teach(rows, shares, key, kind, **settings)
+        held_out = "held_out" if classes <= 2 else None
+        trees = boosted_student(classes, "counts", "weight", held_out, **dict(tree_settings or {}))
+        student = trees.fit(judged if classes <= 2 else judged.where(~F.col("held_out")))
         scored = student.transform(judged)
-        if classes > 2:
-            # one margin per class, mapped to a distribution
-            shares_of = F.transform(
-                softmax(vector_to_array("rawPrediction")), lambda p: p
-            )
-        else:
-            shares_of = vector_to_array("probability")
+        # with several classes one margin each, mapped to a distribution
+        shares_of = (
+            softmax(vector_to_array("rawPrediction"))
+            if classes > 2
+            else vector_to_array("probability")
+        )
         kept = scored.select(
             key,
             "label",
             "held_out",
             "teacher_pred",
+            "weight",
             F.col("prediction").alias("student_pred"),
             shares_of.alias("_shares"),
         )
         kept = materialize(kept, "co-train")
         shares = kept.select(key, _to_vector("_shares").alias("probability"))
+        written.append(kept.drop("_shares"))
         out.append(
             kept.groupBy("held_out")
             .agg(
@@ -197,19 +221,21 @@ def co_train(
             )
             .withColumn("epoch", F.lit(epoch))
         )
+    part = F.when(F.col("held_out"), "valid").otherwise("train")
     lines = F.array(
         *[
             F.struct(
-                F.concat(F.lit(f"{who}_"), F.when(F.col("held_out"), "valid").otherwise("train"), F.lit("_accuracy")).alias("metric"),
+                F.concat(F.lit(f"{who}_"), part, F.lit("_accuracy")).alias("metric"),
                 F.col(who).alias("value"),
             )
             for who in ("teacher", "student")
         ]
     )
     history = reduce(DataFrame.unionByName, out)
-    return history.select(
+    history = history.select(
         F.lit("co-training").alias("run"), "epoch", F.explode(lines).alias("l")
     ).select("run", "epoch", "l.*")
+    return history, written
 
 
 def _to_vector(column: str) -> Column:
@@ -218,7 +244,7 @@ def _to_vector(column: str) -> Column:
     return array_to_vector(F.col(column))
 
 
-def _uniform(df: DataFrame, key: str, classes: int) -> DataFrame:
+def uniform(df: DataFrame, key: str, classes: int) -> DataFrame:
     """Equal probabilities for every row, as before the first student."""
     equal = F.array_repeat(F.lit(1.0 / classes), F.lit(classes))
     return df.select(key, equal.alias("_equal")).select(

@@ -30,10 +30,13 @@ def rejected(df: DataFrame, text: str = "text") -> DataFrame:
     return df.where(F.col(text).isNull())
 
 
-def train(df: DataFrame, text: str = "text", **settings) -> PipelineModel:
-    """A text classifier. Words are cut once, as training passes over them many times."""
+def train(df: DataFrame, size: int, text: str = "text", **settings) -> PipelineModel:
+    """A text classifier on the `size` most frequent words.
+
+    Words are cut once, as training passes over them many times.
+    """
     rows = materialize(with_tokens(df, text).select("label", "tokens"), "tokens")
-    return training.text_classifier(**settings).fit(rows)
+    return training.text_classifier(size, **settings).fit(rows)
 
 
 def evaluate_model(
@@ -60,9 +63,13 @@ def explain_day(
     score: Callable[[Column], Column],
     rows: int = fixed.EXPLAINED_ROWS,
     samples: int = 200,
+    target: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(all word rows, best row per word) for the first rows of a scored day."""
+    """(all word rows, best row per word) for the first rows of a scored day.
+
+    `target` names the column with the class of each row that is to be explained.
+    """
     picked = first_rows(read_day(opinions, day), rows, [key])
-    weights = explain.local_weights(picked, key, tokens, score, samples)
+    weights = explain.local_weights(picked, key, tokens, score, samples, target=target)
     every = explain.word_rows(weights)
     return every, explain.best_words(every, "word", "weight")

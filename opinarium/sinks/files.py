@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def escaped(column: Column) -> Column:
+    r"""Line ends as `\n` and `\r`, and `\` doubled, so that a row stays on one line."""
+    doubled = F.replace(column, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def one_line(df: DataFrame) -> DataFrame:
+    """All texts of a frame with escaped line ends."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    return df.withColumns({c: escaped(F.col(f"`{c}`")) for c in texts})
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with header, one file per task, no byte-order mark."""
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    """CSV with header, one file per task, no byte-order mark; a row per line."""
+    one_line(df).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
 def export_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote='"', escape='"')
+    one_line(df).write.mode("overwrite").csv(path, sep="\t", header=True, quote='"', escape='"')
 
 
 def export_delimited(df: DataFrame, path: str, sep: str = "\u0001") -> None:

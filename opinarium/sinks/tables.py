@@ -19,13 +19,15 @@ def create_day_table(
 ) -> None:
     """Table of string columns partitioned by `dt`: "orc", or "text" (tab-separated).
 
+    A text table has a row per line: write it with `one_line` rows, read it with `unescaped`.
+
     With a location the table is external: dropping it leaves the files.
     """
     fields = ", ".join(f"`{c}` STRING" for c in columns)
     if layout == "orc":
         using = "orc"
     elif layout == "text":
-        using = "csv OPTIONS (sep '\\t', quote '\"', escape '\"', multiLine 'true')"
+        using = "csv OPTIONS (sep '\\t', quote '\"', escape '\"')"
     else:
         raise ValueError(f"unknown layout {layout!r}")
     place = f" LOCATION '{location}'" if location else ""

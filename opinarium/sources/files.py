@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,24 +31,44 @@ KEYWORD_SHEET = T.StructType(
 )
 
 
-def read_tsv(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
-) -> DataFrame:
-    """Tab-separated file with a header.
+def unescaped(column: Column) -> Column:
+    r"""Undo `escaped` of the writers: `\n`, `\r` and `\\` in a text become what they stand for."""
+    # a NUL cannot stand next to a backslash in what the writers make
+    kept = F.replace(column, F.lit("\\\\"), F.lit("\\\0"))
+    lines = F.replace(F.replace(kept, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.replace(lines, F.lit("\\\0"), F.lit("\\"))
 
-    Quoted fields may hold tabs and line ends. That makes a file one task: pass
-    `multiline=False` for line-per-row files, which then split at any size.
-    """
-    return spark.read.csv(
+
+def _restored(df: DataFrame) -> DataFrame:
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: unescaped(F.col(c)) for c in texts})
+
+
+def _read(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str, multiline: bool
+) -> DataFrame:
+    rows = spark.read.csv(
         path,
         schema=schema,
-        sep="\t",
+        sep=sep,
         header=True,
         quote='"',
         escape='"',
         multiLine=multiline,
         enforceSchema=True,
     )
+    return rows if multiline else _restored(rows)
+
+
+def read_tsv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+) -> DataFrame:
+    """Tab-separated file with a header, a row per line, which splits at any size.
+
+    Line ends inside a text are escaped, as the writers here do. `multiline=True` reads
+    files of others with bare line ends inside quotes, each file as one task.
+    """
+    return _read(spark, path, schema, "\t", multiline)
 
 
 def read_label_first(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -77,18 +97,16 @@ def read_label_first(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return good, rejected
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header; a leading byte-order mark does no harm."""
-    return spark.read.csv(
-        path, schema=schema, header=True, quote='"', escape='"', multiLine=True
-    )
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+) -> DataFrame:
+    """The same with commas; a leading byte-order mark does no harm."""
+    return _read(spark, path, schema, ",", multiline)
 
 
-def read_keyword_sheet(spark: SparkSession, path: str) -> DataFrame:
+def read_keyword_sheet(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """The keyword sheet as CSV; missing cells become empty text."""
-    return spark.read.csv(
-        path, schema=KEYWORD_SHEET, header=True, quote='"', escape='"', multiLine=True
-    ).fillna("")
+    return _read(spark, path, KEYWORD_SHEET, ",", multiline).fillna("")
 
 
 def read_delimited(

@@ -69,10 +69,15 @@ def test_encode_pair_like_a_loop(spark, sizes):
         assert len(spans) == 12
 
 
-def test_count_vectors_stay_per_row(spark):
-    df = spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["c"]), (3, [])], "id int, tokens array<string>")
+def test_counts_stay_per_row(spark):
+    df = spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["c"]), (3, []), (4, ["d"])], "id int, tokens array<string>")
+    known = features.vocabulary(df.where("id < 3"), "tokens")
     for binary, value in ((False, 2.0), (True, 1.0)):
-        model = features.fit_word_counts(df.where("id < 3"), "tokens", "f", binary)
-        listed = spark.createDataFrame(list(enumerate(model.vocabulary)), "position int, word string")
-        cells = features.vector_entries(model.transform(df), "id", "f", listed)
+        cells = features.word_counts(df, "id", "tokens", known, binary)
         assert sorted(tuple(r) for r in cells.collect()) == [(1, "a", value), (1, "b", 1.0), (2, "c", 1.0)]
+
+
+def test_a_vector_has_the_width_its_caller_gives(spark):
+    df = spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["b", "a"])], "id int, tokens array<string>")
+    assert features.fit_word_counts(df, "tokens", "f", 1).vocabulary == ["a"]
+    assert features.hashed_counts("tokens", "f", 8).transform(df).first()["f"].size == 8

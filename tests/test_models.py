@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opinarium.catalog.portable import linear_model
 from opinarium.functions.text import words
 from opinarium.operators import evaluate, explain, features, scoring, training
 from opinarium.plans import daily, modelling
@@ -29,14 +28,20 @@ def test_linear_scorer(vectors):
     assert np.allclose(by_id(df.withColumn("s", score("v")), "s"), x @ w.T)
 
 
-def test_portable_file_scores_the_same(spark, vectors, tmp_path):
-    pytest.importorskip("onnxruntime")
+def test_saved_model_scores_the_same(spark, vectors, tmp_path):
     df, x = vectors
-    w = np.arange(18).reshape(6, 3) / 10
-    path = tmp_path / "linear.onnx"
-    path.write_bytes(linear_model(w.tolist()))
-    score = scoring.batch_scorer(scoring.portable_file(spark, str(path)), input_shape=[6])
-    assert np.allclose(by_id(df.withColumn("s", score("v")), "s"), x @ w, atol=1e-5)
+    w = np.arange(18).reshape(3, 6) / 10
+    scoring.save_linear(spark, w.tolist(), str(tmp_path / "linear"))
+    out = df.withColumn("s", scoring.load_linear(spark, str(tmp_path / "linear"))(F.col("v")))
+    assert np.allclose(by_id(out, "s"), x @ w.T)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_labels_by_table(spark):
+    df = spark.createDataFrame([(0, [0.1, 0.9]), (1, [0.5, 0.5]), (2, [0.0, 0.0, 1.0]), (3, None)], "id int, s array<double>")
+    names = scoring.label_table(spark, ["A", "B"])
+    got = scoring.decode_by_table(df, names, "s", "name").orderBy("id").collect()
+    assert [r["name"] for r in got] == ["B", "A", None, None]
 
 
 def test_two_heads_in_one_pass(spark):
@@ -115,6 +120,30 @@ def test_two_head_variants_keep_rows_without_a_property(spark):
     assert sorted(r["property"] for r in kept.collect()) == ["", "place", "place"]
 
 
+def test_run_summary(spark):
+    rules = spark.createDataFrame(
+        [(0, "first", [["First"]])], "rule_order int, name string, clauses array<array<string>>")
+    rows, counts = daily.daily_with_counts(*day_tables(spark), "d1", ["own"], scorer(), ["place"], rules)
+    got = {r["stage"]: r["row_count"] for r in counts.collect()}
+    # article 1 has two filter rows; 2 repeats 1; "short" has no sentence; the third has no name
+    assert got == {"query": 5, "articles": 2, "sentences": 3, "rules": 3, "failed": 1, "final": 2}
+    full = daily.daily_opinions(*day_tables(spark), "d1", ["own"], scorer(), ["place"], rules)
+    assert sorted(rows.collect()) == sorted(full.collect())
+
+
+def test_daily_job_reads_and_splits_articles_once(spark, tmp_path):
+    names = ("news", "correlation", "classified")
+    for name, df in zip(names, day_tables(spark)):
+        df.write.parquet(str(tmp_path / name))
+    tables = [spark.read.parquet(str(tmp_path / name)) for name in names]
+    rows = daily.daily_opinions(
+        *tables, "d1", ["own"], scorer(), ["place"], variant=daily.Variant(rules=None))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert plan.count("FileScan") == 2  # the articles, and the written table of their keys
+    assert "news_content" in plan and "LeftSemi" in plan
+
+
 def test_sampled_variant_scores_once(spark):
     rows = daily.daily_opinions(*day_tables(spark), "d1", ["own"], scorer(), ["place", "third"], variant=daily.TWO_HEADS)
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
@@ -143,7 +172,7 @@ def rated(spark):
 
 
 def test_train_and_evaluate(spark, rated):
-    model = modelling.train(rated, maxIter=10)
+    model = modelling.train(rated, 1 << 10, maxIter=10)
     out = modelling.evaluate_model(model, rated, "id")
     assert out["accuracy"].first()[0] == 1.0
     assert out["loss"].first()[0] < 0.2
@@ -188,8 +217,14 @@ def test_co_training(rated, classes):
     if classes == 3:
         rows = rows.withColumn("label", F.when(F.col("id") % 6 == 1, 2).otherwise(F.col("label")))
     held = F.col("id") % 4 == 0
-    out = training.co_train(rows.where(~held), rows.where(held), "id", classes, rounds=2, vocabulary=64,
-                            tree_settings={"maxIter": 2, "maxDepth": 2}, maxIter=5)
+    counter = features.hashed_counts("tokens", "counts", 64)
+    out, rounds = training.co_train(rows.where(~held), rows.where(held), "id", classes, counter, rounds=2,
+                                    tree_settings={"maxIter": 2, "maxDepth": 2}, maxIter=5)
+    assert len(rounds) == 2
+    for written in rounds:
+        wrong = F.col("teacher_pred") != F.col("label")
+        assert written.count() == 120
+        assert written.where((F.col("weight") == 10) != wrong).isEmpty()
     got = {(r["epoch"], r["metric"]): r["value"] for r in out.collect()}
     names = {f"{who}_{part}_accuracy" for who in ("teacher", "student") for part in ("train", "valid")}
     assert set(got) == {(e, n) for e in (1, 2) for n in names}
@@ -206,6 +241,34 @@ def test_soft_rows_and_distilling(spark, rated):
     assert evaluate.accuracy(judged).first()[0] == 1.0
 
 
+def test_no_early_stopping_with_three_classes():
+    with pytest.raises(ValueError, match="early stopping"):
+        training.boosted_student(3, held_out="held_out")
+
+
+def test_counts_of_a_large_vocabulary(spark):
+    """More words than any vector of the package has places."""
+    words_of = F.transform(F.sequence(F.lit(0), F.lit(2999)), lambda j: F.concat_ws("-", F.col("id"), j))
+    df = spark.range(100).select("id", words_of.alias("tokens"))
+    known = features.vocabulary(df, "tokens")
+    cells = features.word_counts(df, "id", "tokens", known)
+    assert known.count() == 300_000
+    assert cells.agg(F.count("*"), F.sum("value")).first() == (300_000, 300_000.0)
+    twice = df.withColumn("tokens", F.concat("tokens", "tokens"))
+    assert features.word_counts(twice, "id", "tokens", known).agg(F.sum("value")).first()[0] == 600_000.0
+    assert features.word_counts(twice, "id", "tokens", known, binary=True).agg(F.sum("value")).first()[0] == 300_000.0
+
+
+def test_probabilities_of_one_id_twice(spark, rated):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = features_of(rated).select("id", "features")
+    half = rows.select("id", array_to_vector(F.array(F.lit(0.5), F.lit(0.5))).alias("probability"))
+    assert features.with_probabilities(rows, half, "id", "features", "both").count() == 120
+    with pytest.raises(Exception, match="one id"):
+        features.with_probabilities(rows, half.union(half.limit(1)), "id", "features", "both").collect()
+
+
 def test_error_weights_match_by_id(spark):
     df = spark.createDataFrame([(1, 2, 2), (2, 3, 2)], "id int, pred int, label int")
     got = df.select("id", features.error_weight(F.col("pred"), F.col("label")).alias("w")).collect()
@@ -248,6 +311,15 @@ def test_local_fit_finds_the_word_that_matters(spark):
     assert flat.where(F.length("word") < 2).count() == 0 and "words" not in flat.columns
 
 
+def test_each_row_has_its_own_class_explained(spark):
+    df = spark.createDataFrame([(i, "the good thing is awful here", i % 2) for i in range(4)], "id int, text string, c int")
+    score = scoring.batch_scorer(scoring.cue_factory(["good", "awful"]))
+    got = explain.local_weights(df, "id", words(F.col("text")), score, samples=150, target="c")
+    for r in got.collect():
+        weights = {w["word"]: w["weight"] for w in r["words"]}
+        assert (weights["good"] > 0) == (r["id"] % 2 == 0) and (weights["awful"] > 0) == (r["id"] % 2 == 1)
+
+
 def test_explain_day(spark):
     df = spark.createDataFrame(
         [(i, f"some words good here {i}", "d1") for i in range(5)] + [(9, "other day", "d2")],

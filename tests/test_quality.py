@@ -51,11 +51,33 @@ def test_row_sums_are_support(spark):
     assert sums == {c: report[c][3] for c in sums}
 
 
-def test_too_many_classes_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(evaluate, "MAX_CLASSES", 1)
-    df = spark.createDataFrame([(0, 1)], "label int, pred int")
-    with pytest.raises(Exception, match="too many classes"):
-        evaluate.confusion_matrix(df).collect()
+def test_failed_predictions_are_wrong_and_no_class(spark):
+    data = [(0, 0), (1, 1), (0, None), (1, None), (None, 0)]
+    df = spark.createDataFrame(data, "label int, pred int")
+    assert evaluate.accuracy(df).first()[0] == 0.5
+    got = rows_of(evaluate.class_report(df))
+    assert got["0"] == got["1"] == (1.0, 0.5, 0.6667, 2)
+    assert got["micro avg"] == (1.0, 0.5, 0.6667, 4)
+    assert set(got) == {"0", "1", "macro avg", "weighted avg", "micro avg"}
+    cells = {(r["label"], r["pred"]): r["n"] for r in evaluate.confusion_matrix(df).collect()}
+    assert cells == {(0, 0): 1, (0, 1): 0, (1, 0): 0, (1, 1): 1, (0, None): 1, (1, None): 1}
+    sparse = {(r["label"], r["pred"]): r["n"] for r in evaluate.pair_counts(df).collect()}
+    assert sparse == {k: n for k, n in cells.items() if n}
+
+
+def test_matrix_of_many_classes(spark):
+    df = spark.range(4000).select((F.col("id") % 2000).alias("label"), (F.col("id") * 7 % 2000).alias("pred"))
+    matrix = evaluate.confusion_matrix(df)
+    assert matrix.agg(F.count("*"), F.sum("n")).first() == (2000 * 2000, 4000)
+
+
+def test_failed_multi_label_rows_are_all_zero(spark):
+    data = [([1, 0], [1, 0]), ([1, 1], None)]
+    df = spark.createDataFrame(data, "y array<int>, p array<int>")
+    got = rows_of(evaluate.multi_label_report(df, "y", "p"))
+    assert got["0"] == (1.0, 0.5, 0.6667, 2) and got["1"] == (0.0, 0.0, 0.0, 1)
+    share = evaluate.cell_accuracy(df, "y", "p").first()
+    assert share["cell_accuracy"] == 0.5 and share["row_accuracy"] == 0.5
 
 
 def test_multi_label(spark):

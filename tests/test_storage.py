@@ -59,13 +59,33 @@ def test_unknown_layout(spark):
 
 
 def test_training_tsv_round_trip(spark, tmp_path):
-    texts = ['plain', 'tab\there', 'line\nend', 'quote " and \\ back', "", "中文"]
+    texts = ['plain', 'tab\there', 'line\nend\r\n', 'quote " and \\ back \\n \\\\r', "", "中文"]
     df = spark.createDataFrame(list(zip(texts, range(6))), "text string, label int")
     out.export_tsv(df, str(tmp_path / "t"))
     back = src.read_tsv(spark, str(tmp_path / "t"), df.schema).fillna("")
     assert sorted((r["label"], r["text"]) for r in back.collect()) == list(enumerate(texts))
 
 
+def test_one_large_file_gives_several_tasks(spark, tmp_path):
+    df = spark.range(20_000).select(F.concat(F.lit("text\n"), F.col("id").cast("string")).alias("text"))
+    out.export_csv(df.coalesce(1), str(tmp_path / "c"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        back = src.read_csv(spark, str(tmp_path / "c"), df.schema)
+        assert back.rdd.getNumPartitions() > 3
+        assert back.exceptAll(df).isEmpty() and back.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_files_of_others_with_bare_line_ends(spark, tmp_path):
+    path = tmp_path / "o.tsv"
+    path.write_text('text\tlabel\n"two\nlines \\n"\t1\n', encoding="utf-8")
+    back = src.read_tsv(spark, str(path), "text string, label int", multiline=True)
+    assert [tuple(r) for r in back.collect()] == [("two\nlines \\n", 1)]
+
+
 def test_label_first_rejects(spark, tmp_path):
     lines = ["label\ttext_a", "1\tgood", "x\tbad label", "2\ttoo\tmany", "3", '0\tsays "hi"', ""]
     path = tmp_path / "l.tsv"
