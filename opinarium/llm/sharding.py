@@ -1,33 +1,51 @@
 """Sharding by fixed virtual slots and a versioned slot map.
 
-A row belongs to one of thousands of virtual slots by hash; that never changes. A small map
-says which shard holds a slot. Version 0 deals slots out in turn; rebalancing reads the bytes per
-slot and edits the map by moving slots from heavy shards to light ones, each edit a new
-version, so data moves in whole slots only. Only functions of Spark SQL touch the rows; the map
-has one row per slot whatever the data, and is the one thing the driver sees or broadcasts.
+A row belongs to one of thousands of virtual slots by the hash of its text, so equal texts stay
+together. A small map says which shard holds a slot. Version 0 deals slots out in turn;
+rebalancing reads the bytes per slot and edits the map by moving slots from heavy shards to light
+ones, each edit a new version, so data moves in whole slots only. Only functions of Spark SQL
+touch the rows; the map has one row per slot whatever the data, and is what the driver sees and
+broadcasts.
 
 The law of the dealt shards is `bytes`: sizes are equal up to the bytes of a slot. A row is never
-split, so no dealing can even out a table whose longest text outweighs a shard.
+split, so no dealing can even out a table whose longest text outweighs a shard. A group of
+equal texts that outweighs a shard is spread over the slots by doc_id; there are fewer such groups
+than shards, and the map names them.
 
-NULL and empty texts weigh one byte. Repeated rows share a slot. A NULL doc_id hashes like
-any other value; the text is hashed along, so one id on many rows does not fill one slot.
+NULL texts are spread by doc_id. NULL and empty texts weigh one byte. Repeated rows share a slot.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLOTS = 4096
 
-MAP_SCHEMA = "version int, slot int, shard int, bytes long, n_rows long"
+# A slot's rows are ranked in this many parts, so that a slot of many copies is no single task.
+PARTS = 16
 
+MAP_SCHEMA = "version int, slot int, shard int, bytes long, n_rows array<long>, spread array<long>"
 
-def slot_of(slots: int = SLOTS) -> Column:
-    """The virtual slot of a row with `doc_id` and `text`."""
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)).cast("int")
+
+def text_hash() -> Column:
+    return F.xxhash64("text")
+
+
+def slot_of(slots: int = SLOTS, spread: Sequence[int] = ()) -> Column:
+    """The virtual slot of a row with `doc_id` and `text`; `spread` are hashes of heavy texts."""
+    alone = F.col("text").isNull()
+    if spread:
+        alone = alone | text_hash().isin(list(spread))
+    owner = F.when(alone, F.xxhash64("doc_id", "text")).otherwise(text_hash())
+    return F.pmod(owner, F.lit(slots)).cast("int")
+
+
+def part_of() -> Column:
+    return F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(PARTS)).cast("int")
 
 
 def row_size() -> Column:
@@ -35,14 +53,32 @@ def row_size() -> Column:
     return (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
 
 
-def slot_totals(docs: DataFrame, slots: int = SLOTS) -> list[tuple[int, int, int]]:
-    """(slot, bytes, rows) of the slots in use, at most one entry per slot."""
+def heavy_texts(docs: DataFrame, shards: int) -> list[int]:
+    """Hashes of the texts whose copies outweigh a shard: fewer than there are shards."""
+    sizes = docs.where("text is not null").select(text_hash().alias("hash"), row_size().alias("size"))
+    groups = sizes.groupBy("hash").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    heavy = groups.where((F.col("n") > 1) & (F.col("bytes") > total / shards))
+    return sorted(r["hash"] for r in heavy.collect())
+
+
+# (slot, bytes, rows of each part)
+Totals = list[tuple[int, int, tuple[int, ...]]]
+
+
+def slot_totals(docs: DataFrame, slots: int = SLOTS, spread: Sequence[int] = ()) -> Totals:
+    """What the slots in use hold; `slots` times `PARTS` numbers at most come to the driver."""
     totals = (
-        docs.select(slot_of(slots).alias("slot"), row_size().alias("size"))
-        .groupBy("slot")
+        docs.select(slot_of(slots, spread).alias("slot"), part_of().alias("part"), row_size().alias("size"))
+        .groupBy("slot", "part")
         .agg(F.sum("size").alias("bytes"), F.count("*").alias("n_rows"))
     )
-    return [(r["slot"], r["bytes"], r["n_rows"]) for r in totals.collect()]
+    found: dict[int, tuple[int, list[int]]] = {}
+    for r in totals.collect():
+        size, rows = found.setdefault(r["slot"], (0, [0] * PARTS))
+        rows[r["part"]] = r["n_rows"]
+        found[r["slot"]] = size + r["bytes"], rows
+    return [(slot, size, tuple(rows)) for slot, (size, rows) in sorted(found.items())]
 
 
 @dataclass(frozen=True)
@@ -53,7 +89,8 @@ class SlotMap:
     shards: int
     shard: tuple[int, ...]  # by slot
     bytes: tuple[int, ...]
-    rows: tuple[int, ...]
+    rows: tuple[tuple[int, ...], ...]  # by slot and part
+    spread: tuple[int, ...] = ()  # hashes of texts that are spread by doc_id
 
     def loads(self) -> list[int]:
         total = [0] * self.shards
@@ -61,19 +98,25 @@ class SlotMap:
             total[shard] += size
         return total
 
+    def edited(self, shard: Sequence[int], shards: int) -> SlotMap:
+        """The next version."""
+        return replace(self, version=self.version + 1, shard=tuple(shard), shards=shards)
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        slots = range(len(self.shard))
-        rows = [(self.version, s, self.shard[s], self.bytes[s], self.rows[s]) for s in slots]
+        rows = [
+            (self.version, s, self.shard[s], self.bytes[s], list(self.rows[s]), list(self.spread))
+            for s in range(len(self.shard))
+        ]
         return spark.createDataFrame(rows, MAP_SCHEMA)
 
 
-def first_map(totals: list[tuple[int, int, int]], shards: int, slots: int = SLOTS) -> SlotMap:
+def first_map(totals: Totals, shards: int, slots: int = SLOTS, spread: Sequence[int] = ()) -> SlotMap:
     """Version 0: slots dealt out in turn."""
-    sizes, rows = [0] * slots, [0] * slots
+    sizes, rows = [0] * slots, [(0,) * PARTS] * slots
     for slot, size, n in totals:
-        sizes[slot], rows[slot] = size, n
+        sizes[slot], rows[slot] = size, tuple(n)
     dealt = tuple(s % shards for s in range(slots))
-    return SlotMap(0, shards, dealt, tuple(sizes), tuple(rows))
+    return SlotMap(0, shards, dealt, tuple(sizes), tuple(rows), tuple(spread))
 
 
 def rebalanced(current: SlotMap) -> SlotMap:
@@ -113,7 +156,7 @@ def rebalanced(current: SlotMap) -> SlotMap:
                 shard[slot] = new
                 loads[old] -= current.bytes[slot]
                 loads[new] += current.bytes[slot]
-    return SlotMap(current.version + 1, current.shards, tuple(shard), current.bytes, current.rows)
+    return current.edited(shard, current.shards)
 
 
 def grown(current: SlotMap) -> SlotMap:
@@ -131,7 +174,7 @@ def grown(current: SlotMap) -> SlotMap:
         shard[slot] = new
         loads[heavy] -= size
         loads[new] += size
-    return SlotMap(current.version + 1, new + 1, tuple(shard), current.bytes, current.rows)
+    return current.edited(shard, new + 1)
 
 
 def save_map(spark: SparkSession, made: SlotMap, folder: str) -> None:
@@ -146,46 +189,57 @@ def load_map(spark: SparkSession, folder: str, version: int | None = None) -> Sl
     if version is None:
         version = stored.agg(F.max("version")).first()[0]
     rows = stored.where(F.col("version") == version).orderBy("slot").collect()
-    columns = [tuple(r[c] for r in rows) for c in ("shard", "bytes", "n_rows")]
-    return SlotMap(version, max(columns[0]) + 1, *columns)
+    shard, sizes = (tuple(r[c] for r in rows) for c in ("shard", "bytes"))
+    held = tuple(tuple(r["n_rows"]) for r in rows)
+    return SlotMap(version, max(shard) + 1, shard, sizes, held, tuple(rows[0]["spread"]))
 
 
 def assign(docs: DataFrame, made: SlotMap) -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot, shard, slot): each row's shard and place in it.
 
-    Places count from 0 without gap in each shard: the rows of the shard's earlier slots,
-    known from the map, plus the rank within the slot, so that no window spans a shard.
+    Places count from 0 without gap in each shard: the rows of the shard's earlier parts of slots,
+    known from the map, plus the rank within the part, so that no window spans a shard.
     The map must be made from the same rows.
     """
     spark = docs.sparkSession
     begin, seen = [], [0] * made.shards
     for slot, shard in enumerate(made.shard):
-        begin.append((slot, shard, seen[shard]))
-        seen[shard] += made.rows[slot]
-    table = spark.createDataFrame(begin, "virtual_slot int, shard int, begin long")
+        for part, n in enumerate(made.rows[slot]):
+            if n:
+                begin.append((slot, part, shard, seen[shard]))
+                seen[shard] += n
+    table = spark.createDataFrame(begin, "virtual_slot int, part int, shard int, begin long")
     rows = docs.select(
         "doc_id",
         row_size().alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-        slot_of(len(made.shard)).alias("virtual_slot"),
+        slot_of(len(made.shard), made.spread).alias("virtual_slot"),
+        part_of().alias("part"),
     )
-    # at most one row per slot, whatever the data
-    ranked = rows.join(F.broadcast(table), "virtual_slot").selectExpr(
+    # at most one row per part of a slot, whatever the data
+    ranked = rows.join(F.broadcast(table), ["virtual_slot", "part"]).selectExpr(
         "*",
-        "row_number() over (partition by virtual_slot order by doc_id, text_crc32, size) - 1 as rank",
+        "row_number() over (partition by virtual_slot, part order by doc_id, text_crc32, size) - 1 as rank",
     )
     return ranked.select(
         "doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("begin") + F.col("rank")).alias("slot")
     )
 
 
+def balanced_map(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> SlotMap:
+    """A map of the table's own slots, rebalanced once."""
+    spread = heavy_texts(docs, shards)
+    return rebalanced(first_map(slot_totals(docs, slots, spread), shards, slots, spread))
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> DataFrame:
     """Every document's shard 0 to `shards` - 1 under a balanced map."""
-    return assign(docs, rebalanced(first_map(slot_totals(docs, slots), shards, slots)))
+    return assign(docs, balanced_map(docs, shards, slots))
 
 
 def write_shards(docs: DataFrame, made: SlotMap, folder: str) -> None:
     """The documents themselves, one folder per shard, in tasks that each hold some slots."""
     table = docs.sparkSession.createDataFrame(list(enumerate(made.shard)), "_slot int, _shard int")
-    placed = docs.withColumn("_slot", slot_of(len(made.shard))).join(F.broadcast(table), "_slot")
+    slot = slot_of(len(made.shard), made.spread)
+    placed = docs.withColumn("_slot", slot).join(F.broadcast(table), "_slot")
     placed.drop("_slot").write.partitionBy("_shard").parquet(folder)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from opinarium.llm import sharding
 
+ROWS = (1,) * sharding.PARTS
+
 
 def test_given_documents(some_docs):
     rows = {r["doc_id"]: r["text"] for r in some_docs.collect()}
@@ -23,9 +25,35 @@ def test_given_documents(some_docs):
         places.setdefault(r["shard"], []).append(r["slot"])
     assert set(loads) <= set(range(16))
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
-    biggest = max(r["size"] for r in found)
+    groups = Counter()
+    for r in found:
+        groups[rows[r["doc_id"]]] += r["size"]
     mean = sum(loads.values()) / 16
-    assert max(loads.values()) <= max(1.02 * mean, biggest)
+    assert max(loads.values()) <= max(1.02 * mean, max(groups.values()))
+    together = {}
+    for r in found:
+        together.setdefault(rows[r["doc_id"]], set()).add(r["shard"])
+    assert all(len(s) == 1 or groups[t] > mean for t, s in together.items())
+
+
+def test_a_third_of_the_rows_with_one_text(spark):
+    rows = [(i, "one text of all of these rows" if i % 3 == 0 else prose(i, 4)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(sharding.heavy_texts(docs, 16)) == 1
+    found = sharding.shard_documents(docs, 16)
+    loads = [r["s"] for r in found.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
+    assert len(loads) == 16 and max(loads) <= 1.02 * sum(loads) / 16
+    nulls = spark.createDataFrame([(i, None) for i in range(500)], "doc_id long, text string")
+    counts = [r["count"] for r in sharding.shard_documents(nulls, 16).groupBy("shard").count().collect()]
+    assert len(counts) == 16 and max(counts) - min(counts) <= 1
+
+
+def test_a_slot_is_ranked_in_parts(spark):
+    docs = spark.createDataFrame([(i, "same") for i in range(1000)], "doc_id long, text string")
+    made = sharding.first_map(sharding.slot_totals(docs), 2)
+    found = sharding.assign(docs, made).collect()
+    assert sorted(r["slot"] for r in found) == list(range(1000)) and len({r["shard"] for r in found}) == 1
+    assert max(max(n) for n in made.rows) < 120
 
 
 def test_sizes_are_near_equal_where_no_text_is_large(spark):
@@ -36,7 +64,7 @@ def test_sizes_are_near_equal_where_no_text_is_large(spark):
 
 
 def test_rebalancing_moves_whole_slots_to_lighter_shards():
-    totals = [(s, 10 + s % 7 * 100, 1) for s in range(64)]
+    totals = [(s, 10 + s % 7 * 100, ROWS) for s in range(64)]
     first = sharding.first_map(totals, 4, 64)
     after = sharding.rebalanced(first)
     assert after.version == 1 and after.bytes == first.bytes
@@ -47,7 +75,7 @@ def test_rebalancing_moves_whole_slots_to_lighter_shards():
 
 
 def test_a_new_shard_only_takes():
-    totals = [(s, 50 + s * 13 % 40, 1) for s in range(256)]
+    totals = [(s, 50 + s * 13 % 40, ROWS) for s in range(256)]
     before = sharding.rebalanced(sharding.first_map(totals, 8, 256))
     after = sharding.grown(before)
     assert after.shards == 9
@@ -58,7 +86,7 @@ def test_a_new_shard_only_takes():
 
 def test_maps_are_stored_by_version(spark, tmp_path):
     folder = str(tmp_path / "maps")
-    made = [sharding.first_map([(3, 9, 1), (4, 1, 2)], 2, 8)]
+    made = [sharding.first_map([(3, 9, ROWS), (4, 1, ROWS)], 2, 8, [-7, 5])]
     made.append(sharding.rebalanced(made[0]))
     for one in made:
         sharding.save_map(spark, one, folder)
@@ -79,7 +107,7 @@ def test_odd_rows(odd_docs):
 
 
 def test_written_shards_hold_the_documents(spark, odd_docs, tmp_path):
-    made = sharding.rebalanced(sharding.first_map(sharding.slot_totals(odd_docs), 4))
+    made = sharding.balanced_map(odd_docs, 4)
     sharding.write_shards(odd_docs, made, str(tmp_path / "out"))
     back = spark.read.schema(odd_docs.schema).parquet(str(tmp_path / "out")).select(odd_docs.columns)
     assert back.exceptAll(odd_docs).isEmpty() and odd_docs.exceptAll(back).isEmpty()
