@@ -29,10 +29,10 @@ def build_vocabulary(df: DataFrame, tokens: Column) -> DataFrame:
 def look_up(df: DataFrame, vocabulary: DataFrame, tokens: list[str], key: str) -> DataFrame:
     """(key, one list of ids per token column), in token order; unlisted tokens are unknown.
 
-    Rows stay also when every list is empty. Pass lists already cut to length.
+    Rows stay also when every list is empty. Pass lists already cut to length. Keys must be
+    unique: two rows of one key raise instead of being merged.
     """
 
-
     def placed(side: int, column: str) -> Column:
         return F.transform(
             F.col(column),
@@ -61,9 +61,14 @@ def look_up(df: DataFrame, vocabulary: DataFrame, tokens: list[str], key: str) -
             for n, c in enumerate(tokens)
         ]
     )
-    return gathered.select(
-        key, *[F.transform(c, lambda t: t["id"]).alias(c) for c in tokens]
-    )
+
+    def ids_of(column: str) -> Column:
+        places = F.transform(column, lambda t: t["pos"])
+        return F.when(
+            F.size(places) == F.size(F.array_distinct(places)), F.transform(column, lambda t: t["id"])
+        ).otherwise(F.raise_error(F.lit("two rows have one key")))
+
+    return gathered.select(key, *[ids_of(c).alias(c) for c in tokens])
 
 
 def _padded(values: Column, length: Column, max_len: int, pad: int) -> Column:

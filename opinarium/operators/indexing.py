@@ -18,8 +18,9 @@ def with_row_index(
 
     Rows are range-partitioned and sorted; a row's position is its place in its
     range plus the sizes of the ranges before. Only the table of range sizes,
-    one row per task, is ever in one place. The ranges are sampled, so
-    the stage is written once and both steps read the written one.
+    one row per task, is ever in one place. The numbered stage is written once and both
+    steps read the written one. The ranges are sampled first, which runs the input twice:
+    pass a written stage when it is costly.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = (

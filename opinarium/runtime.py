@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +21,29 @@ def shared_dir(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
 
 
+# The folder of the run that is going on, if there is one.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """Stages written inside go to one folder, which is deleted at the end.
+
+    Write the results that are to stay elsewhere before leaving: frames read from stages are gone
+    with them.
+    """
+    path = new_folder(spark, name)
+    outer = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(outer)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -81,3 +82,10 @@ def test_a_vector_has_the_width_its_caller_gives(spark):
     df = spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["b", "a"])], "id int, tokens array<string>")
     assert features.fit_word_counts(df, "tokens", "f", 1).vocabulary == ["a"]
     assert features.hashed_counts("tokens", "f", 8).transform(df).first()["f"].size == 8
+
+
+def test_two_rows_of_one_key(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (1, ["b"])], "id int, w array<string>")
+    vocabulary = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
+    with pytest.raises(Exception, match="one key"):
+        enc.look_up(df, vocabulary, ["w"], "id").collect()

@@ -161,6 +161,18 @@ def test_shared_dir_comes_from_the_session(spark, monkeypatch):
     assert runtime.shared_dir(Unset) == "file:/w/stages"
 
 
+def test_a_run_drops_its_stages(spark, tmp_path):
+    import os
+
+    with runtime.run_folder(spark) as folder:
+        stage = runtime.materialize(spark.range(5), "stage")
+        assert stage.count() == 5 and os.listdir(folder.removeprefix("file:"))
+        stage.write.parquet(str(tmp_path / "result"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 5
+    assert not runtime.new_folder(spark, "x").startswith(folder)
+
+
 def test_is_small(spark):
     assert runtime.is_small(spark.range(10), 10)
     assert not runtime.is_small(spark.range(11), 10)
