@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +37,10 @@ REGISTERS = BANDS * BAND_ROWS
 THRESHOLD = 0.8
 SURE_BELOW = 0.6
 LEADER_ROUNDS = 3
-CHUNK_CHARS = 1 << 20
+# Characters that one call turns into arrays, and what the shortest text counts as, so that no
+# call gets more texts than shingle keys have room for.
+CHUNK_CHARS = 1 << 18
+LEAST_SIZE = CHUNK_CHARS // MAX_TEXTS + 1
 
 
 def _streams(text: np.ndarray, ids: np.ndarray, count: np.ndarray):
@@ -114,37 +116,51 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return shared / total if total else 0.0
 
 
-def _signature_udf(spark):
-    table = spark.sparkContext.broadcast(word_characters())
+def _sizes(column) -> np.ndarray:
+    """Characters of each text, and a share of the texts that fit into one call."""
+    import pyarrow.compute as pc
+
+    return pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False) + LEAST_SIZE
+
+
+def _sign(keyed: DataFrame) -> DataFrame:
+    """(doc_id, key, sig) of (doc_id, key, text); few texts at a time leave the batch."""
+    table = keyed.sparkSession.sparkContext.broadcast(word_characters())
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    @F.pandas_udf("binary")
-    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            texts = batch.fillna("").tolist()
-            out = []
-            for part in chunks([len(t) + CHUNK_CHARS // MAX_TEXTS + 1 for t in texts], CHUNK_CHARS):
-                out.extend(signatures(texts[part], table.value))
-            yield pd.Series(out, dtype=object)
+            rows = pa.table(batch)
+            for part in chunks(_sizes(batch.column("text")), CHUNK_CHARS):
+                few = rows.slice(part.start, part.stop - part.start)
+                made = signatures(few["text"].to_pylist(), table.value)
+                few = few.drop_columns("text").append_column("sig", pa.array(made, pa.binary()))
+                yield from few.to_batches()
+
+    return keyed.select("doc_id", "key", "text").mapInArrow(run, "doc_id long, key binary, sig binary")
 
-    return sign
 
+def _compare(pairs: DataFrame) -> DataFrame:
+    """(a, b, similarity) of (a, b, left, right)."""
+    table = pairs.sparkSession.sparkContext.broadcast(word_characters())
 
-def _overlap_udf(spark):
-    table = spark.sparkContext.broadcast(word_characters())
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    @F.pandas_udf("double")
-    def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for left, right in batches:
-            left, right = left.tolist(), right.tolist()
-            sizes = [len(a) + len(b) + CHUNK_CHARS // MAX_TEXTS * 2 + 2 for a, b in zip(left, right, strict=True)]
-            out = []
+        for batch in batches:
+            rows = pa.table(batch)
+            sizes = _sizes(batch.column("left")) + _sizes(batch.column("right"))
             for part in chunks(sizes, CHUNK_CHARS):
-                a = shingles(left[part], table.value)
-                b = shingles(right[part], table.value)
-                out.extend(overlap(a.of(i), b.of(i)) for i in range(len(left[part])))
-            yield pd.Series(out, dtype=float)
+                few = rows.slice(part.start, part.stop - part.start)
+                left = shingles(few["left"].to_pylist(), table.value)
+                right = shingles(few["right"].to_pylist(), table.value)
+                alike = [overlap(left.of(i), right.of(i)) for i in range(few.num_rows)]
+                few = few.select(["a", "b"]).append_column("similarity", pa.array(alike, pa.float64()))
+                yield from few.to_batches()
 
-    return compare
+    columns = pairs.select("a", "b", "left", "right")
+    return columns.mapInArrow(run, "a binary, b binary, similarity double")
 
 
 def text_key(text: str = "text") -> Column:
@@ -217,10 +233,8 @@ class _Search:
         self.threshold = threshold
         self.spark = docs.sparkSession
         keyed = _with_keys(docs)
-        sign = _signature_udf(self.spark)
         self.texts = materialize(
-            keyed.where("text is not null")
-            .select("doc_id", "key", sign("text").alias("sig"))
+            _sign(keyed.where("text is not null"))
             .groupBy("key")
             .agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")),
             "signed",
@@ -262,12 +276,11 @@ class _Search:
 
     def _verify(self, pairs: DataFrame) -> None:
         """Compare texts of the pairs and merge the components that a link joins."""
-        compare = _overlap_udf(self.spark)
         left = self.bodies.select(F.col("key").alias("a"), F.col("text").alias("left"))
         right = self.bodies.select(F.col("key").alias("b"), F.col("text").alias("right"))
         compared = pairs.join(left, "a").join(right, "b")
         links = materialize(
-            compared.select("a", "b", compare("left", "right").alias("similarity"))
+            _compare(compared)
             .where(F.col("similarity") >= self.threshold)
             .select("a", "b"),
             "verified",
