@@ -9,12 +9,14 @@ similarity. Points are made in order of time up to a bound that fills all regist
 made beyond the first of each shingle.
 
 Nodes of the search are distinct texts, by the MD5 of their characters. Texts that share a band meet in a
-bucket. A bucket is never paired out: each member is compared with the bucket's leader, the
-verified links are joined into components, and three rounds with new leaders follow
-for the buckets that still hold several components. Only pairs of different components that are
-left after that are looked at one by one, first by their signatures (an estimate under `SURE_BELOW`
-is more than five standard deviations from 0.8), then by their texts. Thus no link
-between texts that share a band is lost, and a large group of copies costs rows in proportion to its size.
+bucket. A bucket is not paired out: each member is compared with the bucket's leader, first the
+member that meets most texts over all its buckets, then any other one, and the verified links are
+joined into components. What is left are pairs of different components in one bucket. In a
+small bucket they are listed where their signatures allow it (an estimate under `SURE_BELOW` is more than five
+standard deviations from 0.8) and compared. A large bucket is dealt into blocks, and a task takes two
+blocks: it computes all overlaps of their members as one product of incidence matrices and gives back
+only links that join components. Thus no link between texts that share a band is lost, and the
+rows a group makes grow with its size.
 
 Equal texts are one class, empty ones included. Texts without a word have no shingles and no other
 link. A row with NULL text is a class of its own. The id of a class is its smallest doc_id.
@@ -22,25 +24,30 @@ link. A row with NULL text is a class of its own. The id of a class is its small
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.llm.common import chunks, packed
-from opinarium.llm.shingles import ID_BITS, MAX_TEXTS, mix, shingles, word_characters
+from opinarium.llm.shingles import ID_BITS, MAX_TEXTS, Shingles, mix, shingles, word_characters
 from opinarium.runtime import broadcast_if_small, materialize
 
 BANDS, BAND_ROWS = 24, 5
 REGISTERS = BANDS * BAND_ROWS
 THRESHOLD = 0.8
 SURE_BELOW = 0.6
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+# Members up to which the open pairs of a bucket are listed, and members of a block beyond that.
+LISTED_BUCKET = 64
+BLOCK = 256
 # Characters that one call turns into arrays, and what the shortest text counts as, so that no
 # call gets more texts than shingle keys have room for.
 CHUNK_CHARS = 1 << 18
 LEAST_SIZE = CHUNK_CHARS // MAX_TEXTS + 1
+MATRIX_COLUMNS = 1 << 13
 
 
 def _streams(text: np.ndarray, ids: np.ndarray, count: np.ndarray):
@@ -172,6 +179,78 @@ def _with_keys(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", text_key().alias("key"))
 
 
+def _overlaps(left: Shingles, right: Shingles) -> np.ndarray:
+    """Weighted Jaccard similarity of all texts of one side with all of the other.
+
+    A repeated shingle counts as several elements, its first, second, ... occurrence, so that
+    multisets become sets and shared elements a product of two 0/1 matrices, made for some
+    elements at a time.
+    """
+
+    def elements(side: Shingles) -> tuple[np.ndarray, np.ndarray]:
+        first = np.cumsum(side.count) - side.count
+        nth = np.arange(side.count.sum()) - np.repeat(first, side.count)
+        return np.repeat(side.text, side.count), mix(
+            np.repeat(side.ids, side.count) + (nth.astype(np.uint64) << np.uint64(ID_BITS))
+        )
+
+    (texts_a, a), (texts_b, b) = elements(left), elements(right)
+    common = np.intersect1d(a, b)
+    shared = np.zeros((len(left.totals), len(right.totals)), np.float32)
+    for start in range(0, len(common), MATRIX_COLUMNS):
+        some = common[start : start + MATRIX_COLUMNS]
+        sides = []
+        for texts, values, n in ((texts_a, a, len(left.totals)), (texts_b, b, len(right.totals))):
+            place = np.minimum(np.searchsorted(some, values), len(some) - 1)
+            here = some[place] == values
+            matrix = np.zeros((n, len(some)), np.float32)
+            matrix[texts[here], place[here]] = 1.0
+            sides.append(matrix)
+        shared += sides[0] @ sides[1].T
+    total = left.totals[:, None] + right.totals[None, :] - shared
+    return np.where(total > 0, shared / np.maximum(total, 1), 0.0)
+
+
+def _spanning(links: Iterable[tuple[int, int]], parts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Of links between rows, those that join components not joined before."""
+    root: dict[bytes, bytes] = {}
+
+    def find(part: bytes) -> bytes:
+        while (above := root.get(part, part)) != part:
+            part = above
+        return part
+
+    for i, j in links:
+        x, y = find(parts[i]), find(parts[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            yield i, j
+
+
+def _link_blocks(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): verified links that join components, from (band, i, j, asked, key, part, text).
+
+    A group (band, i, j) holds the asked texts of one block and all texts of another one.
+    """
+    table = rows.sparkSession.sparkContext.broadcast(word_characters())
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        asked, others = group[group["asked"]], group[~group["asked"]]
+        if not len(asked) or not len(others):
+            return pd.DataFrame({"a": [], "b": []}, dtype=object)
+        alike = _overlaps(
+            shingles(asked["text"].tolist(), table.value), shingles(others["text"].tolist(), table.value)
+        )
+        parts = [*asked["part"], *others["part"]]
+        keys = [*asked["key"], *others["key"]]
+        found = np.argwhere(alike >= threshold)
+        links = ((int(i), len(asked) + int(j)) for i, j in found)
+        kept = list(_spanning(links, parts))
+        return pd.DataFrame({"a": [keys[i] for i, _ in kept], "b": [keys[j] for _, j in kept]}, dtype=object)
+
+    return rows.groupBy("band", "i", "j").applyInPandas(run, "a binary, b binary")
+
+
 def _bands(texts: DataFrame) -> DataFrame:
     """(band, key): one row per band of a signature."""
     size = BAND_ROWS * 4
@@ -240,8 +319,13 @@ class _Search:
             "signed",
         )
         bands = _bands(self.texts)
-        shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-        self.members = materialize(bands.join(shared, "band"), "members")
+        shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+        met = materialize(bands.join(shared, "band"), "met")
+        reach = met.groupBy("key").agg(F.sum("n").alias("reach"))
+        # (band, key, reach): how many texts a key meets over all its buckets
+        self.members = materialize(
+            met.join(materialize(reach, "reach"), "key").select("band", "key", "reach"), "members"
+        )
         wanted = self.members.select("key").distinct().join(self.texts, "key")
         wanted = broadcast_if_small(materialize(wanted.select("key", "first_id"), "wanted"))
         same = keyed["key"].eqNullSafe(wanted["key"]) & keyed["doc_id"].eqNullSafe(wanted["first_id"])
@@ -256,8 +340,8 @@ class _Search:
         if self.parts is None:
             placed = self.members.withColumn("part", F.col("key"))
         else:
-            placed = self.members.join(self.parts, "key", "left").select(
-                "band", "key", F.coalesce("part", "key").alias("part")
+            placed = self.members.join(self.parts, "key", "left").withColumn(
+                "part", F.coalesce("part", "key")
             )
         mixed = (
             placed.groupBy("band")
@@ -294,7 +378,8 @@ class _Search:
         placed = self._placed()
         if placed.isEmpty():
             return False
-        order = F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "part")
+        rank = F.xxhash64("key", F.lit(turn)) if turn else -F.col("reach")
+        order = F.struct(rank.alias("order"), "key", "part")
         leaders = placed.groupBy("band").agg(F.min(order).alias("leader"))
         pairs = placed.join(materialize(leaders, "leaders"), "band").where("part != leader.part")
         pairs = self._new(pairs.select(F.col("key").alias("a"), F.col("leader.key").alias("b")))
@@ -304,10 +389,19 @@ class _Search:
 
     def rest(self) -> None:
         """Compare what is left: pairs of different components in one bucket."""
-        sigs = self.texts.select("key", "sig")
-        placed = materialize(self._placed().join(sigs, "key"), "open")
+        placed = self._placed().select("band", "key", "part")
         if placed.isEmpty():
             return
+        sizes = materialize(placed.groupBy("band").agg(F.count("*").alias("n")), "sizes")
+        sized = materialize(placed.join(sizes, "band"), "sized")
+        self._list_pairs(sized.where(F.col("n") <= LISTED_BUCKET))
+        large = sized.where(F.col("n") > LISTED_BUCKET)
+        if not large.isEmpty():
+            self._by_blocks(large)
+
+    def _list_pairs(self, placed: DataFrame) -> None:
+        """Compare the open pairs of small buckets whose signatures do not rule a link out."""
+        placed = materialize(placed.join(self.texts.select("key", "sig"), "key"), "listed")
         a, b = placed.alias("x"), placed.alias("y")
         equal = F.aggregate(
             F.sequence(F.lit(0), F.lit(REGISTERS - 1)),
@@ -325,9 +419,31 @@ class _Search:
         if not pairs.isEmpty():
             self._verify(pairs)
 
+    def _by_blocks(self, placed: DataFrame) -> None:
+        """Compare, block by block, the members outside a bucket's largest component with all."""
+        counts = placed.groupBy("band", "part").agg(F.count("*").alias("c"))
+        largest = counts.groupBy("band").agg(F.max(F.struct("c", "part")).alias("most"))
+        sided = placed.join(materialize(largest, "largest"), "band").select(
+            "band", "key", "part",
+            (F.col("part") != F.col("most.part")).alias("small"),
+            F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+        )
+        own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        asked = sided.where("small").select(
+            "band", own.alias("i"), other.alias("j"), F.lit(True).alias("asked"), "key", "part"
+        )
+        others = sided.select(
+            "band", other.alias("i"), own.alias("j"), F.lit(False).alias("asked"), "key", "part"
+        )
+        rows = materialize(asked.unionByName(others), "blocks").join(self.bodies, "key")
+        links = materialize(_link_blocks(rows, self.threshold), "verified")
+        if not links.isEmpty():
+            self.parts = _renamed(self.parts, links)
+
     def classes(self) -> DataFrame:
         """(key, class_key, class_id, first_id): each text's class, the key and id of its first text."""
-        for turn in range(1 + LEADER_ROUNDS):
+        for turn in range(LEADER_ROUNDS):
             if not self.by_leaders(turn):
                 break
         else:

@@ -4,7 +4,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import odd_rows, prose
+from .samples import odd_rows, prose
 
 from opinarium.llm import fingerprints
 

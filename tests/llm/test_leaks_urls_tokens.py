@@ -5,7 +5,7 @@ import re
 from urllib.parse import quote
 
 import pytest
-from conftest import odd_rows, prose
+from .samples import odd_rows, prose
 
 from opinarium.llm import decontamination as leaks
 from opinarium.llm import token_counts as tokens

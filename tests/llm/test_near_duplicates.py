@@ -1,11 +1,12 @@
 """BagMinHash classes against all pairs."""
 
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import prose
+from .samples import prose
 
 from opinarium.llm import near_duplicates as near
 from opinarium.llm.shingles import shingles, word_characters
@@ -110,6 +111,32 @@ def test_a_chain_of_near_copies_is_one_class(spark):
     assert found == {rows[i][0]: c for i, c in brute_classes(rows).items()}
 
 
+def test_large_buckets_are_compared_by_blocks(spark, monkeypatch):
+    """A family of texts with different numbers of edits: some are alike, many are not quite."""
+    monkeypatch.setattr(near, "LISTED_BUCKET", 8)
+    monkeypatch.setattr(near, "BLOCK", 16)
+    rng = random.Random(3)
+    base, rows = prose(9, 150).split(), []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randrange(12)):
+            words[rng.randrange(150)] = f"edit{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["class_id"] for r in near.near_duplicates(docs).collect()}
+    expected = brute_classes(rows)
+    assert found == expected and len(set(expected.values())) > 5
+
+
+def test_overlaps_of_two_sides():
+    texts = ["a a a b a a a b c", "a a a a a a", "", "x y z x y z x y z", "b a a a b", "x y z x y z"]
+    left, right = shingles(texts[:3], TABLE), shingles(texts[3:], TABLE)
+    found = near._overlaps(left, right)
+    for i in range(3):
+        for j in range(3):
+            assert found[i, j] == pytest.approx(likeness(bag(texts[i]), bag(texts[3 + j])))
+
+
 def test_given_documents_against_all_pairs(spark, some_docs):
     rows = [(r["doc_id"], r["text"]) for r in some_docs.collect()]
     found = {r["doc_id"]: r["class_id"] for r in near.near_duplicates(some_docs).collect()}

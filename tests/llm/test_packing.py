@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import odd_rows, prose
+from .samples import odd_rows, prose
 from pyspark.sql import functions as F
 
 from opinarium.llm import packing

@@ -4,7 +4,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from conftest import odd_rows, prose
+from .samples import odd_rows, prose
 from pyspark.sql import functions as F
 
 from opinarium.llm import sharding
