@@ -50,6 +50,16 @@ def packed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(row, *columns)
 
 
+def texts_with_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) for Python workers, ids as digits: a batch with a NULL id would turn
+    numbers into floating point and lose the last digits of long ones."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
+def ids_back(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def chunks(sizes: Sequence[int], limit: int) -> Iterator[slice]:
     """Slices of neighbours whose sizes add up to `limit` at most, or of one larger row."""
     start = total = 0

@@ -21,14 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinarium.llm.common import packed
+from opinarium.llm.common import ids_back, packed, texts_with_ids
 from opinarium.runtime import broadcast_if_small, materialize
 
 ERROR_SHARE = 0.05
 BLOCK_CHARS = 4 << 20
 WORD = re.compile(r"\w+")
 
-HIT = "doc_id long, item_id long, distance int, end int, matches int"
+HIT = "doc_id string, item_id long, distance int, end int, matches int"
 
 
 def normal(text: str | None) -> str:
@@ -141,17 +141,11 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> list[DataFrame]:
     return [items.where(block == i) for i in range(count)]
 
 
-def find_leaks(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    error_share: float = ERROR_SHARE,
-    block_chars: int = BLOCK_CHARS,
+def _hits(
+    texts: DataFrame, benchmark: DataFrame, error_share: float, block_chars: int
 ) -> DataFrame:
-    """(doc_id, item_id, distance, end, matches): the items met in each document.
-
-    `end` counts characters of the normal text. A block of items holds about `block_chars` characters.
-    """
-    context = docs.sparkSession.sparkContext
+    """The items met in each row of (doc_id string, text)."""
+    context = texts.sparkSession.sparkContext
     found = []
     for block in _blocks(benchmark, block_chars):
         items = [(r["item_id"], normal(r["text"])) for r in block.collect()]
@@ -163,21 +157,36 @@ def find_leaks(
                 rows = []
                 for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                     for item, distance, end, matches in match(normal(text)):
-                        number = None if pd.isna(doc_id) else int(doc_id)
-                        rows.append((number, item, distance, end, matches))
+                        rows.append((doc_id, item, distance, end, matches))
                 out = pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "end", "matches"])
-                yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
+                yield out.astype({"item_id": "Int64"})
 
-        found.append(docs.select("doc_id", "text").mapInPandas(run, HIT))
+        found.append(texts.mapInPandas(run, HIT))
     return reduce(DataFrame.unionByName, found)
 
 
+def find_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    error_share: float = ERROR_SHARE,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """(doc_id, item_id, distance, end, matches): the items met in each document.
+
+    `end` counts characters of the normal text. A block of items holds about `block_chars` characters.
+    """
+    return ids_back(_hits(texts_with_ids(docs), benchmark, error_share, block_chars))
+
+
 def keep_clean(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR_SHARE) -> DataFrame:
     """The documents in which no item is met, with their columns.
 
-    Rows that share an id with a document in which one is met go with it, as do rows of no id.
+    Documents are told apart by their texts here, so ids may be missing or repeated.
     """
-    leaks = find_leaks(docs, benchmark, error_share).select("doc_id").distinct()
+    key = F.md5(F.col("text").cast("binary"))
+    texts = docs.select(key.alias("doc_id"), "text")
+    hits = _hits(texts, benchmark, error_share, BLOCK_CHARS)
+    leaks = hits.select(F.col("doc_id").alias("key")).distinct()
     leaks = broadcast_if_small(materialize(leaks, "leaks"))
-    rows = packed(docs, "doc_id")
-    return rows.join(leaks, rows["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti").select("row.*")
+    rows = packed(docs, "text").select("row", key.alias("key"))
+    return rows.join(leaks, "key", "left_anti").select("row.*")

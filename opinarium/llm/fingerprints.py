@@ -133,7 +133,9 @@ def _with_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     low = ends[0] if ends[0] is not None else 0
     high = ends[1] if ends[1] is not None else 0
     step = max(-(-(high - low + 1) // CELLS), 1)
-    cell = F.coalesce(F.floor((F.col("doc_id") - low) / step).cast("int"), F.lit(-1))
+    # as floating point, which keeps the order and cannot overflow
+    place = F.floor((F.col("doc_id").cast("double") - float(low)) / float(step))
+    cell = F.coalesce(place.cast("int"), F.lit(-1))
     counted = docs.select(cell.alias("cell"), "doc_id").groupBy("cell")
     cells = counted.agg(F.count("*").alias("n"), F.max("doc_id").alias("top")).collect()
     ranges, tops, filled, number = [], {}, 0, 0

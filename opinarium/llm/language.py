@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinarium.llm.common import chunks, fold, is_held_out
+from opinarium.llm.common import chunks, fold, ids_back, is_held_out, texts_with_ids
 from opinarium.runtime import materialize
 
 UNKNOWN = "und"
@@ -241,10 +241,10 @@ def label_spans(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFra
                 )
 
     shape = (
-        "doc_id long, lang_pred string, score double, "
+        "doc_id string, lang_pred string, score double, "
         "spans array<struct<start: int, end: int, lang: string>>"
     )
-    return docs.select("doc_id", "text").mapInPandas(run, shape)
+    return ids_back(texts_with_ids(docs).mapInPandas(run, shape))
 
 
 def identify(

@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinarium.llm.common import ids_back, texts_with_ids
 from opinarium.runtime import materialize
 
 LENGTH = 1024
@@ -28,9 +29,9 @@ END_ID = 2
 GROUP_ROWS = 50_000
 ROUNDS = 3
 RELEASED = 0.25  # of a group's sequences, the emptiest
-IDS_AT_ONCE = 1 << 16
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+# ids travel as digits, see `texts_with_ids`
+PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 # Characters on which the two tokenizer libraries read their pattern alike for certain:
 # printable ASCII, tabulator, line feed, and the letters of the Latin blocks.
@@ -82,7 +83,7 @@ def cut(total: int, length: int = LENGTH) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, vocabulary: tuple[str, str, str], length: int = LENGTH) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): all pieces of all documents, whole texts."""
+    """(doc_id, piece, start, length, ids_crc32): all pieces of all documents, ids as digits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = Encoder(*vocabulary)
@@ -90,13 +91,11 @@ def pieces(docs: DataFrame, vocabulary: tuple[str, str, str], length: int = LENG
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = np.append(encode(text or ""), np.uint32(END_ID)).astype("<u4")
-                number = None if pd.isna(doc_id) else int(doc_id)
                 for piece, (start, size) in enumerate(cut(len(ids), length)):
-                    rows.append((number, piece, start, size, zlib.crc32(ids[start : start + size])))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+                    rows.append((doc_id, piece, start, size, zlib.crc32(ids[start : start + size])))
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECE)
+    return texts_with_ids(docs).mapInPandas(run, PIECE)
 
 
 def best_fit(lengths: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -221,4 +220,4 @@ def pack(
     filled = packed.select(
         *own, (F.col("_group") * group_rows * 4 + F.col("_bin")).alias("sequence_id"), "offset"
     )
-    return filled.unionByName(full)
+    return ids_back(filled.unionByName(full))

@@ -18,8 +18,10 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from opinarium.llm.common import ids_back, texts_with_ids
+
 MARK = "▁"
-COUNTS = "doc_id long, n_words long, n_tokens long, n_unknown long"
+COUNTS = "doc_id string, n_words long, n_tokens long, n_unknown long"
 
 
 def default_vocabulary() -> str:
@@ -141,4 +143,4 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, COUNTS)
+    return ids_back(texts_with_ids(docs).mapInPandas(run, COUNTS))

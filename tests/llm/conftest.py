@@ -10,7 +10,7 @@ def odd_docs(spark):
     rows = [(*row, None if row[1] is None else len(row[1]), *CLASHING) for row in odd_rows()]
     return spark.createDataFrame(
         rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}"
-    ).repartition(3)
+    ).repartition(2)
 
 
 @pytest.fixture(scope="session")

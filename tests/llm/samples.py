@@ -33,7 +33,8 @@ def odd_rows() -> list[tuple]:
         (10, "😀 emoji 😀\u0000 and ퟿ odd <|endoftext|> signs   ", "en", "a"),
         (10, "the same id with another text", "en", "a"),
         (11, "a" * 50_000, "en", "a"),
-        (2**62, "a very large id", "en", "a"),
-        (-5, "a negative id", "en", "a"),
+        (2**62 + 1, "a very large id", "en", "a"),
+        (2**63 - 1, "the largest id", "en", "a"),
+        (-(2**63), "the smallest id", "en", "a"),
     ]
     return rows

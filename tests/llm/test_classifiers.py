@@ -168,7 +168,7 @@ def test_odd_rows(odd_docs, odd_labels):
         assert len(rows) == count
         assert all(0 <= r["score"] <= 1 and r["predicted"] in (0, 1) and r["held_out"] is not None for r in rows)
     rows = language.identify(odd_docs).collect()
-    assert len(rows) == count
+    assert len(rows) == count and {2**62 + 1, 2**63 - 1, -(2**63), None} < {r["doc_id"] for r in rows}
     assert all(r["lang_pred"] == "und" for r in rows if r["doc_id"] in (2, 3, 4, 5))
     assert all(r["lang_pred"] != "und" for r in rows if r["doc_id"] in (1, 8, 9))
 

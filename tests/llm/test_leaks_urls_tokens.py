@@ -242,6 +242,7 @@ def test_token_counts_of_odd_rows(odd_docs, no_docs):
     found = tokens.count_tokens(odd_docs).collect()
     assert len(found) == len(odd_rows())
     by = {r["doc_id"]: r for r in found}
+    assert {2**62 + 1, 2**63 - 1, -(2**63), None} < set(by)
     assert all(by[i]["n_tokens"] == by[i]["n_words"] == 0 for i in (2, 3, 4, 5))
     assert by[9]["n_unknown"] <= by[9]["n_words"] <= by[9]["n_tokens"]
     assert tokens.count_tokens(no_docs).count() == 0
