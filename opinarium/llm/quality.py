@@ -57,7 +57,10 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
         "lines": share(r"\n"),
     }
     row = F.struct(*[stats[name].cast("double").alias(name) for name in STATISTICS])
-    return df.withColumn("_words", words).withColumn("_stats", row).drop("_words")
+    # The row number, which is always there, keeps the optimizer from copying the statistics into
+    # each rule that reads them, and a filter on the score from going below them.
+    once = F.when(F.monotonically_increasing_id() >= 0, row)
+    return df.withColumn("_words", words).withColumn("_stats", once).drop("_words")
 
 
 def _simplified(path: list[Condition]) -> Rule:
@@ -128,7 +131,7 @@ def fit(
         share = ones / n
         return RuleEnsemble((), math.log(share / (1 - share)))
     fired = array_to_vector(F.array(*[rule_column(rule) for rule in rules]))
-    linear = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=200)
+    linear = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=100)
     model = linear.fit(rows.select(fired.alias("features"), "label"))
     kept = [(r, float(w)) for r, w in zip(rules, model.coefficients, strict=True) if abs(w) > 1e-6]
     return RuleEnsemble(tuple(kept), float(model.intercept))

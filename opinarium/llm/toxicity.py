@@ -204,7 +204,8 @@ def with_features(df: DataFrame, lexicon: dict[str, float]) -> DataFrame:
         for texts in batches:
             yield pd.Series([scorer.features(text) for text in texts])
 
-    return df.withColumn("_features", features("text"))
+    # a filter on a deterministic score would be pushed below it, together with a second run
+    return df.withColumn("_features", features.asNondeterministic()("text"))
 
 
 def learn_lexicon(
