@@ -394,9 +394,10 @@ def cue_scorer(text: Column) -> Column:
     Emotion: how often each cue occurs.
     """
     place = F.length(text) % PROPERTY_CLASSES
-    property_scores = F.transform(
-        F.sequence(F.lit(0), F.lit(PROPERTY_CLASSES - 1)),
-        lambda k: F.when(k == place, 1.0).otherwise(0.0),
+    property_scores = F.concat(
+        F.array_repeat(F.lit(0.0), place),
+        F.array(F.lit(1.0)),
+        F.array_repeat(F.lit(0.0), PROPERTY_CLASSES - 1 - place),
     )
     emotion_scores = F.array(
         *[

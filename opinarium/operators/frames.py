@@ -40,6 +40,12 @@ def items(
     return rows.where(F.col(position or name).isNotNull())
 
 
+def once(column: Column) -> Column:
+    """The same value, computed in one place: the row number in it, which is always there, keeps
+    the optimizer from copying the expression into those that read it, or a filter from going below."""
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 def any_flag(columns: Sequence[str], value: int = 1) -> Column:
     """Whether at least one of the columns equals the value."""
     return reduce(lambda a, b: a | b, [F.col(c) == value for c in columns])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from opinarium.functions import fixed_values as fixed
 from opinarium.functions.text import clean_strict, split_sentences, whole_text_sentence
 from opinarium.operators.dedup import keep_first
-from opinarium.operators.frames import any_flag, counted, drop_failures, failure_counts, flatten
+from opinarium.operators.frames import any_flag, counted, drop_failures, failure_counts, flatten, once
 from opinarium.operators.joins import select_articles, selected_copies
 from opinarium.operators.rules import GRAMS, match_rules
 from opinarium.operators.sampling import capped_sample
@@ -136,8 +136,9 @@ def labelled_rows(
     if scoring_tasks is not None:
         sentences = sentences.repartition(scoring_tasks)
     # a row without a text, from an article without sentences, is a failed prediction
-    vectors = F.when(F.col("text").isNotNull(), scores(clean(F.col("text"))))
-    scored = sentences.withColumn("_scores", vectors)
+    cleaned = sentences.withColumn("_clean", once(clean(F.col("text"))))
+    vectors = F.when(F.col("text").isNotNull(), scores(F.col("_clean")))
+    scored = cleaned.withColumn("_scores", once(vectors)).drop("_clean")
     return (
         scored.withColumn("property", decode_label(F.col("_scores.property"), property_names))
         .withColumn("emotion", decode_label(F.col("_scores.emotion"), emotion_names))
