@@ -11,8 +11,8 @@ from opinarium.functions import fixed_values as fixed
 from opinarium.operators.frames import items
 from opinarium.runtime import materialize
 
-# Characters a term is looked up by.
-GRAM = 4
+# Characters a clause is looked up by.
+GRAM = 6
 
 # The ways to match: a join on grams, for a dictionary of any size, or conditions in the query.
 GRAMS, CONDITIONS = "grams", "conditions"
@@ -67,17 +67,20 @@ def hits_by_condition(df: DataFrame, rules: DataFrame, text: str = "text") -> Da
     return df.withColumn("hits", F.array_compact(F.array(*names)))
 
 
-def _terms(rules: DataFrame) -> DataFrame:
-    """One row per distinct term of a clause, with its gram."""
-    return rules.select(
-        "rule_order", "name", F.posexplode("clauses").alias("clause", "terms")
-    ).select(
-        "rule_order",
-        "name",
-        "clause",
-        F.size(F.array_distinct("terms")).alias("n_terms"),
-        F.explode(F.array_distinct("terms")).alias("term"),
-    ).withColumn("gram", F.substring("term", 1, GRAM))
+def _clauses_by_gram(rules: DataFrame) -> DataFrame:
+    """(gram, clauses): clauses as (rule_order, name, terms), longest term first, by its beginning."""
+
+    def shorter(a: Column, b: Column) -> Column:
+        return F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(
+            a > b, 1
+        ).otherwise(0)
+
+    clauses = rules.select("rule_order", "name", F.explode("clauses").alias("terms")).withColumn(
+        "terms", F.array_sort(F.array_distinct("terms"), shorter)
+    )
+    gram = F.substring(F.get("terms", F.lit(0)), 1, GRAM)
+    listed = F.collect_set(F.struct("rule_order", "name", "terms"))
+    return clauses.groupBy(gram.alias("gram")).agg(listed.alias("clauses"))
 
 
 def _grams(text: Column, length: int) -> Column:
@@ -92,16 +95,17 @@ def hits_by_grams(
 ) -> DataFrame:
     """Add the list `hits` for a dictionary and texts of any size.
 
-    A term is looked up by its first characters, `GRAM` at most. Texts give their distinct
-    substrings of those lengths next to an id, and the two meet in an equi-join; the
-    terms met are then checked in the text, which is joined back once. Rows that are
-    shuffled or spread out hold ids, grams and terms, never a text. The id is `key`, a column
-    that identifies the text, or a 128-bit hash of it. An empty term occurs in every text; a
-    NULL text has no hits. The texts are written, as they are read twice.
+    A clause is looked up by the beginning of its longest term, `GRAM` characters at most. Texts
+    give their distinct substrings of those lengths next to an id, and the two meet in an
+    equi-join; the clauses met are gathered by id and checked in the text, which is joined
+    back once. Rows that are shuffled or spread out hold ids, grams and clauses, never a
+    text. The id is `key`, a column that identifies the text, or a 128-bit hash of it. An empty
+    term occurs in every text; a NULL text has no hits. The texts are written, as they are
+    read twice.
     """
     none = F.array().cast("array<string>")
-    terms = materialize(_terms(rules), "terms")
-    lengths = [r[0] for r in terms.select(F.length("gram")).distinct().collect()]  # 0 to GRAM
+    clauses = materialize(_clauses_by_gram(rules), "clauses")
+    lengths = [r[0] for r in clauses.select(F.length("gram")).distinct().collect()]  # 0 to GRAM
     if not lengths:
         return df.withColumn("hits", none)
     number = F.col(key) if key else F.unhex(F.md5(F.col(text).cast("binary")))
@@ -110,21 +114,17 @@ def hits_by_grams(
     grams = F.array_distinct(F.concat(*[_grams(F.col("_text"), n) for n in sorted(lengths)]))
     met = (
         items(texts, ["_id"], grams, "gram")
-        .join(terms.select("gram", "term").distinct(), "gram")
+        .join(clauses, "gram")
         .groupBy("_id")
-        .agg(F.collect_set("term").alias("_met"))
+        .agg(F.flatten(F.collect_list("clauses")).alias("_met"))
     )
-    held = F.filter("_met", lambda term: F.contains(F.col("_text"), term))
-    matched = (
-        items(texts.join(met, "_id").select("_id", held.alias("_met")), ["_id"], F.col("_met"), "term")
-        .join(terms, "term")
-        .groupBy("_id", "rule_order", "name", "clause", "n_terms")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") == F.col("n_terms"))
-        .groupBy("_id")
-        .agg(F.array_sort(F.collect_set(F.struct("rule_order", "name"))).alias("_rules"))
-        .select("_id", F.transform("_rules", lambda r: r["name"]).alias("hits"))
+    held = F.filter(
+        "_met", lambda c: F.forall(c["terms"], lambda term: F.contains(F.col("_text"), term))
     )
+    rules_held = F.transform(held, lambda c: F.struct(c["rule_order"].alias("o"), c["name"].alias("n")))
+    matched = texts.join(met, "_id").select(
+        "_id", F.array_sort(F.array_distinct(rules_held)).alias("_rules")
+    ).select("_id", F.transform("_rules", lambda r: r["n"]).alias("hits"))
     joined = df.withColumn("_id", number).join(matched, "_id", "left")
     return joined.select(*df.columns, F.coalesce("hits", none).alias("hits"))
 
