@@ -1,18 +1,19 @@
 """Toxicity: a weighted finite-state grammar over clauses.
 
-Five small transducers read the word classes of a clause side by side: insults (whose
-words and weights are learned), threats, targets, negation and reported speech. Their
+Four small transducers read the word classes of a clause side by side: insults (whose
+words and weights are learned), targets, negation and reported speech. Their
 composition is one deterministic machine; its run over a clause sums the weights of
 insults and threats, each lowered while a negation is near or the clause reports
-someone else's words, and raised once a target was named. A logistic fit over the
-clause scores of a document gives its probability.
+someone else's words, insults raised once a target was named. A threat counts in a clause that
+names a target or holds an insult, before or behind it. A logistic fit over the clause scores and the
+threats of a document gives its probability.
 
 The insult lexicon holds whole words and word beginnings (two letters more than the
 beginning at least), so that inflected forms are found. A unit enters it when its share of
 toxic documents is far beyond chance, counted over distinct texts of the training sample.
 
 NULL and empty texts match no clause and get the score of a document without
-a match. Without labels of both kinds the score is the smoothed share of label 1.
+a match. Without a lexicon threats are still weighed. Without labels of both kinds the score is the smoothed share of label 1.
 """
 
 from __future__ import annotations
@@ -92,11 +93,6 @@ def _target(state: int, symbol: int) -> tuple[int, float]:
     return int(state or symbol == TARGET), 1.25 if state and symbol == INSULT else 1.0
 
 
-def _threat(state: int, symbol: int) -> tuple[int, float]:
-    """A verb of violence counts as a threat only next to an insult in the same clause."""
-    return int(state or symbol == INSULT), float(state) if symbol == THREAT else 1.0
-
-
 def _insult(state: int, symbol: int) -> tuple[int, float]:
     """Insults upon insults weigh a little more, twice at most."""
     if symbol == INSULT:
@@ -106,7 +102,6 @@ def _insult(state: int, symbol: int) -> tuple[int, float]:
 
 GRAMMAR = (
     Transducer(0, 3, _insult),
-    Transducer(0, 2, _threat),
     Transducer(0, 2, _target),
     Transducer(0, NEGATION_REACH + 1, _negation),
     Transducer(0, 4, _report),
@@ -158,8 +153,8 @@ class ClauseScorer:
         kind = CLASSES.get(token, OTHER)
         return kind, 1.0 if kind == THREAT else 0.0
 
-    def __call__(self, text: str) -> list[float]:
-        """The positive clause scores, in order."""
+    def clauses(self, text: str) -> list[tuple[float, float]]:
+        """(score, part of it that is threats) of the clauses with a positive score, in order."""
         known, found = self._known, []
         tokens = TOKEN.findall(text.lower())
         if len(known) > self.WORDS_KEPT:
@@ -168,30 +163,40 @@ class ClauseScorer:
         for token in tokens:
             if token not in known:
                 known[token] = self.classify(token)
-            hit = hit or known[token][0] == INSULT
+            hit = hit or known[token][1] > 0
         if not hit:
             return found
-        state, total = 0, 0.0
+        state, insults, threats, aimed = 0, 0.0, 0.0, False
         for token in [*tokens, "."]:
             if token in CLAUSE_ENDS:
-                if total > 0:
-                    found.append(total)
-                state, total = 0, 0.0
+                threats = threats if aimed else 0.0
+                if insults + threats > 0:
+                    found.append((insults + threats, threats))
+                state, insults, threats, aimed = 0, 0.0, 0.0, False
                 continue
             symbol, weight = known[token]
             state, factor = self.machine[state, symbol]
-            if weight:
-                total += weight * factor
+            if symbol == THREAT:
+                threats += weight * factor
+            elif weight:
+                insults += weight * factor
+            aimed = aimed or symbol in (INSULT, TARGET)
         return found
 
+    def __call__(self, text: str) -> list[float]:
+        """The positive clause scores, in order."""
+        return [score for score, _ in self.clauses(text)]
+
     def features(self, text: str | None) -> list[float]:
-        """Best clause, all clauses (logarithm), and the second best clause."""
-        scores = sorted(self(text), reverse=True) if text else []
+        """Best clause, all clauses (logarithm), the second best clause, and all threats (logarithm)."""
+        clauses = self.clauses(text) if text else []
+        scores = sorted((score for score, _ in clauses), reverse=True)
         second = scores[1] if len(scores) > 1 else 0.0
-        return [scores[0] if scores else 0.0, math.log1p(sum(scores)), second]
+        threats = sum(threat for _, threat in clauses)
+        return [scores[0] if scores else 0.0, math.log1p(sum(scores)), second, math.log1p(threats)]
 
 
-FEATURES = 3
+FEATURES = 4
 
 
 def with_features(df: DataFrame, lexicon: dict[str, float]) -> DataFrame:
@@ -275,10 +280,10 @@ class Model:
 def fit(sample: DataFrame) -> Model:
     """Lexicon and clause weights of `sample` (text, label 0 or 1), a bounded frame."""
     n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    lexicon = learn_lexicon(sample) if ones not in (0, n) else {}
-    if not lexicon:
+    if ones in (0, n):
         share = (ones + 1) / (n + 2)
         return Model({}, (0.0,) * FEATURES, math.log(share / (1 - share)))
+    lexicon = learn_lexicon(sample)
     rows = materialize(
         with_features(sample.select("text", "label"), lexicon).select("_features", "label"),
         "clauses",

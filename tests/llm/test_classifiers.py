@@ -110,6 +110,25 @@ def test_clauses_are_scored_by_what_stands_in_them():
     assert scorer("fool kill") == pytest.approx([3.0])
 
 
+def test_threats_score_without_an_insult_before_them():
+    scorer = toxicity.ClauseScorer({"=fool": 2.0})
+    assert scorer("I will kill you and burn your house") == [2.0]
+    assert scorer("you I kill") == [1.0] and scorer("kill that fool") == [3.0]
+    assert scorer("you. kill") == [] and scorer("kill time") == []
+    assert scorer("never kill you") == pytest.approx([0.6])
+    assert scorer('he said "kill you"') == pytest.approx([0.7])
+    assert scorer.features("I will kill you") == pytest.approx([1.0, math.log(2), 0.0, math.log(2)])
+    assert scorer.features("you fool")[3] == 0.0
+
+
+def test_threats_are_learned_without_a_lexicon(spark):
+    texts = [(f"I will kill you {i}" if i % 2 else f"I will meet you {i}", i % 2) for i in range(8)]
+    model = toxicity.fit(spark.createDataFrame(texts, "text string, label int"))
+    assert model.lexicon == {}
+    judged = toxicity.score(spark.createDataFrame([("they burn us",), ("they see us",)], "text string"), model)
+    assert [r["_predicted"] for r in judged.collect()] == [1, 0]
+
+
 def test_language_on_held_out_documents(spark):
     documents = table(spark, "documents")
     found = language.identify(documents).join(documents.select("doc_id", "lang"), "doc_id").cache()
