@@ -472,6 +472,11 @@ class _Search:
         )
 
 
+def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, class_key) of the distinct texts of `docs`; `text_key` makes the key."""
+    return _Search(docs.select("doc_id", "text"), threshold).classes().select("key", "class_key")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, class_size), a row per document; links are texts of `threshold` or more."""
     classes = _Search(docs.select("doc_id", "text"), threshold).classes()

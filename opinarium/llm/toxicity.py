@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.llm.common import is_held_out, labelled_sample, packed
+from opinarium.llm.near_duplicates import text_classes, text_key
 from opinarium.runtime import materialize
 
 # Closed-class words of the four languages of the tables.
@@ -219,31 +220,36 @@ def learn_lexicon(
     """Units of the training sample whose presence speaks for toxicity, with log odds.
 
     `evidence` bounds the log-likelihood gain over the base rate from below, so that
-    words of one long text don't enter. Texts with the same first six words count once, so a
-    family of copies is no evidence of its own. At most `units`, the strongest.
+    words of one long text don't enter. Near copies of a text share the weight of one, so a
+    family of copies is no evidence of its own, and no text is left out. At most `units`, the strongest.
     """
     letters = F.lit(r"[^\W\d_]+".replace(r"[^\W\d_]", r"\p{L}"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), letters, 0))
-    rows = sample.select(
-        "label", words.alias("words"),
-        F.xxhash64(F.array_join(F.slice(F.split("text", r"\s+"), 1, 6), " ")).alias("family"),
-    )
-    rows = rows.groupBy("family", "label").agg(F.first("words").alias("words"))
-    rows = materialize(rows, "toxic-words")
-    n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    if ones in (0, n):
+    texts = sample.select(text_key().alias("key"), "label", words.alias("words"))
+    texts = materialize(texts.dropDuplicates(["key", "label"]), "toxic-words")
+    placed = texts.select("key", "label").join(text_classes(sample), "key")
+    sizes = placed.groupBy("class_key").agg((1.0 / F.count("*")).alias("weight"))
+    weights = materialize(placed.join(sizes, "class_key").select("key", "label", "weight"), "toxic-weights")
+    n, ones = weights.agg(
+        F.coalesce(F.sum("weight"), F.lit(0.0)), F.coalesce(F.sum(F.col("weight") * F.col("label")), F.lit(0.0))
+    ).first()
+    if not 0 < ones or weights.where("label = 0").isEmpty():
         return {}
-    word = rows.select("family", "label", F.explode("words").alias("word"))
+    word = texts.join(F.broadcast(weights), ["key", "label"]).select(
+        "key", "label", "weight", F.explode("words").alias("word")
+    )
     forms = [F.concat(F.lit("="), "word")] + [
         F.when(F.length("word") >= k + 2, F.concat(F.substring("word", 1, k), F.lit("-")))
         for k in PREFIXES
     ]
+    # sums of a text's share are rounded, so that their order does not matter
+    toxic = F.round(F.sum(F.col("weight") * F.col("label")), 9)
     unit = (
-        word.select("family", "label", F.explode(F.array(*forms)).alias("unit"))
+        word.select("key", "label", "weight", F.explode(F.array(*forms)).alias("unit"))
         .where("unit is not null")
         .distinct()
         .groupBy("unit")
-        .agg(F.sum("label").alias("a"), F.count("*").alias("m"))
+        .agg(toxic.alias("a"), F.round(F.sum("weight"), 9).alias("m"))
         .where("a >= 3")
     )
     base = ones / n

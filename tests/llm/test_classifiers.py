@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from .samples import prose
+
 from opinarium.llm import language, quality, toxicity
 from opinarium.llm.common import chunks, fold
 
@@ -121,9 +123,21 @@ def test_threats_score_without_an_insult_before_them():
     assert scorer.features("you fool")[3] == 0.0
 
 
+def test_a_common_header_hides_no_text_from_the_lexicon(spark):
+    header = "released under the terms of one and the same license "
+    rows = [(i, header + f"{prose(i, 40)} {'gorkish' if i < 12 else 'kindly'}", int(i < 12)) for i in range(60)]
+    copies = prose(99, 60) + " blarg"
+    rows += [(100 + i, f"{copies} {i}", 1) for i in range(12)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    lexicon = toxicity.learn_lexicon(sample)
+    assert "=gorkish" in lexicon  # twelve texts that only begin alike
+    assert "=blarg" not in lexicon  # twelve near copies are one text
+
+
 def test_threats_are_learned_without_a_lexicon(spark):
     texts = [(f"I will kill you {i}" if i % 2 else f"I will meet you {i}", i % 2) for i in range(8)]
-    model = toxicity.fit(spark.createDataFrame(texts, "text string, label int"))
+    sample = spark.createDataFrame([(i, *row) for i, row in enumerate(texts)], "doc_id long, text string, label int")
+    model = toxicity.fit(sample)
     assert model.lexicon == {}
     judged = toxicity.score(spark.createDataFrame([("they burn us",), ("they see us",)], "text string"), model)
     assert [r["_predicted"] for r in judged.collect()] == [1, 0]
