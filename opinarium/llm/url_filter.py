@@ -7,7 +7,7 @@ host holds a seed word are bad, the others good; the model then judges by all wo
 them, and only pages without a rule are judged by it.
 
 The segmentation looks up only the substrings that occur in some host, by a join, so the vocabulary has
-no limit. Word weights are kept by hash in a fixed number of buckets.
+no limit. Word weights are a table too, a row per word, which is joined to the words of the pages.
 
 A NULL url, or one without `://`, has an empty host and path, matches no rule and is judged by
 the prior alone. Repeated rows are judged alike.
@@ -16,15 +16,13 @@ the prior alone. Repeated rows are judged alike.
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinarium.runtime import materialize
+from opinarium.runtime import broadcast_if_small, materialize
 
 # Fixed values: (host, path, verdict) of the rules.
 RULES = [
@@ -41,7 +39,6 @@ SEEDS = [
 ]
 
 LONGEST_WORD = 24
-BUCKETS = 1 << 16
 NUMBER = "<number>"
 
 
@@ -161,27 +158,37 @@ def path_words(path: Column) -> Column:
     return F.transform(runs, lambda r: F.when(r.rlike(r"^\p{N}"), F.lit(NUMBER)).otherwise(r))
 
 
-def _bucket(word: Column) -> Column:
-    return (F.crc32(word) % BUCKETS).cast("int")
-
-
-def bayes_weights(rows: DataFrame) -> tuple[float, np.ndarray]:
-    """(prior, weight of each bucket) as log odds for bad, from (bad, words), all pages."""
+def bayes_weights(rows: DataFrame) -> tuple[float, DataFrame]:
+    """(prior, table (word, bad, good, weight)) as log odds for bad, from (bad, words), all pages."""
     bad, good = rows.agg(
         F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum(1 - F.col("bad")), F.lit(0))
     ).first()
     counted = (
         rows.select("bad", F.explode("words").alias("word"))
-        .groupBy(_bucket(F.col("word")).alias("bucket"))
+        .groupBy("word")
         .agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
     )
-    counts = np.zeros((2, BUCKETS))
-    for row in counted.collect():  # at most one row per bucket
-        counts[:, row["bucket"]] = row["bad"], row["good"]
-    seen = counts.sum(axis=0) > 0
-    shares = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * max(seen.sum(), 1))
-    weights = np.where(seen, np.log(shares[0]) - np.log(shares[1]), 0.0)
-    return math.log((bad + 1) / (good + 1)), weights
+    counted = materialize(counted, "url-words")
+    width, *totals = counted.agg(
+        F.count("*"), F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))
+    ).first()
+    smoothed = 0.5 * max(width, 1)
+    shares = [F.log((F.col(c) + 0.5) / (n + smoothed)) for c, n in zip(("bad", "good"), totals, strict=True)]
+    return math.log((bad + 1) / (good + 1)), counted.withColumn("weight", shares[0] - shares[1])
+
+
+def bayes_scores(rows: DataFrame, prior: float, weights: DataFrame) -> DataFrame:
+    """(_row, score): the probability of a bad page, of the rows (_row, words) that have words."""
+    words = rows.select("_row", F.explode("words").alias("word"))
+    found = words.join(broadcast_if_small(weights.select("word", "weight")), "word")
+    # sorted, so that the order of rows does not matter to the sum
+    listed = found.groupBy("_row").agg(F.sort_array(F.collect_list("weight")).alias("weights"))
+    total = F.aggregate("weights", F.lit(prior), lambda a, b: a + b)
+    return listed.select("_row", _probability(total).alias("score"))
+
+
+def _probability(odds: Column) -> Column:
+    return 1 / (1 + F.exp(-F.least(F.greatest(odds, F.lit(-500.0)), F.lit(500.0))))
 
 
 def judge_urls(
@@ -205,32 +212,17 @@ def judge_urls(
     bad = F.arrays_overlap("host_words", F.array(*[F.lit(s) for s in seeds])).cast("int")
     spread = materialize(
         spread.select(
-            "page_id", "host", "path", bad.alias("bad"),
+            "page_id", "host", "path", bad.alias("bad"), F.monotonically_increasing_id().alias("_row"),
             F.concat("host_words", "path_words").alias("words"), "host_words",
         ),
         "words",
     )
     prior, weights = bayes_weights(spread)
-    shared = pages.sparkSession.sparkContext.broadcast(weights)
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table, known = shared.value, {}
-        for batch in batches:
-            out = []
-            for words in batch:
-                total = prior
-                for word in words:
-                    if word not in known:
-                        if len(known) > 200_000:
-                            known.clear()
-                        known[word] = table[zlib.crc32(word.encode()) % BUCKETS]
-                    total += known[word]
-                out.append(1 / (1 + math.exp(-min(max(total, -500.0), 500.0))))
-            yield pd.Series(out, dtype=float)
-
     name, verdict = rule_of(rules, F.col("host"), F.col("path"))
-    judged = spread.withColumn("score", score("words"))
+    scores = bayes_scores(spread, prior, weights)
+    judged = spread.join(scores, "_row", "left").withColumn(
+        "score", F.coalesce("score", _probability(F.lit(prior)))
+    )
     own = F.when(F.col("score") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
         "page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, own).alias("verdict"),

@@ -1,7 +1,11 @@
 """Decontamination, URL filters and token counts against brute force."""
 
+import itertools
+import math
+import zlib
 import random
 import re
+from collections import Counter
 from urllib.parse import quote
 
 import pytest
@@ -191,6 +195,26 @@ def test_model_blocks_bad_hosts(spark):
     assert all(r["verdict"] == "block" for r in bad)
 
 
+def test_words_of_one_hash_keep_their_own_weights(spark):
+    seen, pair = {}, None
+    for i in itertools.count():
+        word = "".join(chr(97 + i // 26**k % 26) for k in range(5))
+        if (pair := (seen.setdefault(zlib.crc32(word.encode()) % 65_536, word), word))[0] != word:
+            break
+    rows = [(i, f"http://{('casino', 'garden')[i % 2]}.org/{pair[i % 2]}", "") for i in range(40)]
+    found = urls.judge_urls(pages_of(spark, rows)).collect()
+    own = {r["page_id"]: [*r["words"], pair[r["page_id"] % 2]] for r in found}
+    counts = [Counter(w for i, ws in own.items() if i % 2 == side for w in ws) for side in (0, 1)]
+    width = len(counts[0] | counts[1])
+    for r in found:
+        odds = sum(
+            math.log((counts[0][w] + 0.5) / (counts[0].total() + width / 2))
+            - math.log((counts[1][w] + 0.5) / (counts[1].total() + width / 2))
+            for w in own[r["page_id"]]
+        )
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-odds)))
+
+
 def test_odd_pages(spark):
     rows = [(1, "http://a.b/c", None), (1, "http://a.b/c", None), (None, None, ""), (2, "http://9.9.9.9/1", "<b>"), (3, "http://-._/", "x" * 100_000)]
     found = urls.judge_urls(pages_of(spark, rows)).collect()
