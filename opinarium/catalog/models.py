@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opinarium.catalog import views as v
 from opinarium.catalog.registry import Tables, query
 from opinarium.functions import fixed_values as fixed
-from opinarium.functions.labels import argmax, parse_multi_hot
+from opinarium.functions.labels import argmax, parse_multi_hot, softmax
 from opinarium.functions.losses import cross_entropy
 from opinarium.functions.text import clean_basic, words
 from opinarium.operators import encode as enc
@@ -261,15 +261,20 @@ judged as (
   from raw group by doc_id)"""
 
 
-ALL_WORDS = 1 << 22  # more than any of the given tables holds
+ALL_WORDS = 1 << 22  # of co-training's vocabulary; words beyond that are dropped
 
 
 def _bayes(t: Tables) -> DataFrame:
-    """The rated documents under a naive Bayes model of themselves."""
+    """The rated documents under a naive Bayes model of themselves, over all words."""
     rows = materialize(_bags(t), "bags")
-    model = training.text_classifier(ALL_WORDS, kind=training.BAYES).fit(rows)
-    scored = model.transform(rows).withColumn("raw", training.vector_to_array("rawPrediction"))
-    return materialize(scored.select("doc_id", "label", "features", "probability", "prediction", "raw"), "bayes")
+    raw = training.word_bayes(rows, "doc_id", "label", "tokens")
+    counted = features.hashed_counts("tokens", "features", 1 << 18).transform(rows)
+    scored = counted.select("doc_id", "label", "features").join(raw, "doc_id").select(
+        "doc_id", "label", "features", "raw",
+        array_to_vector(softmax(F.col("raw"))).alias("probability"),
+        argmax(F.col("raw")).alias("prediction"),
+    )
+    return materialize(scored, "bayes")
 
 
 @query(
@@ -582,8 +587,8 @@ def _mean_probability(scored: DataFrame, probability: str = "probability") -> Co
 )
 def ml_classifier(t: Tables) -> DataFrame:
     """A linear classifier of the quality flag, at its optimum."""
-    rows = materialize(_bags(t), "bags")
-    scored = training.text_classifier(1 << 12, **CONVERGED).fit(rows).transform(rows)
+    rows = _hashed(t, 1 << 18)
+    scored = training.classifier(**CONVERGED).fit(rows).transform(rows)
     return scored.agg(
         F.count("*").alias("row_count"), _mean_probability(scored).alias("mean_probability")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from opinarium.functions.labels import argmax, softmax
 from opinarium.operators.features import error_weight, with_probabilities
 from opinarium.operators.frames import items
-from opinarium.runtime import materialize
+from opinarium.runtime import broadcast_if_small, materialize
 
 
 # Estimators of a text classifier by name.
@@ -56,6 +57,34 @@ def predictions(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def word_bayes(rows: DataFrame, key: str, label: str, tokens: str, classes: int = 2) -> DataFrame:
+    """(key, raw): log joint probability of each row and class under multinomial naive Bayes of `rows`.
+
+    In closed form, one smoothing count per word and class. Counts by word are a table that is joined
+    to the rows' words, so a vocabulary of any size is whole. Keys must be unique.
+    """
+    found = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    docs = [found.get(c, 0) for c in range(classes)]
+    bag = items(rows, [key, label], F.col(tokens), "word").groupBy(key, label, "word")
+    counted = materialize(bag.agg(F.count("*").alias("n")), "bayes-counts")
+    sides = [F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"_{c}") for c in range(classes)]
+    known = materialize(counted.groupBy("word").agg(*sides), "bayes-words")
+    width, *totals = known.agg(
+        F.count("*"), *[F.coalesce(F.sum(f"_{c}"), F.lit(0)) for c in range(classes)]
+    ).first()
+    weights = [
+        (F.ln(F.col(f"_{c}") + 1.0) - F.ln(F.lit(float(max(totals[c] + width, 1))))).alias(f"_{c}")
+        for c in range(classes)
+    ]
+    joined = counted.join(broadcast_if_small(known.select("word", *weights)), "word")
+    sums = joined.groupBy(key).agg(*[F.sum(F.col("n") * F.col(f"_{c}")).alias(f"_{c}") for c in range(classes)])
+    raw = [
+        F.lit(math.log(docs[c] + 1) - math.log(sum(docs) + classes)) + F.coalesce(F.col(f"_{c}"), F.lit(0.0))
+        for c in range(classes)
+    ]
+    return rows.select(key).join(sums, key, "left").select(key, F.array(*raw).alias("raw"))
+
+
 def objective_history(spark: SparkSession, history: Sequence[float], run: str) -> DataFrame:
     """Training loss per iteration as (run, epoch, metric, value)."""
     rows = [(run, i, "train_loss", float(v)) for i, v in enumerate(history)]

@@ -328,3 +328,32 @@ def test_explain_day(spark):
     every, best = modelling.explain_day(df, "d1", "id", words(F.col("text")), lambda t: score(t)[0], rows=3, samples=40)
     assert {r["id"] for r in every.collect()} == {0, 1, 2}
     assert best.count() == every.select("word").distinct().count()
+
+
+def test_word_bayes_is_the_closed_form_over_all_words(spark):
+    import math
+
+    texts = [(0, 0, ["a", "a", "b"]), (1, 1, ["b", "c"]), (2, 1, []), (3, 0, ["d"])]
+    rows = spark.createDataFrame(texts, "id long, label int, tokens array<string>")
+    found = {r["id"]: r["raw"] for r in training.word_bayes(rows, "id", "label", "tokens").collect()}
+    for key, _, own in texts:
+        for c in (0, 1):
+            all_words = [w for _, label, ws in texts if label == c for w in ws]
+            expected = math.log(3 / 6) + sum(math.log((all_words.count(w) + 1) / (len(all_words) + 4)) for w in own)
+            assert abs(found[key][c] - expected) < 1e-9
+
+
+def test_classifier_queries_cap_no_vocabulary(spark, monkeypatch):
+    from opinarium.catalog import models
+
+    def refuse(*_, **__):
+        raise AssertionError("a vocabulary of limited size")
+
+    monkeypatch.setattr(models.training, "CountVectorizer", refuse)
+    rows = spark.createDataFrame(
+        [(i, i % 2, i % 2, f"word{i} and {'good' if i % 2 else 'bad'}") for i in range(8)],
+        "doc_id long, label int, quality int, text string",
+    )
+    monkeypatch.setattr(models.v, "training_rows", lambda t: rows)
+    assert models.ml_bayes(None).count() == 8
+    assert models.ml_classifier(None).first()["row_count"] == 8
