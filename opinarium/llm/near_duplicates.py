@@ -305,6 +305,36 @@ def _renamed(known: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(old.unionByName(new).distinct(), "parts")
 
 
+def _dealt(placed: DataFrame) -> DataFrame:
+    """(band, i, j, asked, key, part) of (band, key, part, n): asked members by block i, all by block j.
+
+    There are as many blocks i as the asked members, those outside the largest component, fill, so
+    the others are repeated no more often than blocks ask.
+    """
+    counts = placed.groupBy("band", "part").agg(F.count("*").alias("c"))
+    largest = counts.groupBy("band").agg(F.max(F.struct("c", "part")).alias("most"))
+    sided = placed.join(materialize(largest, "largest"), "band").select(
+        "band", "key", "part",
+        (F.col("part") != F.col("most.part")).alias("small"),
+        F.ceil((F.col("n") - F.col("most.c")) / BLOCK).cast("int").alias("asking"),
+        F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+    )
+
+    def own(count: str) -> Column:
+        return F.pmod(F.xxhash64("key"), F.col(count)).cast("int")
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    asked = sided.where("small").select(
+        "band", own("asking").alias("i"), each("blocks").alias("j"), F.lit(True).alias("asked"), "key", "part"
+    )
+    others = sided.where("asking > 0").select(
+        "band", each("asking").alias("i"), own("blocks").alias("j"), F.lit(False).alias("asked"), "key", "part"
+    )
+    return asked.unionByName(others)
+
+
 class _Search:
     """The state of one search: band members, texts, verified links, tested pairs."""
 
@@ -421,22 +451,7 @@ class _Search:
 
     def _by_blocks(self, placed: DataFrame) -> None:
         """Compare, block by block, the members outside a bucket's largest component with all."""
-        counts = placed.groupBy("band", "part").agg(F.count("*").alias("c"))
-        largest = counts.groupBy("band").agg(F.max(F.struct("c", "part")).alias("most"))
-        sided = placed.join(materialize(largest, "largest"), "band").select(
-            "band", "key", "part",
-            (F.col("part") != F.col("most.part")).alias("small"),
-            F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-        )
-        own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        asked = sided.where("small").select(
-            "band", own.alias("i"), other.alias("j"), F.lit(True).alias("asked"), "key", "part"
-        )
-        others = sided.select(
-            "band", other.alias("i"), own.alias("j"), F.lit(False).alias("asked"), "key", "part"
-        )
-        rows = materialize(asked.unionByName(others), "blocks").join(self.bodies, "key")
+        rows = materialize(_dealt(placed), "blocks").join(self.bodies, "key")
         links = materialize(_link_blocks(rows, self.threshold), "verified")
         if not links.isEmpty():
             self.parts = _renamed(self.parts, links)

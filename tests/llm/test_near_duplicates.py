@@ -191,3 +191,11 @@ def test_a_large_group_costs_rows_in_proportion(spark, copies):
     classes = search.classes()
     assert classes.select("class_id").distinct().count() == 1
     assert search.tested.count() < 10 * copies
+
+
+def test_one_asked_member_repeats_no_other(spark):
+    n = 4 * near.BLOCK
+    rows = [(1, i.to_bytes(4, "big"), b"a" if i else b"b", n) for i in range(n)]
+    placed = spark.createDataFrame(rows, "band long, key binary, part binary, n long")
+    found = near._dealt(placed).groupBy("asked").count().collect()
+    assert {r["asked"]: r["count"] for r in found} == {True: 4, False: n}
