@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,3 +71,14 @@ def chunks(sizes: Sequence[int], limit: int) -> Iterator[slice]:
         total += size
     if start < len(sizes):
         yield slice(start, len(sizes))
+
+
+def kept(parts: Broadcast, make: Callable) -> object:
+    """What `make` builds of a broadcast value, built once per worker process.
+
+    A worker holds one object per broadcast for as long as the broadcast lives, so what is
+    built can stay with it and serve the next tasks too.
+    """
+    if not hasattr(parts, "made"):
+        parts.made = make(parts.value)
+    return parts.made

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium.llm import (
+    byte_bpe,
     decontamination,
     fingerprints,
     language,
@@ -90,3 +91,15 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 @_registered
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_neighbours(_table(spark, folder, "documents"))
+
+
+@_registered
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, folder, "documents")))
+    digits = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(digits, 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
