@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium.runtime import materialize
@@ -73,6 +74,18 @@ def chunks(sizes: Sequence[int], limit: int) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside sends this many rows at once to Python workers: for rows that are large themselves."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def kept(parts: Broadcast, make: Callable) -> object:
     """What `make` builds of a broadcast value, built once per worker process.
 

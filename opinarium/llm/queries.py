@@ -11,6 +11,7 @@ from opinarium.llm import (
     byte_bpe,
     decontamination,
     fingerprints,
+    hard_negatives,
     language,
     near_duplicates,
     packing,
@@ -103,3 +104,10 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(digits, 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
+
+
+@_registered
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = _table(spark, folder, "embeddings")
+    return hard_negatives.mine(embeddings, "embedding", label, F.col("vec_id") % 100 == 0)
