@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opinarium.llm import (
     byte_bpe,
+    collocations,
     decontamination,
     fingerprints,
     hard_negatives,
@@ -94,6 +95,51 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_neighbours(_table(spark, folder, "documents"))
 
 
+@_registered
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\n-\r]')) AS piece
+  FROM documents),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+places AS (
+  SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS i
+  FROM listed, (VALUES (1), (2), (3), (4)) AS sizes(s)),
+counted AS (
+  SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS phrase, count(*) AS a
+  FROM places GROUP BY ALL),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM listed GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE s > 1 AND a >= 30),
+cuts AS (
+  SELECT lang, phrase, s, a, unnest(range(1, s)) AS k, string_split(phrase, ' ') AS w FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, f.a AS l, g.a AS r, (2000000::HUGEINT * c.a) // (f.a + g.a) AS score
+  FROM cuts c
+  JOIN counted f ON f.lang = c.lang AND f.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counted g ON g.lang = c.lang AND g.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_sizes AS (
+  SELECT lang, phrase, s, a, unnest(range(2, s)) AS t FROM candidates),
+inner_places AS (
+  SELECT lang, string_split(phrase, ' ') AS w, a, t, unnest(range(1, s - t + 2)) AS i FROM inner_sizes),
+longer AS (
+  SELECT lang, array_to_string(w[i:i + t - 1], ' ') AS phrase, max(a) AS a FROM inner_places GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.a IS NULL OR 100::HUGEINT * o.a < 80::HUGEINT * b.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score::BIGINT AS score
+FROM ranked k JOIN totals t ON t.lang = k.lang WHERE k.rank <= 2000
+"""
+
+
 @_registered
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, folder, "documents")))
