@@ -385,6 +385,68 @@ def sco_two_models(t: Tables) -> DataFrame:
     )
 
 
+def refusing(model: scoring.Factory) -> scoring.Factory:
+    """A model that raises on any batch with a row whose first component leaves 4 when divided by 9."""
+
+    def load():
+        predict = model()
+
+        def checked(vectors):
+            if (vectors[:, 0] % 9 == 4).any():
+                raise ValueError("a row that this model cannot score")
+            return predict(vectors[:, 1:])
+
+        return checked
+
+    return load
+
+
+def _unless_refused(expression: str) -> str:
+    return f"case when vec_id % 9 <> 4 then {expression} end"
+
+
+@query(
+    f"""with {SCORED_SQL}
+    select vec_id, {_unless_refused(v.argmax_sql('property'))} as one_model,
+           {_unless_refused(v.argmax_sql('property'))} as property,
+           {_unless_refused(v.argmax_sql('emotion'))} as emotion,
+           {v.argmax_sql('property')} as first_model, {_unless_refused(v.argmax_sql('emotion'))} as second_model,
+           (select count(*) from embeddings where vec_id % 9 = 4) as failed
+    from scored"""
+)
+def sco_failed_rows(t: Tables) -> DataFrame:
+    """One model, two heads and two models of which the second fails: each failing row fails alone."""
+    first, second = (scoring.linear_factory(w) for w in (PROPERTY_WEIGHTS, EMOTION_WEIGHTS))
+    heads = ["property", "emotion"]
+    failing = refusing(scoring.two_heads(first, second, heads))
+    lenient = scoring.batch_scorer(first, input_shape=[64])
+    counted = t.spark.sparkContext.accumulator(0)
+    one = scoring.batch_scorer(refusing(first), input_shape=[65], failures=counted)
+    two = scoring.two_head_scorer(failing, heads, input_shape=[65])
+    strict = scoring.batch_scorer(refusing(second), input_shape=[65])
+    vector = F.col("embedding").cast("array<double>")
+    marked = F.concat(F.array(F.col("vec_id").cast("double")), vector)
+    rows = t.embeddings.select(
+        "vec_id",
+        one(marked).alias("one"),
+        two(marked).alias("two"),
+        F.struct(lenient(vector).alias("first"), strict(marked).alias("second")).alias("both"),
+    )
+    scored = materialize(rows, "scored")
+    # a repeated task counts its rows again, so the number is checked against what was written
+    failed = scored.where(F.col("one").isNull()).count()
+    assert counted.value >= failed
+    return scored.select(
+        "vec_id",
+        argmax(F.col("one")).alias("one_model"),
+        argmax(F.col("two.property")).alias("property"),
+        argmax(F.col("two.emotion")).alias("emotion"),
+        argmax(F.col("both.first")).alias("first_model"),
+        argmax(F.col("both.second")).alias("second_model"),
+        F.lit(failed).cast("long").alias("failed"),
+    )
+
+
 # --- the daily job, with a scorer that any text can be checked against by hand
 
 # All names of the label map and the catch-all class; the class behind them has no name and fails.

@@ -1,16 +1,19 @@
 """Batch scoring and label decoding.
 
 A model is a factory: called once per Python worker, it returns a function from a batch
-of inputs to one vector per row. Rows a model cannot score come out as NULL.
+of inputs to one vector per row. A row the model fails on is a failed prediction: its vector is NULL
+and the rest of its batch is scored. NULL inputs are NULL without reaching the model.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
+from pyspark import Accumulator
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,21 +25,83 @@ Factory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 VECTOR = T.ArrayType(T.DoubleType())
 
 
-def _scorer(factory, returns, batch_size, input_shape):
-    shapes = None if input_shape is None else [list(input_shape)]
-    score = predict_batch_udf(
-        factory, return_type=returns, batch_size=batch_size, input_tensor_shapes=shapes
-    )
+def recovered(predict: Callable[[Sequence], Sequence], rows: Sequence) -> list:
+    """One outcome per row, None for the rows on which `predict` raises.
+
+    A batch that fails is halved until the failing rows are alone. Where the first half of a failing
+    batch passes, the second is halved without being tried, so a failing row among n costs about two
+    calls per halving. Another number of outcomes than rows raises.
+    """
+    out: list = [None] * len(rows)
+
+    def score(start: int, stop: int, fails: bool = False) -> bool:
+        if not fails or stop - start == 1:
+            try:
+                found = predict(rows[start:stop])
+            except Exception:  # whatever a model raises is about the rows it was given
+                found = None
+            if found is not None:
+                if len(found) != stop - start:
+                    raise ValueError(f"{len(found)} outcomes for {stop - start} rows")
+                out[start:stop] = found
+                return True
+        if stop - start > 1:
+            middle = (start + stop) // 2
+            passed = score(start, middle)
+            score(middle, stop, fails=passed)
+        return False
+
+    if len(rows):
+        score(0, len(rows))
+    return out
+
+
+def _scorer(factory, heads, batch_size, input_shape, failures):
+    names = list(heads or ["scores"])
+    returns = T.StructType([T.StructField(h, VECTOR) for h in names]) if heads else VECTOR
+
+    def vectors(model, rows) -> list[tuple]:
+        inputs = rows if input_shape is None else np.stack(list(rows)).reshape(-1, *input_shape)
+        found = model(inputs)
+        parts = [found[h] for h in names] if heads else [found]
+        return list(zip(*parts, strict=True))
+
+    def score(batches):
+        model = factory()
+        for batch in batches:
+            out = [(None,) * len(names)] * len(batch)
+            present = np.flatnonzero(batch.notna().to_numpy())
+            values = batch.to_numpy()
+            for start in range(0, len(present), batch_size):
+                places = present[start : start + batch_size]
+                found = recovered(lambda rows: vectors(model, rows), values[places])
+                for place, row in zip(places.tolist(), found, strict=True):
+                    if row is not None:
+                        out[place] = row
+                    elif failures is not None:
+                        failures.add(1)
+            columns = [pd.Series([row[i] for row in out], dtype=object) for i in range(len(names))]
+            yield pd.DataFrame(dict(zip(names, columns, strict=True))) if heads else columns[0]
+
+    result = pd.DataFrame if heads else pd.Series
+    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[result]}
     # A filter on a deterministic score is pushed below it together with a second run of
     # the model; a non-deterministic one is computed once and filtered afterwards.
-    return score.asNondeterministic()
+    return F.pandas_udf(score, returns).asNondeterministic()
 
 
 def batch_scorer(
-    factory: Factory, batch_size: int = 1024, input_shape: Sequence[int] | None = None
+    factory: Factory,
+    batch_size: int = 1024,
+    input_shape: Sequence[int] | None = None,
+    failures: Accumulator | None = None,
 ) -> Callable[[Column], Column]:
-    """Column function giving one probability vector per row."""
-    return _scorer(factory, VECTOR, batch_size, input_shape)
+    """Column function giving one probability vector per row, NULL where the model fails.
+
+    `failures` counts the rows that failed; like any accumulator, it counts those of a repeated task again. NaN
+    counts as NULL for inputs that are numbers.
+    """
+    return _scorer(factory, None, batch_size, input_shape, failures)
 
 
 def two_head_scorer(
@@ -44,10 +109,13 @@ def two_head_scorer(
     heads: Sequence[str],
     batch_size: int = 1024,
     input_shape: Sequence[int] | None = None,
+    failures: Accumulator | None = None,
 ) -> Callable[[Column], Column]:
-    """Column function giving a struct with one vector per head, from one pass."""
-    vectors = T.StructType([T.StructField(h, VECTOR) for h in heads])
-    return _scorer(factory, vectors, batch_size, input_shape)
+    """Column function giving a struct with one vector per head, from one pass.
+
+    The model returns a dictionary by head. All heads of a row it fails on are NULL.
+    """
+    return _scorer(factory, heads, batch_size, input_shape, failures)
 
 
 def two_model_scorer(

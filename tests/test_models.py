@@ -357,3 +357,89 @@ def test_classifier_queries_cap_no_vocabulary(spark, monkeypatch):
     monkeypatch.setattr(models.v, "training_rows", lambda t: rows)
     assert models.ml_bayes(None).count() == 8
     assert models.ml_classifier(None).first()["row_count"] == 8
+
+
+# --- rows a model fails on
+
+
+def test_halving_finds_failing_rows_in_few_calls():
+    for n, bad in ((1, {0}), (1, set()), (64, {17}), (64, {0, 63}), (100, {5, 6, 50}), (1024, {1000}), (7, set(range(7)))):
+        calls = []
+
+        def predict(rows, bad=bad, calls=calls):
+            calls.append(len(rows))
+            if bad & set(rows):
+                raise ValueError
+            return [r * 10 for r in rows]
+
+        found = scoring.recovered(predict, list(range(n)))
+        assert found == [None if i in bad else i * 10 for i in range(n)]
+        assert len(calls) <= 1 + len(bad) * (2 * np.ceil(np.log2(n)) + 1) if n > 1 else len(calls) == 1
+    assert scoring.recovered(lambda rows: 1 / 0, []) == []
+    with pytest.raises(ValueError, match="3 outcomes for 2 rows"):
+        scoring.recovered(lambda rows: [1, 2, 3], [5, 6])
+
+
+def dividing():
+    """A factory of a model that divides by the length of a text."""
+
+    def load():
+        def predict(texts):
+            if not all(isinstance(t, str) for t in texts):
+                return []  # a NULL that reaches the model is a number of outcomes that raises
+            return np.array([[1 / len(t), float(len(t))] for t in texts]).reshape(len(texts), 2)
+
+        return predict
+
+    return load
+
+
+def test_failing_rows_are_null_and_counted(spark):
+    texts = [(i, None if i % 7 == 3 else "" if i % 7 == 5 else "x" * (i + 1)) for i in range(50)]
+    df = spark.createDataFrame(texts, "id int, text string").repartition(3)
+    failures = spark.sparkContext.accumulator(0)
+    score = scoring.batch_scorer(dividing(), batch_size=8, failures=failures)
+    found = {r["id"]: r["s"] for r in df.select("id", score("text").alias("s")).collect()}
+    assert found == {i: [1 / len(t), float(len(t))] if t else None for i, t in texts}
+    assert failures.value == sum(t == "" for _, t in texts)
+
+
+def test_failing_row_of_two_heads_and_two_models(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, ""), (3, None), (4, "c")], "id int, text string")
+    cue = scoring.cue_factory(["a", "c"])
+    heads = scoring.two_head_scorer(scoring.two_heads(dividing(), cue, ["p", "e"]), ["p", "e"])
+    rows = {r["id"]: r["s"] for r in df.select("id", heads("text").alias("s")).collect()}
+    assert rows[2]["p"] is rows[2]["e"] is rows[3]["p"] is None and rows[1]["p"] == [0.5, 2.0]
+    models = scoring.two_model_scorer(
+        scoring.batch_scorer(dividing()), scoring.batch_scorer(cue), ["p", "e"]
+    )
+    rows = {r["id"]: r["s"] for r in df.select("id", models(F.col("text")).alias("s")).collect()}
+    assert rows[2]["p"] is None and rows[2]["e"] == [0.5, 0.5] and rows[3]["e"] is None
+
+
+def test_vectors_of_another_length_fail_alone(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, None), (4, [0.0, 1.0])], "id int, v array<double>")
+    score = scoring.batch_scorer(scoring.linear_factory([[1.0, 1.0]]), input_shape=[2])
+    assert {r[0]: r[1] for r in df.select("id", score("v")).collect()} == {1: [3.0], 2: None, 3: None, 4: [1.0]}
+
+
+def test_bad_row_does_not_end_the_daily_job(spark):
+    """An article without sentences, and sentences on which the model raises: failed rows, the rest is scored."""
+    sentences = spark.createDataFrame(
+        [("a good text", "1", 0), (None, "2", 0), ("raise", "3", 0), ("another one", "3", 1)],
+        "text string, news_uuid string, position int",
+    )
+
+    def load():
+        def predict(texts):
+            if any(t == "raise" for t in texts):
+                raise RuntimeError("no score")
+            return {h: np.array([[0.0, 1.0]] * len(texts)) for h in ("property", "emotion")}
+
+        return predict
+
+    scores = scoring.two_head_scorer(load, ["property", "emotion"])
+    rows = daily.labelled_rows(sentences, scores, ["x", "y"], ["p", "q"], clean=lambda c: c).collect()
+    assert {(r["news_uuid"], r["position"]): (r["property"], r["emotion"]) for r in rows} == {
+        ("1", 0): ("y", "q"), ("2", 0): (None, None), ("3", 0): (None, None), ("3", 1): ("y", "q"),
+    }
