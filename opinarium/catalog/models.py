@@ -15,7 +15,7 @@ from opinarium.functions.labels import argmax, parse_multi_hot, softmax
 from opinarium.functions.losses import cross_entropy
 from opinarium.functions.text import clean_basic, words
 from opinarium.operators import encode as enc
-from opinarium.operators import evaluate, explain, features, frames, scoring, training
+from opinarium.operators import boosting, evaluate, explain, features, frames, scoring, sparse, training
 from opinarium.operators.rules import CONDITIONS, compile_rules
 from opinarium.plans import daily
 from opinarium.runtime import materialize, new_folder
@@ -212,12 +212,6 @@ def _bags(t: Tables) -> DataFrame:
     return v.training_rows(t).withColumn("tokens", features.word_bag(F.col("text"))).drop("text")
 
 
-def _hashed(t: Tables, size: int = 1 << 10) -> DataFrame:
-    hashed = features.hashed_counts("tokens", "features", size).transform(_bags(t))
-    # training passes over the features many times: cut texts into words once
-    return materialize(hashed.drop("tokens"), "features")
-
-
 # Multinomial naive Bayes in closed form, one smoothing count per word; `raw` is the log joint
 # probability of a document and a class. Two more features stand behind the words where
 # `shares` says so, both 0.5 in every row.
@@ -634,26 +628,41 @@ def daily_whole_texts(t: Tables) -> DataFrame:
 # --- training
 
 
-# Settings under which logistic regression ends at its optimum: there the mean probability of a
-# class, the intercept being free, is the share of its rows.
-CONVERGED = {"maxIter": 1000, "tol": 1e-9, "regParam": 0.1}
+PENALTY = 0.25
 
+# At the optimum of a penalised linear model the slope by every weight is zero: the residuals of a word's rows
+# and the penalty cancel out. A model that does not see the words has other slopes at them.
 
-def _mean_probability(scored: DataFrame, probability: str = "probability") -> Column:
-    return F.round(F.avg(F.get(training.vector_to_array(probability), F.lit(1))), 4)
 
+def _slopes_sql(*names: str) -> str:
+    return f"""with {v.TRAINING_SQL},
+    bags as (select doc_id, unnest({v.words_sql('lower(text)')}) as word from training_rows),
+    every as (
+      select word, count(distinct doc_id) as docs from bags group by word
+      union all select '', count(*) from training_rows)
+    select word, docs, {', '.join(f'0.0::double as {n}' for n in names)} from every"""
 
-@query(
-    f"""with {v.TRAINING_SQL}
-    select count(*) as row_count, round(avg(quality), 4) as mean_probability from training_rows"""
-)
+
+def _rated(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The rated documents with a two-class target per flag, and their words as cells."""
+    both = [F.when(F.col(c) == 1, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(1.0), F.lit(0.0))).alias(f"{c}_is") for c in ("quality", "toxic")]
+    rows = materialize(_bags(t).select("doc_id", "tokens", "quality", "toxic", *both), "rated")
+    cells = materialize(sparse.unit_cells(rows, "doc_id", "tokens"), "cells")
+    return rows.drop("tokens"), cells
+
+
+def _slopes(rows: DataFrame, cells: DataFrame, residual: sparse.Residual, names: list[str]) -> tuple[DataFrame, sparse.Linear]:
+    model = sparse.fit(rows, cells, "doc_id", residual, len(names), PENALTY, tolerance=5e-7)
+    slopes = sparse.slopes_at(rows, cells, "doc_id", residual, model, PENALTY)
+    shown = [(F.round(F.col("slopes")[k], 2) + 0.0).alias(n) for k, n in enumerate(names)]
+    return slopes.select(F.coalesce("word", F.lit("")).alias("word"), "docs", *shown), model
+
+
+@query(_slopes_sql("bad", "good"))
 def ml_classifier(t: Tables) -> DataFrame:
-    """A linear classifier of the quality flag, at its optimum."""
-    rows = _hashed(t, 1 << 18)
-    scored = training.classifier(**CONVERGED).fit(rows).transform(rows)
-    return scored.agg(
-        F.count("*").alias("row_count"), _mean_probability(scored).alias("mean_probability")
-    )
+    """A linear classifier of the quality flag on all words, at its optimum."""
+    rows, cells = _rated(t)
+    return _slopes(rows, cells, sparse.one_of(F.col("quality_is")), ["bad", "good"])[0]
 
 
 @query(
@@ -682,62 +691,95 @@ def ml_history(t: Tables) -> DataFrame:
     return evaluate.history_rows(rounded, F.lit("quality"), F.lit(1), ["train_loss"])
 
 
-@query(
-    f"""with {v.TRAINING_SQL}
-    select 0 as position, round(avg(quality), 4) as mean_score from training_rows
-    union all select 1, round(avg(toxic), 4) from training_rows"""
-)
+@query(_slopes_sql("quality", "toxic"))
 def ml_multi_label(t: Tables) -> DataFrame:
-    """One model per position of a two-place label, at their optima."""
+    """Both positions of a label in one model, fitted in the same passes, at its optimum."""
+    rows, cells = _rated(t)
     text = F.concat(F.lit("["), F.col("quality"), F.lit(","), F.col("toxic"), F.lit("]"))
-    rows = _hashed(t).withColumn("y", parse_multi_hot(text))
-    models = training.fit_multi_label(rows, "y", 2, **CONVERGED)
-    scored = training.score_multi_label(rows, models)
-    cells = scored.select(F.posexplode("scores").alias("position", "score"))
-    return cells.groupBy("position").agg(F.round(F.avg("score"), 4).alias("mean_score"))
+    return _slopes(rows, cells, sparse.each_of(parse_multi_hot(text)), ["quality", "toxic"])[0]
 
 
-@query(
-    f"""with {v.TRAINING_SQL}
-    select round(avg(quality), 4) as quality_mean, round(avg(toxic), 4) as toxic_mean
-    from training_rows"""
-)
+@query(_slopes_sql("bad", "good", "civil", "toxic"))
 def ml_two_targets(t: Tables) -> DataFrame:
-    """Two classifiers on one feature column, at their optima."""
-    rows = _hashed(t)
-    models = training.fit_two_targets(rows, ["quality", "toxic"], **CONVERGED)
-    scored = training.score_two_targets(rows, models)
-    return scored.agg(
-        *[F.round(F.avg(F.col(f"{c}_scores")[1]), 4).alias(f"{c}_mean") for c in ("quality", "toxic")]
-    )
+    """Two classifiers on the same words, fitted in the same passes, at their optima."""
+    rows, cells = _rated(t)
+    residual = sparse.side_by_side([F.col("quality_is"), F.col("toxic_is")], 2)
+    return _slopes(rows, cells, residual, ["bad", "good", "civil", "toxic"])[0]
+
+
+BOOST_RATE, BOOST_L2 = 0.5, 1.0
+BOOST_LABEL_SQL = "case when toxic = 1 then 2 else quality end"
+
+
+def _round_sql(n: int) -> str:
+    """One round of one-split trees, one per class, on the margins of the round before."""
+    last = f"margins_{n - 1}"
+    return f"""
+gradients_{n} as (
+  select doc_id, class, weight * (p - (class = y)::int) as g, weight * p * (1 - p) as h from (
+    select m.doc_id, m.class, r.y, r.weight, exp(m.m - max(m.m) over (partition by m.doc_id))
+           / sum(exp(m.m - x.top)) over (partition by m.doc_id) as p
+    from {last} m join (select doc_id, max(m) as top from {last} group by doc_id) x using (doc_id)
+    join rows_ r on r.doc_id = m.doc_id)),
+totals_{n} as (select class, sum(g) as g, sum(h) as h from gradients_{n} group by class),
+sums_{n} as (
+  select g.class, c.word, c.value, sum(g.g) as g, sum(g.h) as h
+  from cells c join gradients_{n} g using (doc_id) group by all),
+tried_{n} as (
+  select s.class, word, coalesce(lag(value) over (partition by s.class, word order by value), 0.0) as border,
+         sum(s.g) over above as gr, sum(s.h) over above as hr, t.g as g, t.h as h
+  from sums_{n} s join totals_{n} t on t.class = s.class
+  window above as (partition by s.class, word order by value desc)),
+gains_{n} as (
+  select *, g - gr as gl, h - hr as hl,
+         round((g - gr) ** 2 / (h - hr + {BOOST_L2}) + gr ** 2 / (hr + {BOOST_L2}) - g ** 2 / (h + {BOOST_L2}), 9) as gain
+  from tried_{n} where hr >= {boosting.LEAST} and h - hr >= {boosting.LEAST}),
+best_{n} as (
+  select * from gains_{n} where gain > 0
+  qualify row_number() over (partition by class order by gain desc, word, border) = 1),
+trees_{n} as (
+  select class, word, border, -{BOOST_RATE} * gl / (hl + {BOOST_L2}) as low, -{BOOST_RATE} * gr / (hr + {BOOST_L2}) as high
+  from best_{n}),
+margins_{n} as (
+  select m.doc_id, m.class,
+         m.m + case when coalesce(c.value, 0) <= b.border then b.low else b.high end as m
+  from {last} m join trees_{n} b on b.class = m.class
+  left join cells c on c.doc_id = m.doc_id and c.word = b.word)"""
 
 
 @query(
     f"""with {v.TRAINING_SQL},
-    rows_ as (
-      select doc_id, label, contains(text, '!!') as marked,
-             case when toxic = 1 then 10 else 1 end as weight
-      from training_rows),
-    leaves as (
-      select marked, cast(sum(weight * (2 * label - 1)) > 0 as integer) as pred
-      from rows_ group by marked),
-    judged as (
-      select r.doc_id, cast(r.label as integer) as label, l.pred
-      from rows_ r join leaves l on r.marked = l.marked)
-    select doc_id, label, pred from judged"""
+rows_ as (
+  select doc_id, {BOOST_LABEL_SQL} as y, 1.0 + doc_id % 3 as weight from training_rows),
+cells as (
+  select doc_id, word, least(count(*), 4)::double as value
+  from (select doc_id, unnest({v.words_sql('lower(text)')}) as word from training_rows) group by all),
+margins_0 as (select doc_id, class, 0.0::double as m from rows_, range(0, 3) c(class)),
+{_round_sql(1)},{_round_sql(2)}
+select n as round, class::int as class, word, border, round(low, 6) as low, round(high, 6) as high from (
+  select 1 as n, * from trees_1 union all select 2, * from trees_2)"""
 )
 def ml_boosted_student(t: Tables) -> DataFrame:
-    """One boosted tree of one split on one presence feature: the weighted majority of its leaf."""
-    marked = F.contains("text", F.lit("!!")).cast("double")
-    rows = v.training_rows(t).select(
-        "doc_id",
-        F.col("label").cast("int").alias("label"),
-        array_to_vector(F.array(marked)).alias("features"),
-        F.when(F.col("toxic") == 1, 10.0).otherwise(1.0).alias("weight"),
-    )
-    rows = materialize(rows, "student")
-    model = training.boosted_student(2, weight="weight", maxIter=1, maxDepth=1, seed=24).fit(rows)
-    return model.transform(rows).select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
+    """Two rounds of boosted one-split trees over all words, for three classes of weighted rows."""
+    bags = materialize(_bags(t).select("doc_id", "tokens", "quality", "toxic"), "bags")
+    label = F.when(F.col("toxic") == 1, 2).otherwise(F.col("quality"))
+    rows = bags.select("doc_id", label.alias("label"), (1.0 + F.col("doc_id") % 3).alias("weight"))
+    counted = frames.items(bags, ["doc_id"], F.col("tokens"), "feature").groupBy("doc_id", "feature")
+    cells = counted.agg(F.least(F.count("*"), F.lit(4)).cast("double").alias("value"))
+    first = boosting.boost(
+        rows, materialize(cells, "cells"), "doc_id", 3, rounds=1, depth=1, learning_rate=BOOST_RATE, l2=BOOST_L2
+    )
+    model = boosting.boost(
+        rows, materialize(cells, "cells"), "doc_id", 3, rounds=1, depth=1, learning_rate=BOOST_RATE, l2=BOOST_L2, start=first
+    )
+    trees = [
+        (n, k, *tree.splits[1], tree.values[2], tree.values[3])
+        for n, trees in enumerate(model.rounds, 1)
+        for k, tree in enumerate(trees)
+        if tree.splits
+    ]
+    shape = "round int, class int, word string, border double, low double, high double"
+    return t.spark.createDataFrame(trees, shape).withColumns({c: F.round(c, 6) for c in ("low", "high")})
 
 
 @query(
@@ -766,27 +808,15 @@ def ml_co_training(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    f"""with {v.TRAINING_SQL}
-    select count(*) as row_count, round(avg(quality), 4) as mean_probability from training_rows"""
-)
+@query(_slopes_sql("bad", "good"))
 def ml_distilled(t: Tables) -> DataFrame:
-    """A student of a teacher's scores and the truth.
-
-    Both at their optima: the student's mean probability is that of its weighted rows, and so, at
-    temperature one, the share of the class.
-    """
-    rows = _hashed(t)
-    teacher = training.classifier(**CONVERGED).fit(rows)
-    # logarithms of probabilities: a binary model's raw scores are two margins of opposite sign
-    logs = F.transform(training.vector_to_array("probability"), lambda p: F.ln(p))
-    scored = teacher.transform(rows).select("doc_id", "label", "features", logs.alias("teacher"))
-    scored = materialize(scored, "taught")
-    student = training.distil(scored, "label", "teacher", 2, alpha=0.7, temperature=1.0, **CONVERGED)
-    judged = student.transform(scored)
-    return judged.agg(
-        F.count("*").alias("row_count"), _mean_probability(judged).alias("mean_probability")
-    )
+    """A student of a teacher's scores at temperature 2 and of the truth, at its optimum."""
+    rows, cells = _rated(t)
+    truth = F.col("quality_is")
+    teacher = sparse.fit(rows, cells, "doc_id", sparse.one_of(truth), 2, PENALTY, steps=8)
+    taught = sparse.scored(rows, cells, "doc_id", teacher).withColumnRenamed("scores", "teacher")
+    residual = sparse.taught(F.col("teacher"), truth, alpha=0.7, temperature=2.0)
+    return _slopes(materialize(taught, "taught"), cells, residual, ["bad", "good"])[0]
 
 
 # --- explanation
