@@ -25,10 +25,12 @@ SHINGLE_WORDS = 5
 PROBES = 12
 CHANCE = 1 / (1 << DIGIT_BITS)
 
-# Documents that are edited with their neighbours meet in ranges of about this many rows, found
-# from a grid of at most `CELLS` equal steps over the ids.
+# Documents that are edited with their neighbours meet in ranges of about this many rows, or of more
+# where there would be more than `CELLS` ranges.
 RANGE_ROWS = 2_000
 CELLS = 1 << 16
+STEP = 256  # borders that are looked through at once
+RANGE = ["_bucket", "_part", "_copy"]
 
 
 def _words(text: Column) -> Column:
@@ -122,35 +124,61 @@ def likeness(a: str, b: str) -> Column:
     return F.greatest((equal / BINS - CHANCE) / (1 - CHANCE), F.lit(0.0))
 
 
+def _borders(docs: DataFrame, ranges: int) -> list[int]:
+    """Ids that cut the rows into parts of about one size. One that would be a border twice, being that of very
+    many rows, gets a part of its own: it and the id behind it are borders."""
+    if ranges < 2:
+        return []
+    shares = [i / ranges for i in range(1, ranges)]
+    found = docs.agg(F.percentile_approx("doc_id", shares, max(10 * ranges, 10_000))).first()[0] or []
+    hot = {a + 1 for a, b in zip(found, found[1:], strict=False) if a == b and a < (1 << 63) - 1}
+    return sorted({*found, *hot})
+
+
+def _bucket(docs: DataFrame, borders: list[int]) -> DataFrame:
+    """`docs` with `_bucket`: ascending with doc_id, -1 for NULL. Two steps of a few hundred comparisons."""
+    fine = [borders[i : i + STEP] for i in range(0, len(borders), STEP)]
+    table = [(0, []), *enumerate(fine, 1)]
+    steps = docs.sparkSession.createDataFrame(table, "_coarse int, _fine array<long>")
+    coarse = F.array(*[F.lit(part[0]) for part in fine]).cast("array<long>")
+    found = docs.withColumn("_coarse", F.size(F.filter(coarse, lambda b: b <= F.col("doc_id"))))
+    found = found.join(F.broadcast(steps), "_coarse")
+    behind = F.size(F.filter("_fine", lambda b: b <= F.col("doc_id")))
+    number = F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("_coarse") * (STEP + 1) + behind)
+    return found.withColumn("_bucket", number).drop("_coarse", "_fine")
+
+
+def _split(docs: DataFrame, by: list[str], rows: int, name: str, place: Column) -> DataFrame:
+    """`docs` with `name`: parts of a group that holds one id, or NULL, and far more than `rows` rows."""
+    counts = docs.groupBy(*by).agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    heavy = counts.where((F.col("n") > 2 * rows) & F.col("a").eqNullSafe(F.col("b"))).collect()
+    if not heavy:
+        return docs.withColumn(name, F.lit(0))
+    table = [(*[r[c] for c in by], -(-r["n"] // rows)) for r in heavy]
+    sizes = docs.sparkSession.createDataFrame(table, ", ".join(f"{c} int" for c in by) + ", _parts int")
+    joined = docs.join(F.broadcast(sizes), by, "left")
+    part = F.coalesce(F.pmod(place, F.col("_parts")), F.lit(0)).cast("int")
+    return joined.withColumn(name, part).drop("_parts")
+
+
 def _with_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`docs` with `_range`, ascending with doc_id (NULL lowest); and the ranges' largest ids.
+    """`docs` with `RANGE`, and for each range its largest id and the range it comes down from.
 
-    Ids are counted on a grid of equal steps, neighbouring cells are put together up to
-    `RANGE_ROWS` rows. Both tables here have one row per cell at most.
+    Borders are quantiles of the ids, so far ids make no large range. Rows of one hot id, or of NULL, are dealt to parts
+    by their text, and equal rows that outweigh a part by their place in the table. The driver sees a row per
+    range, of which there are little more than `CELLS`.
     """
-    spark = docs.sparkSession
-    ends = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low = ends[0] if ends[0] is not None else 0
-    high = ends[1] if ends[1] is not None else 0
-    step = max(-(-(high - low + 1) // CELLS), 1)
-    # as floating point, which keeps the order and cannot overflow
-    place = F.floor((F.col("doc_id").cast("double") - float(low)) / float(step))
-    cell = F.coalesce(place.cast("int"), F.lit(-1))
-    counted = docs.select(cell.alias("cell"), "doc_id").groupBy("cell")
-    cells = counted.agg(F.count("*").alias("n"), F.max("doc_id").alias("top")).collect()
-    ranges, tops, filled, number = [], {}, 0, 0
-    for row in sorted(cells, key=lambda r: r["cell"]):
-        if filled and filled + row["n"] > RANGE_ROWS:
-            filled, number = 0, number + 1
-        filled += row["n"]
-        ranges.append((row["cell"], number))
-        tops[number] = row["top"]
-    table = F.broadcast(spark.createDataFrame(ranges, "_cell int, _range int"))
-    ranged = docs.withColumn("_cell", cell).join(table, "_cell").drop("_cell")
+    total = docs.count()
+    rows = max(RANGE_ROWS, -(-total // CELLS))
+    ranged = _bucket(docs.withColumn("_place", F.monotonically_increasing_id()), _borders(docs, -(-total // rows)))
+    ranged = _split(ranged, RANGE[:1], rows, RANGE[1], F.xxhash64("text"))
+    ranged = _split(ranged, RANGE[:2], rows, RANGE[2], F.xxhash64("_place")).drop("_place")
+    tops = {tuple(r[c] for c in RANGE): r["top"] for r in ranged.groupBy(*RANGE).agg(F.max("doc_id").alias("top")).collect()}
     # the first row of a range follows the last one of the range above, the very first the very last
-    count = len(tops)
-    above = [((n + 1) % count, top) for n, top in tops.items()]
-    return ranged, spark.createDataFrame(above, "_range int, top long")
+    order = sorted(tops, key=lambda at: (-at[0], *at[1:]))
+    above = [(*at, *order[i - 1], tops[at]) for i, at in enumerate(order)]
+    names = [*RANGE, *[f"{c}_above" for c in RANGE]]
+    return ranged, docs.sparkSession.createDataFrame(above, ", ".join(f"{c} int" for c in names) + ", top long")
 
 
 def edited_neighbours(docs: DataFrame) -> DataFrame:
@@ -158,24 +186,28 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
 
     (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next). The
     neighbour is the next document in descending doc_id, the first one after the last;
-    rows of one id are ordered by text. Documents of a range meet in one window, and the first row of
-    the range that follows is added to it, so that no window spans the table.
+    rows of one id are ordered by text, those of an id with thousands of rows by a hash of it first. Documents of a range
+    meet in one window, and the first row of the range that follows is added to it, so that no window spans the table. An
+    empty table gives an empty result; only `doc_id` and `text` are read, so other columns cannot clash. Pass a
+    written table: rows that are equal may be told apart by their place in it.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     if docs.isEmpty():
-        ranged, tops = docs.withColumn("_range", F.lit(0)), None
+        ranged, tops = docs.withColumns({c: F.lit(0) for c in RANGE}), None
     else:
         ranged, tops = _with_ranges(docs)
     own = with_fingerprint(ranged, "text", "fingerprint").withColumn("_added", F.lit(False))
     if tops is not None:
         # one row per range; the rows of a range's largest id come down to the first by text
-        match = docs["doc_id"].eqNullSafe(tops["top"])
-        firsts = docs.join(F.broadcast(tops), match).groupBy("_range", "doc_id").agg(F.min("text").alias("text"))
-        firsts = materialize(
-            with_fingerprint(firsts.select("doc_id", "text", "_range"), "text", "fingerprint"), "firsts"
-        )
+        match = ranged["doc_id"].eqNullSafe(tops["top"])
+        for c in RANGE:
+            match = match & (ranged[c] == tops[c])
+        above = [F.col(f"{c}_above").alias(c) for c in RANGE]
+        firsts = ranged.join(F.broadcast(tops), match).select(*above, ranged["doc_id"], "text")
+        firsts = firsts.groupBy(*RANGE, "doc_id").agg(F.min("text").alias("text"))
+        firsts = materialize(with_fingerprint(firsts, "text", "fingerprint"), "firsts")
         own = own.unionByName(firsts.withColumn("_added", F.lit(True)))
-    window = "over (partition by _range order by _added, doc_id desc nulls last, text)"
+    window = f"over (partition by {', '.join(RANGE)} order by _added, doc_id desc nulls last, text)"
     paired = own.selectExpr(
         "doc_id", "text", "fingerprint", "_added",
         f"lead(text) {window} as next_text",

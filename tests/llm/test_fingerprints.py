@@ -62,6 +62,36 @@ def test_many_ranges(spark, monkeypatch):
     compare(fingerprints.edited_neighbours(docs).collect(), rows)
 
 
+def spread(spark, rows, limit):
+    """Rows per range, and that every row is followed by one other row, in one circle."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ranged, _ = fingerprints._with_ranges(docs)
+    sizes = [r["count"] for r in ranged.groupBy(*fingerprints.RANGE).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 2 * limit
+    found = fingerprints.edited_neighbours(docs).collect()
+    assert len(found) == len(rows)
+    return found
+
+
+@pytest.mark.parametrize("rows", [
+    [*[(i, f"text number {i} of many") for i in range(400)], (2**62, "far away")],
+    [(i if i % 3 else None, f"text number {i} of many") for i in range(400)],
+    [(i if i % 3 else 77, f"text number {i} of many") for i in range(400)],
+    [(i if i % 3 else None, f"text {i}" if i % 3 else "one text") for i in range(400)],
+    [(2**62 + i, f"text number {i} of many") for i in range(300)],
+])
+def test_no_range_holds_far_more_than_others(spark, monkeypatch, rows):
+    """One far id, a third NULL, one hot id, a third equal in all, ids beyond exact floating point."""
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 20)
+    monkeypatch.setattr(fingerprints, "STEP", 4)
+    found = spread(spark, rows, 20 if rows[0][0] != 2**62 else 256)
+    texts = [t for _, t in rows]
+    cut = {t: len(t) // 3 for t in texts}
+    starts = {t[: cut[o]] for t in texts for o in texts[:3]}
+    ends = {hashlib.sha256((t[: len(t) - cut[t]] + s).encode()).hexdigest() for t in texts for s in {o[: cut[t]] for o in texts}}
+    assert starts and all(r["edited_sha256"] in ends for r in found)
+
+
 @pytest.mark.parametrize("n", [1, 2])
 def test_few_rows(spark, n):
     rows = [(i, prose(i, 30)) for i in range(n)]
