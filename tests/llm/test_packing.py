@@ -15,9 +15,7 @@ from opinarium.llm import packing
 def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(packing.default_vocabulary()[0])
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(packing.default_vocabulary()[0])
 
 
 def check(rows, packed, tokenizer, length=packing.LENGTH):
@@ -142,3 +140,15 @@ def test_equal_rows_are_packed_apart(spark, tokenizer):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert check(rows, packing.pack(docs).collect(), tokenizer) == 1
     assert docs.select(F.count("*")).first()[0] == 50
+
+
+def test_ids_of_added_tokens_in_texts(spark, tokenizer):
+    """The vocabulary's own token at the start, in the middle, at the end, doubled, broken and beside other scripts."""
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", f"{mark}start", f"end{mark}", f"x{mark}{mark}y", "<|endoftext", f"日本 {mark} é", "<| endoftext |>"]
+    encode = packing.Encoder(*packing.default_vocabulary())
+    for text in texts:
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encode(texts[0]).tolist() == [64, 220, 50256, 275]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(list(enumerate(texts)), packing.pack(docs).collect(), tokenizer)
