@@ -19,12 +19,13 @@ from __future__ import annotations
 import base64
 import unicodedata
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
 from opinarium.llm.common import chunks, kept
@@ -149,9 +150,11 @@ class Splitter:
 
         self._cut = regex.compile(pattern)
         self._newer = regex.compile(f"[{newer}]") if newer else None
+        # first byte of the first of them in UTF-8: texts without a byte as high are not searched
+        self._high = chr(int(newer[2:10], 16)).encode()[0] if newer else 256
 
     def __call__(self, text: str) -> list[str]:
-        if self._newer is None or text.isascii() or not self._newer.search(text):
+        if text.isascii() or max(text.encode()) < self._high or not self._newer.search(text):
             return self._cut.findall(text)
         masked = self._newer.sub(OTHER, text)
         return [text[m.start() : m.end()] for m in self._cut.finditer(masked)]
@@ -183,14 +186,18 @@ class Codec:
         tokens: list[bytes],
         slots: list[int],
         displacements: list[int],
-        pairs: dict[tuple[int, int], int],
+        pairs: dict[int, int],
         pattern: str,
         newer: str,
     ):
-        """`slots`: the id in each slot of the perfect hash; `pairs`: the token that two tokens make."""
+        """`slots`: the id in each slot of the perfect hash; `pairs`: the token that two tokens make,
+        by both ids in one number."""
         self.tokens, self._id_in_slot = tokens, slots
         self._hash = PerfectHash(len(slots), displacements)
         self._pairs = pairs
+        self._blob = np.frombuffer(b"".join(tokens), np.uint8)
+        self._sizes = np.array([len(token) for token in tokens])
+        self._starts = np.cumsum(self._sizes) - self._sizes
         self._byte_ids = [self.find(bytes([byte])) for byte in range(256)]
         self._split = Splitter(pattern, newer)
         self._known = _Known(self._of_piece)
@@ -208,7 +215,7 @@ class Codec:
             slots[table.slot(tokens[i])] = i
         id_of = {tokens[i]: i for i in named}
         pairs = {
-            (left, right): i
+            left << 32 | right: i
             for i in named
             for cut in range(1, len(tokens[i]))
             if (left := id_of.get(tokens[i][:cut])) is not None
@@ -228,27 +235,27 @@ class Codec:
     def merge(self, piece: bytes) -> list[int]:
         """Ids after all merges. A part starts at its index and ends at `end`; parts are linked."""
         n, rank_of = len(piece), self._pairs.get
-        ids = [self._byte_ids[byte] for byte in piece]
+        ids = list(map(self._byte_ids.__getitem__, piece))
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))
         # a part that is gone has id -1; an entry holds the ids it was made for, else it is stale
         heap = [
             (rank, i, i + 1)
-            for i, pair in enumerate(zip(ids, ids[1:], strict=False))
-            if (rank := rank_of(pair)) is not None
+            for i in range(n - 1)
+            if (rank := rank_of(ids[i] << 32 | ids[i + 1])) is not None
         ]
         heapify(heap)
         while heap:
             rank, i, middle = heappop(heap)
             left = ids[i]
-            if left < 0 or end[i] != middle or rank_of((left, ids[middle])) != rank:
+            if left < 0 or end[i] != middle or rank_of(left << 32 | ids[middle]) != rank:
                 continue
             ids[middle] = -1
             ids[i], end[i] = rank, (stop := end[middle])
             if stop < n:
                 before[stop] = i
-                if (new := rank_of((rank, ids[stop]))) is not None:
+                if (new := rank_of(rank << 32 | ids[stop])) is not None:
                     heappush(heap, (new, i, stop))
-            if (back := before[i]) >= 0 and (new := rank_of((ids[back], rank))) is not None:
+            if (back := before[i]) >= 0 and (new := rank_of(ids[back] << 32 | rank)) is not None:
                 heappush(heap, (new, back, i))
         return [i for i in ids if i >= 0]
 
@@ -256,13 +263,22 @@ class Codec:
         pieces = self._split(text) if text else []
         return np.frombuffer(b"".join(map(self._known.__getitem__, pieces)), np.int32)
 
-    def decode(self, ids: Sequence[int] | None) -> bytes | None:
-        if ids is None:
-            return None
-        size = len(self.tokens)
-        if not all(i is not None and 0 <= i < size and self.tokens[i] for i in set(ids)):
-            return None
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The bytes of neighbouring lists of ids, of the given sizes; NULL for one with a foreign id."""
+        known = (ids >= 0) & (ids < len(self._sizes))
+        known[known] = self._sizes[ids[known]] > 0
+        ids = np.where(known, ids, 0)
+        lengths = np.where(known, self._sizes[ids], 0)
+        ends = np.cumsum(lengths)
+        within = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._starts[ids] - (ends - lengths), lengths)
+        # the places of the lists: among the ids, then among the bytes
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = np.concatenate([[0], ends])[stops]
+        made = pa.Array.from_buffers(
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self._blob[within])]
+        )
+        foreign = np.diff(np.concatenate([[0], np.cumsum(~known)])[stops]) > 0
+        return pa.compute.if_else(pa.array(foreign), pa.scalar(None, pa.large_binary()), made).cast(pa.binary())
 
 
 def _codec(docs: DataFrame, vocabulary: tuple[str, str] | None):
@@ -296,11 +312,12 @@ def decode(encoded: DataFrame, vocabulary: tuple[str, str] | None = None) -> Dat
         codec = kept(parts, lambda made_of: Codec(*made_of))
         for batch in batches:
             lists = batch.column(1)
-            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) * 4
-            for some in chunks(sizes.tolist(), BATCH_BYTES):
-                made = [codec.decode(ids.as_py()) for ids in lists[some]]
-                columns = [batch.column(0)[some], lists[some], pa.array(made, pa.binary())]
-                yield pa.record_batch(columns, names=["doc_id", "ids", "bytes"])
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for some in chunks((sizes * 4).tolist(), BATCH_BYTES):
+                part = lists[some]
+                ids = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                made = pa.compute.if_else(part.is_valid(), codec.decode(ids, sizes[some]), pa.scalar(None, pa.binary()))
+                yield pa.record_batch([batch.column(0)[some], part, made], names=["doc_id", "ids", "bytes"])
 
     schema = "doc_id long, ids array<int>, bytes binary"
     return encoded.selectExpr("cast(doc_id as long) doc_id", "cast(ids as array<int>) ids").mapInArrow(run, schema)
