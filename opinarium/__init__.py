@@ -1 +1,10 @@
-"""Daily text-opinion analytics as Spark jobs."""
+"""Daily text-opinion analytics as Spark jobs.
+
+Functions that run in Python workers are sent by value, so the executors need not have this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -86,7 +86,8 @@ def test_the_caller_names_the_way(spark):
     assert all(out.first()["hits"] == ["comfort", "dup"] for out in found)
     conditions, grams = map(plan_of, found)
     assert "Join" not in conditions and "Join" in grams
-    assert all("Cartesian" not in p and "NestedLoop" not in p and "Python" not in p for p in (conditions, grams))
+    assert all("Cartesian" not in p and "NestedLoop" not in p for p in (conditions, grams))
+    assert "Python" not in conditions
     with pytest.raises(ValueError):
         rl.find_hits(df, compiled, way="other")
 
@@ -104,6 +105,36 @@ def test_no_spread_out_row_holds_a_text(spark):
     assert sum("gram" in line for line in joins) == 1
 
 
+def test_texts_are_dealt_once_and_never_broadcast(spark):
+    """However small their file is: the table of texts is the left side of one join by id."""
+    df = spark.createDataFrame([(1, "with the"), (2, "que")], "id int, text string")
+    plan = plan_of(rl.hits_by_grams(df, rl.compile_rules(sheet_frame(spark, SHEET)), key="id"))
+    assert "SortMergeJoin" in plan and "LeftOuter" in plan
+    wide = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" in line]
+    assert not any("text" in line for line in wide)
+
+
+TERMS = ["a", "ab", "é", "日本", "seven77", "eight888", "nine99999", "nine9999", "日本語の文章", "", "end", "lowe", "😀"]
+
+
+@pytest.mark.parametrize("cut", [1 << 20, 5])
+def test_beginnings_of_all_lengths(spark, monkeypatch, cut):
+    """Terms from one byte to more than a gram, in texts that are searched in one pass or many."""
+    monkeypatch.setattr(rl, "PASS", cut)
+    rows = [(i, f"r{i}", [[t]]) for i, t in enumerate(TERMS)] + [(99, "both", [["a", "end"], ["日本", "é"]])]
+    rules = spark.createDataFrame(rows, "rule_order int, name string, clauses array<array<string>>")
+    texts = ["", "x", "xab", "the seven77 or eight888", "nine99999", "nine9999", "日本語の文章です é", "😀 the end", "bande", None,
+             "a" * 300 + "end", "n" * 40 + "nine9999", "seven7", "7seven77"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(2)
+
+    def held(text):
+        return [n for _, n, cs in sorted(rows) if text is not None and any(all(t in text for t in c) for c in cs)]
+
+    for key in (None, "id"):
+        found = {r["id"]: r["hits"] for r in rl.hits_by_grams(df, rules, key=key).collect()}
+        assert found == {i: held(t) for i, t in enumerate(texts)}
+
+
 def test_the_key_names_the_text(spark):
     texts = [(i, t) for i, t in enumerate(["the with", "with the", None, "", "que"] * 20)]
     df = spark.createDataFrame(texts, "id int, text string")
