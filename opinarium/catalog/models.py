@@ -928,7 +928,41 @@ def exp_local_weights(t: Tables) -> DataFrame:
         samples=300,
         target="class",
         ridge=1e-9,
+        selection=explain.HEAVIEST,
     )
     return weights.select("item_id", F.explode("words").alias("w")).groupBy("item_id").agg(
         F.round(F.sum("w.weight"), 2).alias("weight"), F.count("*").alias("words")
     )
+
+
+@query(
+    f"""with w as (
+      select item_id, unnest(list_distinct({v.words_sql('text')})) as word from benchmark),
+    cues as (
+      select word, row_number() over (order by count(*) desc, word) as place from w group by word
+      qualify place <= 6)
+    select item_id, word, cast(case when place % 2 = 1 then place else -place end as double) as weight
+    from w join cues using (word)"""
+)
+def exp_selected_words(t: Tables) -> DataFrame:
+    """Words found by forward selection for a scorer that looks at six cue words only.
+
+    A text has some of them; the selection must take these and no other, whatever their weights.
+    """
+    bags = t.benchmark.select("item_id", F.array_distinct(words(F.col("text"))).alias("bag"))
+    counted = frames.items(bags, [], F.col("bag"), "word").groupBy("word").agg(F.count("*").alias("n"))
+    cues = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(6).collect()]
+
+    def score(text: Column) -> Column:
+        held = F.split(text, " ")
+        parts = [
+            F.when(F.array_contains(held, cue), float(place if place % 2 else -place)).otherwise(0.0)
+            for place, cue in enumerate(cues, 1)
+        ]
+        return F.aggregate(F.array(*parts), F.lit(0.0), lambda a, b: a + b)
+
+    found = explain.local_weights(t.benchmark, "item_id", words(F.col("text")), score, samples=300, ridge=1e-9)
+    each = found.select("item_id", F.explode("words").alias("w"))
+    each = each.select("item_id", "w.word", F.round("w.weight", 4).alias("weight"))
+    # the places that no cue fills go to words without a weight
+    return each.where(F.col("weight") != 0)

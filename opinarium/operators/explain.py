@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ from opinarium.runtime import broadcast_if_small
 KERNEL_WIDTH = 25.0
 RIDGE = 1.0
 
+# How the words of a local model are chosen; what counts as nothing next to a whole.
+FORWARD, HEAVIEST = "forward", "heaviest"
+NOTHING = 1e-9
+
 
 def linear_word_weights(df: DataFrame, coefficients: DataFrame, key: str, tokens: Column) -> DataFrame:
     """(key, word, weight): what the score loses when a word is taken out.
@@ -99,6 +104,41 @@ def perturb(
     )
 
 
+def forward_selection(x: np.ndarray, y: np.ndarray, names: Sequence[str], n: int) -> list[int]:
+    """Up to `n` columns, each the one that explains most of what the ones before leave of `y`.
+
+    Columns are scaled by the roots of the row weights and centred. A candidate's gain comes from the part
+    of it that is at right angles to the columns taken, which is kept up to date step by step, so no
+    candidate is fitted anew. A column that the ones taken determine is never taken. Equal gains go to the smaller
+    name, and so do all once nothing is left to be explained.
+    """
+    rest, left, taken = x.copy(), y.copy(), []
+    sizes = (x**2).sum(axis=0)
+    total = float(y @ y)
+    while len(taken) < n:
+        now = (rest**2).sum(axis=0)
+        open_ = now > NOTHING * np.maximum(sizes, NOTHING)
+        open_[taken] = False
+        if not open_.any():
+            break
+        explained = (left @ rest) ** 2 if float(left @ left) > NOTHING * total else np.zeros(len(now))
+        gains = np.where(open_, explained / np.where(open_, now, 1.0), -1.0)
+        ties = np.flatnonzero(gains >= gains.max() * (1 - NOTHING))
+        best = min(ties.tolist(), key=lambda i: names[i])
+        unit = rest[:, best] / np.sqrt(now[best])
+        rest = rest - np.outer(unit, unit @ rest)
+        left = left - unit * (unit @ left)
+        taken.append(best)
+    return taken
+
+
+def _ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
+    """Slopes of a ridge fit, solved in the smaller of the two spaces."""
+    if x.shape[1] <= len(x):
+        return np.linalg.solve(x.T @ x + penalty * np.eye(x.shape[1]), x.T @ y)
+    return x.T @ np.linalg.solve(x @ x.T + penalty * np.eye(len(x)), y)
+
+
 def local_weights(
     df: DataFrame,
     key: str,
@@ -109,15 +149,19 @@ def local_weights(
     n: int = fixed.TOP_WORDS,
     target: str | None = None,
     ridge: float = RIDGE,
+    selection: str = FORWARD,
 ) -> DataFrame:
-    """(key, words): the n heaviest words of a local linear model around each row.
+    """(key, words): the words of a local linear model around each row, heaviest first.
 
     All variants are scored in batches; then each row gets a weighted
     ridge fit of its scores on its word masks. A group holds `samples` + 1 rows, however
     large the table. `score` maps the variant text to the score to explain; with `target`, a
     column holding a class id, it gives one score per class, and each row has the score of
-    its own class explained. `ridge` is the penalty of the local model.
+    its own class explained. `ridge` is the penalty of the local model. Its words are found by forward selection, the way for few
+    words, and fitted alone; or, by `selection`, they are the heaviest of a fit of all words.
     """
+    if selection not in (FORWARD, HEAVIEST):
+        raise ValueError(f"unknown selection {selection!r}")
     variants = perturb(df, key, tokens, samples, seed, target)
     explained = score(F.col("variant"))
     if target is not None:
@@ -131,8 +175,6 @@ def local_weights(
     width = KERNEL_WIDTH
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
         group = group.sort_values("sample")
         names = list(group["distinct"].iloc[0])
         masks = np.zeros((len(group), len(names)))
@@ -144,12 +186,11 @@ def local_weights(
         y = group["score"].to_numpy(dtype=float)
         x = masks - np.average(masks, axis=0, weights=weight) if names else masks
         target = y - np.average(y, weights=weight)
-        # solved in the space of samples, which is the smaller one for long texts
-        root = np.sqrt(weight)[:, None]
-        xw = x * root
-        gram = xw @ xw.T + ridge * np.eye(len(group))
-        slope = xw.T @ np.linalg.solve(gram, target * root[:, 0])
-        best = sorted(range(len(names)), key=lambda i: (-abs(slope[i]), names[i]))[:n]
+        root = np.sqrt(weight)
+        xw, yw = x * root[:, None], target * root
+        chosen = forward_selection(xw, yw, names, n) if selection == FORWARD else list(range(len(names)))
+        slope = dict(zip(chosen, _ridge(xw[:, chosen], yw, ridge), strict=True))
+        best = sorted(chosen, key=lambda i: (-abs(slope[i]), names[i]))[:n]
         return pd.DataFrame(
             {
                 key: [group[key].iloc[0]],

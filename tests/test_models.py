@@ -443,3 +443,53 @@ def test_bad_row_does_not_end_the_daily_job(spark):
     assert {(r["news_uuid"], r["position"]): (r["property"], r["emotion"]) for r in rows} == {
         ("1", 0): ("y", "q"), ("2", 0): (None, None), ("3", 0): (None, None), ("3", 1): ("y", "q"),
     }
+
+
+# --- forward selection
+
+
+def refitted(x, y, n):
+    """Forward selection that fits every candidate anew; the first of equal ones."""
+    taken = []
+    for _ in range(n):
+        errors = {}
+        for j in range(x.shape[1]):
+            if j not in taken:
+                columns = x[:, [*taken, j]]
+                if np.linalg.matrix_rank(columns, tol=1e-6) == len(taken) + 1:
+                    fit = np.linalg.lstsq(columns, y, rcond=None)[0]
+                    errors[j] = round(float(((y - columns @ fit) ** 2).sum()), 9)
+        if not errors:
+            break
+        taken.append(min(errors, key=lambda j: (errors[j], j)))
+    return taken
+
+
+def test_forward_selection_equals_fitting_every_candidate():
+    rng = np.random.default_rng(8)
+    for seed in range(6):
+        masks = (rng.random((60, 15)) < 0.5).astype(float)
+        masks[:, 4] = masks[:, 9]  # two words that always occur together
+        weight = rng.random(60) + 0.1
+        y = masks @ rng.normal(size=15) + rng.normal(size=60)
+        x = (masks - np.average(masks, axis=0, weights=weight)) * np.sqrt(weight)[:, None]
+        y = (y - np.average(y, weights=weight)) * np.sqrt(weight)
+        names = [f"w{i:02d}" for i in range(15)]
+        found = explain.forward_selection(x, y, names, 6)
+        assert found == refitted(x, y, 6) and len(found) == 6
+        assert not {4, 9} <= set(explain.forward_selection(x, y, names, 15))
+    assert explain.forward_selection(x[:, :0], y, [], 6) == []
+    assert explain.forward_selection(x, y * 0, names, 6) == [0, 1, 2, 3, 4, 5]
+
+
+def test_words_that_always_occur_together(spark):
+    df = spark.createDataFrame([(1, "good thing good and nothing else here")], "id int, text string")
+    score = scoring.batch_scorer(scoring.cue_factory(["good", "awful"]))
+    ways = {}
+    for way in (explain.FORWARD, explain.HEAVIEST):
+        got = explain.local_weights(df, "id", words(F.col("text")), lambda t: score(t)[0], samples=80, selection=way)
+        ways[way] = [w["word"] for w in got.first()["words"]]
+    assert ways[explain.FORWARD][0] == ways[explain.HEAVIEST][0] == "good"
+    assert len(ways[explain.FORWARD]) == len(ways[explain.HEAVIEST]) == 6
+    with pytest.raises(ValueError):
+        explain.local_weights(df, "id", words(F.col("text")), lambda t: score(t)[0], selection="other")
