@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from opinarium.functions import fixed_values as fixed
 from opinarium.functions.text import clean_strict, split_sentences, whole_text_sentence
 from opinarium.operators.dedup import keep_first
-from opinarium.operators.frames import any_flag, counted, drop_failures, failure_counts, flatten, once
+from opinarium.operators.frames import any_flag, drop_failures, flatten, once
 from opinarium.operators.joins import select_articles, selected_copies
-from opinarium.operators.rules import GRAMS, match_rules
+from opinarium.operators.rules import GRAMS, find_hits, match_rules
 from opinarium.operators.sampling import capped_sample
 from opinarium.operators.scoring import decode_label
 from opinarium.runtime import materialize
@@ -151,18 +151,19 @@ def final_rows(
     day: str,
     variant: Variant = FULL,
     draw_order: Sequence[str | Column] | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Rows in the layout of the opinion table.
 
     Rows with a failed prediction go, or stay with an empty label where the variant does not
     require it. With a sample cap the labelled stage is written, as it is read twice and must
-    not be scored twice; `draw_order` replaces the seeded draw.
+    not be scored twice, unless it is `written` already; `draw_order` replaces the seeded draw.
     """
     rows = drop_failures(labelled, variant.required)
     rows = rows.fillna("", subset=["property", "emotion"])
     if variant.total is not None:
         rows = capped_sample(
-            materialize(rows, "scored"),
+            rows if written else materialize(rows, "scored"),
             ["property", "emotion"],
             ["news_uuid", "position"],
             variant.total,
@@ -217,28 +218,67 @@ def daily_with_counts(
     """The opinion rows and a summary (stage, row_count) of the run.
 
     Stages: rows of the query, with the copies that the filter tables make; articles kept;
-    sentences; rows behind the rules; failed predictions; final rows. Each stage is
-    written once and counted from what was written.
+    sentences; rows behind the rules; failed predictions; final rows. One stage is written, the labelled rows,
+    and counted in one pass: rows that a step takes out stay in it without their text, so neither rules nor
+    model see them, and carry what they count for. The opinion rows are read from it.
     """
     relevant, flagged = _day_filters(correlation, classified, day, labels)
     keys = read_day(news, day).select("news_uuid")
     semi = variant.semi or variant.dedup_articles
     articles = articles_of_day(news, correlation, classified, day, labels, semi)
-    lists = materialize(article_lists(articles, variant), "articles")
-    sentences = materialize(spread_lists(lists, variant), "sentences")
-    tagged = materialize(tagged_rows(sentences, rules, variant, rule_way), "tagged")
-    labelled = labelled_rows(tagged, scores, property_names, scoring_tasks=scoring_tasks)
+    rows = _counted_rows(article_lists(articles, variant), variant)
+    if variant.rules is not None:
+        rows = find_hits(rows, rules, way=rule_way)
+        if variant.rules == "drop":
+            rows = rows.withColumn("_passed", F.col("_passed") & (F.size("hits") > 0))
+            rows = rows.withColumn("text", F.when(F.col("_passed"), F.col("text")))
+        else:
+            rows = rows.withColumn("hits", F.array_join("hits", ", "))
+    labelled = labelled_rows(rows, scores, property_names, scoring_tasks=scoring_tasks)
     labelled = materialize(labelled, "labelled")
-    final = materialize(final_rows(labelled, day, variant, draw_order), "opinions")
-    failed = failure_counts(labelled, list(variant.required)).select(F.col("failed_rows").alias("row_count"))
-    query = selected_copies(keys, relevant, flagged)
-    counts = {
-        "query": query.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")),
-        "articles": counted(lists),
-        "sentences": counted(sentences),
-        "rules": counted(tagged),
-        "failed": failed,
-        "final": counted(final),
-    }
-    lines = [df.select(F.lit(stage).alias("stage"), "row_count") for stage, df in counts.items()]
+    passed = labelled.where("_passed").drop(*COUNTERS)
+    final = final_rows(passed, day, variant, draw_order, written=True)
+    query = selected_copies(keys, relevant, flagged).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("query"))
+    failed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in variant.required])
+    counts = labelled.agg(
+        F.coalesce(F.sum("_articles"), F.lit(0)).alias("articles"),
+        F.count_if("_sentence").alias("sentences"),
+        F.count_if("_passed").alias("rules"),
+        F.count_if(F.col("_passed") & failed).alias("failed"),
+        F.count_if(F.col("_passed") & ~failed).alias("final"),
+    )
+    if variant.total is not None or variant.rules == "drop":
+        counts = counts.drop("final").crossJoin(final.agg(F.count("*").alias("final")))
+    lines = [
+        df.select(F.explode(F.array(*[_line(c) for c in df.columns])).alias("l")).select("l.*")
+        for df in (query, counts)
+    ]
     return final, reduce(DataFrame.unionByName, lines)
+
+
+COUNTERS = ["_articles", "_sentence", "_passed"]
+
+
+def _line(stage: str) -> Column:
+    return F.struct(F.lit(stage).alias("stage"), F.col(stage).cast("long").alias("row_count"))
+
+
+def _counted_rows(lists: DataFrame, variant: Variant) -> DataFrame:
+    """The rows of `spread_lists`, and those it takes out without a text, with `COUNTERS`.
+
+    An article counts with its first row. Copies of a sentence are one row that counts for the articles of all; what is
+    too short, or no sentence, is one such row.
+    """
+    rows = flatten(lists.select("news_uuid", "text"), ["text"], position="position")
+    first = F.coalesce(F.col("position"), F.lit(0)) == 0
+    kept = F.lit(True) if variant.min_text is None else F.coalesce(F.length("text") > variant.min_text, F.lit(False))
+    rows = rows.select(
+        F.when(kept, F.col("text")).alias("text"), "news_uuid", "position",
+        first.cast("long").alias("_articles"), kept.alias("_sentence"),
+    )
+    if variant.dedup_sentences:
+        grouped = rows.groupBy("text", "_sentence").agg(
+            F.min(F.struct("news_uuid", "position")).alias("_row"), F.sum("_articles").alias("_articles")
+        )
+        rows = grouped.select("text", "_row.*", "_articles", "_sentence")
+    return rows.withColumn("_passed", F.col("_sentence"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from opinarium.functions.text import words
 from opinarium.operators import evaluate, explain, features, scoring, training
 from opinarium.plans import daily, modelling
+from opinarium.runtime import materialize
 
 
 @pytest.fixture()
@@ -131,6 +132,32 @@ def test_run_summary(spark):
     assert sorted(rows.collect()) == sorted(full.collect())
 
 
+@pytest.mark.parametrize("name", ["FULL", "TWO_HEADS", "HITS_ONLY", "WHOLE_TEXTS"])
+def test_counts_of_every_variant_come_from_one_write(spark, monkeypatch, name):
+    """Rows as without counts; counts as those of each stage by itself."""
+    variant = getattr(daily, name)
+    tables = day_tables(spark)
+    sheet = [(1, "place", [["here"]]), (2, "three", [["Third"], ["r"]])]
+    rules = spark.createDataFrame(sheet, "rule_order int, name string, clauses array<array<string>>")
+    rules = rules if variant.rules else None
+    names = ["place", "third"]
+    plain = daily.daily_opinions(*tables, "d1", ["own"], scorer(), names, rules, variant).collect()
+    articles = daily.articles_of_day(*tables, "d1", ["own"], variant.semi or variant.dedup_articles)
+    lists = daily.article_lists(articles, variant)
+    sentences = daily.spread_lists(lists, variant)
+    tagged = daily.tagged_rows(sentences, rules, variant)
+    labelled = daily.labelled_rows(tagged, scorer(), names)
+    missing = " or ".join(f"{c} is null" for c in variant.required)
+    expected = {"articles": lists.count(), "sentences": sentences.count(), "rules": tagged.count(),
+                "failed": labelled.where(missing).count(), "final": len(plain), "query": 5}
+    stages = []
+    monkeypatch.setattr(daily, "materialize", lambda df, stage: stages.append(stage) or materialize(df, stage))
+    rows, counts = daily.daily_with_counts(*tables, "d1", ["own"], scorer(), names, rules, variant)
+    assert {r["stage"]: r["row_count"] for r in counts.collect()} == expected
+    assert sorted(map(str, rows.collect())) == sorted(map(str, plain))
+    assert stages == ["labelled"]
+
+
 def test_daily_job_reads_and_splits_articles_once(spark, tmp_path):
     names = ("news", "correlation", "classified")
     for name, df in zip(names, day_tables(spark)):
