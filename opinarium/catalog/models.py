@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -255,9 +256,6 @@ judged as (
   from raw group by doc_id)"""
 
 
-ALL_WORDS = 1 << 22  # of co-training's vocabulary; words beyond that are dropped
-
-
 def _bayes(t: Tables) -> DataFrame:
     """The rated documents under a naive Bayes model of themselves, over all words."""
     rows = materialize(_bags(t), "bags")
@@ -783,29 +781,32 @@ def ml_boosted_student(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""with {_bayes_sql('doc_id % 4 <> 0', shares=True)}
-    select doc_id, doc_id % 4 = 0 as held_out, cast(margin > 0 as integer) as teacher_pred,
-           case when cast(margin > 0 as integer) = label then 1.0::double else 10.0::double end as weight
-    from judged"""
+    f"""with {_bayes_sql('doc_id % 4 <> 0', shares=True)},
+    first_round as (
+      select 1 as round, doc_id, doc_id % 4 = 0 as held_out, cast(margin > 0 as integer) as teacher_pred,
+             case when cast(margin > 0 as integer) = label then 1.0::double else 10.0::double end as weight
+      from judged)
+    select *, true as weighed from first_round
+    union all
+    select n, doc_id, held_out, null, null, true from first_round, range(2, 4) r(n)"""
 )
 def ml_co_training(t: Tables) -> DataFrame:
-    """Two models that teach each other: the first round's verdicts and weights, by row."""
-    rows = materialize(_bags(t).select("doc_id", "label", "tokens"), "bags")
-    held = F.col("doc_id") % 4 == 0
-    counter = features.fit_word_counts(rows.where(~held), "tokens", "counts", ALL_WORDS)
-    _, rounds = training.co_train(
-        rows.where(~held),
-        rows.where(held),
-        "doc_id",
-        2,
-        counter,
-        rounds=1,
-        kind=training.BAYES,
-        tree_settings={"maxIter": 1, "maxDepth": 1, "seed": 24},
-    )
-    return rounds[0].select(
-        "doc_id", "held_out", F.col("teacher_pred").cast("int").alias("teacher_pred"), "weight"
-    )
+    """Two models that teach each other for three rounds, on all words.
+
+    The first round's verdicts and weights by row; of the later ones, whose teacher learns from the student, whether
+    each weight follows from the verdict.
+    """
+    bags = materialize(_bags(t).select("doc_id", "label", "tokens"), "bags")
+    counted = frames.items(bags, ["doc_id"], F.col("tokens"), "word").groupBy("doc_id", "word")
+    cells = materialize(counted.agg(F.count("*").cast("double").alias("value")), "cells")
+    rows = bags.select("doc_id", "label", (F.col("doc_id") % 4 == 0).alias("held_out"))
+    _, rounds = training.co_teach(rows, cells, "doc_id", 2, trees=2, depth=2)
+    shown = []
+    for n, found in enumerate(rounds, 1):
+        right = F.col("weight") == F.when(F.col("teacher_pred") == F.col("label"), 1.0).otherwise(10.0)
+        first = [F.when(F.lit(n == 1), F.col(c)).alias(c) for c in ("teacher_pred", "weight")]
+        shown.append(found.select(F.lit(n).alias("round"), "doc_id", "held_out", *first, right.alias("weighed")))
+    return reduce(DataFrame.unionByName, shown)
 
 
 @query(_slopes_sql("bad", "good"))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium.functions.labels import argmax, softmax
+from opinarium.operators import boosting
 from opinarium.operators.features import error_weight, with_probabilities
 from opinarium.operators.frames import items
 from opinarium.runtime import broadcast_if_small, materialize
@@ -242,14 +243,18 @@ def co_train(
         kept = materialize(kept, "co-train")
         shares = kept.select(key, _to_vector("_shares").alias("probability"))
         written.append(kept.drop("_shares"))
-        out.append(
-            kept.groupBy("held_out")
-            .agg(
-                F.avg((F.col("teacher_pred") == F.col("label")).cast("int")).alias("teacher"),
-                F.avg((F.col("student_pred") == F.col("label")).cast("int")).alias("student"),
-            )
-            .withColumn("epoch", F.lit(epoch))
-        )
+        out.append(_accuracies(kept, epoch))
+    return _accuracy_lines(out), written
+
+
+def _accuracies(kept: DataFrame, epoch: int) -> DataFrame:
+    """(held_out, teacher, student, epoch): shares of right verdicts."""
+    right = [F.avg((F.col(f"{who}_pred") == F.col("label")).cast("int")).alias(who) for who in ("teacher", "student")]
+    return kept.groupBy("held_out").agg(*right).withColumn("epoch", F.lit(epoch))
+
+
+def _accuracy_lines(epochs: Sequence[DataFrame]) -> DataFrame:
+    """(run, epoch, metric, value)."""
     part = F.when(F.col("held_out"), "valid").otherwise("train")
     lines = F.array(
         *[
@@ -260,11 +265,83 @@ def co_train(
             for who in ("teacher", "student")
         ]
     )
-    history = reduce(DataFrame.unionByName, out)
-    history = history.select(
+    history = reduce(DataFrame.unionByName, epochs)
+    return history.select(
         F.lit("co-training").alias("run"), "epoch", F.explode(lines).alias("l")
     ).select("run", "epoch", "l.*")
-    return history, written
+
+
+def cell_bayes(rows: DataFrame, cells: DataFrame, key: str, classes: int) -> DataFrame:
+    """(key, raw): log joint probability of each row and class under multinomial naive Bayes.
+
+    Learned from the rows (key, label, held_out) that are not held out, in closed form with one smoothing count; words that these
+    do not have count nothing. `cells` is (key, word, value): counts, or any other amounts, of words however many.
+    """
+    train = rows.where(~F.col("held_out")).select(key, "label")
+    found = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    docs = [found.get(c, 0) for c in range(classes)]
+    sides = [F.sum(F.when(F.col("label") == c, F.col("value")).otherwise(0.0)).alias(f"_{c}") for c in range(classes)]
+    known = materialize(cells.join(train, key).groupBy("word").agg(*sides), "bayes-words")
+    width, *totals = known.agg(
+        F.count("*"), *[F.coalesce(F.sum(f"_{c}"), F.lit(0.0)) for c in range(classes)]
+    ).first()
+    weights = [
+        (F.ln(F.col(f"_{c}") + 1.0) - F.ln(F.lit(float(max(totals[c] + width, 1))))).alias(f"_{c}")
+        for c in range(classes)
+    ]
+    joined = cells.join(known.select("word", *weights), "word")
+    sums = joined.groupBy(key).agg(*[F.sum(F.col("value") * F.col(f"_{c}")).alias(f"_{c}") for c in range(classes)])
+    raw = [
+        F.lit(math.log(docs[c] + 1) - math.log(sum(docs) + classes)) + F.coalesce(F.col(f"_{c}"), F.lit(0.0))
+        for c in range(classes)
+    ]
+    return rows.select(key).join(sums, key, "left").select(key, F.array(*raw).alias("raw"))
+
+
+def co_teach(
+    rows: DataFrame,
+    cells: DataFrame,
+    key: str,
+    classes: int,
+    rounds: int = 3,
+    trees: int = 5,
+    depth: int = 3,
+    learning_rate: float = 0.3,
+    patience: int | None = None,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Two models on all words that teach each other, for any number of classes.
+
+    Each round fits naive Bayes on the words and the student's last probabilities, weighs the rows it
+    gets wrong ten times, goes on boosting the student for `trees` rounds on the weighted rows, and hands
+    its probabilities back. `rows` is (key, label, held_out), `cells` (key, word, value); pass both written. Gives the
+    accuracies as `co_train` does, and for each round its written rows (key, label, held_out, teacher_pred,
+    weight, student_pred).
+    """
+    # no word has a blank in it
+    named = F.array(*[F.struct(F.lit(f"share {k}").alias("word"), F.lit(k).alias("k")) for k in range(classes)])
+
+    def as_cells(shares: DataFrame) -> DataFrame:
+        each = shares.select(key, "_shares", F.explode(named).alias("_n"))
+        return each.select(key, F.col("_n.word").alias("word"), F.get("_shares", F.col("_n.k")).alias("value"))
+
+    shares = rows.select(key, F.array_repeat(F.lit(1.0 / classes), F.lit(classes)).alias("_shares"))
+    features = cells.withColumnRenamed("word", "feature")
+    student, out, written = None, [], []
+    for epoch in range(1, rounds + 1):
+        raw = cell_bayes(rows, cells.unionByName(as_cells(shares)), key, classes)
+        judged = rows.join(raw, key).withColumn("teacher_pred", argmax(F.col("raw"))).drop("raw")
+        judged = judged.withColumn("weight", error_weight(F.col("teacher_pred"), F.col("label")))
+        judged = materialize(judged, "co-teach")
+        student = boosting.boost(
+            judged.drop("teacher_pred"), features, key, classes, trees, depth, learning_rate, patience=patience, start=student
+        )
+        scored = boosting.with_margins(judged, features, key, student)
+        kept = scored.withColumns({"student_pred": argmax(F.col("margins")), "_shares": softmax(F.col("margins"))})
+        kept = materialize(kept.drop("margins"), "co-teach")
+        shares = kept.select(key, "_shares")
+        written.append(kept.drop("_shares"))
+        out.append(_accuracies(kept, epoch))
+    return _accuracy_lines(out), written
 
 
 def _to_vector(column: str) -> Column:

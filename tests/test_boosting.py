@@ -2,9 +2,8 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from opinarium.operators import boosting
+from opinarium.operators import boosting, training
 
 RATE, L2 = 0.3, 1.0
 
@@ -115,3 +114,40 @@ def test_few_bins_and_odd_tables(spark):
     assert np.allclose(margins_of(rows, cells, none), [expected] * 40)
     empty = boosting.boost(rows.limit(0), cells.limit(0), "id", 3, 1, 2, RATE, L2)
     assert np.allclose(margins_of(rows, cells, empty), 0.0)
+
+
+def bayes(counts, y, train, classes):
+    """Log joint probabilities from dense counts; words without a training row count nothing."""
+    known = (counts[train] > 0).any(axis=0)
+    raw = []
+    for k in range(classes):
+        sums = counts[train & (y == k)].sum(axis=0)
+        weights = np.log(sums + 1) - np.log(sums[known].sum() + known.sum())
+        prior = np.log((train & (y == k)).sum() + 1) - np.log(train.sum() + classes)
+        raw.append(prior + counts[:, known] @ weights[known])
+    return np.stack(raw, axis=1)
+
+
+def test_three_rounds_of_co_teaching_for_three_classes(spark):
+    x, y, _, held = data(11)
+    x = np.abs(x)
+    rows = spark.createDataFrame([(i, int(y[i]), bool(held[i])) for i in range(len(y))], "id int, label int, held_out boolean")
+    cells = [(int(i), f"f{j}", float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)]
+    cells = spark.createDataFrame(cells, "id int, word string, value double")
+    history, rounds = training.co_teach(rows.cache(), cells.cache(), "id", 3, trees=1, depth=1, learning_rate=RATE)
+    shares, margins, train = np.full((len(y), 3), 1 / 3), np.zeros((len(y), 3)), ~held
+    lines = {(r["epoch"], r["metric"]): r["value"] for r in history.collect()}
+    for n, found in enumerate(rounds, 1):
+        teacher = bayes(np.hstack([x, shares]), y, train, 3).argmax(axis=1)
+        weight = np.where(teacher != y, 10.0, 1.0)
+        p = soft(margins)
+        step = []
+        for k in range(3):
+            g, h = (p[:, k] - (y == k)) * weight, p[:, k] * (1 - p[:, k]) * weight
+            step.append(grow(x[train], g[train], h[train], 1)(x))
+        margins = margins + np.stack(step, axis=1)
+        shares = soft(margins)
+        got = sorted(map(tuple, found.select("id", "teacher_pred", "weight", "student_pred").collect()))
+        assert got == [(i, teacher[i], weight[i], margins[i].argmax()) for i in range(len(y))]
+        assert lines[n, "student_valid_accuracy"] == pytest.approx((margins.argmax(axis=1) == y)[held].mean())
+    assert len(rounds) == 3
