@@ -6,7 +6,9 @@ may claim it. A Viterbi pass over the words of a text with a penalty for switchi
 spans; the language with most letters is the prediction.
 
 NULL texts and texts without a letter are `und` with score 0. Ties go to the language
-first in alphabetical order. Nothing is learned from rows without text, language or id.
+first in alphabetical order. Nothing is learned from rows without text, language or id. Repeated rows are labelled
+each for itself, texts of any length whole; an empty table gives an empty result, and other columns are not
+looked at, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from opinarium.llm.common import chunks, fold, ids_back, is_held_out, texts_with
 from opinarium.runtime import materialize
 
 UNKNOWN = "und"
-BUCKETS = 1 << 17
 CHUNK_CHARS = 1 << 20
 
 # First and last code point of the blocks of a script.
@@ -44,18 +45,23 @@ SCRIPTS = {
 }
 SCRIPT_NAMES = ["other", *SCRIPTS]
 
-Tables = tuple[np.ndarray, np.ndarray]
+Tables = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 @functools.cache
 def code_tables() -> Tables:
-    """By code point: whether it is a letter, and the number of its script."""
+    """By code point: whether it is a letter, the number of its script, and its lower case, where that
+    is one character too: letters are lowered one by one, so that none changes the places of others."""
     letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     scripts = np.zeros(0x110000, np.int8)
     for number, name in enumerate(SCRIPT_NAMES[1:], 1):
         for first, last in SCRIPTS[name]:
             scripts[first : last + 1] = number
-    return letters, scripts
+    lower = np.arange(0x110000, dtype=np.uint32)
+    for c in map(chr, np.flatnonzero(letters).tolist()):
+        if len(c.lower()) == 1:
+            lower[ord(c)] = ord(c.lower())
+    return letters, scripts, lower
 
 
 @dataclass
@@ -66,39 +72,45 @@ class Words:
     length: np.ndarray
     text: np.ndarray  # number of the text
     script: np.ndarray
-    buckets: np.ndarray  # of all trigrams, word after word
-    first: np.ndarray  # place of a word's first trigram in `buckets`
+    grams: np.ndarray  # all trigrams, word after word, each as one number
+    first: np.ndarray  # place of a word's first trigram in `grams`
 
 
 def find_words(texts: list[str], tables: Tables) -> Words:
     """All letter runs; a word of n letters, edges marked, has n trigrams."""
-    lowered = [t.lower() if len(t.lower()) == len(t) else t for t in texts]
-    joined = "\n".join([*lowered, ""])
-    chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    is_letter, scripts = tables
+    is_letter, scripts, lower = tables
+    joined = "\n".join([*texts, ""])
+    chars = lower[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
     letter = np.zeros(len(chars) + 2, bool)
     letter[1:-1] = is_letter[chars]
     edges = np.flatnonzero(letter[1:] != letter[:-1])
     start, end = edges[0::2], edges[1::2]
     begins = np.cumsum([0] + [len(t) + 1 for t in texts])
     text = np.searchsorted(begins, start, side="right") - 1
-    marked = np.where(letter[1:-1], chars, 0).astype(np.uint64)
-    padded = np.concatenate([[np.uint64(0)], marked, [np.uint64(0)]])
-    mixed = (padded[:-2] * np.uint64(0x9E3779B1) + padded[1:-1]) * np.uint64(0x85EBCA6B) + padded[2:]
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    marked = np.where(letter[1:-1], chars, 0).astype(np.int64)
+    padded = np.concatenate([[0], marked, [0]])
     places = np.flatnonzero(letter[1:-1])
-    buckets = (mixed[places] >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
+    # a code point has 21 bits
+    grams = padded[places] << 42 | padded[places + 1] << 21 | padded[places + 2]
     length = end - start
     first = np.concatenate([[0], np.cumsum(length)])[:-1]
-    return Words(start - begins[text], length, text, scripts[chars[start]], buckets, first)
+    return Words(start - begins[text], length, text, scripts[chars[start]], grams, first)
 
 
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # BUCKETS x languages, log probabilities
+    grams: np.ndarray  # the learned trigrams, ascending
+    weights: np.ndarray  # log probabilities by trigram and language, the last row for all others
     allowed: np.ndarray  # scripts x languages
 
+    def rows(self, grams: np.ndarray) -> np.ndarray:
+        """The row of each trigram in `weights`."""
+        if not len(self.grams):
+            return np.zeros(len(grams), np.int64)
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[at] == grams, at, len(self.grams))
+
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
     """The best label of each word; `counts` words per text, texts one after another.
@@ -147,7 +159,7 @@ class Identifier:
         n = len(words.start)
         counts = np.bincount(words.text, minlength=len(texts)) if n else np.zeros(len(texts), int)
         if n and kinds:
-            scores = np.add.reduceat(model.weights[words.buckets], words.first, axis=0)
+            scores = np.add.reduceat(model.weights[model.rows(words.grams)], words.first, axis=0)
             scores = np.where(model.allowed[words.script], scores, np.float32(-1e6))
             labels = viterbi(scores, counts, self.penalty)
         ends = np.cumsum(counts)
@@ -170,7 +182,7 @@ class Identifier:
 def fit(docs: DataFrame, folds: int, held_out: int, sample_rows: int) -> Model:
     """Trigram log probabilities from about `sample_rows` documents at most.
 
-    Counts are kept by hash in `BUCKETS` buckets, so the model has a fixed size per language.
+    The model has every trigram of the sample, and so the size that the sample bounds.
     """
     usable = docs.where("text is not null and lang is not null and doc_id is not null")
     usable = usable.where(fold("doc_id", folds) != held_out)
@@ -190,38 +202,39 @@ def fit(docs: DataFrame, folds: int, held_out: int, sample_rows: int) -> Model:
                     words = find_words(list(group["text"]), tables.value)
                     if not len(words.start):
                         continue
-                    seen, n = np.unique(words.buckets, return_counts=True)
+                    seen, n = np.unique(words.grams, return_counts=True)
                     by_script = np.bincount(words.script, words.length, len(SCRIPT_NAMES))
                     keys = np.concatenate([seen, -1 - np.arange(len(SCRIPT_NAMES))])
                     values = np.concatenate([n, by_script.astype(np.int64)])
-                    yield pd.DataFrame({"lang": lang, "bucket": keys, "n": values})
+                    yield pd.DataFrame({"lang": lang, "gram": keys, "n": values})
 
-    counted = usable.select("lang", "text").mapInPandas(count, "lang string, bucket long, n long")
-    rows = materialize(counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "trigrams")
+    counted = usable.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
+    rows = materialize(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     table = rows.toPandas()
     languages = sorted(table["lang"].unique())
     number = {lang: i for i, lang in enumerate(languages)}
-    counts = np.zeros((BUCKETS, len(languages)))
     scripts = np.zeros((len(SCRIPT_NAMES), len(languages)))
     where = table["lang"].map(number).to_numpy(np.int64)
-    bucket, n = (table[c].to_numpy(np.int64) for c in ("bucket", "n"))
-    grams = bucket >= 0
-    counts[bucket[grams], where[grams]] = n[grams]
-    scripts[-1 - bucket[~grams], where[~grams]] = n[~grams]
-    weights = np.log((counts + 0.5) / (counts.sum(axis=0, keepdims=True) + 0.5 * BUCKETS))
+    gram, n = (table[c].to_numpy(np.int64) for c in ("gram", "n"))
+    is_gram = gram >= 0
+    known, row = np.unique(gram[is_gram], return_inverse=True)
+    counts = np.zeros((len(known) + 1, len(languages)))
+    counts[row, where[is_gram]] = n[is_gram]
+    scripts[-1 - gram[~is_gram], where[~is_gram]] = n[~is_gram]
+    weights = np.log((counts + 0.5) / (counts.sum(axis=0, keepdims=True) + 0.5 * len(counts)))
     allowed = scripts > 1e-3 * np.maximum(scripts.sum(axis=0, keepdims=True), 1)
     allowed[~allowed.any(axis=1)] = True
-    return Model(languages, weights.astype(np.float32), allowed)
+    return Model(languages, known, weights.astype(np.float32), allowed)
 
 
 def label_spans(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
     """(doc_id, lang_pred, score, spans) of every document; places count characters from 0."""
-    parts = model.languages, model.weights, model.allowed, *code_tables()
+    parts = model.languages, model.grams, model.weights, model.allowed, code_tables()
     shared = docs.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        languages, weights, allowed, letters, scripts = shared.value
-        identify = Identifier(Model(languages, weights, allowed), (letters, scripts), penalty)
+        *made_of, tables = shared.value
+        identify = Identifier(Model(*made_of), tables, penalty)
         for batch in batches:
             texts = batch["text"].fillna("")
             sizes = texts.str.len().to_numpy()

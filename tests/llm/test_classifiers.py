@@ -190,8 +190,8 @@ def test_words_and_scripts():
     names = [language.SCRIPT_NAMES[i] for i in found.script]
     assert names == ["latin", "cyrillic", "latin"]
     again = language.find_words(["é", "зима ab"], tables)
-    assert again.buckets[:1].tolist() == found.buckets[-1:].tolist()
-    assert again.buckets[1:5].tolist() == found.buckets[2:6].tolist()
+    assert again.grams[:1].tolist() == found.grams[-1:].tolist()
+    assert again.grams[1:5].tolist() == found.grams[2:6].tolist()
 
 
 def test_odd_rows(odd_docs, odd_labels):
@@ -222,3 +222,31 @@ def test_empty_tables(no_docs, no_labels, some_docs):
     unlabelled = some_docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
     assert quality.keep_good(no_docs, no_labels).count() == 0
+
+
+def test_one_odd_capital_leaves_the_others_as_they_are():
+    """Letters whose lower case is longer are lowered by no one else's rule."""
+    tables = language.code_tables()
+    plain = language.find_words(["hello there"], tables)
+    for odd in ("HELLO THERE", "HELLO THERE İ", "İ HELLO THERE"):
+        found = language.find_words([odd], tables)
+        assert set(plain.grams.tolist()) <= set(found.grams.tolist())
+        assert found.start.max() < len(odd)
+
+
+def test_trigrams_are_kept_apart_however_many(spark):
+    """More trigrams than any table of buckets would tell apart: each has the weight of its own counts."""
+    rng = np.random.default_rng(3)
+    letters = [chr(c) for c in range(0x4E00, 0x9FA0)]
+    texts = [("".join(rng.choice(letters, 40_000)), lang) for lang in ("x", "y", "x", "y")]
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language.fit(docs, 4, 9, 100)
+    assert len(model.grams) > 1 << 17 and len(model.weights) == len(model.grams) + 1
+    seen = {g: set() for g in ("x", "y")}
+    for text, lang in texts:
+        seen[lang] |= set(language.find_words([text], language.code_tables()).grams.tolist())
+    assert set(model.grams.tolist()) == seen["x"] | seen["y"]
+    only = np.array(sorted(seen["x"] - seen["y"]))
+    rows = model.weights[model.rows(only)]
+    assert (rows[:, 0] > rows[:, 1]).all()
+    assert (model.rows(np.array([1, 2, 3])) == len(model.grams)).all()
