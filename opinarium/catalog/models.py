@@ -800,12 +800,12 @@ def ml_co_training(t: Tables) -> DataFrame:
     counted = frames.items(bags, ["doc_id"], F.col("tokens"), "word").groupBy("doc_id", "word")
     cells = materialize(counted.agg(F.count("*").cast("double").alias("value")), "cells")
     rows = bags.select("doc_id", "label", (F.col("doc_id") % 4 == 0).alias("held_out"))
-    _, rounds = training.co_teach(rows, cells, "doc_id", 2, trees=2, depth=2)
+    _, rounds = training.co_teach(rows, cells, "doc_id", 2, trees=1, depth=2)
     shown = []
     for n, found in enumerate(rounds, 1):
         right = F.col("weight") == F.when(F.col("teacher_pred") == F.col("label"), 1.0).otherwise(10.0)
         first = [F.when(F.lit(n == 1), F.col(c)).alias(c) for c in ("teacher_pred", "weight")]
-        shown.append(found.select(F.lit(n).alias("round"), "doc_id", "held_out", *first, right.alias("weighed")))
+        shown.append(found.select(F.lit(n).cast("long").alias("round"), "doc_id", "held_out", *first, right.alias("weighed")))
     return reduce(DataFrame.unionByName, shown)
 
 
