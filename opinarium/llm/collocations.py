@@ -3,8 +3,9 @@
 A phrase can only be frequent if the shorter phrases in it are. So lengths are searched in turn: for
 each, tasks count the phrases made of surviving shorter ones by a hash, deal the counts to hash partitions, and each
 partition merges them into a Misra-Gries summary. A summary of more than mass / threshold counters, mass
-being the occurrences dealt to its partition, undercounts by less than the threshold: every frequent phrase is still in it. What
-is left forms a bitmap of fixed size. Hashes that collide, and bits that do, only let more phrases through: the
+being the occurrences dealt to its partition, undercounts by less than the threshold: every frequent phrase is still in it. It has
+several times as many, so that the undercount, which it keeps, is small, and a counter that stays below the threshold with
+it goes. What is left forms a bitmap of fixed size. Hashes that collide, and bits that do, only let more phrases through: the
 second pass counts whatever the bitmap lets through by its text, exactly, and keeps what reaches the threshold.
 
 Counts and scores: see `collocations`. Each step reads whole texts; its memory is bounded by the buffer of a few MB of text, by
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from opinarium.llm.common import batches_of
-from opinarium.runtime import materialize
+from opinarium.runtime import materialize, run_folder
 
 LONGEST = 4
 THRESHOLD = 30
@@ -35,10 +36,13 @@ TOP = 2000
 COVERED = 80  # hundredths of a phrase's count at which a longer one replaces it
 SCALE = 2_000_000
 
-BUFFER = 3 << 20  # bytes of text that are counted together
-KEPT = 3 << 20  # phrases whose counts a task holds before it passes them on
+BUFFER = 1 << 19  # bytes of text that are counted together
+ROWS = 512  # of texts that go to a worker at once
+KEPT = 1 << 20  # phrases whose counts a task holds before it passes them on
 BITS = 1 << 27  # of the bitmap: 16 MB
 PART_BYTES = 4 << 20  # of text for each hash partition
+ROOM = 4  # counters of a summary, in multiples of mass / threshold
+KEY_BYTES = 5  # of a hash, behind the bits that name its partition
 
 WORD, BLANK, END = 0, 1, 2
 SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -188,13 +192,18 @@ def phrases(words: Words, longest: int, passes) -> Iterator[tuple[int, np.ndarra
         yield length, at, hashes
 
 
-def _passes(bitmap: np.ndarray | None, known: int):
+def _keys(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The bytes of hashes that are kept, behind the bits that name the partition."""
+    return (hashes << np.uint64(bits)) >> np.uint64(64 - 8 * KEY_BYTES)
+
+
+def _passes(bitmap: np.ndarray | None, known: int, bits: int):
     """Lets through what the bitmap holds, for the lengths it was made for; all of the next length."""
 
     def passes(length: int, hashes: np.ndarray) -> np.ndarray | None:
         if length > known:
             return None
-        place = hashes & np.uint64(BITS - 1)
+        place = _keys(hashes, bits) & np.uint64(BITS - 1)
         return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
     return passes
@@ -208,17 +217,18 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
 
 
-def merge_summaries(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """One Misra-Gries summary of `capacity` counters from the counters of several.
+def merge_summaries(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """One Misra-Gries summary of `capacity` counters from the counters of several, and what was taken off them.
 
     Sums equal keys; if too many are left, the count of the largest that must go is taken off all. Each unit taken off
     takes capacity + 1 occurrences away, so over any merges a key loses mass / (capacity + 1) at most.
     """
     keys, counts = _summed(keys, counts)
-    if len(keys) > capacity:
-        counts = counts - np.partition(counts, -capacity - 1)[-capacity - 1]
-        keys, counts = keys[counts > 0], counts[counts > 0]
-    return keys, counts
+    if len(keys) <= capacity:
+        return keys, counts, 0
+    less = int(np.partition(counts, -capacity - 1)[-capacity - 1])
+    counts = counts - less
+    return keys[counts > 0], counts[counts > 0], less
 
 
 PARTS = "part int, mass long, n int, hashes binary, counts binary"
@@ -227,6 +237,18 @@ PARTS_SCHEMA = pa.schema(
 )
 
 
+def _width(counts: np.ndarray) -> str:
+    return "<u1" if counts.max() < 1 << 8 else "<i4" if counts.max() < 1 << 31 else "<i8"
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of a row."""
+    keys = np.zeros((row["n"], 8), np.uint8)
+    keys[:, :KEY_BYTES] = np.frombuffer(row["hashes"], np.uint8).reshape(-1, KEY_BYTES)
+    width = {1: "<u1", 4: "<i4", 8: "<i8"}[len(row["counts"]) // row["n"]]
+    return keys.view("<u8").ravel(), np.frombuffer(row["counts"], width).astype(np.int64)
+
+
 def _part_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -235,7 +257,7 @@ def _counted(texts: DataFrame, length: int, bits: int, bitmap: Broadcast | None)
     """Counts of the phrases of one length by hash, packed by hash partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = _passes(bitmap and np.frombuffer(bitmap.value, np.uint8), length - 1)
+        passes = _passes(bitmap and np.frombuffer(bitmap.value, np.uint8), length - 1, bits)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for words, _ in buffers(batches):
@@ -256,9 +278,10 @@ def _counted(texts: DataFrame, length: int, bits: int, bitmap: Broadcast | None)
         # ascending hashes lie together by partition, which their first bits name
         parts, first = np.unique(_part_of(hashes, bits), return_index=True)
         bounds = np.append(first, len(hashes))
+        keys = _keys(hashes, bits).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
         rows = [
-            {"part": int(p), "mass": int(counts[a:b].sum()), "n": b - a, "hashes": hashes[a:b].astype("<u8").tobytes(),
-             "counts": counts[a:b].astype("<i8" if counts[a:b].max() >> 31 else "<i4").tobytes()}
+            {"part": int(p), "mass": int(counts[a:b].sum()), "n": b - a, "hashes": keys[a:b].tobytes(),
+             "counts": counts[a:b].astype(_width(counts[a:b])).tobytes()}
             for p, a, b in zip(parts.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
         ]
         for some in range(0, len(rows), 256):
@@ -272,20 +295,19 @@ def _survivors(counted: DataFrame, threshold: int) -> DataFrame:
     masses = F.broadcast(counted.groupBy("part").agg(F.sum("mass").alias("_mass")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summaries: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
+        summaries: dict[int, list] = {}
         for batch in batches:
             for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-                keys, counts, _ = summaries.get(row["part"], (np.empty(0, np.uint64), np.empty(0, np.int64), 0))
-                more = np.frombuffer(row["counts"], "<i8" if len(row["counts"]) > 4 * row["n"] else "<i4")
-                keys = np.concatenate([keys, np.frombuffer(row["hashes"], "<u8")])
-                counts = np.concatenate([counts, more])
-                capacity = row["_mass"] // threshold + 1
+                one = summaries.setdefault(row["part"], [np.empty(0, np.uint64), np.empty(0, np.int64), 0, 0])
+                one[:2] = (np.concatenate(both) for both in zip(one[:2], _unpacked(row), strict=True))
+                one[3] = ROOM * (row["_mass"] // threshold + 1)
                 # merged when twice as many as may stay have come together
-                if len(keys) > 2 * capacity + 4096:
-                    keys, counts = merge_summaries(keys, counts, capacity)
-                summaries[row["part"]] = keys, counts, capacity
-        for keys, counts, capacity in summaries.values():
-            keys, _ = merge_summaries(keys, counts, capacity)
+                if len(one[0]) > 2 * one[3] + 4096:
+                    *one[:2], less = merge_summaries(one[0], one[1], one[3])
+                    one[2] += less
+        for keys, counts, lost, capacity in summaries.values():
+            keys, counts, less = merge_summaries(keys, counts, capacity)
+            keys = keys[counts + lost + less >= threshold]
             yield pa.record_batch([pa.array((keys & np.uint64(BITS - 1)).astype(np.int64) + 1)], names=["place"])
 
     return counted.join(masses, "part").repartition("part").mapInArrow(run, "place long")
@@ -311,14 +333,16 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, threshold: int = T
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max((size // PART_BYTES).bit_length(), 4), 20)
     merged, bitmap = np.zeros(BITS // 8, np.uint8), None
-    for length in range(1, longest + 1):
-        counted = materialize(_counted(texts, length, bits, bitmap), f"phrases-{length}")
-        with batches_of(spark, 64):
-            merged |= np.frombuffer(_bitmap(_survivors(counted, threshold)), np.uint8)
-        bitmap = spark.sparkContext.broadcast(merged.tobytes())
+    with run_folder(spark, "phrases"):
+        for length in range(1, longest + 1):
+            with batches_of(spark, ROWS):
+                counted = materialize(_counted(texts, length, bits, bitmap), f"phrases-{length}")
+            with batches_of(spark, 64):
+                merged |= np.frombuffer(_bitmap(_survivors(counted, threshold)), np.uint8)
+            bitmap = spark.sparkContext.broadcast(merged.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = _passes(np.frombuffer(bitmap.value, np.uint8), longest)
+        passes = _passes(np.frombuffer(bitmap.value, np.uint8), longest, bits)
         for words, names in buffers(batches):
             yield _rows([(lang, None, 0, n) for lang, n in enumerate(np.bincount(words.lang).tolist()) if n], names)
             # numbers of equal phrases: by the number of the phrase but its last word, and of that
@@ -332,7 +356,8 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, threshold: int = T
 
     schema = "lang string, phrase string, words int, a long"
     counted = texts.mapInArrow(run, schema).groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a"))
-    return materialize(counted.where((F.col("a") >= threshold) | (F.col("words") == 0)), "frequent")
+    with batches_of(spark, ROWS):
+        return materialize(counted.where((F.col("a") >= threshold) | (F.col("words") == 0)), "frequent")
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
