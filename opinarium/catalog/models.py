@@ -643,7 +643,8 @@ def _slopes_sql(*names: str) -> str:
 
 def _rated(t: Tables) -> tuple[DataFrame, DataFrame]:
     """The rated documents with a two-class target per flag, and their words as cells."""
-    both = [F.when(F.col(c) == 1, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(1.0), F.lit(0.0))).alias(f"{c}_is") for c in ("quality", "toxic")]
+    no, yes = (F.array(F.lit(1.0 - c), F.lit(float(c))) for c in (0, 1))
+    both = [F.when(F.col(c) == 1, yes).otherwise(no).alias(f"{c}_is") for c in ("quality", "toxic")]
     rows = materialize(_bags(t).select("doc_id", "tokens", "quality", "toxic", *both), "rated")
     cells = materialize(sparse.unit_cells(rows, "doc_id", "tokens"), "cells")
     return rows.drop("tokens"), cells
@@ -689,6 +690,67 @@ def ml_history(t: Tables) -> DataFrame:
     return evaluate.history_rows(rounded, F.lit("quality"), F.lit(1), ["train_loss"])
 
 
+EPOCHS, RATE = 3, 2.0
+
+
+def _epoch_steps_sql() -> str:
+    """Weights behind each batch: of a language, and of all rows under ''. The two classes move by opposite amounts."""
+    steps = []
+    for n in range(1, 2 * EPOCHS + 1):
+        steps.append(f"""
+scored_{n} as (
+  select r.*, 1 / (1 + exp(-2 * (w.w + b.w))) as p from rows_ r
+  join weights_{n - 1} w on w.f = r.f join weights_{n - 1} b on b.f = ''),
+slopes_{n} as (
+  select s.f, sum(s.p - s.y) / (select count(*) from scored_{n} where batch = {(n - 1) % 2}) as d
+  from (select * from scored_{n} union all select * replace ('' as f) from scored_{n}) s
+  where batch = {(n - 1) % 2} group by s.f),
+weights_{n} as (
+  select w.f, w.w - {RATE} * coalesce(d.d, 0) as w from weights_{n - 1} w left join slopes_{n} d on d.f = w.f)""")
+    return ",".join(steps)
+
+
+def _epoch_figures_sql() -> str:
+    lines = [
+        f"""select {e}::int as epoch, m.metric, round(m.value, 6) as value from (
+      select avg(-ln(case when y = 1 then p else 1 - p end)) filter (where not held) as a,
+             avg(-ln(case when y = 1 then p else 1 - p end)) filter (where held) as b,
+             avg(((p > 0.5)::int = y)::int) filter (where held) as c
+      from (select r.*, 1 / (1 + exp(-2 * (w.w + b.w))) as p from rows_ r
+            join weights_{2 * e} w on w.f = r.f join weights_{2 * e} b on b.f = '')),
+      lateral (values ('train_loss', a), ('valid_loss', b), ('valid_accuracy', c)) m(metric, value)"""
+        for e in range(1, EPOCHS + 1)
+    ]
+    return " union all ".join(lines)
+
+
+@query(
+    f"""with {v.TRAINING_SQL},
+rows_ as (
+  select t.doc_id, t.quality as y, t.doc_id % 4 = 0 as held,
+         case when t.doc_id % 4 <> 0 then t.doc_id % 2 end as batch, coalesce(d.lang, 'und') as f
+  from training_rows t join documents d on d.doc_id = t.doc_id),
+weights_0 as (select distinct f, 0.0::double as w from rows_ union all select '', 0.0),
+{_epoch_steps_sql()}
+select 'quality' as run, * from ({_epoch_figures_sql()})"""
+)
+def ml_epochs(t: Tables) -> DataFrame:
+    """A fit over three epochs of two batches: losses and accuracy on held-out rows behind each, from its snapshot."""
+    truth = F.when(F.col("quality") == 1, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(1.0), F.lit(0.0)))
+    rows = t.documents.join(t.labels, "doc_id").select(
+        "doc_id", F.col("quality").alias("label"), truth.alias("target"), (F.col("doc_id") % 4 == 0).alias("held_out"),
+        F.coalesce("lang", F.lit("und")).alias("word"),
+    )
+    rows = materialize(rows, "rows")
+    history, _ = sparse.train_epochs(
+        rows.drop("word"), rows.select("doc_id", "word", F.lit(1.0).alias("value")), "doc_id",
+        sparse.one_of(F.col("target")), lambda scores: cross_entropy(scores, F.col("label")), 2, EPOCHS, RATE,
+        batch=F.col("doc_id") % 2,
+    )
+    shown = evaluate.history_rows(history, F.lit("quality"), F.col("epoch"), ["train_loss", "valid_loss", "valid_accuracy"])
+    return shown.withColumn("value", F.round("value", 6))
+
+
 @query(_slopes_sql("quality", "toxic"))
 def ml_multi_label(t: Tables) -> DataFrame:
     """Both positions of a label in one model, fitted in the same passes, at its optimum."""

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinarium.functions.labels import sigmoid, softmax
+from opinarium.functions.labels import argmax, sigmoid, softmax
 from opinarium.runtime import materialize, new_folder, run_folder
 
 # The gradient of a row's loss by its scores, over the other columns of the row.
@@ -170,6 +171,57 @@ def fit(
     return Linear(written, bias, slopes)
 
 
+def train_epochs(
+    rows: DataFrame,
+    cells: DataFrame,
+    key: str,
+    residual: Residual,
+    loss: Residual,
+    classes: int,
+    epochs: int,
+    rate: float,
+    batches: int = 4,
+    batch: Column | None = None,
+    penalty: float = 0.0,
+) -> tuple[DataFrame, list[Linear]]:
+    """A fit over epochs of batches, with a snapshot of the model and its figures after each epoch.
+
+    Gives (epoch, train_loss, valid_loss, valid_accuracy), computed from the scores that each snapshot gives the rows
+    (key, label, held_out), and the snapshots. Rows that are held out are scored only. `batch` numbers a row's batch from 0; by
+    default it comes from a hash of the key, so an epoch is the same whichever tasks run it. A step is `rate`
+    against the mean gradient of its batch. Pass written `rows` and `cells`.
+    """
+    number = F.pmod(F.xxhash64(key), F.lit(batches)) if batch is None else batch
+    dealt = rows.withColumn("_batch", F.when(~F.col("held_out"), number))
+    sizes = {r["_batch"]: r["count"] for r in dealt.groupBy("_batch").count().collect()}
+    zeros = F.array_repeat(F.lit(0.0), F.lit(classes))
+    weights = materialize(cells.select("word").distinct().withColumn("w", zeros), "weights")
+    bias, snapshots, lines = [0.0] * classes, [], []
+    for epoch in range(1, epochs + 1):
+        for b in sorted(n for n in sizes if n is not None):
+            own = _scores(dealt.where(F.col("_batch") == b), cells, key, weights, bias)
+            residuals = materialize(own.select(key, residual(F.col("scores")).alias("_r")), "residuals")
+            slope = weights.join(_gradient(residuals, cells, key, classes), "word", "left")
+            mean = F.transform(F.coalesce("d", zeros), lambda d: d / sizes[b])
+            moved = F.zip_with("w", mean, lambda w, d: w - (d + w * penalty) * rate)
+            weights = materialize(slope.select("word", moved.alias("w")), "weights")
+            there = residuals.agg(*[F.sum(F.get("_r", F.lit(k))) for k in range(classes)]).first()
+            bias = [x - rate * float(s) / sizes[b] for x, s in zip(bias, there, strict=True)]
+        snapshots.append(Linear(weights, bias))
+        judged = materialize(_scores(rows, cells, key, weights, bias), "epoch-scores")
+        held, value = F.col("held_out"), loss(F.col("scores"))
+        right = (argmax(F.col("scores")) == F.col("label")).cast("int")
+        lines.append(
+            judged.agg(
+                F.avg(F.when(~held, value)).alias("train_loss"),
+                F.avg(F.when(held, value)).alias("valid_loss"),
+                F.avg(F.when(held, right)).alias("valid_accuracy"),
+            ).withColumn("epoch", F.lit(epoch))
+        )
+    history = reduce(DataFrame.unionByName, lines)
+    return history.select("epoch", "train_loss", "valid_loss", "valid_accuracy"), snapshots
+
+
 def slopes_at(
     rows: DataFrame, cells: DataFrame, key: str, residual: Residual, model: Linear, penalty: float
 ) -> DataFrame:

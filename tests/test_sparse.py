@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from opinarium.functions.losses import cross_entropy
 from opinarium.operators import sparse
 
 WORDS = [f"w{i}" for i in range(12)]
@@ -118,3 +119,29 @@ def test_many_words(spark):
     model = sparse.fit(rows, cells, "id", sparse.each_of(F.col("target")), 1, 0.5, steps=4, tolerance=1e-4)
     assert model.weights.count() == n
     assert model.weights.where(F.col("w")[0] == 0).count() == 0
+
+
+def test_epochs_against_a_dense_loop(bags):
+    """Snapshots, losses and accuracy of every epoch; held-out rows take no part in a step."""
+    rows, df = bags
+    df = df.withColumn("label", F.col("y")).withColumn("held_out", F.col("id") % 5 == 0).cache()
+    cells = sparse.unit_cells(df, "id", "tokens").cache()
+    history, snapshots = sparse.train_epochs(
+        df, cells, "id", sparse.one_of(F.col("target")), lambda s: cross_entropy(s, F.col("label")), 3,
+        epochs=2, rate=0.8, batch=F.col("id") % 3, penalty=0.01,
+    )
+    x, y = dense(rows), np.array([r[2] for r in rows])
+    ids, hot = np.arange(len(rows)), np.eye(3)[y]
+    w, b = np.zeros((x.shape[1], 3)), np.zeros(3)
+    lines = {r["epoch"]: r for r in history.collect()}
+    for epoch in (1, 2):
+        for part in range(3):
+            own = (ids % 3 == part) & (ids % 5 != 0)
+            r = (soft(x[own] @ w + b) - hot[own]) / own.sum()
+            w, b = w - 0.8 * (x[own].T @ r + 0.01 * w), b - 0.8 * r.sum(axis=0)
+        p = soft(x @ w + b)
+        loss, held = -np.log(p[ids, y]), ids % 5 == 0
+        assert lines[epoch]["train_loss"] == pytest.approx(loss[~held].mean())
+        assert lines[epoch]["valid_loss"] == pytest.approx(loss[held].mean())
+        assert lines[epoch]["valid_accuracy"] == pytest.approx((p.argmax(axis=1) == y)[held].mean())
+        assert np.allclose(by_id(sparse.scored(df, cells, "id", snapshots[epoch - 1])), x @ w + b)
