@@ -33,7 +33,7 @@ from opinarium.llm.common import chunks, kept
 BUCKET = 3  # tokens per bucket of the perfect hash, on average
 BATCH_BYTES = 4 << 20  # text or ids that leave a worker in one batch
 SPREAD, MIX, MASK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), (1 << 64) - 1
-OTHER = ""  # neither letter, digit nor space in any version of Unicode
+OTHER = "\ue000"  # neither letter, digit nor space in any version of Unicode
 
 
 def default_vocabulary() -> tuple[str, str]:
