@@ -151,3 +151,16 @@ def test_three_rounds_of_co_teaching_for_three_classes(spark):
         assert got == [(i, teacher[i], weight[i], margins[i].argmax()) for i in range(len(y))]
         assert lines[n, "student_valid_accuracy"] == pytest.approx((margins.argmax(axis=1) == y)[held].mean())
     assert len(rounds) == 3
+
+
+def test_cells_are_binned_and_summed_once_for_all_rounds(spark, monkeypatch):
+    x, y, _, held = data(12, n=30)
+    rows = spark.createDataFrame([(i, int(y[i]), bool(held[i])) for i in range(len(y))], "id int, label int, held_out boolean")
+    cells = [(int(i), f"f{j}", abs(float(x[i, j]))) for i, j in zip(*np.nonzero(x), strict=True)]
+    cells = spark.createDataFrame(cells, "id int, word string, value double")
+    calls = []
+    for module, name in ((boosting, "binned"), (training, "cell_bayes")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, real=real, name=name, **k: calls.append(name) or real(*a, **k))
+    training.co_teach(rows.cache(), cells.cache(), "id", 3, rounds=2, trees=1, depth=1)
+    assert sorted(calls) == ["binned", "cell_bayes"]
