@@ -164,3 +164,14 @@ def test_cells_are_binned_and_summed_once_for_all_rounds(spark, monkeypatch):
         monkeypatch.setattr(module, name, lambda *a, real=real, name=name, **k: calls.append(name) or real(*a, **k))
     training.co_teach(rows.cache(), cells.cache(), "id", 3, rounds=2, trees=1, depth=1)
     assert sorted(calls) == ["binned", "cell_bayes"]
+
+
+def test_calls_share_bins(spark):
+    rows, cells = frames(spark, *data(13, n=40))
+    shared = boosting.binned(cells, rows.where("not held_out"), "id")
+    first = boosting.boost(rows, cells, "id", 3, 1, 1, RATE, L2, features=shared)
+    second = boosting.boost(rows, cells, "id", 3, 1, 1, RATE, L2, start=first, features=shared)
+    whole = boosting.boost(rows, cells, "id", 3, 2, 1, RATE, L2)
+    assert [[t.splits for t in trees] for trees in second.rounds] == [[t.splits for t in trees] for trees in whole.rounds]
+    # a row's cells are one row, whatever the number of features
+    assert shared.rows.count() == cells.select("id").distinct().count()
