@@ -520,3 +520,15 @@ def test_words_that_always_occur_together(spark):
     assert len(ways[explain.FORWARD]) == len(ways[explain.HEAVIEST]) == 6
     with pytest.raises(ValueError):
         explain.local_weights(df, "id", words(F.col("text")), lambda t: score(t)[0], selection="other")
+
+
+def test_entries_of_vectors_are_not_spread_out(spark):
+    from pyspark.ml.linalg import Vectors
+
+    wide = 1 << 30  # as a list of numbers this would not fit
+    rows = [(1, Vectors.sparse(wide, [3, wide - 1], [2.0, 0.5])), (2, Vectors.dense([1.0, 0.0]))]
+    df = spark.createDataFrame(rows, ["id", "v"])
+    found = df.select("id", features.entries(F.col("v")).alias("e"), features.width(F.col("v")).alias("w")).orderBy("id").collect()
+    assert [(r["w"], [tuple(e) for e in r["e"]]) for r in found] == [
+        (wide, [(3, 2.0), (wide - 1, 0.5)]), (2, [(0, 1.0), (1, 0.0)]),
+    ]
