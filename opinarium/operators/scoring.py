@@ -7,7 +7,7 @@ and the rest of its batch is scored. NULL inputs are NULL without reaching the m
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -66,25 +66,27 @@ def _scorer(factory, heads, batch_size, input_shape, failures):
         parts = [found[h] for h in names] if heads else [found]
         return list(zip(*parts, strict=True))
 
-    def score(batches):
-        model = factory()
-        for batch in batches:
-            out = [(None,) * len(names)] * len(batch)
-            present = np.flatnonzero(batch.notna().to_numpy())
-            values = batch.to_numpy()
-            for start in range(0, len(present), batch_size):
-                places = present[start : start + batch_size]
-                found = recovered(lambda rows: vectors(model, rows), values[places])
-                for place, row in zip(places.tolist(), found, strict=True):
-                    if row is not None:
-                        out[place] = row
-                    elif failures is not None:
-                        failures.add(1)
-            columns = [pd.Series([row[i] for row in out], dtype=object) for i in range(len(names))]
-            yield pd.DataFrame(dict(zip(names, columns, strict=True))) if heads else columns[0]
-
-    result = pd.DataFrame if heads else pd.Series
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[result]}
+    loaded: list = []
+
+    def score(batch):
+        if not loaded:
+            loaded.append(factory())
+        out = [(None,) * len(names)] * len(batch)
+        present = np.flatnonzero(batch.notna().to_numpy())
+        values = batch.to_numpy()
+        for start in range(0, len(present), batch_size):
+            places = present[start : start + batch_size]
+            found = recovered(lambda rows: vectors(loaded[0], rows), values[places])
+            for place, row in zip(places.tolist(), found, strict=True):
+                if row is not None:
+                    out[place] = row
+                elif failures is not None:
+                    failures.add(1)
+        columns = [pd.Series([row[i] for row in out], dtype=object) for i in range(len(names))]
+        return pd.DataFrame(dict(zip(names, columns, strict=True))) if heads else columns[0]
+
+    # By batch, not by an iterator: all scorers of a select then run in one Python worker per task, not one each.
+    score.__annotations__ = {"batch": pd.Series, "return": pd.DataFrame if heads else pd.Series}
     # A filter on a deterministic score is pushed below it together with a second run of
     # the model; a non-deterministic one is computed once and filtered afterwards.
     return F.pandas_udf(score, returns).asNondeterministic()

@@ -532,3 +532,13 @@ def test_entries_of_vectors_are_not_spread_out(spark):
     assert [(r["w"], [tuple(e) for e in r["e"]]) for r in found] == [
         (wide, [(3, 2.0), (wide - 1, 0.5)]), (2, [(0, 1.0), (1, 0.0)]),
     ]
+
+
+def test_scorers_of_a_select_share_a_worker(spark):
+    df = spark.createDataFrame([(1, "good awful"), (2, None)], "id int, text string")
+    first, second = (scoring.batch_scorer(scoring.cue_factory([c, "x"])) for c in ("good", "awful"))
+    heads = scoring.two_heads(scoring.cue_factory(["a", "b"]), scoring.cue_factory(["c", "d"]), ["p", "e"])
+    third = scoring.two_head_scorer(heads, ["p", "e"])
+    out = df.select("id", first("text").alias("a"), second("text").alias("b"), third("text").alias("c"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["a"] is None for r in out.orderBy("id").collect()] == [False, True]
