@@ -8,16 +8,20 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from opinarium.functions import fixed_values as fixed
 from opinarium.operators.dedup import best_words, top_rows
 from opinarium.operators.frames import flatten, items
-from opinarium.runtime import broadcast_if_small
+from opinarium.runtime import SMALL_CHARS, SMALL_ROWS, broadcast_if_small, is_small, materialize
 
 # Width of the weighting kernel, and ridge penalty of the local model.
 KERNEL_WIDTH = 25.0
 RIDGE = 1.0
 
+# Rows whose words are counted in one task.
+PART_ROWS = 4096
+
 # How the words of a local model are chosen; what counts as nothing next to a whole.
 FORWARD, HEAVIEST = "forward", "heaviest"
 NOTHING = 1e-9
@@ -32,17 +36,63 @@ def linear_word_weights(df: DataFrame, coefficients: DataFrame, key: str, tokens
     out, so counting, and with a small coefficient table also ranking per row, needs
     no further shuffle.
     """
-    placed = df.select(key, tokens.alias("_words")).repartition(key)
-    counted = (
-        items(placed, [key], F.col("_words"), "word")
-        .groupBy(key, "word")
-        .agg(F.count("*").alias("n"))
-    )
-    return counted.join(broadcast_if_small(coefficients), "word").select(
+    return _counted(df, key, tokens).join(broadcast_if_small(coefficients), "word").select(
         key, "word", (F.col("n") * F.col("coefficient")).alias("weight")
     )
 
 
+def _counted(df: DataFrame, key: str, tokens: Column) -> DataFrame:
+    """(key, word, n). The texts are placed, not their word lists, which take up more.
+
+    Parts are of so many rows, so that counting and ranking a part's words stays in memory, however large the table.
+    """
+    parts = max(-(-df.count() // PART_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    placed = df.repartition(parts, key).select(key, tokens.alias("_words"))
+    return items(placed, [key], F.col("_words"), "word").groupBy(key, "word").agg(F.count("*").alias("n"))
+
+
+def _frequent(coefficients: DataFrame) -> DataFrame:
+    """The words of the most rows, as many as a broadcast may hold: quarter powers of two of rows, from the top."""
+    level = F.floor(F.log2("rows") * 4)
+    coefficients = coefficients.where(F.length("word") <= SMALL_CHARS // SMALL_ROWS)
+    sizes = coefficients.groupBy(level.alias("level")).count().collect()
+    least, held = None, 0
+    for r in sorted(sizes, key=lambda r: -r["level"]):
+        held += r["count"]
+        if held > SMALL_ROWS:
+            break
+        least = r["level"]
+    return coefficients.where(F.lit(False) if least is None else level >= least)
+
+
+def top_linear_words(
+    df: DataFrame, coefficients: DataFrame, key: str, tokens: Column, digits: int, n: int = fixed.TOP_WORDS
+) -> DataFrame:
+    """`top_words` of `linear_word_weights`, with weights rounded to `digits`.
+
+    `coefficients` is a written table (word, coefficient, rows), `rows` being how many rows a word is in. Most words
+    of a text are frequent ones: these meet a broadcast table, and of them only a text's heaviest go on. Only words that are not
+    in it meet the rest of the table in a join that shuffles. They are written in between.
+    """
+    if is_small(coefficients):
+        frequent, rare = coefficients, None
+    else:
+        frequent = _frequent(coefficients)
+        rare = coefficients.join(F.broadcast(frequent.select("word")), "word", "left_anti")
+    weight = F.round(F.col("n") * F.col("coefficient"), digits)
+    known = F.broadcast(frequent.select("word", "coefficient"))
+    found = _counted(df, key, tokens).join(known, "word", "inner" if rare is None else "left")
+    found = found.select(key, "word", "n", weight.alias("weight"))
+    if rare is None:
+        return top_words(found.drop("n"), key, n)
+    place = F.row_number().over(W.partitionBy(key).orderBy(F.abs("weight").desc_nulls_last(), "word"))
+    left = found.withColumn("_place", place).where(F.col("weight").isNull() | (F.col("_place") <= n))
+    left = materialize(left.drop("_place"), "heaviest")
+    others = left.where(F.col("weight").isNull()).drop("weight").join(rare.select("word", "coefficient"), "word")
+    others = others.select(key, "word", weight.alias("weight"))
+    return top_words(left.where(F.col("weight").isNotNull()).drop("n").unionByName(others), key, n)
+
+
 def top_words(weights: DataFrame, key: str, n: int = fixed.TOP_WORDS) -> DataFrame:
     """The n heaviest words of each row by absolute weight, ties by word."""
     return top_rows(weights, [key], [F.abs("weight").desc(), F.col("word")], n)

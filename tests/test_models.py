@@ -542,3 +542,23 @@ def test_scorers_of_a_select_share_a_worker(spark):
     out = df.select("id", first("text").alias("a"), second("text").alias("b"), third("text").alias("c"))
     assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     assert [r["a"] is None for r in out.orderBy("id").collect()] == [False, True]
+
+
+def test_top_words_with_more_coefficients_than_a_broadcast_holds(spark, monkeypatch):
+    texts = [(n % 7, " ".join(f"w{(n * k) % 23}" for k in range(1, 30))) for n in range(20)] + [(None, "w1 w2"), (9, "new"), (10, None)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    table = [(f"w{k}", (k % 5 - 2) / 3 + k / 100, 1 + (k * 7) % 11) for k in range(20)]
+    coefficients = spark.createDataFrame(table, "word string, coefficient double, rows long").cache()
+    tokens = words(F.col("text"))
+    weights = explain.linear_word_weights(df, coefficients, "id", tokens).withColumn("weight", F.round("weight", 6))
+
+    def listed(rows):
+        return sorted(map(str, rows.select("id", "word", "weight").collect()))
+
+    expected = listed(explain.top_words(weights, "id"))
+    for most in (1000, 8, 0):  # all words are broadcast, the frequent ones are, none is
+        monkeypatch.setattr(explain, "SMALL_ROWS", max(most, 1))
+        monkeypatch.setattr(explain, "is_small", lambda frame, most=most: most == 1000)
+        held = explain._frequent(coefficients).count()
+        assert held == 20 if most == 1000 else held <= max(most, 1)
+        assert listed(explain.top_linear_words(df, coefficients, "id", tokens, 6)) == expected
