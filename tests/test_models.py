@@ -562,3 +562,44 @@ def test_top_words_with_more_coefficients_than_a_broadcast_holds(spark, monkeypa
         held = explain._frequent(coefficients).count()
         assert held == 20 if most == 1000 else held <= max(most, 1)
         assert listed(explain.top_linear_words(df, coefficients, "id", tokens, 6)) == expected
+
+
+# --- linear models on all words
+
+
+@pytest.mark.parametrize("name", ["ml_distilled"])
+def test_linear_queries_move_no_cells(spark, monkeypatch, name):
+    """The fits of a query share one list of cells by row, and the slopes of the whole loss are small for any number of rows."""
+    from opinarium.catalog import models
+    from opinarium.catalog.registry import QUERIES
+    from opinarium.operators import sparse
+
+    def refuse(*_, **__):
+        raise AssertionError("cells are moved")
+
+    packed, fit, seen = sparse.packed, sparse.fit, []
+
+    def counting(*args):
+        seen.append("packed")
+        return packed(*args)
+
+    def judged(rows, *args, **kwargs):
+        if "tolerance" in kwargs:
+            assert kwargs["tolerance"] * rows.count() < 0.005
+        return fit(rows, *args, **kwargs)
+
+    monkeypatch.setattr(sparse, "packed", counting)
+    monkeypatch.setattr(sparse, "fit", judged)
+    for helper in ("_scores", "_gradient"):
+        monkeypatch.setattr(sparse, helper, refuse)
+    bags = models._bags
+
+    def many(t):  # more rows than a tolerance of 5e-7 is enough for
+        return bags(t).withColumn("doc_id", F.explode(F.sequence(F.col("doc_id") * 200, F.col("doc_id") * 200 + 119)))
+
+    monkeypatch.setattr(models, "_bags", many)
+    found = QUERIES[name](spark, "/root/testdata/sf0.001")
+    slopes = [c for c in found.columns if c not in ("word", "docs")]
+    assert found.where(F.greatest(*[F.abs(c) for c in [*slopes, slopes[0]]]) > 0).isEmpty()
+    assert found.where(F.col("word") == "").first()["docs"] == 87 * 120
+    assert seen == ["packed"]

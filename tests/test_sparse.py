@@ -145,3 +145,66 @@ def test_epochs_against_a_dense_loop(bags):
         assert lines[epoch]["valid_loss"] == pytest.approx(loss[held].mean())
         assert lines[epoch]["valid_accuracy"] == pytest.approx((p.argmax(axis=1) == y)[held].mean())
         assert np.allclose(by_id(sparse.scored(df, cells, "id", snapshots[epoch - 1])), x @ w + b)
+
+
+def refuse(*_, **__):
+    raise AssertionError("cells are moved")
+
+
+def test_steps_move_no_cells(bags, monkeypatch):
+    """Cells are listed by row once; steps, scores and slopes read the lists and join nothing by word."""
+    rows, df = bags
+    cells = sparse.packed(sparse.unit_cells(df, "id", "tokens").cache(), "id", 3)
+    assert cells.front == len(WORDS) and cells.rest is None
+    assert {r["_ids"] is None for r in cells.lists.collect()} == {False}
+    for name in ("_scores", "_gradient"):
+        monkeypatch.setattr(sparse, name, refuse)
+    residual = sparse.one_of(F.col("target"))
+    model = sparse.fit(df, cells, "id", residual, 3, 0.2, tolerance=1e-5)
+    expected = solve(dense(rows), lambda s: soft(s) - np.eye(3)[[r[2] for r in rows]], 3, 0.2)
+    assert np.allclose(by_id(sparse.scored(df, cells, "id", model)), expected, atol=1e-3)
+    slopes = sparse.slopes_at(df, cells, "id", residual, model, 0.2).collect()
+    assert {r["word"] for r in slopes} == {None, *WORDS}
+    assert all(abs(s) < 1e-2 for r in slopes for s in r["slopes"])
+
+
+def test_rare_words_behind_the_front(bags, monkeypatch):
+    """Words that the arrays have no room for are fitted as the others are."""
+    rows, df = bags
+    cells = sparse.unit_cells(df, "id", "tokens").cache()
+    residual = sparse.one_of(F.col("target"))
+    whole = sparse.fit(df, cells, "id", residual, 3, 0.2, tolerance=1e-5)
+    monkeypatch.setattr(sparse, "NUMBERS", 15)
+    parts = sparse.packed(cells, "id", 3)
+    assert parts.front == 5 and parts.rest.select("word").distinct().count() == len(WORDS) - 5
+    model = sparse.fit(df, parts, "id", residual, 3, 0.2, tolerance=1e-5)
+    assert np.allclose(model.slopes, whole.slopes, atol=1e-9)
+    assert np.allclose(by_id(sparse.scored(df, parts, "id", model)), by_id(sparse.scored(df, cells, "id", whole)))
+    slopes = sparse.slopes_at(df, parts, "id", residual, model, 0.2).collect()
+    docs = {r["word"]: r["n"] for r in cells.groupBy("word").agg(F.count("*").alias("n")).collect()}
+    assert {r["word"]: r["docs"] for r in slopes} == {None: len(rows), **docs}
+    assert all(abs(s) < 1e-2 for r in slopes for s in r["slopes"])
+
+
+@pytest.mark.parametrize("numbers", [1 << 22, 2])
+def test_repeated_null_and_missing_rows(spark, monkeypatch, numbers):
+    """Copies of a key count each, rows without a target not at all; words of these only have no weight and no slope."""
+    rows = spark.createDataFrame(
+        [(1, ["a", "b"], [1.0, 0.0]), (1, ["a"], [0.0, 1.0]), (2, ["b", "c"], None), (3, ["c", "a"], [1.0, None]),
+         (4, ["d"], None), (5, None, [0.0, 1.0]), (None, ["a", "e"], [1.0, 1.0])],
+        "id int, tokens array<string>, target array<double>",
+    ).cache()
+    cells = sparse.unit_cells(rows, "id", "tokens").cache()
+    assert {(r["id"], r["word"]) for r in cells.collect()} == {
+        (1, "a"), (1, "b"), (2, "b"), (2, "c"), (3, "a"), (3, "c"), (4, "d")
+    }
+    residual = sparse.each_of(F.col("target"))
+    monkeypatch.setattr(sparse, "NUMBERS", numbers)
+    model = sparse.fit(rows, sparse.packed(cells, "id", 2), "id", residual, 2, 0.1, tolerance=1e-9)
+    found = {r["word"]: r["w"] for r in model.weights.collect()}
+    assert found["d"] == [None, None] and found["c"][1] is None and None not in found["a"] + found["b"]
+    slopes = {r["word"]: r for r in sparse.slopes_at(rows, sparse.packed(cells, "id", 2), "id", residual, model, 0.1).collect()}
+    assert {w: r["docs"] for w, r in slopes.items()} == {None: 7, "a": 2, "b": 2, "c": 2, "d": 1}
+    assert slopes["d"]["slopes"] == [None, None] and slopes["c"]["slopes"][1] is None
+    numbers = [s for r in slopes.values() for s in r["slopes"] if s is not None]
+    assert len(numbers) == 7 and all(abs(s) < 1e-6 for s in numbers)
