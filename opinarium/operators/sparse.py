@@ -218,8 +218,12 @@ def _listed_scores(
         for at in range(0, len(ids), ROWS):
             numbers, lengths = _numbers(ids.slice(at, ROWS), np.int32)
             times, _ = _numbers(values.slice(at, ROWS), np.float64)
-            row, n = np.repeat(np.arange(len(lengths)), lengths), len(lengths)
-            parts.append(np.stack([np.bincount(row, w[k][numbers] * times, n) + bias[k] for k in range(classes)], axis=1))
+            numbers, filled = numbers.astype(np.int64), lengths > 0
+            starts = (np.cumsum(lengths) - lengths)[filled]
+            scores = np.tile(np.array(bias), (len(lengths), 1))
+            for k in range(classes if len(starts) else 0):
+                scores[filled, k] += np.add.reduceat(w[k].take(numbers) * times, starts)
+            parts.append(scores)
         flat = np.concatenate(parts).ravel() if parts else np.empty(0)
         return pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, classes, dtype=np.int32), flat)
 
@@ -282,18 +286,23 @@ def _listed_gradient(rows: DataFrame, classes: int, front: int) -> tuple[np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, state, there = np.zeros((classes, front)), np.zeros((classes, front), np.uint8), np.zeros(classes)
+        whole = np.zeros(front, bool)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 ids, values, residuals = batch.slice(at, ROWS).columns
                 numbers, lengths = _numbers(ids, np.int32)
                 times, _ = _numbers(values, np.float64)
-                r, known = _matrix(residuals, classes)
-                row = np.repeat(np.arange(len(lengths)), lengths)
+                numbers, (r, known) = numbers.astype(np.int64), _matrix(residuals, classes)
                 for k in range(classes):
-                    np.add.at(sums[k], numbers, times * r[k][row])
-                    state[k][numbers] |= TOUCHED
-                    state[k][numbers if known[k].all() else numbers[known[k][row]]] |= KNOWN
+                    np.add.at(sums[k], numbers, times * np.repeat(r[k], lengths))
                 there += r.sum(axis=1)
+                if known.all():
+                    whole[numbers] = True
+                    continue
+                for k in range(classes):
+                    state[k][numbers] |= TOUCHED
+                    state[k][numbers[np.repeat(known[k], lengths)]] |= KNOWN
+        state[:, whole] |= TOUCHED | KNOWN
         yield from _records(sums, state)
         yield _record(-1, np.zeros(1, np.int32), there, np.full(classes, TOUCHED, np.uint8))
 
