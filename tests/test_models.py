@@ -567,7 +567,7 @@ def test_top_words_with_more_coefficients_than_a_broadcast_holds(spark, monkeypa
 # --- linear models on all words
 
 
-@pytest.mark.parametrize("name", ["ml_distilled", "ml_multi_label", "ml_two_targets"])
+@pytest.mark.parametrize("name", ["ml_distilled", "ml_multi_label", "ml_two_targets", "ml_classifier"])
 def test_linear_queries_move_no_cells(spark, monkeypatch, name):
     """The fits of a query share one list of cells by row, and the slopes of the whole loss are small for any number of rows."""
     from opinarium.catalog import models
