@@ -398,12 +398,14 @@ def fit(
             if own.rest is not None:
                 moved = F.zip_with("w", "_g", lambda w, g: w - g * length)
                 now = weights.select("word", moved.alias("w"), F.col("w").alias("_w"), F.col("_g").alias("_h"))
-            last_w, last_g, w = w, g, w - g * length
-            d, state, there, others = _packed_gradient(listed, own, key, residual, w, now, bias.tolist())
-            g = d / total + w * penalty
+            # few arrays at once: the way is the last slope times the length
+            last_g, w = g, w - g * length
+            g, state, there, others = _packed_gradient(listed, own, key, residual, w, now, bias.tolist())
+            g /= total
+            g += w * penalty
             bias_slope = there / total
-            way2, bend = float(((w - last_w) ** 2).sum()), float(((w - last_w) * (g - last_g)).sum())
-            steepest = float(np.abs(g).max(initial=0.0))
+            way2, bend = length**2 * float(np.vdot(last_g, last_g)), -length * float(np.vdot(last_g, g - last_g))
+            steepest = max(float(g.max(initial=0.0)), -float(g.min(initial=0.0)))
             if own.rest is not None:
                 slope = F.zip_with("d", "w", lambda d, w: d / total + w * penalty)
                 weights = materialize(now.join(others, "word").withColumn("_g", slope).drop("d"), "weights")
